@@ -158,6 +158,139 @@ SELECT report_date, total_revenue, total_orders, unique_customers, total_units_s
             AS DECIMAL(9,0)) / 10000 AS DECIMAL(9,4)) AS cancellation_rate
 FROM daily LEFT JOIN new_returning USING (report_date)
 LEFT JOIN daily_cancelled USING (report_date) LEFT JOIN top_category USING (report_date)""",
+    "top_skus": """
+SELECT stock_code, count(*) AS tx_count FROM silver GROUP BY stock_code
+ORDER BY tx_count DESC, stock_code LIMIT 50""",
+    "weekly_all": """
+SELECT stock_code, CAST(date_trunc('week', invoice_date) AS DATE) AS week_start,
+       CAST(sum(quantity) AS BIGINT) AS units_sold FROM silver GROUP BY 1, 2""",
+    "filled_all": """
+SELECT c.stock_code, c.week_start, coalesce(units_sold, 0) AS units_sold FROM (
+  SELECT stock_code, CAST(unnest(generate_series(min(week_start), max(week_start), INTERVAL 7 DAY)) AS DATE)
+    AS week_start FROM weekly_all GROUP BY stock_code) c
+LEFT JOIN weekly_all w ON w.stock_code = c.stock_code AND w.week_start = c.week_start""",
+    "split_all": """
+SELECT f.stock_code, week_start, units_sold,
+       CAST(date_diff('day', first_week, week_start) // 7 AS INTEGER) AS week_no,
+       week_start <= last_week - 28 AS is_train
+FROM filled_all f JOIN (SELECT stock_code, min(week_start) AS first_week, max(week_start) AS last_week
+                        FROM filled_all GROUP BY stock_code) b ON b.stock_code = f.stock_code""",
+    "train_weeks": """
+SELECT stock_code, CAST(sum(CASE WHEN is_train THEN 1 ELSE 0 END) AS BIGINT) AS train_weeks
+FROM split_all GROUP BY stock_code""",
+    "series_holdout": """
+SELECT s.* FROM split_all s JOIN train_weeks USING (stock_code)
+WHERE train_weeks >= 8 AND stock_code IN (SELECT stock_code FROM top_skus)""",
+    "series_refit": """
+SELECT s.stock_code, week_start, units_sold, week_no, true AS is_train
+FROM split_all s JOIN train_weeks USING (stock_code) WHERE train_weeks >= 8""",
+
+    "line_holdout": """
+SELECT stock_code, n, slope, (sy - slope * st) / n AS intercept, greatest(sy / n * 0.1, 1e-6) AS floor_level
+FROM (SELECT *, CASE WHEN n * stt - st * st <> 0
+        THEN CAST(n * sty - st * sy AS DOUBLE) / (n * stt - st * st) ELSE 0.0 END AS slope
+  FROM (SELECT stock_code, count(*) AS n, CAST(sum(week_no) AS DOUBLE) AS st,
+               CAST(sum(units_sold) AS DOUBLE) AS sy, CAST(sum(week_no * units_sold) AS DOUBLE) AS sty,
+               CAST(sum(CAST(week_no AS BIGINT) * week_no) AS DOUBLE) AS stt
+        FROM series_holdout WHERE is_train GROUP BY stock_code))""",
+    "trend_holdout": """
+SELECT s.*, month(week_start) AS m, greatest(intercept + slope * week_no, floor_level) AS trend
+FROM series_holdout s JOIN line_holdout l ON l.stock_code = s.stock_code""",
+    "month_holdout": """
+SELECT stock_code, m, avg(units_sold / trend) AS ratio FROM trend_holdout WHERE is_train GROUP BY stock_code, m""",
+    "scale_holdout": """
+SELECT stock_code, CASE WHEN mean > 0 THEN mean ELSE 1.0 END AS scale FROM (
+  SELECT stock_code, (sum(ratio) + 12 - count(*)) / 12 AS mean FROM month_holdout GROUP BY stock_code)""",
+    "yhat_holdout": """
+SELECT t.*, greatest(trend * coalesce(ratio, 1.0) / scale, 0.0) AS yhat
+FROM trend_holdout t JOIN scale_holdout c ON c.stock_code = t.stock_code
+LEFT JOIN month_holdout i ON i.stock_code = t.stock_code AND i.m = t.m""",
+    "param_holdout": """
+SELECT l.stock_code, n, slope, intercept, floor_level, scale, sigma, last_week, last_week_no
+FROM line_holdout l JOIN scale_holdout c ON c.stock_code = l.stock_code
+JOIN (SELECT stock_code, stddev_pop(units_sold - yhat) FILTER (WHERE is_train) AS sigma,
+             max(week_start) AS last_week, max(week_no) AS last_week_no
+      FROM yhat_holdout GROUP BY stock_code) y ON y.stock_code = l.stock_code""",
+
+    "line_refit": """
+SELECT stock_code, n, slope, (sy - slope * st) / n AS intercept, greatest(sy / n * 0.1, 1e-6) AS floor_level
+FROM (SELECT *, CASE WHEN n * stt - st * st <> 0
+        THEN CAST(n * sty - st * sy AS DOUBLE) / (n * stt - st * st) ELSE 0.0 END AS slope
+  FROM (SELECT stock_code, count(*) AS n, CAST(sum(week_no) AS DOUBLE) AS st,
+               CAST(sum(units_sold) AS DOUBLE) AS sy, CAST(sum(week_no * units_sold) AS DOUBLE) AS sty,
+               CAST(sum(CAST(week_no AS BIGINT) * week_no) AS DOUBLE) AS stt
+        FROM series_refit WHERE is_train GROUP BY stock_code))""",
+    "trend_refit": """
+SELECT s.*, month(week_start) AS m, greatest(intercept + slope * week_no, floor_level) AS trend
+FROM series_refit s JOIN line_refit l ON l.stock_code = s.stock_code""",
+    "month_refit": """
+SELECT stock_code, m, avg(units_sold / trend) AS ratio FROM trend_refit WHERE is_train GROUP BY stock_code, m""",
+    "scale_refit": """
+SELECT stock_code, CASE WHEN mean > 0 THEN mean ELSE 1.0 END AS scale FROM (
+  SELECT stock_code, (sum(ratio) + 12 - count(*)) / 12 AS mean FROM month_refit GROUP BY stock_code)""",
+    "yhat_refit": """
+SELECT t.*, greatest(trend * coalesce(ratio, 1.0) / scale, 0.0) AS yhat
+FROM trend_refit t JOIN scale_refit c ON c.stock_code = t.stock_code
+LEFT JOIN month_refit i ON i.stock_code = t.stock_code AND i.m = t.m""",
+    "param_refit": """
+SELECT l.stock_code, n, slope, intercept, floor_level, scale, sigma, last_week, last_week_no
+FROM line_refit l JOIN scale_refit c ON c.stock_code = l.stock_code
+JOIN (SELECT stock_code, stddev_pop(units_sold - yhat) FILTER (WHERE is_train) AS sigma,
+             max(week_start) AS last_week, max(week_no) AS last_week_no
+      FROM yhat_refit GROUP BY stock_code) y ON y.stock_code = l.stock_code""",
+
+    "backtest": """
+SELECT stock_code, avg(abs(units_sold - yhat)) AS mae,
+       avg(abs(units_sold - yhat) / greatest(abs(units_sold + 1e-6), 2.220446049250313e-16)) AS mape
+FROM yhat_holdout WHERE NOT is_train GROUP BY stock_code""",
+    "future": """
+SELECT stock_code, forecast_date, greatest(point, 0.0) AS predicted_units,
+       greatest(point - 1.2815515655446004 * sigma, 0.0) AS lower_bound_80,
+       greatest(point + 1.2815515655446004 * sigma, 0.0) AS upper_bound_80
+FROM (SELECT a.*, trend * coalesce(ratio, 1.0) / scale AS point FROM (
+        SELECT p.*, CAST(last_week + 7 * k AS DATE) AS forecast_date,
+               month(CAST(last_week + 7 * k AS DATE)) AS fm,
+               greatest(intercept + slope * (last_week_no + k), floor_level) AS trend
+        FROM param_refit p, (SELECT CAST(unnest(generate_series(1, 12)) AS INTEGER) AS k)) a
+      LEFT JOIN month_refit i ON i.stock_code = a.stock_code AND i.m = a.fm)""",
+    "hist": """
+SELECT rfm_recency_score AS r, rfm_frequency_score AS f, rfm_monetary_score AS m, count(*) AS n
+FROM c360 WHERE rfm_recency_score IS NOT NULL GROUP BY 1, 2, 3""",
+    "standard_hist": """
+SELECT h.*, (r - ar) / sr AS zr, (f - af) / sf AS zf, (m - am) / sm AS zm FROM hist h, (
+  SELECT avg(rfm_recency_score) AS ar, stddev_pop(rfm_recency_score) AS sr,
+         avg(rfm_frequency_score) AS af, stddev_pop(rfm_frequency_score) AS sf,
+         avg(rfm_monetary_score) AS am, stddev_pop(rfm_monetary_score) AS sm
+  FROM c360 WHERE rfm_recency_score IS NOT NULL)""",
+    "cells": """
+SELECT * EXCLUDE (d0, d1, d2, d3), CASE WHEN d0 <= d1 AND d0 <= d2 AND d0 <= d3 THEN 0
+       WHEN d1 <= d2 AND d1 <= d3 THEN 1 WHEN d2 <= d3 THEN 2 ELSE 3 END AS cluster_id
+FROM (SELECT *, (zr - 1.1)**2 + (zf - 1.1)**2 + (zm - 1.1)**2 AS d0,
+                (zr - 0.3)**2 + (zf - 0.3)**2 + (zm - 0.3)**2 AS d1,
+                (zr + 0.4)**2 + (zf + 0.4)**2 + (zm + 0.4)**2 AS d2,
+                (zr + 1.2)**2 + (zf + 1.2)**2 + (zm + 1.2)**2 AS d3 FROM standard_hist)""",
+    "cell_distance": """
+SELECT a.r, a.f, a.m, a.n, a.cluster_id AS own, b.cluster_id AS other,
+       sum(b.n * sqrt((a.zr - b.zr)**2 + (a.zf - b.zf)**2 + (a.zm - b.zm)**2)) AS total, sum(b.n) AS size
+FROM cells a, cells b GROUP BY a.r, a.f, a.m, a.n, a.cluster_id, b.cluster_id""",
+    "silhouette": """
+SELECT CAST(sum(n * CASE WHEN size > 1 THEN (b - a) / greatest(a, b) ELSE 0 END) / sum(n) AS DOUBLE) AS silhouette_score
+FROM (SELECT n, max(size) FILTER (WHERE own = other) AS size,
+             max(total) FILTER (WHERE own = other) / (max(size) FILTER (WHERE own = other) - 1) AS a,
+             min(total / size) FILTER (WHERE own <> other) AS b
+      FROM cell_distance GROUP BY r, f, m, n)""",
+    "labels_fixed": """
+SELECT cluster_id, customers, composite_score,
+       ['Champions', 'Loyal Customers', 'At Risk', 'Lost Customers']
+         [row_number() OVER (ORDER BY composite_score DESC, cluster_id)] AS customer_segment
+FROM (SELECT cluster_id, CAST(sum(n) AS BIGINT) AS customers,
+             sum(n * (zr + zf + zm)) / sum(n) AS composite_score FROM cells GROUP BY cluster_id)""",
+    "event_log": """
+SELECT ts AS "timestamp",
+       CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' ELSE 'INFO' END AS level,
+       event_type || ' ' || CAST(event_id AS VARCHAR) AS message,
+       CASE WHEN value < 5 THEN 'N/A' ELSE 'flow_' || CAST(user_id AS VARCHAR) END AS flow_name,
+       CAST(event_id AS VARCHAR) AS batch_id, event_id, user_id, value, props FROM events""",
 }
 
 
@@ -245,6 +378,109 @@ SELECT * FROM daily_cancelled WHERE report_date NOT IN (SELECT report_date FROM
     "daily_category_revenue": "SELECT * FROM category_revenue",
     "daily_top_category": "SELECT * FROM top_category",
     "daily_kpis": "SELECT * FROM kpis",
+    "top_skus": "SELECT * FROM top_skus",
+    "weekly_sales": """
+SELECT * FROM weekly_all WHERE stock_code IN (SELECT stock_code FROM top_skus)""",
+    "weekly_filled": "SELECT * FROM filled_all",
+    "holdout_split": "SELECT * FROM split_all",
+    "forecast_skipped": """
+SELECT stock_code, train_weeks, 'fewer than 8 training weeks' AS reason
+FROM train_weeks WHERE train_weeks < 8""",
+    "forecast_params": """
+SELECT stock_code, n AS train_weeks, last_week, last_week_no, round(slope, 6) AS slope,
+       round(intercept, 6) AS intercept, round(sigma, 6) AS sigma FROM param_refit""",
+    "forecast_month_index": """
+SELECT p.stock_code, CAST(k AS INTEGER) AS month, round(coalesce(ratio, 1.0) / scale, 6) AS month_index
+FROM param_refit p CROSS JOIN (SELECT unnest(generate_series(1, 12)) AS k)
+LEFT JOIN month_refit i ON i.stock_code = p.stock_code AND i.m = k""",
+    "forecast_backtest": """
+SELECT stock_code, round(mae, 6) AS mae, round(mape, 4) AS mape FROM backtest""",
+    "forecast_metrics": """
+SELECT round(avg(mae), 6) AS mean_mae, round(avg(mape), 4) AS mean_mape, count(*) AS n_skus_trained
+FROM backtest""",
+    "demand_forecast": """
+SELECT stock_code, forecast_date, round(predicted_units, 6) AS predicted_units,
+       round(lower_bound_80, 6) AS lower_bound_80, round(upper_bound_80, 6) AS upper_bound_80
+FROM future WHERE stock_code IN (SELECT stock_code FROM top_skus)""",
+    "demand_forecast_all": """
+SELECT stock_code, forecast_date, round(predicted_units, 6) AS predicted_units,
+       round(lower_bound_80, 6) AS lower_bound_80, round(upper_bound_80, 6) AS upper_bound_80
+FROM future""",
+    "customer_keys": "SELECT DISTINCT customer_id FROM tx WHERE customer_id IS NOT NULL",
+    "modal_country": """
+SELECT customer_id, country FROM (
+  SELECT customer_id, country, row_number() OVER (
+    PARTITION BY customer_id ORDER BY count(*) DESC, country) AS rn
+  FROM tx WHERE customer_id IS NOT NULL GROUP BY customer_id, country) WHERE rn = 1""",
+    "product_dimension": """
+SELECT stock_code, description, avg_unit_price, first_listed_date FROM (
+  SELECT stock_code, CAST(min(invoice_date) AS DATE) AS first_listed_date,
+         CAST(CAST((2 * CAST(sum(unit_price) * 100 AS BIGINT) + count(*)) // (2 * count(*))
+              AS DECIMAL(12,0)) / 100 AS DECIMAL(10,2)) AS avg_unit_price
+  FROM tx WHERE length(stock_code) <= 10 GROUP BY stock_code)
+JOIN (SELECT stock_code, description, row_number() OVER (
+        PARTITION BY stock_code ORDER BY count(*) DESC, description) AS rn
+      FROM tx GROUP BY stock_code, description) USING (stock_code) WHERE rn = 1""",
+    "preferred_store": """
+SELECT customer_id, CASE country WHEN 'United Kingdom' THEN 'UK-001' WHEN 'Germany' THEN 'DE-001'
+         WHEN 'France' THEN 'FR-001' WHEN 'EIRE' THEN 'IE-001' WHEN 'Australia' THEN 'AU-001'
+         WHEN 'Japan' THEN 'JP-001' WHEN 'USA' THEN 'US-001' WHEN 'Canada' THEN 'CA-001'
+         ELSE 'XX-001' END AS preferred_store_id FROM (
+  SELECT customer_id, country, row_number() OVER (
+    PARTITION BY customer_id ORDER BY count(*) DESC, country) AS rn
+  FROM tx WHERE customer_id IS NOT NULL GROUP BY customer_id, country) WHERE rn = 1""",
+    "store_sales": """
+SELECT country || ' Online Store' AS store_name, country,
+       CASE WHEN country IN ('Australia') THEN 'APAC' WHEN country = 'Japan' THEN 'APAC'
+            WHEN country IN ('USA', 'Canada') THEN 'Americas' ELSE 'EMEA' END AS region,
+       CASE country WHEN 'United Kingdom' THEN 'GBP' WHEN 'EIRE' THEN 'GBP' WHEN 'Australia' THEN 'AUD'
+            WHEN 'Japan' THEN 'JPY' WHEN 'USA' THEN 'USD' WHEN 'Canada' THEN 'USD' ELSE 'EUR' END AS currency_code,
+       CAST(sum(line_total) AS DECIMAL(14,2)) AS revenue, count(*) AS lines
+FROM silver WHERE country NOT LIKE 'NATION%' GROUP BY country""",
+    "rfm_histogram": """
+SELECT r AS rfm_recency_score, f AS rfm_frequency_score, m AS rfm_monetary_score, n FROM hist""",
+    "rfm_standardised": """
+SELECT r AS rfm_recency_score, f AS rfm_frequency_score, m AS rfm_monetary_score, n,
+       round(zr, 6) AS z_recency, round(zf, 6) AS z_frequency, round(zm, 6) AS z_monetary
+FROM standard_hist""",
+    "segment_assign_fixed": """
+SELECT customer_id, cluster_id, customer_segment FROM c360
+JOIN cells ON rfm_recency_score = r AND rfm_frequency_score = f AND rfm_monetary_score = m
+JOIN labels_fixed USING (cluster_id)""",
+    "segment_silhouette": "SELECT round(silhouette_score, 6) AS silhouette_score FROM silhouette",
+    "segment_labels": """
+SELECT cluster_id, customers, round(composite_score, 6) AS composite_score, customer_segment
+FROM labels_fixed""",
+    "segment_distribution": "SELECT customer_segment, customers FROM labels_fixed",
+    "customer_360_segments": """
+SELECT customer_id, full_name, loyalty_tier, total_orders, customer_segment FROM c360
+LEFT JOIN (SELECT r, f, m, customer_segment FROM cells JOIN labels_fixed USING (cluster_id))
+  ON rfm_recency_score = r AND rfm_frequency_score = f AND rfm_monetary_score = m""",
+    "model_gate": """
+SELECT 'segmentation' AS model, '2' AS version, 'run-2' AS run_id, 'silhouette_score' AS metric,
+       '>=' AS op, CAST(0.05 AS DOUBLE) AS threshold, round(silhouette_score, 6) AS value,
+       silhouette_score >= 0.05 AS passed, CAST(NULL AS VARCHAR) AS error FROM silhouette
+UNION ALL
+SELECT 'demand_forecast', '10', 'run-10', 'mean_mape', '<=', 5.0, round(avg(mape), 6),
+       avg(mape) <= 5.0, CAST(NULL AS VARCHAR) FROM backtest""",
+    "gate_summary": """
+SELECT silhouette_score >= 0.05 AND mape <= 5.0 AS all_passed,
+       CAST(silhouette_score >= 0.05 AS BIGINT) + CAST(mape <= 5.0 AS BIGINT) AS passed_models,
+       2 - CAST(silhouette_score >= 0.05 AS BIGINT) - CAST(mape <= 5.0 AS BIGINT) AS failed_models
+FROM silhouette, (SELECT avg(mape) AS mape FROM backtest)""",
+    "recent_errors": """
+SELECT "timestamp", flow_name, batch_id, level, message FROM event_log
+WHERE level IN ('ERROR', 'WARN') AND "timestamp" >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 720 MINUTE
+ORDER BY "timestamp" DESC, message LIMIT 10""",
+    "error_exceptions": """
+SELECT "timestamp", level, flow_name, 'Outer' AS class_name, 'event ' || batch_id AS message
+FROM event_log WHERE level = 'ERROR' AND NOT value < 10
+UNION ALL
+SELECT "timestamp", level, flow_name, 'Inner', 'user ' || CAST(user_id AS VARCHAR)
+FROM event_log WHERE level = 'ERROR' AND NOT value < 10
+UNION ALL
+SELECT "timestamp", level, flow_name, NULL, 'broken ' || props FROM event_log
+WHERE level = 'ERROR' AND value < 10""",
 }
 
 

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from shopflow.functions import fixed_values as fixed
-from shopflow.operators import contracts, gold, silver
+from shopflow.operators import (
+    contracts, dims, forecast, gate, gold, monitor, segment, silver,
+)
 from shopflow.plans.shop import Shop
 from shopflow.sources import adapter
 
@@ -183,3 +185,219 @@ def daily_top_category(s):
 @register
 def daily_kpis(s):
     return gold.daily_kpis(s.stored_transactions, s.routed.cancelled, s.products).drop("_rebuilt_at")
+
+
+def _rounded(df, digits=6, **by_column):
+    """Doubles at a fixed number of places, so that summation order does not show."""
+    return df.select([
+        F.round(c, by_column.get(c, digits)).alias(c) if t == "double" else F.col(c)
+        for c, t in df.dtypes
+    ])
+
+
+@register
+def top_skus(s):
+    return forecast.top_skus(s.transactions)
+
+
+@register
+def weekly_sales(s):
+    return forecast.weekly_sales(s.stored_transactions, forecast.top_skus(s.stored_transactions))
+
+
+@register
+def weekly_filled(s):
+    return forecast.fill_weeks(forecast.weekly_sales(s.transactions))
+
+
+@register
+def holdout_split(s):
+    return forecast.series_for(s.transactions, None)
+
+
+@register
+def forecast_skipped(s):
+    return forecast.skipped(forecast.series_for(s.transactions, None))
+
+
+@register
+def forecast_params(s):
+    params = forecast.params(forecast.refit(forecast.series_for(s.transactions, None)))
+    return _rounded(params.select(
+        "stock_code", "train_weeks", "last_week", "last_week_no", "slope", "intercept", "sigma"
+    ))
+
+
+@register
+def forecast_month_index(s):
+    params = forecast.params(forecast.refit(forecast.series_for(s.transactions, None)))
+    months = params.select("stock_code", F.posexplode("month_index").alias("pos", "month_index"))
+    return _rounded(months.select(
+        "stock_code", (F.col("pos") + 1).alias("month"), "month_index"
+    ))
+
+
+def _backtest(s):
+    series = forecast.series_for(s.stored_transactions)
+    return forecast.backtest(forecast.fit(forecast.usable(series)))
+
+
+@register
+def forecast_backtest(s):
+    return _rounded(_backtest(s), mape=4)
+
+
+@register
+def forecast_metrics(s):
+    return _rounded(forecast.metrics(_backtest(s)), mean_mape=4)
+
+
+def _forecast(series):
+    predicted = forecast.predict(forecast.params(forecast.refit(series)))
+    gold_rows = forecast.to_gold(predicted, "1", "run", adapter.NOW)
+    return _rounded(gold_rows.drop("model_version", "run_id", "generated_at"))
+
+
+@register
+def demand_forecast(s):
+    return _forecast(forecast.series_for(s.stored_transactions))
+
+
+@register
+def demand_forecast_all(s):
+    return _forecast(forecast.series_for(s.transactions, None))
+
+
+@register
+def customer_keys(s):
+    return dims.customer_keys(s.raw_transactions)
+
+
+@register
+def modal_country(s):
+    return dims.modal_country(s.raw_transactions)
+
+
+@register
+def product_dimension(s):
+    return dims.product_dimension(s.raw_transactions)
+
+
+@register
+def preferred_store(s):
+    return dims.preferred_store(s.raw_transactions, dims.stores(s.spark))
+
+
+@register
+def store_sales(s):
+    """Stores with sales in their country, with region and currency of the store list."""
+    by_country = s.transactions.groupBy("country").agg(
+        F.sum("line_total").cast("decimal(14,2)").alias("revenue"),
+        F.count(F.lit(1)).alias("lines"),
+    )
+    stores = dims.stores(s.spark).select("store_name", "country", "region", "currency_code")
+    return by_country.join(F.broadcast(stores), "country")
+
+
+# Centres that stand for a fitted model where another engine has to agree.
+FIXED_CENTRES = [[1.1] * 3, [0.3] * 3, [-0.4] * 3, [-1.2] * 3]
+
+
+def _features(s):
+    c360 = gold.customer_360(s.transactions, s.customers, s.products, adapter.AS_OF)
+    return segment.rfm_features(c360)
+
+
+def _fixed_model(s):
+    features = _features(s)
+    standard = segment.standardise(segment.stored_histogram(features))
+    return features, segment.predict(standard, FIXED_CENTRES)
+
+
+@register
+def rfm_histogram(s):
+    return segment.histogram(_features(s))
+
+
+@register
+def rfm_standardised(s):
+    return _rounded(segment.standardise(segment.stored_histogram(_features(s))))
+
+
+def _segments(features, assigned):
+    return segment.assign(features, assigned, segment.label(assigned), "run", adapter.NOW)
+
+
+@register
+def segment_assign_fixed(s):
+    return _segments(*_fixed_model(s)).drop("run_id", "segmented_at")
+
+
+@register
+def segment_silhouette(s):
+    return _rounded(segment.silhouette(_fixed_model(s)[1]))
+
+
+@register
+def segment_labels(s):
+    return _rounded(segment.label(_fixed_model(s)[1]))
+
+
+@register
+def segment_distribution(s):
+    return segment.distribution(_segments(*_fixed_model(s)))
+
+
+@register
+def customer_360_segments(s):
+    """Customer 360 with the segment column filled from the segment table."""
+    segments = _segments(*_fixed_model(s))
+    return gold.customer_360(
+        s.transactions, s.customers, s.products, adapter.AS_OF, segments
+    ).select("customer_id", "full_name", "loyalty_tier", "total_orders", "customer_segment")
+
+
+@register
+def kmeans_segments(s):
+    """Segments from K-Means itself; the centres depend on MLlib, so there is no SQL."""
+    features = _features(s)
+    standard = segment.standardise(segment.stored_histogram(features))
+    assigned = segment.predict(standard, segment.fit(standard))
+    return _segments(features, assigned).drop("segmented_at")
+
+
+def _runs(s):
+    """Two versions per model; the older ones hold no metric."""
+    silhouette = segment.silhouette(_fixed_model(s)[1])
+    errors = forecast.metrics(_backtest(s)).select("mean_mape")
+    old = [
+        gate.record_run(s.spark, "segmentation", "1", "run-1", {"n_clusters": 4}, {}, adapter.NOW),
+        gate.record_run(s.spark, "demand_forecast", "9", "run-9", {"n_skus": 50}, {}, adapter.NOW),
+    ]
+    new = [
+        gate.metric_rows("segmentation", "2", "run-2", silhouette, adapter.NOW),
+        gate.metric_rows("demand_forecast", "10", "run-10", errors, adapter.NOW),
+    ]
+    return contracts.union_all(old + new)
+
+
+@register
+def model_gate(s):
+    judged = gate.validate(_runs(s), gate.default_thresholds(s.spark))
+    return _rounded(judged)
+
+
+@register
+def gate_summary(s):
+    return gate.summary(gate.validate(_runs(s), gate.default_thresholds(s.spark)))
+
+
+@register
+def recent_errors(s):
+    found = monitor.recent_errors(s.event_log, adapter.NOW, 720, 10, ("ERROR", "WARN"))
+    return found.drop("error")
+
+
+@register
+def error_exceptions(s):
+    return monitor.explode_exceptions(s.event_log)
