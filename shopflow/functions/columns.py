@@ -54,6 +54,11 @@ def failed_rules(rules: dict) -> Column:
     return F.array_compact(F.array(*named))
 
 
+def whole_number(text, dtype) -> Column:
+    """Text as an integer type, null when it is none; "12.0" counts, as in a numeric parse."""
+    return F.col(text).try_cast("decimal(38,4)").try_cast(dtype)
+
+
 def currency_of(country="country") -> Column:
     chain = F
     for name, code in fixed.COUNTRY_CURRENCY.items():

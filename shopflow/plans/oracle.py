@@ -291,6 +291,17 @@ SELECT ts AS "timestamp",
        event_type || ' ' || CAST(event_id AS VARCHAR) AS message,
        CASE WHEN value < 5 THEN 'N/A' ELSE 'flow_' || CAST(user_id AS VARCHAR) END AS flow_name,
        CAST(event_id AS VARCHAR) AS batch_id, event_id, user_id, value, props FROM events""",
+    "extract": """
+SELECT CAST(l_orderkey AS VARCHAR) AS invoice_no,
+       CASE WHEN l_linenumber = 5 AND l_returnflag = 'N' THEN NULL
+            ELSE 'sku' || CAST(l_partkey AS VARCHAR) END AS stock_code,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS description,
+       CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_quantity AS INTEGER) END AS quantity,
+       CASE WHEN l_linenumber = 6 THEN NULL
+            ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 506 MINUTE END AS invoice_date,
+       CAST(l_extendedprice AS DECIMAL(12,2)) AS price, o_custkey AS customer_id,
+       o_orderpriority AS country, o_orderstatus AS status
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 }
 
 
@@ -481,6 +492,56 @@ FROM event_log WHERE level = 'ERROR' AND NOT value < 10
 UNION ALL
 SELECT "timestamp", level, flow_name, NULL, 'broken ' || props FROM event_log
 WHERE level = 'ERROR' AND value < 10""",
+    "watermark_increment": """
+SELECT * FROM tx WHERE invoice_date > TIMESTAMP '1998-07-01 00:00:00'""",
+    "watermark_upsert": """
+SELECT 'pl_ingest_transactions' AS pipeline_name, max(invoice_date) AS last_watermark_value FROM tx
+UNION ALL SELECT 'pl_new', max(invoice_date) FROM tx
+UNION ALL SELECT 'pl_other', TIMESTAMP '1998-07-01 00:00:00'""",
+    "keep_last": """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY invoice_no, stock_code ORDER BY
+  invoice_date DESC, quantity DESC, unit_price DESC, country DESC, customer_id DESC NULLS LAST,
+  description DESC) AS rn FROM tx) WHERE rn = 1""",
+    "duplicate_count": """
+SELECT count(*) - count(DISTINCT invoice_no || '|' || stock_code) AS dropped_rows FROM tx""",
+    "normalise_raw": """
+SELECT invoice_no, stock_code, description, quantity, invoice_date,
+       CAST(price AS DECIMAL(10,2)) AS unit_price, customer_id, country FROM extract
+WHERE invoice_date IS NOT NULL AND stock_code IS NOT NULL""",
+    "conform_types": """
+SELECT invoice_no, stock_code, description, quantity, invoice_date,
+       CAST(price AS DECIMAL(10,2)) AS unit_price, customer_id, country FROM extract WHERE status = 'O'""",
+    "table_counts": """
+SELECT 'transactions' AS table_name, count(*) AS row_count FROM tx
+UNION ALL SELECT 'customers', count(*) FROM cust UNION ALL SELECT 'products', count(*) FROM prod""",
+    "transaction_profile": """
+SELECT count(*) AS row_count, min(invoice_date) AS first_date, max(invoice_date) AS last_date,
+       count(DISTINCT customer_id) AS customers, count(DISTINCT stock_code) AS skus,
+       count(DISTINCT country) AS countries,
+       CAST(sum(CASE WHEN invoice_no LIKE 'C%' THEN 1 ELSE 0 END) AS BIGINT) AS cancelled_lines FROM tx""",
+    "contract_violations": """
+SELECT 'invoice_no' AS column_name, count(*) FILTER (WHERE invoice_no IS NULL) AS null_rows
+FROM extract WHERE status = 'O'
+UNION ALL SELECT 'stock_code', count(*) FILTER (WHERE stock_code IS NULL) FROM extract WHERE status = 'O'
+UNION ALL SELECT 'quantity', count(*) FILTER (WHERE quantity IS NULL) FROM extract WHERE status = 'O'
+UNION ALL SELECT 'invoice_date', count(*) FILTER (WHERE invoice_date IS NULL) FROM extract WHERE status = 'O'
+UNION ALL SELECT 'unit_price', count(*) FILTER (WHERE price IS NULL) FROM extract WHERE status = 'O'""",
+    "csv_products": """
+SELECT stock_code, description, avg_unit_price, first_listed_date FROM (
+  SELECT stock_code, CAST(min(invoice_date) AS DATE) AS first_listed_date,
+         CAST(CAST((2 * CAST(sum(unit_price) * 100 AS BIGINT) + count(*)) // (2 * count(*))
+              AS DECIMAL(12,0)) / 100 AS DECIMAL(10,2)) AS avg_unit_price
+  FROM tx WHERE length(stock_code) <= 10 GROUP BY stock_code)
+JOIN (SELECT stock_code, description, row_number() OVER (
+        PARTITION BY stock_code ORDER BY count(*) DESC, description) AS rn
+      FROM tx GROUP BY stock_code, description) USING (stock_code) WHERE rn = 1""",
+    "land_snapshot": "SELECT * EXCLUDE (ingested_at) FROM cust",
+    "stream_bronze": "SELECT * FROM tx",
+    "stream_dedupe_keys": "SELECT invoice_no, stock_code FROM silver",
+    "stream_cancelled": """
+SELECT invoice_no, original_invoice_no, stock_code, quantity FROM cancelled""",
+    "stream_scd1": """
+SELECT customer_id, full_name, email, loyalty_tier, is_wholesaler, marketing_opt_in FROM customers""",
 }
 
 

@@ -2,12 +2,15 @@
 
 from pyspark.sql import functions as F
 
+from shopflow import schemas
 from shopflow.functions import fixed_values as fixed
 from shopflow.operators import (
     contracts, dims, forecast, gate, gold, monitor, segment, silver,
 )
+from shopflow.plans import extract
 from shopflow.plans.shop import Shop
-from shopflow.sources import adapter
+from shopflow.sources import adapter, ingest, stage, versioned
+from shopflow.streaming import stream
 
 QUERIES = {}
 
@@ -401,3 +404,146 @@ def recent_errors(s):
 @register
 def error_exceptions(s):
     return monitor.explode_exceptions(s.event_log)
+
+
+# ---- ingest ---------------------------------------------------------------------------
+
+MARK = "1998-07-01 00:00:00"
+
+
+def _marks(s):
+    """A control table that already knows this pipeline and another one."""
+    known = [(extract.TRANSACTIONS_PIPELINE, MARK), ("pl_other", MARK)]
+    rows = s.spark.createDataFrame(known, "pipeline_name string, mark string")
+    return rows.select("pipeline_name", F.col("mark").cast("timestamp").alias("last_watermark_value"))
+
+
+@register
+def watermark_increment(s):
+    step = ingest.run_increment(s.raw_transactions, _marks(s), extract.TRANSACTIONS_PIPELINE)
+    return step.rows
+
+
+@register
+def watermark_upsert(s):
+    """The control table after a run of a known pipeline and the first run of a new one."""
+    step = ingest.run_increment(s.raw_transactions, _marks(s), extract.TRANSACTIONS_PIPELINE)
+    return ingest.run_increment(s.raw_transactions, step.watermarks, "pl_new").watermarks
+
+
+@register
+def keep_last(s):
+    keys = schemas.PRIMARY_KEYS["transactions"]
+    return ingest.keep_last(ingest.canonical_keys(s.raw_transactions), keys, silver.TRANSACTION_ORDER)
+
+
+@register
+def duplicate_count(s):
+    return ingest.duplicate_count(s.raw_transactions, schemas.PRIMARY_KEYS["transactions"])
+
+
+@register
+def normalise_raw(s):
+    return ingest.normalise_raw(ingest.union_parts(adapter.raw_extract_parts(s.spark, s.sf_dir)))
+
+
+@register
+def conform_types(s):
+    """Text columns cast to the declared types; what does not fit is null."""
+    text = adapter.raw_extract_parts(s.spark, s.sf_dir)[0]
+    named = text.withColumnsRenamed(fixed.RAW_HEADERS)
+    return ingest.conform(named, schemas.RAW_TRANSACTIONS)
+
+
+@register
+def table_counts(s):
+    return ingest.table_counts({
+        "transactions": s.raw_transactions, "customers": s.raw_customers, "products": s.raw_products,
+    })
+
+
+@register
+def transaction_profile(s):
+    return ingest.profile_transactions(s.raw_transactions)
+
+
+@register
+def contract_violations(s):
+    """Nulls in columns the contract requires, in the extract as it came."""
+    text = adapter.raw_extract_parts(s.spark, s.sf_dir)[0]
+    conformed = ingest.conform(text.withColumnsRenamed(fixed.RAW_HEADERS), schemas.RAW_TRANSACTIONS)
+    return contracts.null_violations(conformed, schemas.RAW_TRANSACTIONS)
+
+
+@register
+def csv_products(s):
+    """The product dimension written to CSV and read back with its declared types."""
+    made = dims.product_dimension(s.raw_transactions)
+    path = stage.new_path(s.spark, "products-csv")
+    ingest.write_csv(made, path)
+    return ingest.read_csv_typed(s.spark, path, made.schema)
+
+
+@register
+def land_snapshot(s):
+    """Customers landed as two daily snapshots, read back without the folder columns."""
+    base = stage.new_path(s.spark, "landing")
+    first, second = adapter.customer_snapshots(s.spark, s.sf_dir)
+    for day, rows in (("2001-08-01", first), ("2001-08-02", second)):
+        ingest.land_parquet(rows.drop("_ingested_at"), base, day)
+    schema = first.drop("_ingested_at").schema
+    return ingest.scan(s.spark, base, schema)
+
+
+# ---- streams --------------------------------------------------------------------------
+
+
+def _landed(s, base):
+    """Raw transactions landed in two runs, as two increments of the source."""
+    first = ingest.extract_increment(s.raw_transactions, fixed.WATERMARK_START, MARK)
+    second = ingest.extract_increment(s.raw_transactions, MARK, None)
+    return [
+        lambda: ingest.land_parquet(first, base, "1998-07-02"),
+        lambda: ingest.land_parquet(second, base, "2001-08-02"),
+    ]
+
+
+def _streamed(s, transform):
+    """Land a run, drain the stream into a table, land the next run, drain again."""
+    base = stage.new_path(s.spark, "stream")
+    for land in _landed(s, f"{base}/landing"):
+        land()
+        files = ingest.scan_stream(s.spark, f"{base}/landing", schemas.RAW_TRANSACTIONS)
+        stream.append(transform(ingest.with_lineage(files)), f"{base}/table", f"{base}/checkpoint")
+    return s.spark.read.parquet(f"{base}/table")
+
+
+@register
+def stream_bronze(s):
+    return _streamed(s, lambda rows: rows).select(schemas.RAW_TRANSACTIONS.names)
+
+
+@register
+def stream_dedupe_keys(s):
+    """Keys only: which of several copies arrives first within a run is not fixed."""
+    return _streamed(s, stream.silver_transactions).select("invoice_no", "stock_code")
+
+
+@register
+def stream_cancelled(s):
+    made = _streamed(s, lambda rows: silver.route_transactions(rows).cancelled)
+    return made.select("invoice_no", "original_invoice_no", "stock_code", "quantity")
+
+
+@register
+def stream_scd1(s):
+    base = stage.new_path(s.spark, "scd1")
+    snapshots = adapter.customer_snapshots(s.spark, s.sf_dir)
+    schema = snapshots[0].schema
+    for day, rows in zip(("2001-08-01", "2001-08-02"), snapshots):
+        ingest.land_parquet(rows, f"{base}/landing", day)
+        valid = silver.route_customers(ingest.scan_stream(s.spark, f"{base}/landing", schema)).valid
+        stream.upsert_scd1(
+            valid, f"{base}/table", schema, ["customer_id"], ["_ingested_at"], f"{base}/checkpoint"
+        )
+    return versioned.current(s.spark, f"{base}/table", schema).drop("_ingested_at")

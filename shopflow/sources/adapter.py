@@ -66,7 +66,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_snapshots(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Two full daily snapshots; the second one promotes the customers with a high balance."""
     nation = read(spark, sf_dir, "nation")
     customer = read(spark, sf_dir, "customer")
@@ -88,7 +88,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = base.withColumn(
         "loyalty_tier", F.expr("CASE WHEN c_acctbal >= 8000 THEN ' platinum' ELSE loyalty_tier END")
     ).withColumn("_ingested_at", F.expr("TIMESTAMP '2001-08-02 00:00:00'"))
-    return first.unionByName(second).drop("c_acctbal")
+    return [first.drop("c_acctbal"), second.drop("c_acctbal")]
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contracts.union_all(customer_snapshots(spark, sf_dir))
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +115,33 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_extract_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Lines as text in two parts that spell the customer column differently.
+
+    Some dates, quantities and stock codes are missing or are not what they should be.
+    """
+    lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    text = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.expr("CAST(l_orderkey AS STRING)").alias("Invoice"),
+        F.expr("CASE WHEN l_linenumber = 5 AND l_returnflag = 'N' THEN NULL"
+               " ELSE 'sku' || CAST(l_partkey AS STRING) END").alias("StockCode"),
+        F.col("l_shipdate").cast("date").cast("string").alias("Description"),
+        F.expr("CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(CAST(l_quantity AS DECIMAL(10,1)) AS STRING) END")
+        .alias("Quantity"),
+        F.expr("CASE WHEN l_linenumber = 6 THEN 'unknown'"
+               " ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 08:26:00' END").alias("InvoiceDate"),
+        F.expr("CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING)").alias("Price"),
+        F.expr("CAST(o_custkey AS STRING) || '.0'").alias("_customer"),
+        F.col("o_orderpriority").alias("Country"),
+        "o_orderstatus",
+    )
+    open_orders = F.col("o_orderstatus") == "O"
+    return [
+        text.where(open_orders).withColumnRenamed("_customer", "Customer ID").drop("o_orderstatus"),
+        text.where(~open_orders).withColumnRenamed("_customer", "CustomerID").drop("o_orderstatus"),
+    ]
+
+
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as pipeline log rows with a nested origin and an error document."""
     return read(spark, sf_dir, "events").select(
