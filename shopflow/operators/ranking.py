@@ -74,6 +74,9 @@ def _seek(counts, target):
 def _tile_edges(df, id_col, scores, tiles, rows, cells):
     """For every score the (value, id) of each tile's last row, exactly."""
     names = list(scores)
+    ends = _tile_ends(rows, tiles)
+    if not ends:
+        return {s: [] for s in names}
     keyed = df.select(
         F.col(id_col).alias("_id"), *[scores[s].cast("long").alias(s) for s in names]
     )
@@ -92,7 +95,6 @@ def _tile_edges(df, id_col, scores, tiles, rows, cells):
         [F.struct(F.lit(i).alias("s"), F.col(f"_b_{s}").cast("int").alias("cell"))
          for i, s in enumerate(names)],
     )
-    ends = _tile_ends(rows, tiles)
     targets = []
     for i, s in enumerate(names):
         per_cell = sorted((r.cell, r["count"]) for r in counted if r.s == i)
