@@ -43,13 +43,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw transaction line per lineitem."""
     lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
     part, supplier = read(spark, sf_dir, "part"), read(spark, sf_dir, "supplier")
-    origin = supplier.join(
-        read(spark, sf_dir, "nation"), supplier.s_nationkey == F.col("n_nationkey")
-    ).select("s_suppkey", _country().alias("country"))
+    nation = read(spark, sf_dir, "nation")
+    # Each table joins the lines on its own, so that its file size decides on a broadcast.
     return (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         .join(part, lines.l_partkey == part.p_partkey)
-        .join(origin, lines.l_suppkey == origin.s_suppkey)
+        .join(supplier, lines.l_suppkey == supplier.s_suppkey)
+        .join(nation, supplier.s_nationkey == nation.n_nationkey)
         .select(
             F.expr("CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'C' ELSE '' END"
                    " || CAST(l_orderkey AS STRING)").alias("invoice_no"),
@@ -61,7 +61,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.expr(PRICE_SQL).alias("unit_price"),
             F.expr("CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P'"
                    " THEN NULL ELSE o_custkey END").alias("customer_id"),
-            "country",
+            _country().alias("country"),
         )
     )
 

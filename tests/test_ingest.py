@@ -1,0 +1,215 @@
+import pytest
+from conftest import D, day, ts
+
+from shopflow import schemas
+from shopflow.operators import contracts, dims, monitor
+from shopflow.sources import ingest, relational, versioned
+
+TX = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.RAW_TRANSACTIONS)
+
+
+def tx_row(invoice, when, customer=1, sku="A"):
+    return (invoice, sku, None, 1, ts(when), D("1.00"), customer, "France")
+
+
+def test_first_run_takes_everything_and_sets_the_mark(spark):
+    marks = spark.createDataFrame([], schemas.WATERMARKS)
+    source = spark.createDataFrame([tx_row("1", "2010-01-01"), tx_row("2", "2010-01-02")], TX)
+    step = ingest.run_increment(source, marks, "p")
+    assert step.low == "1900-01-01 00:00:00" and step.rows.count() == 2
+    assert [tuple(r) for r in step.watermarks.collect()] == [("p", ts("2010-01-02"))]
+
+
+def test_rows_at_the_mark_are_not_copied_again(spark):
+    marks = spark.createDataFrame([("p", ts("2010-01-02 10:00:00.000001")), ("q", ts("2000-01-01"))], schemas.WATERMARKS)
+    source = spark.createDataFrame(
+        [tx_row("1", "2010-01-02 10:00:00.000001"), tx_row("2", "2010-01-02 10:00:00.000002")], TX
+    )
+    step = ingest.run_increment(source, marks, "p")
+    assert [r.invoice_no for r in step.rows.collect()] == ["2"]
+    assert {tuple(r) for r in step.watermarks.collect()} == {
+        ("p", ts("2010-01-02 10:00:00.000002")), ("q", ts("2000-01-01")),
+    }
+
+
+def test_empty_source_leaves_the_mark(spark):
+    marks = spark.createDataFrame([("p", ts("2010-01-02"))], schemas.WATERMARKS)
+    step = ingest.run_increment(spark.createDataFrame([], TX), marks, "p")
+    assert step.rows.count() == 0 and [tuple(r) for r in step.watermarks.collect()] == [("p", ts("2010-01-02"))]
+
+
+def test_late_rows_above_the_high_mark_wait(spark):
+    source = spark.createDataFrame([tx_row("1", "2010-01-01"), tx_row("2", "2010-01-03")], TX)
+    rows = ingest.extract_increment(source, "1900-01-01 00:00:00", "2010-01-02 00:00:00")
+    assert [r.invoice_no for r in rows.collect()] == ["1"]
+
+
+def test_increment_filter_reaches_the_parquet_scan(spark, tmp_path):
+    path = str(tmp_path / "src")
+    spark.createDataFrame([tx_row("1", "2010-01-01")], TX).write.parquet(path)
+    rows = ingest.extract_increment(spark.read.parquet(path), "2009-01-01 00:00:00", "2010-01-02 00:00:00")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThan(invoice_date" in plan and "LessThanOrEqual(invoice_date" in plan
+
+
+def test_landing_uses_run_month_and_adds_no_columns(spark, tmp_path):
+    df = spark.createDataFrame([tx_row("1", "2001-01-01")], TX)
+    folder = ingest.land_parquet(df, str(tmp_path), "2024-03-05")
+    assert folder.endswith("year=2024/month=03/run_date=2024-03-05")
+    ingest.land_parquet(df, str(tmp_path), "2024-03-05")
+    back = ingest.scan(spark, str(tmp_path), schemas.RAW_TRANSACTIONS)
+    assert back.columns == schemas.RAW_TRANSACTIONS.names and back.count() == 1
+
+
+def test_int32_customer_ids_are_read_as_long(spark, tmp_path):
+    path = str(tmp_path / "ints")
+    spark.createDataFrame([tx_row("1", "2001-01-01")], TX.replace("customer_id bigint", "customer_id int")).write.parquet(path)
+    assert dict(ingest.scan(spark, path, schemas.RAW_TRANSACTIONS).dtypes)["customer_id"] == "bigint"
+
+
+def test_lineage_names_the_file(spark, tmp_path):
+    folder = ingest.land_parquet(spark.createDataFrame([tx_row("1", "2001-01-01")], TX), str(tmp_path), "2024-03-05")
+    row = ingest.with_lineage(ingest.scan(spark, str(tmp_path), schemas.RAW_TRANSACTIONS)).first()
+    assert folder in row._source_file and row._ingested_at is not None
+
+
+def test_contract_rejects_unknown_missing_mistyped_and_null(spark):
+    schema = schemas.table(("a", schemas.I, True), ("b", schemas.S))
+    good = spark.createDataFrame([("x", 1)], "b string, a int")
+    assert contracts.check_contract(good, schema).columns == ["a", "b"]
+    for bad, text in [
+        (spark.createDataFrame([(1,)], "a int"), "missing column b"),
+        (spark.createDataFrame([(1, "x", 2)], "a int, b string, c int"), "unknown column c"),
+        (spark.createDataFrame([(1, "x")], "a long, b string"), "column a is bigint, declared int"),
+        (spark.createDataFrame([(None, "x")], "a int, b string"), "1 nulls in required column a"),
+    ]:
+        with pytest.raises(contracts.ContractError, match=text):
+            contracts.check_contract(bad, schema)
+
+
+def test_keep_last_and_dropped_count(spark):
+    df = spark.createDataFrame(
+        [(" a ", 1, "old"), ("A", 2, "new"), ("b", 1, "only")], "stock_code string, seq int, text string"
+    )
+    keyed = ingest.canonical_keys(df)
+    rows = {tuple(r) for r in ingest.keep_last(keyed, ["stock_code"], ["seq"]).collect()}
+    assert rows == {("A", 2, "new"), ("B", 1, "only")}
+    assert ingest.duplicate_count(keyed, ["stock_code"]).first().dropped_rows == 1
+
+
+RAW = ["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price"]
+
+
+def test_raw_extract_is_normalised(spark):
+    one = spark.createDataFrame([
+        ("536365", "85123A", "LANTERN", "6", "2010-12-01 08:26:00", "2.55", "17850.0", "UK", "s1"),
+        ("536366", "22633", "WARMER", "six", "2010-12-01 08:28:00", "n/a", "", "UK", "s1"),
+        ("536367", "22633", "WARMER", "6", "someday", "1.85", "17850", "UK", "s1"),
+    ], RAW + ["Customer ID", "Country", "_sheet"])
+    two = spark.createDataFrame([
+        ("536368", None, "JAM", "6", "2010-12-01 08:34:00", "4.25", "13047", "UK", "s2"),
+        ("C536369", "21756", "BATH", "-3", "2010-12-01 08:35:00", "5.95", "13047", "UK", "s2"),
+    ], RAW + ["CustomerID", "Country", "_sheet"])
+    made = ingest.normalise_raw(ingest.union_parts([one, two]))
+    assert [t for _, t in made.dtypes] == [f.dataType.simpleString() for f in schemas.RAW_TRANSACTIONS]
+    rows = {r.invoice_no: r for r in made.collect()}
+    assert set(rows) == {"536365", "536366", "C536369"}
+    assert rows["536365"].customer_id == 17850 and rows["536365"].unit_price == D("2.55")
+    assert rows["536366"].quantity is None and rows["536366"].customer_id is None
+    assert rows["C536369"].customer_id == 13047 and rows["C536369"].quantity == -3
+
+
+def test_conform_turns_misfits_into_null(spark):
+    df = spark.createDataFrame([("3000000000", "1.239")], "i string, p string")
+    schema = schemas.table(("i", schemas.I), ("p", schemas.PRICE))
+    assert tuple(ingest.conform(df, schema).first()) == (None, D("1.24"))
+
+
+def test_csv_round_trip_keeps_types(spark, tmp_path):
+    df = spark.createDataFrame([("a", D("1.50"), day("2010-01-01")), ("b", None, None)], "k string, p decimal(10,2), d date")
+    ingest.write_csv(df, str(tmp_path / "c"))
+    back = ingest.read_csv_typed(spark, str(tmp_path / "c"), df.schema)
+    assert back.dtypes == df.dtypes and set(back.collect()) == set(df.collect())
+
+
+def test_profile_and_counts(spark):
+    df = spark.createDataFrame([tx_row("C1", "2010-01-01"), tx_row("2", "2010-01-03", None)], TX)
+    row = ingest.profile_transactions(df).first()
+    assert (row.row_count, row.customers, row.skus, row.countries, row.cancelled_lines) == (2, 1, 1, 1, 1)
+    counts = {tuple(r) for r in ingest.table_counts({"t": df, "e": df.limit(0)}).collect()}
+    assert counts == {("t", 2), ("e", 0)}
+
+
+def test_jdbc_options_split_the_read_and_truncate_the_target():
+    read = relational.source_options("jdbc:x", "dbo.t", "customer_id", 0, 1000, 8)
+    assert (read["partitionColumn"], read["lowerBound"], read["upperBound"], read["numPartitions"]) == (
+        "customer_id", "0", "1000", "8",
+    )
+    assert "partitionColumn" not in relational.source_options("jdbc:x", "dbo.t")
+    write = relational.sink_options("jdbc:x", "dbo.t")
+    assert write["truncate"] == "true" and write["batchsize"] == "10000"
+
+
+def test_versions_are_numbered_and_current_is_the_newest(spark, tmp_path):
+    base = str(tmp_path / "v")
+    one = spark.createDataFrame([(1,)], "a int")
+    assert versioned.current(spark, base, one.schema) is None
+    versioned.publish_next(one, base)
+    versioned.publish_next(versioned.current(spark, base, one.schema).selectExpr("a + 1 AS a"), base)
+    assert versioned.numbers(spark, base) == [0, 1]
+    assert versioned.current(spark, base, one.schema).first().a == 2
+    assert versioned.current(spark, base, one.schema, before=1).first().a == 1
+
+
+def test_stores_currency_and_default_store(spark):
+    stores = {r.country: r for r in dims.stores(spark).collect()}
+    assert stores["EIRE"].currency_code == "GBP" and stores["Germany"].currency_code == "EUR"
+    assert stores["Japan"].store_name == "Japan Online Store" and len(stores) == 12
+    tx = spark.createDataFrame([
+        (1, "France"), (1, "France"), (1, "Spain"), (2, "Atlantis"), (3, None), (None, "France"),
+        (4, "Spain"), (4, "Germany"),
+    ], "customer_id long, country string")
+    made = dims.preferred_store(tx, dims.stores(spark))
+    assert {tuple(r) for r in made.collect()} == {
+        (1, "FR-001"), (2, "XX-001"), (3, "XX-001"), (4, "DE-001"),
+    }
+
+
+def test_product_dimension(spark):
+    tx = spark.createDataFrame([
+        ("A", "b", D("1.00"), ts("2010-01-02")), ("A", "a", D("1.01"), ts("2010-01-01")),
+        ("A", None, D("9.00"), ts("2010-01-03")), ("A", None, D("9.00"), ts("2010-01-03")),
+        ("N", None, None, ts("2010-01-05")), ("TOO-LONG-CODE", "x", D("1.00"), ts("2010-01-05")),
+    ], "stock_code string, description string, unit_price decimal(10,2), invoice_date timestamp")
+    rows = {r.stock_code: tuple(r)[1:] for r in dims.product_dimension(tx).collect()}
+    assert rows == {"A": ("a", D("5.00"), day("2010-01-01")), "N": ("", None, day("2010-01-05"))}
+
+
+EVENT = "timestamp timestamp, level string, message string, origin struct<flow_name:string,batch_id:string>, error string"
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    two = '{"exceptions":[{"class_name":"A","message":"one"},{"class_name":"B","message":"two"}]}'
+    return spark.createDataFrame([
+        (ts("2024-01-01 11:00"), "ERROR", "late", ("f", "7"), two),
+        (ts("2024-01-01 11:59"), "ERROR", "new", (None, None), "{broken"),
+        (ts("2024-01-01 11:58"), "WARN", "warn", ("f", "8"), None),
+        (ts("2024-01-01 11:57"), "INFO", "info", ("f", "9"), None),
+    ], EVENT)
+
+
+def test_recent_errors(events):
+    now = "2024-01-01 12:00:00"
+    rows = monitor.recent_errors(events, now).collect()
+    assert [(r.message, r.flow_name) for r in rows] == [("new", "N/A")]
+    both = monitor.recent_errors(events, now, 120, 10, ("ERROR", "WARN")).collect()
+    assert [r.message for r in both] == ["new", "warn", "late"]
+    assert len(monitor.recent_errors(events, now, 120, 1).collect()) == 1
+
+
+def test_exceptions_are_exploded_and_broken_text_kept(events):
+    rows = {(r.class_name, r.message) for r in monitor.explode_exceptions(events).collect()}
+    assert rows == {("A", "one"), ("B", "two"), (None, "{broken")}
