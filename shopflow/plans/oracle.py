@@ -398,8 +398,9 @@ SELECT * FROM weekly_all WHERE stock_code IN (SELECT stock_code FROM top_skus)""
 SELECT stock_code, train_weeks, 'fewer than 8 training weeks' AS reason
 FROM train_weeks WHERE train_weeks < 8""",
     "forecast_params": """
-SELECT stock_code, n AS train_weeks, last_week, last_week_no, round(slope, 6) AS slope,
-       round(intercept, 6) AS intercept, round(sigma, 6) AS sigma FROM param_refit""",
+SELECT stock_code, n AS train_weeks, last_week - CAST(7 * last_week_no AS INTEGER) AS first_week,
+       last_week, round(slope, 6) AS slope, round(intercept, 6) AS intercept,
+       round(sigma, 6) AS sigma FROM param_refit""",
     "forecast_month_index": """
 SELECT p.stock_code, CAST(k AS INTEGER) AS month, round(coalesce(ratio, 1.0) / scale, 6) AS month_index
 FROM param_refit p CROSS JOIN (SELECT unnest(generate_series(1, 12)) AS k)

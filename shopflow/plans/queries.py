@@ -215,25 +215,25 @@ def weekly_filled(s):
 
 @register
 def holdout_split(s):
-    return forecast.series_for(s.transactions, None)
+    return forecast.split(forecast.weekly_for(s.transactions, None))
 
 
 @register
 def forecast_skipped(s):
-    return forecast.skipped(forecast.series_for(s.transactions, None))
+    return forecast.skipped(forecast.weekly_for(s.transactions, None))
 
 
 @register
 def forecast_params(s):
-    params = forecast.params(forecast.refit(forecast.series_for(s.transactions, None)))
+    params = forecast.refit(forecast.weekly_for(s.transactions, None))
     return _rounded(params.select(
-        "stock_code", "train_weeks", "last_week", "last_week_no", "slope", "intercept", "sigma"
+        "stock_code", "train_weeks", "first_week", "last_week", "slope", "intercept", "sigma"
     ))
 
 
 @register
 def forecast_month_index(s):
-    params = forecast.params(forecast.refit(forecast.series_for(s.transactions, None)))
+    params = forecast.refit(forecast.weekly_for(s.transactions, None))
     months = params.select("stock_code", F.posexplode("month_index").alias("pos", "month_index"))
     return _rounded(months.select(
         "stock_code", (F.col("pos") + 1).alias("month"), "month_index"
@@ -241,8 +241,8 @@ def forecast_month_index(s):
 
 
 def _backtest(s):
-    series = forecast.series_for(s.stored_transactions)
-    return forecast.backtest(forecast.fit(forecast.usable(series)))
+    weekly = forecast.weekly_for(s.stored_transactions)
+    return forecast.backtest(weekly, forecast.fit(weekly, fixed.HOLDOUT_WEEKS))
 
 
 @register
@@ -255,20 +255,20 @@ def forecast_metrics(s):
     return _rounded(forecast.metrics(_backtest(s)), mean_mape=4)
 
 
-def _forecast(series):
-    predicted = forecast.predict(forecast.params(forecast.refit(series)))
+def _forecast(weekly):
+    predicted = forecast.predict(forecast.refit(weekly))
     gold_rows = forecast.to_gold(predicted, "1", "run", adapter.NOW)
     return _rounded(gold_rows.drop("model_version", "run_id", "generated_at"))
 
 
 @register
 def demand_forecast(s):
-    return _forecast(forecast.series_for(s.stored_transactions))
+    return _forecast(forecast.weekly_for(s.stored_transactions))
 
 
 @register
 def demand_forecast_all(s):
-    return _forecast(forecast.series_for(s.transactions, None))
+    return _forecast(forecast.weekly_for(s.transactions, None))
 
 
 @register

@@ -28,14 +28,14 @@ def segmentation(spark: SparkSession, lake: Layout, version: str, run_id: str, n
 def demand_forecast(spark: SparkSession, lake: Layout, version: str, run_id: str,
                     n: int | None = fixed.TOP_N_SKUS, now=None) -> DataFrame:
     """Write forecast, parameters and skipped SKUs; return the run rows."""
-    series = stage.table(forecast.series_for(pipeline.transactions(spark, lake), n), "weekly-series")
-    fitted = forecast.params(forecast.refit(series))
-    ingest.full_refresh(fitted, lake.table("ml", "forecast_params"))
+    weekly = stage.table(forecast.weekly_for(pipeline.transactions(spark, lake), n), "weekly-sales")
+    ingest.full_refresh(forecast.refit(weekly), lake.table("ml", "forecast_params"))
     stored = spark.read.parquet(lake.table("ml", "forecast_params"))
     rows = forecast.to_gold(forecast.predict(stored), version, run_id, now)
     ingest.full_refresh(rows, lake.table("gold", "demand_forecast"), schemas.DEMAND_FORECAST)
-    ingest.full_refresh(forecast.skipped(series), lake.table("ml", "forecast_skipped"))
-    errors = forecast.metrics(forecast.backtest(forecast.fit(forecast.usable(series))))
+    ingest.full_refresh(forecast.skipped(weekly), lake.table("ml", "forecast_skipped"))
+    fitted = forecast.fit(weekly, fixed.HOLDOUT_WEEKS)
+    errors = forecast.metrics(forecast.backtest(weekly, fitted))
     params = {"n_skus": n or "all", "forecast_horizon_weeks": fixed.FORECAST_HORIZON_WEEKS,
               "train_cutoff_weeks": fixed.HOLDOUT_WEEKS}
     return gate.record_run(spark, "demand_forecast", version, run_id, params, {}, now).unionByName(
