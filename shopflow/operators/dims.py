@@ -4,16 +4,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopflow import schemas
 from shopflow.functions import columns as C, fixed_values as fixed
-from shopflow.operators import gold
 
 
 def customer_keys(tx: DataFrame) -> DataFrame:
     return tx.where("customer_id IS NOT NULL").select("customer_id").distinct()
 
 
+def customer_country(tx: DataFrame) -> DataFrame:
+    """Every customer with their most frequent known country, or null; ties to the first name."""
+    lines = tx.where("customer_id IS NOT NULL").groupBy("customer_id", "country").agg(
+        F.count(F.lit(1)).alias("lines")
+    )
+    modal = F.min(F.when(
+        F.col("country").isNotNull(),
+        F.struct((-F.col("lines")).alias("_desc"), F.col("country").alias("name")),
+    ))
+    return lines.groupBy("customer_id").agg(modal["name"].alias("country"))
+
+
 def modal_country(tx: DataFrame) -> DataFrame:
-    """Most frequent country per customer; ties go to the first name."""
-    return gold.top_country(tx.where("customer_id IS NOT NULL AND country IS NOT NULL"))
+    return customer_country(tx).where("country IS NOT NULL")
 
 
 def product_dimension(tx: DataFrame, max_length: int = fixed.MAX_STOCK_CODE_LENGTH) -> DataFrame:
@@ -73,12 +83,7 @@ def preferred_store(tx: DataFrame, stores: DataFrame) -> DataFrame:
     ``stores`` is the fixed list of a dozen rows, so it is broadcast.
     """
     by_country = F.broadcast(stores.select("country", "store_id"))
-    return (
-        customer_keys(tx)
-        .join(modal_country(tx), "customer_id", "left")
-        .join(by_country, "country", "left")
-        .select(
-            "customer_id",
-            F.coalesce("store_id", F.lit(fixed.DEFAULT_STORE_ID)).alias("preferred_store_id"),
-        )
+    return customer_country(tx).join(by_country, "country", "left").select(
+        "customer_id",
+        F.coalesce("store_id", F.lit(fixed.DEFAULT_STORE_ID)).alias("preferred_store_id"),
     )

@@ -33,21 +33,25 @@ def stored_histogram(features: DataFrame) -> DataFrame:
 
 
 def standardise(hist: DataFrame) -> DataFrame:
-    """Mean 0 and population standard deviation 1, over customers, not combinations."""
+    """Mean 0 and population standard deviation 1, over customers, not combinations.
+
+    Six integer sums of the histogram reach the driver and come back as literals.
+    """
     n = F.col("n")
-    sums = hist.agg(F.struct(
+    sums = hist.agg(
         F.sum(n).alias("n"),
         *[F.sum(n * F.col(s)).alias(f"{s}_1") for s in SCORES],
         *[F.sum(n * F.col(s) * F.col(s)).alias(f"{s}_2") for s in SCORES],
-    ).alias("m"))
-    df = hist.withColumn("_m", sums.scalar())
-    for score, z in zip(SCORES, Z):
-        mean = F.col(f"_m.{score}_1") / F.col("_m.n")
-        var = (F.col("_m.n") * F.col(f"_m.{score}_2") - F.col(f"_m.{score}_1") ** 2) / (
-            F.col("_m.n") * F.col("_m.n")
-        )
-        df = df.withColumn(z, (F.col(score) - mean) / F.when(var > 0, F.sqrt(var)).otherwise(1.0))
-    return df.drop("_m")
+    ).head()
+
+    def scaled(score):
+        if not sums.n:
+            return F.lit(None).cast("double")
+        mean = sums[f"{score}_1"] / sums.n
+        variance = (sums.n * sums[f"{score}_2"] - sums[f"{score}_1"] ** 2) / sums.n**2
+        return (F.col(score) - F.lit(mean)) / F.lit(variance**0.5 or 1.0)
+
+    return hist.withColumns({z: scaled(score) for score, z in zip(SCORES, Z)})
 
 
 def fit(standardised: DataFrame, k: int = len(fixed.SEGMENT_NAMES),
