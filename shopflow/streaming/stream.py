@@ -37,22 +37,38 @@ def append_by(df: DataFrame, column: str, path: str, checkpoint: str) -> Streami
     return drain(df.writeStream.partitionBy(column), path, checkpoint)
 
 
-def dedupe(df: DataFrame, keys: list[str], watermark: tuple[str, str] | None = None) -> DataFrame:
+def dedupe(df: DataFrame, keys: list[str], watermark: tuple[str, str] | None = None,
+           splits: int = 1) -> DataFrame:
     """First arrival per key.
 
     Without a watermark the result is exact and the state grows with the keys. With
     ``(time column, delay)`` state is dropped after the delay, and a copy that comes later
     than that passes.
+
+    A stream has no map-side combine: all copies of a key go to the task that holds its
+    state. With ``splits`` above 1 a first pass drops copies per (key, group of input
+    tasks), so the task of a hot key gets at most ``splits`` rows of it. The first pass
+    keeps its own state, about as much again.
     """
-    if watermark is None:
-        return df.dropDuplicates(keys)
-    return df.withWatermark(*watermark).dropDuplicatesWithinWatermark(keys)
+    if watermark is not None:
+        df = df.withWatermark(*watermark)
+
+    def once(rows, columns):
+        if watermark is None:
+            return rows.dropDuplicates(columns)
+        return rows.dropDuplicatesWithinWatermark(columns)
+
+    if splits > 1:
+        df = df.withColumn("_split", F.spark_partition_id() % splits)
+        df = once(df, [*keys, "_split"]).drop("_split")
+    return once(df, keys)
 
 
-def silver_transactions(bronze: DataFrame, now=None,
-                        watermark: tuple[str, str] | None = None) -> DataFrame:
+def silver_transactions(bronze: DataFrame, now=None, watermark: tuple[str, str] | None = None,
+                        splits: int = 1) -> DataFrame:
     valid = silver.route_transactions(bronze).valid
-    return silver.enrich_transactions(dedupe(valid, ["invoice_no", "stock_code"], watermark), now)
+    once = dedupe(valid, ["invoice_no", "stock_code"], watermark, splits)
+    return silver.enrich_transactions(once, now)
 
 
 def rejected_sides(bronze: DataFrame, route, reasons: dict, now=None) -> DataFrame:

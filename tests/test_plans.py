@@ -1,0 +1,69 @@
+"""What the plans of the hot path must and must not hold."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from shopflow.operators import dedupe, joins, silver
+from shopflow.plans.queries import QUERIES
+from shopflow.sources import adapter
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deduplication_keeps_one_row_per_key_before_the_shuffle(spark):
+    df = spark.createDataFrame([("a", 1, "x")], "k string, o int, v string")
+    for made in (dedupe.first_per_key(df, ["k"], ["o"]), dedupe.last_per_key(df, ["k"], ["o"])):
+        lines = plan_of(made).splitlines()
+        shuffle = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
+        assert any("WindowGroupLimit" in l and "Partial" in l for l in lines[shuffle:])
+
+
+def test_hot_key_reaches_the_reducer_as_one_row_per_task(spark):
+    hot = spark.range(0, 9000, 1, 6).select(F.lit("hot").alias("k"), F.col("id").alias("o"))
+    assert dedupe.first_per_key(hot, ["k"], ["o"]).collect()[0].o == 0
+    assert dedupe.last_per_key(hot, ["k"], ["o"]).collect()[0].o == 8999
+
+
+def test_clean_rows_push_their_rules_to_the_scan(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    adapter.transactions(spark, SF).write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = plan_of(silver.route_transactions(spark.read.parquet(path)).valid.select("quantity"))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for pushed in ("GreaterThan(quantity,0)", "IsNotNull(customer_id)", "Not(StringStartsWith(invoice_no,C))"):
+        assert pushed in plan
+    assert "description" not in plan
+
+
+def test_row_tables_of_silver_need_no_shuffle(spark):
+    for name in ("cancelled_transactions", "quarantine_transactions", "rejected_transactions"):
+        assert "Exchange hashpartitioning" not in plan_of(QUERIES[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["daily_kpis", "customer_360", "segment_silhouette", "demand_forecast", "model_gate"])
+def test_no_cross_joins(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_large_dimension_is_joined_on_key_and_salt(spark):
+    fact = spark.range(4000).select((F.col("id") % 2).cast("string").alias("k"), "id")
+    dim = spark.createDataFrame([("0", 1), ("9", 2)], "k string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    made = joins.lookup(fact, dim, "k", ["id"], max_rows=1, salts=16)
+    plan = plan_of(made)
+    rows = made.groupBy("v").count().collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(k" in plan and "_salt" in plan and "Broadcast" not in plan
+    assert {tuple(r) for r in rows} == {(1, 2000), (None, 2000)}
+
+
+def test_small_dimension_moves_no_facts(spark):
+    fact = spark.range(4000).select((F.col("id") % 2).cast("string").alias("k"), "id")
+    dim = spark.createDataFrame([("0", 1)], "k string, v int")
+    plan = plan_of(joins.lookup(fact, dim, "k", ["id"]))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

@@ -34,12 +34,13 @@ def test_bronze_stream_reads_each_file_once(spark, raw, tmp_path):
     assert spark.read.parquet(table).columns == schemas.RAW_TRANSACTIONS.names + schemas.LINEAGE.names
 
 
-def test_streamed_keys_equal_batch_keys(spark, raw, tmp_path):
+@pytest.mark.parametrize("splits", [1, 4])
+def test_streamed_keys_equal_batch_keys(spark, raw, tmp_path, splits):
     landing, table, checkpoint = (str(tmp_path / n) for n in ("landing", "table", "cp"))
     for day, part in zip(("2024-01-01", "2024-01-02", "2024-01-03"), (*halves(raw), halves(raw)[0])):
         ingest.land_parquet(part, landing, day)
         files = ingest.with_lineage(ingest.scan_stream(spark, landing, schemas.RAW_TRANSACTIONS))
-        stream.append(stream.silver_transactions(files), table, checkpoint)
+        stream.append(stream.silver_transactions(files, splits=splits), table, checkpoint)
     made = spark.read.parquet(table)
     keys = ["invoice_no", "stock_code"]
     want = silver.transactions(raw)
