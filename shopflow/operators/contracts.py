@@ -44,6 +44,21 @@ def check_contract(df: DataFrame, schema: T.StructType, nulls: bool = True) -> D
     return df.select([f.name for f in schema])
 
 
+def enforce(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in declared order; the job that reads it fails on a null in a required column.
+
+    The check rides along in the projection of the write, so it costs no pass of its own
+    and nothing is committed when it fails.
+    """
+    checked = check_contract(df, schema, nulls=False)
+
+    def required(name):
+        fail = F.raise_error(F.lit(f"null in required column {name}"))
+        return F.coalesce(F.col(name), fail).alias(name)
+
+    return checked.select([f.name if f.nullable else required(f.name) for f in schema])
+
+
 def expect_all(df: DataFrame, rules: dict) -> tuple[DataFrame, DataFrame]:
     """Split into rows meeting every rule and rows with the names of the broken ones."""
     kept = df.where(C.passes_all(rules))

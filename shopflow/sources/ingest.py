@@ -45,9 +45,9 @@ def land_parquet(df: DataFrame, path: str, run_date) -> str:
 
 
 def full_refresh(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
-    """Replace a stored table, schema included; checks the contract when one is given."""
+    """Replace a stored table, schema included; enforces the contract when one is given."""
     if schema is not None:
-        df = contracts.check_contract(df, schema, nulls=False)
+        df = contracts.enforce(df, schema)
     df.write.mode("overwrite").parquet(path)
 
 

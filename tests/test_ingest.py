@@ -89,6 +89,15 @@ def test_contract_rejects_unknown_missing_mistyped_and_null(spark):
             contracts.check_contract(bad, schema)
 
 
+def test_full_refresh_replaces_and_stops_at_required_nulls(spark, tmp_path):
+    schema, path = schemas.table(("a", schemas.I, True), ("b", schemas.S)), str(tmp_path / "t")
+    ingest.full_refresh(spark.createDataFrame([(1, "x"), (2, None)], "a int, b string"), path, schema)
+    ingest.full_refresh(spark.createDataFrame([("y", 3)], "b string, a int"), path, schema)
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(3, "y")]
+    with pytest.raises(Exception, match="null in required column a"):
+        ingest.full_refresh(spark.createDataFrame([(None, "z")], "a int, b string"), str(tmp_path / "u"), schema)
+
+
 def test_keep_last_and_dropped_count(spark):
     df = spark.createDataFrame(
         [(" a ", 1, "old"), ("A", 2, "new"), ("b", 1, "only")], "stock_code string, seq int, text string"
