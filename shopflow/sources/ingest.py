@@ -32,14 +32,16 @@ def with_lineage(df: DataFrame, now=None) -> DataFrame:
     )
 
 
-def land_parquet(df: DataFrame, path: str, run_date) -> str:
+def land_parquet(df: DataFrame, path: str, run_date, part: str | None = None) -> str:
     """Write under the month and day of the run, not of the rows. Returns the folder.
 
-    Running a day again replaces that day's folder. No other day is touched, and a stream
-    that lists ``path`` sees a snapshot of a new day as new files.
+    Running a day again replaces that day's folder, or only the named part of it. Nothing
+    else is touched, and a stream that lists ``path`` sees a new snapshot as new files.
     """
     day = str(run_date)
     target = f"{path}/year={day[:4]}/month={day[5:7]}/run_date={day}"
+    if part is not None:
+        target = f"{target}/part={part}"
     df.write.mode("overwrite").option("compression", "snappy").parquet(target)
     return target
 

@@ -3,6 +3,7 @@ from conftest import D, day, ts
 
 from shopflow import schemas
 from shopflow.operators import contracts, dims, monitor
+from shopflow.plans import extract
 from shopflow.sources import ingest, relational, versioned
 
 TX = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.RAW_TRANSACTIONS)
@@ -63,6 +64,29 @@ def test_landing_uses_run_month_and_adds_no_columns(spark, tmp_path):
     assert back.columns == schemas.RAW_TRANSACTIONS.names and back.count() == 1
 
 
+def test_extract_runs_of_one_day_keep_each_others_rows(spark, tmp_path):
+    landing, control = str(tmp_path / "landing"), str(tmp_path / "control")
+    rows = [tx_row(str(i), f"2010-01-0{i}") for i in range(1, 5)]
+
+    def landed():
+        back = ingest.scan(spark, f"{landing}/transactions", schemas.RAW_TRANSACTIONS)
+        return sorted(r.invoice_no for r in back.collect())
+
+    extract.transactions(spark.createDataFrame(rows[:2], TX), landing, control, "2024-03-05")
+    extract.transactions(spark.createDataFrame(rows[:3], TX), landing, control, "2024-03-05")
+    assert landed() == ["1", "2", "3"]
+    # A copy that crashed before its mark was stored is repeated in place.
+    step = ingest.run_increment(
+        spark.createDataFrame(rows, TX), versioned.current(spark, control, schemas.WATERMARKS),
+        extract.TRANSACTIONS_PIPELINE,
+    )
+    assert step.low.startswith("2010-01-03")
+    for _ in range(2):
+        ingest.land_parquet(step.rows, f"{landing}/transactions", "2024-03-05", "20100103000000")
+    extract.transactions(spark.createDataFrame(rows, TX), landing, control, "2024-03-05")
+    assert landed() == ["1", "2", "3", "4"]
+
+
 def test_int32_customer_ids_are_read_as_long(spark, tmp_path):
     path = str(tmp_path / "ints")
     spark.createDataFrame([tx_row("1", "2001-01-01")], TX.replace("customer_id bigint", "customer_id int")).write.parquet(path)
