@@ -373,6 +373,8 @@ SELECT stock_code, count(*) AS sold_lines FROM silver
 WHERE stock_code NOT IN (SELECT stock_code FROM products) GROUP BY stock_code""",
     "rfm": "SELECT * FROM rfm",
     "rfm_scores": """
+SELECT customer_id, rfm_recency_score, rfm_frequency_score, rfm_monetary_score FROM scores""",
+    "rfm_scores_distributed": """
 SELECT customer_id, rfm_recency_score, rfm_frequency_score, rfm_monetary_score FROM scores""",
     "customer_top_country": "SELECT * FROM top_country",
     "customer_favourite_category": "SELECT * FROM favourite",
@@ -541,6 +543,11 @@ JOIN (SELECT stock_code, description, row_number() OVER (
     "stream_dedupe_keys": "SELECT invoice_no, stock_code FROM silver",
     "stream_cancelled": """
 SELECT invoice_no, original_invoice_no, stock_code, quantity FROM cancelled""",
+    "stream_side_tables": """
+SELECT invoice_no, stock_code, quantity, route,
+       CASE route WHEN 'cancelled' THEN substr(invoice_no, 2)
+                  WHEN 'quarantine' THEN 'customer_id IS NULL' ELSE 'quantity_positive' END AS reason
+FROM routed WHERE route <> 'valid'""",
     "stream_scd1": """
 SELECT customer_id, full_name, email, loyalty_tier, is_wholesaler, marketing_opt_in FROM customers""",
 }

@@ -7,7 +7,7 @@ from shopflow.functions import fixed_values as fixed
 from shopflow.operators import (
     contracts, dims, forecast, gate, gold, monitor, segment, silver,
 )
-from shopflow.plans import extract
+from shopflow.plans import extract, pipeline
 from shopflow.plans.shop import Shop
 from shopflow.sources import adapter, ingest, stage, versioned
 from shopflow.streaming import stream
@@ -129,6 +129,15 @@ def rfm_scores(s):
     )
 
 
+@register
+def rfm_scores_distributed(s):
+    """The same scores found the way large tables take, without a single-task window."""
+    measures = gold.rfm(s.transactions, adapter.AS_OF)
+    return gold.rfm_scores(measures, single_task_rows=0, cells=32).select(
+        "customer_id", "rfm_recency_score", "rfm_frequency_score", "rfm_monetary_score"
+    )
+
+
 @register
 def customer_top_country(s):
     return gold.top_country(s.transactions)
@@ -526,7 +535,8 @@ def stream_bronze(s):
 @register
 def stream_dedupe_keys(s):
     """Keys only: which of several copies arrives first within a run is not fixed."""
-    return _streamed(s, stream.silver_transactions).select("invoice_no", "stock_code")
+    made = _streamed(s, lambda rows: stream.silver_transactions(rows, splits=4))
+    return made.select("invoice_no", "stock_code")
 
 
 @register
@@ -535,6 +545,15 @@ def stream_cancelled(s):
     return made.select("invoice_no", "original_invoice_no", "stock_code", "quantity")
 
 
+@register
+def stream_side_tables(s):
+    """Rows that leave the main path, with route and reason, from one streaming scan."""
+    made = _streamed(s, lambda rows: stream.rejected_sides(
+        rows, silver.transaction_route(), pipeline.side_reasons()
+    ))
+    return made.select("invoice_no", "stock_code", "quantity", "route", "reason")
+
+
 @register
 def stream_scd1(s):
     base = stage.new_path(s.spark, "scd1")
