@@ -144,7 +144,7 @@ FROM silver s LEFT JOIN first_purchase f ON f.customer_id = s.customer_id GROUP
 SELECT CAST(invoice_date AS DATE) AS report_date, count(DISTINCT invoice_no) AS cancelled_orders
 FROM cancelled GROUP BY 1""",
     "category_revenue": """
-SELECT report_date, category, sum(line_total) AS cat_revenue
+SELECT report_date, category, CAST(sum(line_total) AS DECIMAL(14,2)) AS cat_revenue
 FROM silver LEFT JOIN products USING (stock_code) GROUP BY report_date, category""",
     "top_category": """
 SELECT report_date, category AS top_category_by_revenue FROM (

@@ -63,7 +63,6 @@ def compare(spark, con, folder, fn, sql):
     types = [
         f"{n}: {t} != {described[n]}" for n, t in df.dtypes
         if _duck_type(t) != described[n].replace(" ", "")
-        and not (t.startswith("decimal") and described[n].startswith("DECIMAL"))
     ]
     if types:
         return f"types {types}"
