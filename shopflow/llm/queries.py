@@ -2,12 +2,12 @@
 
 import public_tokenizers
 
-from shopflow.llm import bpe
+from shopflow.llm import bpe, licenses, lines, parameters, secrets, urls
+from shopflow.llm.sql import ORACLE_SQL  # noqa: F401  registered with the queries
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 QUERIES = {}
-ORACLE_SQL = {}
 
 
 def register(fn):
@@ -20,6 +20,30 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op1_url_filter(spark, sf_dir):
+    rules = [urls.host_rule(a, p) for a, p in parameters.HOST_RULES]
+    rules += [urls.wildcard_rule(a, p) for a, p in parameters.WILDCARD_RULES]
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, rules).drop("url")
+
+
+@register
+def op2_line_dedup(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.dedup(documents).drop("source")
+
+
+@register
+def op4_license_scan(spark, sf_dir):
+    return licenses.summary(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_secret_scan(spark, sf_dir):
+    return secrets.summary(table(spark, sf_dir, "documents"))
+
+
 @register
 def op10_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path(VOCABULARY)
