@@ -22,3 +22,6 @@ WILDCARD_RULES = [
     ("block", "/search?*q="),
     ("allow", "/search/help/"),
 ]
+
+# A document is kept from this score on.
+QUALITY_CUT = 0.3

@@ -1,8 +1,12 @@
 """Registered queries of this subpackage: name -> function of (spark, folder of test tables)."""
 
+import os
+from pathlib import Path
+
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from shopflow.llm import bpe, licenses, lines, parameters, secrets, urls
+from shopflow.llm import bpe, licenses, lines, parameters, quality, secrets, urls
 from shopflow.llm.sql import ORACLE_SQL  # noqa: F401  registered with the queries
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -12,10 +16,27 @@ QUERIES = {}
 
 def register(fn):
     """Register a function of (spark, folder) under its own name."""
-    QUERIES[fn.__name__] = fn
+    def query(spark, sf_dir):
+        importable(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = query
     return fn
 
 
+def importable(spark):
+    """Let local workers import this package from where the driver did.
+
+    On a cluster it is installed or sent with the job, as any other package.
+    """
+    if spark.sparkContext.master.startswith("local["):
+        root = str(Path(__file__).resolve().parents[2])
+        environment = spark.sparkContext.environment
+        paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -34,6 +55,26 @@ def op2_line_dedup(spark, sf_dir):
     return lines.dedup(documents).drop("source")
 
 
+def _remainder(n):
+    """crc32 of the document's id as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def quality_weights(spark, sf_dir, docs):
+    """Learned from labels of ``docs`` that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(_remainder(5) != 0)
+    return quality.fit(docs.select("doc_id", "text"), labels.select("doc_id", "quality"))
+
+
+@register
+def op3_quality(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    scored = quality.score(documents, quality_weights(spark, sf_dir, documents))
+    return scored.select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score",
+        (F.col("score") >= parameters.QUALITY_CUT).cast("int").alias("predicted"))
+
+
 @register
 def op4_license_scan(spark, sf_dir):
     return licenses.summary(table(spark, sf_dir, "documents"))
