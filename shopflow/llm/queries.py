@@ -6,7 +6,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe, licenses, lines, parameters, quality, secrets, urls
+from shopflow.llm import bpe, hmm, licenses, lines, parameters, quality, secrets, urls
 from shopflow.llm.sql import ORACLE_SQL  # noqa: F401  registered with the queries
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -85,6 +85,11 @@ def op7_secret_scan(spark, sf_dir):
     return secrets.summary(table(spark, sf_dir, "documents"))
 
 
+@register
+def op9_hmm_score(spark, sf_dir):
+    return hmm.score(table(spark, sf_dir, "documents"), _remainder(10) != 0)
+
+
 @register
 def op10_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path(VOCABULARY)
