@@ -6,7 +6,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe, hmm, licenses, lines, parameters, quality, secrets, urls
+from shopflow.llm import bpe, contamination, hmm, licenses, lines, parameters, quality, secrets, urls
 from shopflow.llm.sql import ORACLE_SQL  # noqa: F401  registered with the queries
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -80,6 +80,12 @@ def op4_license_scan(spark, sf_dir):
     return licenses.summary(table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_decontamination(spark, sf_dir):
+    documents, benchmark = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return contamination.flagged(documents, benchmark)
+
+
 @register
 def op7_secret_scan(spark, sf_dir):
     return secrets.summary(table(spark, sf_dir, "documents"))
