@@ -6,7 +6,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe, contamination, hmm, licenses, lines, parameters, quality, secrets, urls
+from shopflow.llm import bpe, contamination, hmm, licenses, lines, parameters, quality, secrets, topk, urls
 from shopflow.llm.sql import ORACLE_SQL  # noqa: F401  registered with the queries
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -91,6 +91,11 @@ def op7_secret_scan(spark, sf_dir):
     return secrets.summary(table(spark, sf_dir, "documents"))
 
 
+@register
+def op8_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 @register
 def op9_hmm_score(spark, sf_dir):
     return hmm.score(table(spark, sf_dir, "documents"), _remainder(10) != 0)

@@ -112,8 +112,25 @@ def license_scan():
     FROM documents LEFT JOIN found USING (doc_id)"""
 
 
+def topk():
+    return """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    WHERE rank <= 5"""
+
+
 ORACLE_SQL = {
     "op1_url_filter": url_filter(),
     "op2_line_dedup": line_dedup(),
     "op4_license_scan": license_scan(),
+    "op8_topk": topk(),
 }
