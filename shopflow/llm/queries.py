@@ -6,7 +6,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe, contamination, hmm, licenses, lines, parameters, quality, secrets, topk, urls
+from shopflow.llm import bpe, contamination, hmm, licenses, lines, neardup, parameters, quality, secrets, topk, urls
 from shopflow.llm.sql import ORACLE_SQL  # noqa: F401  registered with the queries
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -86,6 +86,11 @@ def op5_decontamination(spark, sf_dir):
     return contamination.flagged(documents, benchmark)
 
 
+@register
+def op6_near_dup(spark, sf_dir):
+    return neardup.groups(table(spark, sf_dir, "documents"), size=2)
+
+
 @register
 def op7_secret_scan(spark, sf_dir):
     return secrets.summary(table(spark, sf_dir, "documents"))
