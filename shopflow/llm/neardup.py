@@ -18,7 +18,7 @@ d = 3 and 20 trees that is 6e-7.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shopflow.llm import arrow
 from shopflow.llm.components import components
@@ -310,3 +310,26 @@ def _same_id(filled: DataFrame, classes: DataFrame) -> DataFrame:
     met = own.join(classes.select("n", "f1", "f2", "rep"), ["n", "f1", "f2"]).select("id", "rep")
     return met.groupBy("id").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).join(
         met, "id").where("rep <> b").select(F.col("rep").alias("a"), "b")
+
+
+def survivors(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` per group of near-duplicates, that of the least id; all columns.
+
+    Rows linked with nothing, and rows without an id, stay. Of several rows of one id one
+    stays, the least by text digest. What goes is stored first, so its size is known.
+    """
+    found = groups(docs, size, percent, id_col, text_col)
+    gone = stage.table(
+        found.where(F.col(id_col).isNotNull() & ~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct(),
+        "gone")
+    twice = stage.table(
+        docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_twice"))
+        .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_twice"), "repeated-ids")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_id"),
+                       F.sha2(F.col(text_col).cast("string"), 256).alias("_digest"))
+    rows = rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti")
+    once = rows.join(twice, F.col("_id") == F.col("_twice"), "left_anti")
+    place = F.row_number().over(Window.partitionBy("_id").orderBy("_digest"))
+    first = rows.join(twice, F.col("_id") == F.col("_twice"), "left_semi").withColumn("_place", place)
+    return once.select("_row.*").union(first.where("_place = 1").select("_row.*"))

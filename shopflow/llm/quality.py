@@ -192,6 +192,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return out
 
 
+def _scores(texts, w):
+    scores = np.zeros(len(texts))
+    for row, offsets, data in arrow.text_blocks(texts):
+        number, value, first = features(offsets, data)
+        n = len(first) - 1
+        owner = np.repeat(np.arange(n), np.diff(first))
+        scores[row:row + n] = np.bincount(owner, w[number] * value, n) + w[-1]
+    return 1 / (1 + np.exp(-np.clip(scores, -35, 35)))
+
+
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and ``score`` (0 to 1) of every row's whole text.
 
@@ -204,15 +214,21 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
     kind = frame.schema["id"].dataType.simpleString()
 
     def run(batches):
-        w = shared.value
         for batch in batches:
-            scores = np.zeros(batch.num_rows)
-            for row, offsets, data in arrow.text_blocks(batch.column(1)):
-                number, value, first = features(offsets, data)
-                n = len(first) - 1
-                owner = np.repeat(np.arange(n), np.diff(first))
-                scores[row:row + n] = np.bincount(owner, w[number] * value, n) + w[-1]
-            scores = 1 / (1 + np.exp(-np.clip(scores, -35, 35)))
+            scores = _scores(batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["id", "score"])
 
     return frame.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+
+
+def accept(docs: DataFrame, weights: np.ndarray, cut: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``cut`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    text = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            scores = _scores(batch.column(text), shared.value)
+            yield batch.filter(pa.array(scores >= cut))
+
+    return docs.mapInArrow(run, docs.schema)
