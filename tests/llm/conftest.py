@@ -1,0 +1,13 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+
+@pytest.fixture(autouse=True, scope="session")
+def _workers_find_the_package(spark):
+    from shopflow.llm.queries import importable
+
+    importable(spark)

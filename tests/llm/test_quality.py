@@ -1,0 +1,81 @@
+"""Quality classifier: accuracy on rows it has not seen, and rows of every kind."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_rows import docs, prose
+
+from shopflow.llm import arrow, quality
+
+
+def good(seed):
+    return prose(seed, 60) + "."
+
+
+def bad(seed):
+    return " ".join(w + random.Random(seed).choice(["!!", "$$$"]) for w in prose(seed, 60).upper().split())
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rows = [(i, bad(i) if i % 4 == 0 else good(i)) for i in range(300)]
+    labels = spark.createDataFrame(
+        [(i, int(i % 4 != 0)) for i in range(200)] + [(1, 1), (None, 1), (3, None), (999, 0), (5, 7)],
+        "doc_id long, quality int")
+    return rows, quality.fit(docs(spark, rows), labels, rows=150)
+
+
+def test_unseen_rows(spark, model):
+    rows, weights = model
+    scores = {r.doc_id: r.score for r in quality.score(docs(spark, rows), weights).collect()}
+    unseen = range(200, 300)
+    assert all(0 <= s <= 1 for s in scores.values())
+    assert np.mean([(scores[i] >= 0.5) == (i % 4 != 0) for i in unseen]) >= 0.97
+
+
+def test_fit_is_the_same_twice(spark, model):
+    rows, weights = model
+    labels = spark.createDataFrame(
+        [(i, int(i % 4 != 0)) for i in range(200)] + [(1, 1), (None, 1), (3, None), (999, 0), (5, 7)],
+        "doc_id long, quality int")
+    again = quality.fit(docs(spark, rows).repartition(7), labels, rows=150)
+    assert np.array_equal(weights, again)
+
+
+def test_rows_of_every_kind(spark, model):
+    weights = model[1]
+    rows = [(1, None), (2, ""), (None, "word"), (4, good(1)), (4, good(1)), (5, good(2) * 500), (6, " \n\t ")]
+    got = quality.score(docs(spark, rows), weights).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r.score for r in got}
+    assert by_id[1] == by_id[2] == by_id[6] == pytest.approx(1 / (1 + np.exp(-weights[-1])))
+    kept = quality.accept(docs(spark, rows), weights, 0.5)
+    assert kept.columns == docs(spark, rows).columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in got if r.score >= 0.5)
+    assert quality.score(docs(spark, []), weights).count() == 0
+
+
+def test_no_labels(spark):
+    weights = quality.fit(docs(spark, [(1, "a")]), spark.createDataFrame([], "doc_id long, quality int"))
+    assert not weights.any()
+
+
+def test_sample_bounds(spark):
+    rows = [(i, "abcd") for i in range(50)] + [(99, "x" * 10_000)]
+    labels = spark.createDataFrame([(i, 1) for i in [*range(50), 99]], "id string, label int")
+    texts = docs(spark, rows).selectExpr("cast(doc_id as string) id", "text")
+    assert quality._sample(texts, labels, 20, 10**9).count() == 20
+    assert quality._sample(texts, labels, 100, 40).count() <= 10
+
+
+def test_features_do_not_depend_on_neighbours():
+    texts = ["Alpha beta beta!!", "", "beta", "Alpha beta beta!!"]
+    _, offsets, data = next(arrow.text_blocks(pa.array(texts)))
+    number, value, first = quality.features(offsets, data)
+    alone = quality.features(*next(arrow.text_blocks(pa.array(texts[:1])))[1:])
+    for r in (0, 3):
+        assert np.array_equal(number[first[r]:first[r + 1]], alone[0])
+        assert np.allclose(value[first[r]:first[r + 1]], alone[1])
+    assert first[1] == first[2] and np.isclose((alone[1]**2).sum(), 1)
