@@ -233,6 +233,6 @@ def to_gold(predicted: DataFrame, model_version: str, run_id: str, now=None) ->
     }).select(schemas.DEMAND_FORECAST.names)
 
 
-def weekly_for(tx: DataFrame, n: int | None = fixed.TOP_N_SKUS) -> DataFrame:
-    """Weekly units of the ``n`` busiest SKUs, or of all SKUs when n is None."""
+def weekly_for(tx: DataFrame, n: int | None = None) -> DataFrame:
+    """Weekly units of all SKUs, or of the ``n`` busiest ones."""
     return weekly_sales(tx, None if n is None else top_skus(tx, n))

@@ -1,28 +1,13 @@
 """Lookup of a fact table in a dimension that may be small or large."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-BROADCAST_ROWS = 1_000_000
-SALTS = 32
 
-
-def fits(dim: DataFrame, max_rows: int) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows; reads no more than that plus one."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup(fact: DataFrame, dim: DataFrame, on: str, salt_by: list[str],
-           max_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
     """``fact`` left join ``dim`` on one column; ``dim`` has one row per key.
 
-    A dimension whose row count is checked to be small is broadcast, so the fact rows do
-    not move. A larger one is joined on (key, salt): every dimension row is repeated once
-    per salt and the fact rows of a hot key spread over that many tasks.
+    Left to Spark on purpose: a dimension whose size is below the broadcast threshold is
+    broadcast and the facts stay; a larger one is shuffled, and adaptive execution splits
+    the fact rows of a hot key, with one copy of its dimension row per part.
     """
-    if fits(dim, max_rows):
-        return fact.join(F.broadcast(dim), on, "left")
-    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted_fact = fact.withColumn(
-        "_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
-    )
-    return salted_fact.join(salted_dim, [on, "_salt"], "left").drop("_salt")
+    return fact.join(dim, on, "left")

@@ -1,47 +1,42 @@
 """Exact ``ntile`` over a whole table without putting the table into one task.
 
 ``ntile`` over a window without PARTITION BY sorts everything in one partition. Only the
-last row of each tile matters, so the distributed form finds those few rows exactly and
-then labels every row by comparing it with them: the labelling is a plain projection.
+last row of each tile matters. A global sort deals the rows by range over all tasks; the
+rows per range tell in which range, and where in it, each of those few rows lies. Every
+row is then labelled by comparing it with them, which is a plain projection.
 """
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
 
-# Up to this many rows the plain window is cheaper, and one task holds them with ease.
-SINGLE_TASK_ROWS = 200_000
-ROWS_PER_CELL = 500_000
+from shopflow.sources import stage
 
+# Of a monotonically increasing id: the bits of the position inside a task.
+POSITION_BITS = 33
 
-def ntile(df: DataFrame, id_col: str, scores: dict, tiles: int,
-          single_task_rows: int = SINGLE_TASK_ROWS, cells: int | None = None) -> DataFrame:
+
+def ntile(df: DataFrame, id_col: str, scores: dict, tiles: int) -> DataFrame:
     """Add one tile column per entry of ``scores``.
 
-    ``scores`` maps the new column to an integer-valued sort column expression, ascending;
-    ``id_col`` is a unique integer that breaks ties. ``df`` is read several times, so pass
-    a stored table. Sort values must stay below 2**53 in size.
+    ``scores`` maps the new column to a sort column expression, ascending, nulls lowest;
+    ``id_col`` is unique and breaks ties. ``df`` is read once per score and once for the
+    result, so pass a stored table.
     """
-    rows = df.count()
-    if rows <= single_task_rows:
-        return df.select(
-            "*",
-            *[
-                F.ntile(tiles).over(Window.orderBy(key, id_col)).alias(name)
-                for name, key in scores.items()
-            ],
-        )
-    cells = cells or min(4096, max(64, rows // ROWS_PER_CELL))
-    edges = _tile_edges(df, id_col, scores, tiles, rows, cells)
-    return df.select("*", *[_tile(scores[s], F.col(id_col), edges[s]).alias(s) for s in scores])
+    edges = {name: _last_rows(df, id_col, key, tiles) for name, key in scores.items()}
+    return df.select("*", *[
+        _tile(key, F.col(id_col), edges[name]).alias(name) for name, key in scores.items()
+    ])
+
+
+def _order(key, id_col):
+    """Structs compare field by field with nulls lowest."""
+    return F.struct(key.alias("key"), id_col.alias("id"))
 
 
 def _tile(key, id_col, edges):
     """1 + the number of tile-ending rows that come before this row."""
     tile = F.lit(1)
-    for value, last_id in edges:
-        after = (key > F.lit(value)) | ((key == F.lit(value)) & (id_col > F.lit(last_id)))
-        tile = tile + after.cast("int")
+    for e in edges:
+        tile = tile + (_order(key, id_col) > F.struct(e[0].alias("key"), e[1].alias("id"))).cast("int")
     return tile
 
 
@@ -52,97 +47,19 @@ def _tile_ends(rows, tiles):
     return [e for e in ends if 0 < e < rows]
 
 
-def _splits(quantiles):
-    """Split points; a value that fills several quantiles gets a cell [v, v + 1) of its own."""
-    heavy = {a for a, b in zip(quantiles, quantiles[1:]) if a == b}
-    points = sorted(set(quantiles) | {v + 1 for v in heavy})
-    splits = [float("-inf"), *points, float("inf")]
-    own_cell = {i for i in range(1, len(splits) - 1) if splits[i] in heavy}
-    return splits, own_cell
-
-
-def _seek(counts, target):
-    """(cell, rank inside it) of the ``target``-th row, given ordered (cell, count) pairs."""
-    before = 0
-    for cell, count in counts:
-        if before + count >= target:
-            return cell, target - before
+def _last_rows(df, id_col, key, tiles):
+    """(key, id) literals of the last row of each tile but the final one."""
+    ranked = stage.table(
+        df.select(key.alias("key"), F.col(id_col).alias("id"))
+        .orderBy(F.asc_nulls_first("key"), "id")
+        .withColumn("place", F.monotonically_increasing_id()), "ranked")
+    # One row per task of the sort.
+    per_task = ranked.groupBy(F.shiftright("place", POSITION_BITS).alias("task")).count().collect()
+    places, before = [], 0
+    ends = _tile_ends(sum(r["count"] for r in per_task), tiles)
+    for task, count in sorted((r.task, r["count"]) for r in per_task):
+        places += [(task << POSITION_BITS) + e - before - 1 for e in ends if before < e <= before + count]
         before += count
-    raise AssertionError("target lies beyond the counted rows")
-
-
-def _tile_edges(df, id_col, scores, tiles, rows, cells):
-    """For every score the (value, id) of each tile's last row, exactly."""
-    names = list(scores)
-    ends = _tile_ends(rows, tiles)
-    if not ends:
-        return {s: [] for s in names}
-    keyed = df.select(
-        F.col(id_col).alias("_id"), *[scores[s].cast("long").alias(s) for s in names]
-    )
-    probs = [i / cells for i in range(1, cells)]
-    quantiles = keyed.approxQuantile([*names, "_id"], probs, 1 / (4 * cells))
-    splits, own_cell = zip(*[_splits(q) for q in quantiles])
-    bucketed = Bucketizer(
-        inputCols=[*names, "_id"],
-        outputCols=[f"_b_{c}" for c in [*names, "_id"]],
-        splitsArray=[list(s) for s in splits],
-    ).transform(keyed)
-
-    # Rows per value cell: at most two cells per quantile and score reach the driver.
-    counted = _count_cells(
-        bucketed,
-        [F.struct(F.lit(i).alias("s"), F.col(f"_b_{s}").cast("int").alias("cell"))
-         for i, s in enumerate(names)],
-    )
-    targets = []
-    for i, s in enumerate(names):
-        per_cell = sorted((r.cell, r["count"]) for r in counted if r.s == i)
-        targets += [(s, own_cell[i], *_seek(per_cell, end)) for end in ends]
-
-    # A heavy value holds many rows; split just those cells by id and seek again.
-    def in_cell(t):
-        return F.col(f"_b_{t[0]}") == t[2]
-
-    heavy = [n for n, t in enumerate(targets) if t[2] in t[1]]
-    if heavy:
-        by_id = _count_cells(
-            bucketed,
-            [F.when(in_cell(targets[n]),
-                    F.struct(F.lit(n).alias("s"), F.col("_b__id").cast("int").alias("cell")))
-             for n in heavy],
-        )
-    wanted = {}
-    picks = []
-    for n, t in enumerate(targets):
-        inside, rank = in_cell(t), t[3]
-        if n in heavy:
-            per_id = sorted((r.cell, r["count"]) for r in by_id if r.s == n)
-            id_cell, rank = _seek(per_id, rank)
-            inside = inside & (F.col("_b__id") == id_cell)
-        wanted[n] = rank
-        picks.append(F.when(inside, F.struct(
-            F.lit(n).alias("n"), F.lit(rank).alias("rank"),
-            F.col(t[0]).alias("value"), F.col("_id").alias("id"))))
-    # Only the rows of the target cells are ordered: about rows / cells for each.
-    window = Window.partitionBy("n").orderBy("value", "id")
-    found = (
-        bucketed.select(F.explode(F.array_compact(F.array(*picks))).alias("p"))
-        .select("p.*")
-        .withColumn("_rn", F.row_number().over(window))
-        .where("_rn = rank")
-        .collect()
-    )
-    edges = {s: [] for s in names}
-    for r in sorted(found, key=lambda r: r.n):
-        edges[targets[r.n][0]].append((r.value, r.id))
-    return edges
-
-
-def _count_cells(bucketed, structs):
-    return (
-        bucketed.select(F.explode(F.array_compact(F.array(*structs))).alias("c"))
-        .groupBy("c.s", "c.cell")
-        .count()
-        .collect()
-    )
+    found = ranked.where(F.col("place").isin(places)).orderBy("place").collect() if places else []
+    types = dict(ranked.dtypes)
+    return [[F.lit(r[c]).cast(types[c]) for c in ("key", "id")] for r in found]

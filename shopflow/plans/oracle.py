@@ -181,68 +181,20 @@ FROM split_all GROUP BY stock_code""",
     "series_holdout": """
 SELECT s.* FROM split_all s JOIN train_weeks USING (stock_code)
 WHERE train_weeks >= 8 AND stock_code IN (SELECT stock_code FROM top_skus)""",
+    "series_holdall": """
+SELECT s.* FROM split_all s JOIN train_weeks USING (stock_code) WHERE train_weeks >= 8""",
     "series_refit": """
 SELECT s.stock_code, week_start, units_sold, week_no, true AS is_train
 FROM split_all s JOIN train_weeks USING (stock_code) WHERE train_weeks >= 8""",
 
-    "line_holdout": """
-SELECT stock_code, n, slope, (sy - slope * st) / n AS intercept, greatest(sy / n * 0.1, 1e-6) AS floor_level
-FROM (SELECT *, CASE WHEN n * stt - st * st <> 0
-        THEN CAST(n * sty - st * sy AS DOUBLE) / (n * stt - st * st) ELSE 0.0 END AS slope
-  FROM (SELECT stock_code, count(*) AS n, CAST(sum(week_no) AS DOUBLE) AS st,
-               CAST(sum(units_sold) AS DOUBLE) AS sy, CAST(sum(week_no * units_sold) AS DOUBLE) AS sty,
-               CAST(sum(CAST(week_no AS BIGINT) * week_no) AS DOUBLE) AS stt
-        FROM series_holdout WHERE is_train GROUP BY stock_code))""",
-    "trend_holdout": """
-SELECT s.*, month(week_start) AS m, greatest(intercept + slope * week_no, floor_level) AS trend
-FROM series_holdout s JOIN line_holdout l ON l.stock_code = s.stock_code""",
-    "month_holdout": """
-SELECT stock_code, m, avg(units_sold / trend) AS ratio FROM trend_holdout WHERE is_train GROUP BY stock_code, m""",
-    "scale_holdout": """
-SELECT stock_code, CASE WHEN mean > 0 THEN mean ELSE 1.0 END AS scale FROM (
-  SELECT stock_code, (sum(ratio) + 12 - count(*)) / 12 AS mean FROM month_holdout GROUP BY stock_code)""",
-    "yhat_holdout": """
-SELECT t.*, greatest(trend * coalesce(ratio, 1.0) / scale, 0.0) AS yhat
-FROM trend_holdout t JOIN scale_holdout c ON c.stock_code = t.stock_code
-LEFT JOIN month_holdout i ON i.stock_code = t.stock_code AND i.m = t.m""",
-    "param_holdout": """
-SELECT l.stock_code, n, slope, intercept, floor_level, scale, sigma, last_week, last_week_no
-FROM line_holdout l JOIN scale_holdout c ON c.stock_code = l.stock_code
-JOIN (SELECT stock_code, stddev_pop(units_sold - yhat) FILTER (WHERE is_train) AS sigma,
-             max(week_start) AS last_week, max(week_no) AS last_week_no
-      FROM yhat_holdout GROUP BY stock_code) y ON y.stock_code = l.stock_code""",
-
-    "line_refit": """
-SELECT stock_code, n, slope, (sy - slope * st) / n AS intercept, greatest(sy / n * 0.1, 1e-6) AS floor_level
-FROM (SELECT *, CASE WHEN n * stt - st * st <> 0
-        THEN CAST(n * sty - st * sy AS DOUBLE) / (n * stt - st * st) ELSE 0.0 END AS slope
-  FROM (SELECT stock_code, count(*) AS n, CAST(sum(week_no) AS DOUBLE) AS st,
-               CAST(sum(units_sold) AS DOUBLE) AS sy, CAST(sum(week_no * units_sold) AS DOUBLE) AS sty,
-               CAST(sum(CAST(week_no AS BIGINT) * week_no) AS DOUBLE) AS stt
-        FROM series_refit WHERE is_train GROUP BY stock_code))""",
-    "trend_refit": """
-SELECT s.*, month(week_start) AS m, greatest(intercept + slope * week_no, floor_level) AS trend
-FROM series_refit s JOIN line_refit l ON l.stock_code = s.stock_code""",
-    "month_refit": """
-SELECT stock_code, m, avg(units_sold / trend) AS ratio FROM trend_refit WHERE is_train GROUP BY stock_code, m""",
-    "scale_refit": """
-SELECT stock_code, CASE WHEN mean > 0 THEN mean ELSE 1.0 END AS scale FROM (
-  SELECT stock_code, (sum(ratio) + 12 - count(*)) / 12 AS mean FROM month_refit GROUP BY stock_code)""",
-    "yhat_refit": """
-SELECT t.*, greatest(trend * coalesce(ratio, 1.0) / scale, 0.0) AS yhat
-FROM trend_refit t JOIN scale_refit c ON c.stock_code = t.stock_code
-LEFT JOIN month_refit i ON i.stock_code = t.stock_code AND i.m = t.m""",
-    "param_refit": """
-SELECT l.stock_code, n, slope, intercept, floor_level, scale, sigma, last_week, last_week_no
-FROM line_refit l JOIN scale_refit c ON c.stock_code = l.stock_code
-JOIN (SELECT stock_code, stddev_pop(units_sold - yhat) FILTER (WHERE is_train) AS sigma,
-             max(week_start) AS last_week, max(week_no) AS last_week_no
-      FROM yhat_refit GROUP BY stock_code) y ON y.stock_code = l.stock_code""",
-
     "backtest": """
 SELECT stock_code, avg(abs(units_sold - yhat)) AS mae,
        avg(abs(units_sold - yhat) / greatest(abs(units_sold + 1e-6), 2.220446049250313e-16)) AS mape
 FROM yhat_holdout WHERE NOT is_train GROUP BY stock_code""",
+    "backtest_all": """
+SELECT stock_code, avg(abs(units_sold - yhat)) AS mae,
+       avg(abs(units_sold - yhat) / greatest(abs(units_sold + 1e-6), 2.220446049250313e-16)) AS mape
+FROM yhat_holdall WHERE NOT is_train GROUP BY stock_code""",
     "future": """
 SELECT stock_code, forecast_date, greatest(point, 0.0) AS predicted_units,
        greatest(point - 1.2815515655446004 * sigma, 0.0) AS lower_bound_80,
@@ -305,6 +257,51 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 }
 
 
+# A fit on a series table, step by step; ``{fit}`` tells the fits apart.
+FIT = {
+    "line_{fit}": """
+SELECT stock_code, n, slope, (sy - slope * st) / n AS intercept, greatest(sy / n * 0.1, 1e-6) AS floor_level
+FROM (SELECT *, CASE WHEN n * stt - st * st <> 0
+        THEN CAST(n * sty - st * sy AS DOUBLE) / (n * stt - st * st) ELSE 0.0 END AS slope
+  FROM (SELECT stock_code, count(*) AS n, CAST(sum(week_no) AS DOUBLE) AS st,
+               CAST(sum(units_sold) AS DOUBLE) AS sy, CAST(sum(week_no * units_sold) AS DOUBLE) AS sty,
+               CAST(sum(CAST(week_no AS BIGINT) * week_no) AS DOUBLE) AS stt
+        FROM series_{fit} WHERE is_train GROUP BY stock_code))""",
+    "trend_{fit}": """
+SELECT s.*, month(week_start) AS m, greatest(intercept + slope * week_no, floor_level) AS trend
+FROM series_{fit} s JOIN line_{fit} l ON l.stock_code = s.stock_code""",
+    "month_{fit}": """
+SELECT stock_code, m, avg(units_sold / trend) AS ratio FROM trend_{fit} WHERE is_train GROUP BY stock_code, m""",
+    "scale_{fit}": """
+SELECT stock_code, CASE WHEN mean > 0 THEN mean ELSE 1.0 END AS scale FROM (
+  SELECT stock_code, (sum(ratio) + 12 - count(*)) / 12 AS mean FROM month_{fit} GROUP BY stock_code)""",
+    "yhat_{fit}": """
+SELECT t.*, greatest(trend * coalesce(ratio, 1.0) / scale, 0.0) AS yhat
+FROM trend_{fit} t JOIN scale_{fit} c ON c.stock_code = t.stock_code
+LEFT JOIN month_{fit} i ON i.stock_code = t.stock_code AND i.m = t.m""",
+    "param_{fit}": """
+SELECT l.stock_code, n, slope, intercept, floor_level, scale, sigma, last_week, last_week_no
+FROM line_{fit} l JOIN scale_{fit} c ON c.stock_code = l.stock_code
+JOIN (SELECT stock_code, stddev_pop(units_sold - yhat) FILTER (WHERE is_train) AS sigma,
+             max(week_start) AS last_week, max(week_no) AS last_week_no
+      FROM yhat_{fit} GROUP BY stock_code) y ON y.stock_code = l.stock_code""",
+}
+
+
+def _with_fits(ctes):
+    """The fit's steps for every series, each right after the last table it needs."""
+    out = {}
+    for name, body in ctes.items():
+        out[name] = body
+        if name.startswith("series_"):
+            fit = name.removeprefix("series_")
+            out |= {k.format(fit=fit): v.format(fit=fit) for k, v in FIT.items()}
+    return out
+
+
+CTES = _with_fits(CTES)
+
+
 def needed(sql: str) -> list[str]:
     """CTEs a text uses, with those they use in turn, in definition order."""
     import re
@@ -409,16 +406,23 @@ FROM param_refit p CROSS JOIN (SELECT unnest(generate_series(1, 12)) AS k)
 LEFT JOIN month_refit i ON i.stock_code = p.stock_code AND i.m = k""",
     "forecast_backtest": """
 SELECT stock_code, round(mae, 6) AS mae, round(mape, 4) AS mape FROM backtest""",
+    "forecast_backtest_all": """
+SELECT stock_code, round(mae, 6) AS mae, round(mape, 4) AS mape FROM backtest_all""",
+    "forecast_metrics_all": """
+SELECT round(avg(mae), 6) AS mean_mae, round(avg(mape), 4) AS mean_mape, count(*) AS n_skus_trained
+FROM backtest_all""",
     "forecast_metrics": """
 SELECT round(avg(mae), 6) AS mean_mae, round(avg(mape), 4) AS mean_mape, count(*) AS n_skus_trained
 FROM backtest""",
     "demand_forecast": """
 SELECT stock_code, forecast_date, round(predicted_units, 6) AS predicted_units,
-       round(lower_bound_80, 6) AS lower_bound_80, round(upper_bound_80, 6) AS upper_bound_80
+       round(lower_bound_80, 6) AS lower_bound_80, round(upper_bound_80, 6) AS upper_bound_80,
+       '1' AS model_version, 'run' AS run_id, TIMESTAMP '2024-01-31 00:00:00' AS generated_at
 FROM future WHERE stock_code IN (SELECT stock_code FROM top_skus)""",
     "demand_forecast_all": """
 SELECT stock_code, forecast_date, round(predicted_units, 6) AS predicted_units,
-       round(lower_bound_80, 6) AS lower_bound_80, round(upper_bound_80, 6) AS upper_bound_80
+       round(lower_bound_80, 6) AS lower_bound_80, round(upper_bound_80, 6) AS upper_bound_80,
+       '1' AS model_version, 'run' AS run_id, TIMESTAMP '2024-01-31 00:00:00' AS generated_at
 FROM future""",
     "customer_keys": "SELECT DISTINCT customer_id FROM tx WHERE customer_id IS NOT NULL",
     "modal_country": """
@@ -513,10 +517,11 @@ SELECT invoice_no, stock_code, description, quantity, invoice_date,
 WHERE invoice_date IS NOT NULL AND stock_code IS NOT NULL""",
     "conform_types": """
 SELECT invoice_no, stock_code, description, quantity, invoice_date,
-       CAST(price AS DECIMAL(10,2)) AS unit_price, customer_id, country FROM extract WHERE status = 'O'""",
+       CAST(price AS DECIMAL(10,2)) AS unit_price, customer_id, country FROM extract""",
     "table_counts": """
 SELECT 'transactions' AS table_name, count(*) AS row_count FROM tx
-UNION ALL SELECT 'customers', count(*) FROM cust UNION ALL SELECT 'products', count(*) FROM prod""",
+UNION ALL SELECT 'customers', count(*) FROM cust UNION ALL SELECT 'products', count(*) FROM prod
+UNION ALL SELECT 'stores', 12 UNION ALL SELECT 'pipeline_watermarks', 2""",
     "transaction_profile": """
 SELECT count(*) AS row_count, min(invoice_date) AS first_date, max(invoice_date) AS last_date,
        count(DISTINCT customer_id) AS customers, count(DISTINCT stock_code) AS skus,
@@ -524,11 +529,11 @@ SELECT count(*) AS row_count, min(invoice_date) AS first_date, max(invoice_date)
        CAST(sum(CASE WHEN invoice_no LIKE 'C%' THEN 1 ELSE 0 END) AS BIGINT) AS cancelled_lines FROM tx""",
     "contract_violations": """
 SELECT 'invoice_no' AS column_name, count(*) FILTER (WHERE invoice_no IS NULL) AS null_rows
-FROM extract WHERE status = 'O'
-UNION ALL SELECT 'stock_code', count(*) FILTER (WHERE stock_code IS NULL) FROM extract WHERE status = 'O'
-UNION ALL SELECT 'quantity', count(*) FILTER (WHERE quantity IS NULL) FROM extract WHERE status = 'O'
-UNION ALL SELECT 'invoice_date', count(*) FILTER (WHERE invoice_date IS NULL) FROM extract WHERE status = 'O'
-UNION ALL SELECT 'unit_price', count(*) FILTER (WHERE price IS NULL) FROM extract WHERE status = 'O'""",
+FROM extract
+UNION ALL SELECT 'stock_code', count(*) FILTER (WHERE stock_code IS NULL) FROM extract
+UNION ALL SELECT 'quantity', count(*) FILTER (WHERE quantity IS NULL) FROM extract
+UNION ALL SELECT 'invoice_date', count(*) FILTER (WHERE invoice_date IS NULL) FROM extract
+UNION ALL SELECT 'unit_price', count(*) FILTER (WHERE price IS NULL) FROM extract""",
     "csv_products": """
 SELECT stock_code, description, avg_unit_price, first_listed_date FROM (
   SELECT stock_code, CAST(min(invoice_date) AS DATE) AS first_listed_date,

@@ -131,9 +131,8 @@ def rfm_scores(s):
 
 @register
 def rfm_scores_distributed(s):
-    """The same scores found the way large tables take, without a single-task window."""
-    measures = gold.rfm(s.transactions, adapter.AS_OF)
-    return gold.rfm_scores(measures, single_task_rows=0, cells=32).select(
+    """The same scores from the one-scan customer facts."""
+    return gold.rfm_scores(gold.customer_facts(s.transactions, s.products, adapter.AS_OF)).select(
         "customer_id", "rfm_recency_score", "rfm_frequency_score", "rfm_monetary_score"
     )
 
@@ -249,8 +248,8 @@ def forecast_month_index(s):
     ))
 
 
-def _backtest(s):
-    weekly = forecast.weekly_for(s.stored_transactions)
+def _backtest(s, n=fixed.TOP_N_SKUS):
+    weekly = forecast.weekly_for(s.stored_transactions, n)
     return forecast.backtest(weekly, forecast.fit(weekly, fixed.HOLDOUT_WEEKS))
 
 
@@ -264,15 +263,24 @@ def forecast_metrics(s):
     return _rounded(forecast.metrics(_backtest(s)), mean_mape=4)
 
 
+@register
+def forecast_backtest_all(s):
+    return _rounded(_backtest(s, None), mape=4)
+
+
+@register
+def forecast_metrics_all(s):
+    return _rounded(forecast.metrics(_backtest(s, None)), mean_mape=4)
+
+
 def _forecast(weekly):
     predicted = forecast.predict(forecast.refit(weekly))
-    gold_rows = forecast.to_gold(predicted, "1", "run", adapter.NOW)
-    return _rounded(gold_rows.drop("model_version", "run_id", "generated_at"))
+    return _rounded(forecast.to_gold(predicted, "1", "run", adapter.NOW))
 
 
 @register
 def demand_forecast(s):
-    return _forecast(forecast.weekly_for(s.stored_transactions))
+    return _forecast(forecast.weekly_for(s.stored_transactions, fixed.TOP_N_SKUS))
 
 
 @register
@@ -458,16 +466,22 @@ def normalise_raw(s):
 
 @register
 def conform_types(s):
-    """Text columns cast to the declared types; what does not fit is null."""
-    text = adapter.raw_extract_parts(s.spark, s.sf_dir)[0]
-    named = text.withColumnsRenamed(fixed.RAW_HEADERS)
-    return ingest.conform(named, schemas.RAW_TRANSACTIONS)
+    """Text columns of all parts cast to the declared types; what does not fit is null."""
+    return _conformed(s)
+
+
+def _conformed(s):
+    return contracts.union_all([
+        ingest.conform(part.withColumnsRenamed(fixed.RAW_HEADERS), schemas.RAW_TRANSACTIONS)
+        for part in adapter.raw_extract_parts(s.spark, s.sf_dir)
+    ])
 
 
 @register
 def table_counts(s):
     return ingest.table_counts({
         "transactions": s.raw_transactions, "customers": s.raw_customers, "products": s.raw_products,
+        "stores": dims.stores(s.spark), "pipeline_watermarks": _marks(s),
     })
 
 
@@ -478,10 +492,8 @@ def transaction_profile(s):
 
 @register
 def contract_violations(s):
-    """Nulls in columns the contract requires, in the extract as it came."""
-    text = adapter.raw_extract_parts(s.spark, s.sf_dir)[0]
-    conformed = ingest.conform(text.withColumnsRenamed(fixed.RAW_HEADERS), schemas.RAW_TRANSACTIONS)
-    return contracts.null_violations(conformed, schemas.RAW_TRANSACTIONS)
+    """Nulls in columns the contract requires, in the extract as it came, all parts."""
+    return contracts.null_violations(_conformed(s), schemas.RAW_TRANSACTIONS)
 
 
 @register

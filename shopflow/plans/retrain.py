@@ -26,7 +26,7 @@ def segmentation(spark: SparkSession, lake: Layout, version: str, run_id: str, n
 
 
 def demand_forecast(spark: SparkSession, lake: Layout, version: str, run_id: str,
-                    n: int | None = fixed.TOP_N_SKUS, now=None) -> DataFrame:
+                    n: int | None = None, now=None) -> DataFrame:
     """Write forecast, parameters and skipped SKUs; return the run rows."""
     weekly = stage.table(forecast.weekly_for(pipeline.transactions(spark, lake), n), "weekly-sales")
     ingest.full_refresh(forecast.refit(weekly), lake.table("ml", "forecast_params"))
@@ -57,7 +57,7 @@ def validation(spark: SparkSession, lake: Layout, thresholds: DataFrame | None =
 
 
 def run(spark: SparkSession, lake: Layout, version: str, run_id: str,
-        n_skus: int | None = fixed.TOP_N_SKUS, thresholds: DataFrame | None = None,
+        n_skus: int | None = None, thresholds: DataFrame | None = None,
         now=None) -> DataFrame:
     """All three steps. Returns the verdict per model; a failing model stops nothing."""
     rows = segmentation(spark, lake, version, run_id, now).unionByName(

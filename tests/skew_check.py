@@ -91,9 +91,11 @@ def main():
     ), "products")
     cancelled = tx.limit(0).select("invoice_no", "invoice_date")
 
-    def salted():
+    def shuffled():
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-        return joins.lookup(tx, products, "stock_code", ["unit_price", "quantity"], max_rows=1)
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1m")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+        return joins.lookup(tx, products, "stock_code")
 
     jobs = {
         "silver.transactions": lambda: silver.transactions(raw),
@@ -104,7 +106,7 @@ def main():
         "dims.product_dimension": lambda: dims.product_dimension(tx),
         "dims.preferred_store": lambda: dims.preferred_store(tx, dims.stores(spark)),
         "ingest.profile": lambda: ingest.profile_transactions(tx),
-        "joins.lookup salted": salted,
+        "joins.lookup shuffled": shuffled,
     }
     for name, job in jobs.items():
         spark.sparkContext.setLocalProperty("operator", name)

@@ -50,20 +50,33 @@ def test_no_cross_joins(spark, name):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_large_dimension_is_joined_on_key_and_salt(spark):
-    fact = spark.range(4000).select((F.col("id") % 2).cast("string").alias("k"), "id")
-    dim = spark.createDataFrame([("0", 1), ("9", 2)], "k string, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    made = joins.lookup(fact, dim, "k", ["id"], max_rows=1, salts=16)
+def test_large_dimension_is_shuffled_and_a_hot_key_split(spark):
+    fact = spark.range(400_000).select(
+        F.when(F.col("id") % 3 > 0, "0").otherwise(F.col("id").cast("string")).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    dim = spark.range(50_000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("d"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    made = joins.lookup(fact, dim, "k")
+    assert made.count() == 400_000 and made.where("d IS NOT NULL").count() > 260_000
+    made.collect()
     plan = plan_of(made)
-    rows = made.groupBy("v").count().collect()
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "hashpartitioning(k" in plan and "_salt" in plan and "Broadcast" not in plan
-    assert {tuple(r) for r in rows} == {(1, 2000), (None, 2000)}
+    for k in conf:
+        spark.conf.unset(k)
+    assert "skew=true" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("name", ["rfm_scores", "customer_360"])
+def test_scores_need_no_single_partition(spark, name):
+    assert "SinglePartition" not in plan_of(QUERIES[name](spark, SF))
 
 
 def test_small_dimension_moves_no_facts(spark):
     fact = spark.range(4000).select((F.col("id") % 2).cast("string").alias("k"), "id")
     dim = spark.createDataFrame([("0", 1)], "k string, v int")
-    plan = plan_of(joins.lookup(fact, dim, "k", ["id"]))
+    plan = plan_of(joins.lookup(fact, dim, "k"))
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

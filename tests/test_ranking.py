@@ -4,35 +4,46 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shopflow.operators import ranking
+from shopflow.operators import gold, ranking
+from shopflow.sources import stage
 
 
-def same_as_window(df, scores, tiles, cells):
-    made = ranking.ntile(df, "id", scores, tiles, single_task_rows=0, cells=cells)
+def same_as_window(df, scores, tiles):
+    made = ranking.ntile(df, "id", scores, tiles)
     for name, key in scores.items():
-        made = made.withColumn(f"want_{name}", F.ntile(tiles).over(Window.orderBy(key, "id")))
-    wrong = sum(made.where(F.col(s) != F.col(f"want_{s}")).count() for s in scores)
-    return wrong == 0
+        made = made.withColumn(f"want_{name}", F.ntile(tiles).over(Window.orderBy(F.asc_nulls_first(key), "id")))
+    return sum(made.where(F.col(s) != F.col(f"want_{s}")).count() for s in scores) == 0
 
 
-@pytest.mark.parametrize("n", [1, 3, 4, 5, 6, 11, 1003])
-@pytest.mark.parametrize("cells", [2, 7, 40])
-def test_distributed_ntile_equals_the_window(spark, n, cells):
-    rng = random.Random(n * 100 + cells)
-    ids = rng.sample(range(10 * n), n)
-    rows = [(i, rng.choice([1, 1, 1, 2, 3]), rng.randint(-10**9, 10**9), rng.randint(0, 30)) for i in ids]
-    df = spark.createDataFrame(rows, "id long, heavy long, spread long, some long").cache()
-    scores = {"a": F.col("heavy"), "b": -F.col("spread"), "c": F.col("some")}
-    assert same_as_window(df, scores, 5, cells)
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 6, 20, 1003])
+def test_ntile_equals_the_window(spark, n):
+    rng = random.Random(n)
+    ids = rng.sample(range(10 * n + 1), n)
+    rows = [(i, rng.choice([1, 1, 1, None, 3]), rng.randint(-10**9, 10**9), rng.choice([None, 0.5, 2.5])) for i in ids]
+    df = spark.createDataFrame(rows, "id long, heavy long, spread long, some double").cache()
+    assert same_as_window(df, {"a": F.col("heavy"), "b": -F.col("spread"), "c": F.col("some")}, 5)
+
+
+def test_many_rows_with_nulls_and_one_heavy_value(spark):
+    value = F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 3 == 0, 5).otherwise(F.hash("id") % 1000)
+    df = stage.table(spark.range(300_000).withColumn("v", value.cast("long")), "many")
+    assert same_as_window(df, {"s": F.col("v")}, 5)
 
 
 def test_one_value_for_all_rows(spark):
-    df = spark.range(500).withColumn("v", F.lit(7))
-    assert same_as_window(df, {"s": F.col("v")}, 5, 16)
+    assert same_as_window(spark.range(500).withColumn("v", F.lit(7)), {"s": F.col("v")}, 5)
 
 
-def test_large_path_has_no_single_partition_exchange(spark):
-    df = spark.range(2000).withColumn("v", F.col("id") % 17).cache()
-    made = ranking.ntile(df, "id", {"s": F.col("v")}, 5, single_task_rows=0, cells=16)
-    plan = made._jdf.queryExecution().executedPlan().toString()
+def test_no_task_holds_the_whole_table(spark):
+    df = stage.table(spark.range(2000).withColumn("v", F.col("id") % 17), "some")
+    plan = ranking.ntile(df, "id", {"s": F.col("v")}, 5)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_scores_of_null_measures(spark):
+    rows = [(i, None if i % 4 == 0 else i, i, None) for i in range(20)]
+    measures = spark.createDataFrame(
+        rows, "customer_id long, days_since_last_purchase int, total_orders long, total_revenue_lifetime decimal(14,2)")
+    got = {r.customer_id: r for r in gold.rfm_scores(measures).collect()}
+    assert got[0].rfm_recency_score == 1 and got[19].rfm_frequency_score == 5
+    assert [got[i].rfm_monetary_score for i in range(20)] == [1 + i // 4 for i in range(20)]
