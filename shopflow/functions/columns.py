@@ -55,8 +55,9 @@ def failed_rules(rules: dict) -> Column:
 
 
 def whole_number(text, dtype) -> Column:
-    """Text as an integer type, null when it is none; "12.0" counts, as in a numeric parse."""
-    return F.col(text).try_cast("decimal(38,4)").try_cast(dtype)
+    """Text as an integer type, null when it is none; "12.0" counts, "12.7" does not."""
+    number = F.col(text).try_cast("decimal(38,4)")
+    return F.when(number == F.floor(number), number.try_cast(dtype))
 
 
 def currency_of(country="country") -> Column:

@@ -45,10 +45,15 @@ def latest_version(runs: DataFrame) -> DataFrame:
 
 
 def validate(runs: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Judge each model's latest version. A missing version or metric is a failure."""
-    values = runs.where("kind = 'metric'").select(
-        "model", "run_id", F.col("key").alias("metric"), F.col("value").try_cast("double").alias("value")
-    )
+    """Judge each model's latest version, one row per threshold.
+
+    Of a metric that a run logged several times the newest value counts. A missing version
+    or metric is a failure.
+    """
+    logged = runs.where("kind = 'metric'").select(
+        "model", "run_id", F.col("key").alias("metric"), "logged_at",
+        F.col("value").try_cast("double").alias("value"))
+    values = dedupe.last_per_key(logged, ["model", "run_id", "metric"], ["logged_at"]).drop("logged_at")
     judged = thresholds.join(latest_version(runs), "model", "left").join(
         values, ["model", "run_id", "metric"], "left"
     )
@@ -57,11 +62,9 @@ def validate(runs: DataFrame, thresholds: DataFrame) -> DataFrame:
         .when(F.col("op") == "<=", F.col("value") <= F.col("threshold"))
     )
     error = F.when(
-        F.col("version").isNull(),
-        F.format_string("No versions found for model '%s'", "model"),
+        F.col("version").isNull(), F.concat(F.lit("model "), "model", F.lit(" was never run")),
     ).when(
-        F.col("value").isNull(),
-        F.format_string("Metric '%s' not found in run %s.", "metric", "run_id"),
+        F.col("value").isNull(), F.concat(F.lit("run "), "run_id", F.lit(" has no number for "), "metric"),
     )
     return judged.select(
         "model", "version", "run_id", "metric", "op", "threshold", "value",
@@ -69,9 +72,15 @@ def validate(runs: DataFrame, thresholds: DataFrame) -> DataFrame:
     )
 
 
+def verdicts(validated: DataFrame) -> DataFrame:
+    """One row per model: it passes when all its thresholds are met."""
+    return validated.groupBy("model").agg(
+        F.max("version").alias("version"), F.bool_and("passed").alias("passed"))
+
+
 def promote(champions: DataFrame, validated: DataFrame, now=None) -> DataFrame:
     """Point each passing model's champion at its version; keep the pointer of the others."""
-    passing = validated.where("passed").select(
+    passing = verdicts(validated).where("passed").select(
         "model", F.lit("champion").alias("alias"), "version", C.stamp(now).alias("promoted_at")
     )
     both = champions.withColumn("_new", F.lit(0)).unionByName(passing.withColumn("_new", F.lit(1)))
@@ -79,9 +88,16 @@ def promote(champions: DataFrame, validated: DataFrame, now=None) -> DataFrame:
 
 
 def summary(validated: DataFrame) -> DataFrame:
-    """Whether all models passed, and how many did not."""
-    return validated.agg(
+    """Whether all models passed, and how many did and did not."""
+    return verdicts(validated).agg(
         F.coalesce(F.bool_and("passed"), F.lit(True)).alias("all_passed"),
         F.count_if("passed").alias("passed_models"),
         F.count_if(~F.col("passed")).alias("failed_models"),
     )
+
+
+def replace_run(stored: DataFrame | None, rows: DataFrame, run_id: str) -> DataFrame:
+    """The run table with the rows of one run, in place of what it logged before."""
+    if stored is None:
+        return rows
+    return stored.where(F.col("run_id") != run_id).unionByName(rows)

@@ -82,6 +82,17 @@ def predict(standardised: DataFrame, centres: list[list[float]]) -> DataFrame:
     return standardised.withColumn("cluster_id", F.array_min(F.array(*distances))["cluster_id"])
 
 
+def cost(assigned: DataFrame) -> DataFrame:
+    """Sum of squared distances of all customers to the mean of their cluster."""
+    moments = assigned.groupBy("cluster_id").agg(
+        F.sum("n").alias("n"),
+        *[F.sum(F.col("n") * F.col(z)).alias(f"s_{z}") for z in Z],
+        F.sum(F.col("n") * sum(F.col(z) ** 2 for z in Z)).alias("squares"),
+    )
+    spread = F.col("squares") - sum(F.col(f"s_{z}") ** 2 for z in Z) / F.col("n")
+    return moments.agg(F.sum(spread).alias("cost"))
+
+
 def silhouette(assigned: DataFrame) -> DataFrame:
     """Mean Euclidean silhouette over all customers, exactly, from the histogram.
 

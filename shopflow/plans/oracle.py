@@ -158,6 +158,15 @@ SELECT report_date, total_revenue, total_orders, unique_customers, total_units_s
             AS DECIMAL(9,0)) / 10000 AS DECIMAL(9,4)) AS cancellation_rate
 FROM daily LEFT JOIN new_returning USING (report_date)
 LEFT JOIN daily_cancelled USING (report_date) LEFT JOIN top_category USING (report_date)""",
+    "product_dimension": """
+SELECT stock_code, description, avg_unit_price, first_listed_date FROM (
+  SELECT stock_code, CAST(min(invoice_date) AS DATE) AS first_listed_date,
+         CAST(CAST((2 * CAST(sum(unit_price) * 100 AS BIGINT) + count(*)) // (2 * count(*))
+              AS DECIMAL(12,0)) / 100 AS DECIMAL(10,2)) AS avg_unit_price
+  FROM tx WHERE length(stock_code) <= 10 GROUP BY stock_code)
+JOIN (SELECT stock_code, description, row_number() OVER (
+        PARTITION BY stock_code ORDER BY count(*) DESC, description) AS rn
+      FROM tx GROUP BY stock_code, description) USING (stock_code) WHERE rn = 1""",
     "top_skus": """
 SELECT stock_code, count(*) AS tx_count FROM silver GROUP BY stock_code
 ORDER BY tx_count DESC, stock_code LIMIT 50""",
@@ -430,15 +439,7 @@ SELECT customer_id, country FROM (
   SELECT customer_id, country, row_number() OVER (
     PARTITION BY customer_id ORDER BY count(*) DESC, country) AS rn
   FROM tx WHERE customer_id IS NOT NULL GROUP BY customer_id, country) WHERE rn = 1""",
-    "product_dimension": """
-SELECT stock_code, description, avg_unit_price, first_listed_date FROM (
-  SELECT stock_code, CAST(min(invoice_date) AS DATE) AS first_listed_date,
-         CAST(CAST((2 * CAST(sum(unit_price) * 100 AS BIGINT) + count(*)) // (2 * count(*))
-              AS DECIMAL(12,0)) / 100 AS DECIMAL(10,2)) AS avg_unit_price
-  FROM tx WHERE length(stock_code) <= 10 GROUP BY stock_code)
-JOIN (SELECT stock_code, description, row_number() OVER (
-        PARTITION BY stock_code ORDER BY count(*) DESC, description) AS rn
-      FROM tx GROUP BY stock_code, description) USING (stock_code) WHERE rn = 1""",
+    "product_dimension": "SELECT * FROM product_dimension",
     "preferred_store": """
 SELECT customer_id, CASE country WHEN 'United Kingdom' THEN 'UK-001' WHEN 'Germany' THEN 'DE-001'
          WHEN 'France' THEN 'FR-001' WHEN 'EIRE' THEN 'IE-001' WHEN 'Australia' THEN 'AU-001'
@@ -534,15 +535,7 @@ UNION ALL SELECT 'stock_code', count(*) FILTER (WHERE stock_code IS NULL) FROM e
 UNION ALL SELECT 'quantity', count(*) FILTER (WHERE quantity IS NULL) FROM extract
 UNION ALL SELECT 'invoice_date', count(*) FILTER (WHERE invoice_date IS NULL) FROM extract
 UNION ALL SELECT 'unit_price', count(*) FILTER (WHERE price IS NULL) FROM extract""",
-    "csv_products": """
-SELECT stock_code, description, avg_unit_price, first_listed_date FROM (
-  SELECT stock_code, CAST(min(invoice_date) AS DATE) AS first_listed_date,
-         CAST(CAST((2 * CAST(sum(unit_price) * 100 AS BIGINT) + count(*)) // (2 * count(*))
-              AS DECIMAL(12,0)) / 100 AS DECIMAL(10,2)) AS avg_unit_price
-  FROM tx WHERE length(stock_code) <= 10 GROUP BY stock_code)
-JOIN (SELECT stock_code, description, row_number() OVER (
-        PARTITION BY stock_code ORDER BY count(*) DESC, description) AS rn
-      FROM tx GROUP BY stock_code, description) USING (stock_code) WHERE rn = 1""",
+    "csv_products": "SELECT * FROM product_dimension",
     "land_snapshot": "SELECT * EXCLUDE (ingested_at) FROM cust",
     "stream_bronze": "SELECT * FROM tx",
     "stream_dedupe_keys": "SELECT invoice_no, stock_code FROM silver",
@@ -553,6 +546,42 @@ SELECT invoice_no, stock_code, quantity, route,
        CASE route WHEN 'cancelled' THEN substr(invoice_no, 2)
                   WHEN 'quarantine' THEN 'customer_id IS NULL' ELSE 'quantity_positive' END AS reason
 FROM routed WHERE route <> 'valid'""",
+    "stream_scd1_backlog": """
+SELECT customer_id, full_name, email, loyalty_tier, is_wholesaler, marketing_opt_in FROM customers""",
+    "products_backlog": """
+SELECT stock_code, trim(description) AS description,
+       CASE WHEN category IS NULL OR trim(category) = '' THEN 'Uncategorized' ELSE category END AS category,
+       avg_unit_price
+FROM (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY day DESC) AS rn FROM (
+        SELECT stock_code, description, 'EARLIER' AS category,
+               CAST(avg_unit_price + 1 AS DECIMAL(10,2)) AS avg_unit_price, 1 AS day FROM prod
+        UNION ALL SELECT stock_code, description, category, avg_unit_price, 2 FROM prod)
+      WHERE avg_unit_price > 0) WHERE rn = 1""",
+    "stream_products": """
+SELECT stock_code, CAST(avg_unit_price + 1 AS DECIMAL(10,2)) AS avg_unit_price, DATE '2001-08-01' AS snapshot_date
+FROM prod UNION ALL SELECT stock_code, avg_unit_price, DATE '2001-08-02' FROM prod""",
+    "stream_lineage": """
+SELECT CASE WHEN invoice_date <= TIMESTAMP '1998-07-01 00:00:00' THEN '1998-07-02' ELSE '2001-08-02' END AS run_date,
+       count(*) AS row_count, count(*) AS stamped_rows FROM tx GROUP BY 1""",
+    "snapshot_products": "SELECT * FROM prod",
+    "snapshot_customers": """
+SELECT * EXCLUDE (ingested_at) FROM cust WHERE ingested_at = TIMESTAMP '2001-08-02 00:00:00'""",
+    "full_refresh_table": """
+SELECT * FROM product_dimension""",
+    "run_records": """
+SELECT 'demand_forecast' AS model, '1' AS version, 'run' AS run_id, kind, key, value,
+       TIMESTAMP '2024-01-31 00:00:00' AS logged_at
+FROM (SELECT 'param' AS kind, 'n_skus' AS key, 'all' AS value
+      UNION ALL SELECT 'param', 'forecast_horizon_weeks', '12'
+      UNION ALL SELECT 'metric', 'n_skus_trained', CAST(count(*) AS VARCHAR) FROM backtest_all)""",
+    "kmeans_check": """
+SELECT count(*) AS customers, CAST(4 AS BIGINT) AS clusters, CAST(4 AS BIGINT) AS labels, true AS not_worse
+FROM c360 WHERE rfm_recency_score IS NOT NULL""",
+    "gate_promote": """
+SELECT 'segmentation' AS model, 'champion' AS alias, '1' AS version, CAST(NULL AS TIMESTAMP) AS promoted_at,
+       silhouette_score >= 1.1 AS passed FROM silhouette
+UNION ALL SELECT 'demand_forecast', 'champion', '10', TIMESTAMP '2024-01-31 00:00:00', avg(mape) >= 0 FROM backtest_all
+UNION ALL SELECT 'kept', 'champion', '7', NULL, false""",
     "stream_scd1": """
 SELECT customer_id, full_name, email, loyalty_tier, is_wholesaler, marketing_opt_in FROM customers""",
 }

@@ -412,6 +412,35 @@ def gate_summary(s):
     return gate.summary(gate.validate(_runs(s), gate.default_thresholds(s.spark)))
 
 
+@register
+def gate_promote(s):
+    """Champions after a gate with several thresholds, a repeated run and a failing version.
+
+    ``segmentation`` logged its run twice, the newer value is the real one, and meets one
+    of two thresholds; ``demand_forecast`` meets its only one; ``other`` has a newest
+    version without the metric; ``kept`` was never run and keeps its pointer.
+    """
+    silhouette = segment.silhouette(_fixed_model(s)[1])
+    errors = forecast.metrics(_backtest(s, None)).select("mean_mape")
+    stale = F.lit(adapter.NOW).cast("timestamp") - F.expr("INTERVAL 1 DAY")
+    runs = contracts.union_all([
+        gate.metric_rows("segmentation", "2", "run-2", silhouette, adapter.NOW),
+        gate.record_run(s.spark, "segmentation", "2", "run-2", {}, {"silhouette_score": 9.0}, stale),
+        gate.record_run(s.spark, "segmentation", "1", "run-1", {}, {"silhouette_score": 0.9}, stale),
+        gate.metric_rows("demand_forecast", "10", "run-10", errors, adapter.NOW),
+        gate.record_run(s.spark, "other", "3", "run-3", {"n": 1}, {}, adapter.NOW),
+        gate.record_run(s.spark, "other", "2", "run-2", {}, {"score": 1.0}, stale),
+    ])
+    thresholds = s.spark.createDataFrame([
+        ("segmentation", "silhouette_score", ">=", 0.0), ("segmentation", "silhouette_score", ">=", 1.1),
+        ("demand_forecast", "mean_mape", ">=", 0.0), ("other", "score", ">=", 0.5), ("kept", "score", ">=", 0.5),
+    ], schemas.THRESHOLDS)
+    champions = s.spark.createDataFrame(
+        [("segmentation", "champion", "1", None), ("kept", "champion", "7", None)], gate.CHAMPIONS)
+    judged = gate.validate(runs, thresholds)
+    return gate.promote(champions, judged, adapter.NOW).join(gate.verdicts(judged).select("model", "passed"), "model")
+
+
 @register
 def recent_errors(s):
     found = monitor.recent_errors(s.event_log, adapter.NOW, 720, 10, ("ERROR", "WARN"))
@@ -578,3 +607,105 @@ def stream_scd1(s):
             valid, f"{base}/table", schema, ["customer_id"], ["_ingested_at"], f"{base}/checkpoint"
         )
     return versioned.current(s.spark, f"{base}/table", schema).drop("_ingested_at")
+
+
+@register
+def stream_scd1_backlog(s):
+    """Two snapshots that wait for one drain; the later run date wins."""
+    base = stage.new_path(s.spark, "scd1")
+    snapshots = [df.drop("_ingested_at") for df in adapter.customer_snapshots(s.spark, s.sf_dir)]
+    for day, rows in zip(("2001-08-01", "2001-08-02"), snapshots):
+        ingest.land_parquet(rows, f"{base}/landing", day)
+    waiting = ingest.with_snapshot_date(
+        ingest.scan_stream(s.spark, f"{base}/landing", snapshots[0].schema))
+    valid = silver.route_customers(waiting).valid
+    stream.upsert_scd1(
+        valid, f"{base}/table", valid.schema, ["customer_id"], ["_snapshot_date"], f"{base}/checkpoint"
+    )
+    return versioned.current(s.spark, f"{base}/table", valid.schema).drop("_snapshot_date")
+
+
+@register
+def products_backlog(s):
+    """Two product snapshots read together; the later valid row of a code wins."""
+    base = stage.new_path(s.spark, "landing")
+    snapshots = adapter.product_snapshots(s.spark, s.sf_dir)
+    for day, rows in zip(("2001-08-01", "2001-08-02"), snapshots):
+        ingest.land_parquet(rows, base, day)
+    landed = ingest.with_snapshot_date(ingest.scan(s.spark, base, snapshots[0].schema))
+    return silver.clean_products(landed, ["_snapshot_date"]).drop("_snapshot_date")
+
+
+@register
+def stream_products(s):
+    """Products appended to bronze by a stream, with the date of their snapshot."""
+    base = stage.new_path(s.spark, "stream")
+    snapshots = adapter.product_snapshots(s.spark, s.sf_dir)
+    for day, rows in zip(("2001-08-01", "2001-08-02"), snapshots):
+        ingest.land_parquet(rows, f"{base}/landing", day)
+        files = ingest.scan_stream(s.spark, f"{base}/landing", snapshots[0].schema)
+        stream.append(ingest.with_lineage(ingest.with_snapshot_date(files)), f"{base}/table", f"{base}/checkpoint")
+    stored = s.spark.read.parquet(f"{base}/table")
+    return stored.select("stock_code", "avg_unit_price", F.col("_snapshot_date").alias("snapshot_date"))
+
+
+@register
+def stream_lineage(s):
+    """Rows per landing folder, as the lineage column of streamed bronze tells it."""
+    made = _streamed(s, lambda rows: rows)
+    folder = F.regexp_extract("_source_file", "run_date=([0-9-]+)", 1).alias("run_date")
+    return made.groupBy(folder).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("_ingested_at").alias("stamped_rows"))
+
+
+def _snapshot(s, source, schema):
+    path = stage.new_path(s.spark, "landing")
+    rows = ingest.conform(ingest.extract_snapshot(source, schema), schema)
+    ingest.land_parquet(rows, path, "2001-08-02")
+    return ingest.scan(s.spark, path, schema)
+
+
+@register
+def snapshot_products(s):
+    source = s.raw_products
+    return _snapshot(s, source, schemas.table(*[
+        (f.name, f.dataType, not f.nullable) for f in schemas.RAW_PRODUCTS if f.name in source.columns]))
+
+
+@register
+def snapshot_customers(s):
+    source = adapter.customer_snapshots(s.spark, s.sf_dir)[1]
+    return _snapshot(s, source, schemas.table(*[
+        (f.name, f.dataType, not f.nullable) for f in schemas.RAW_CUSTOMERS if f.name in source.columns]))
+
+
+@register
+def full_refresh_table(s):
+    """A table replaced by one of another schema; readers see the new one only."""
+    base = stage.new_path(s.spark, "refreshed")
+    versioned.publish_next(s.raw_products, base)
+    versioned.publish_next(dims.product_dimension(s.raw_transactions), base)
+    return versioned.current(s.spark, base)
+
+
+@register
+def run_records(s):
+    """What a run logs: parameters and metrics, without the time."""
+    errors = forecast.metrics(_backtest(s, None)).select("n_skus_trained")
+    params = {"n_skus": "all", "forecast_horizon_weeks": fixed.FORECAST_HORIZON_WEEKS}
+    return gate.record_run(s.spark, "demand_forecast", "1", "run", params, {}, adapter.NOW).unionByName(
+        gate.metric_rows("demand_forecast", "1", "run", errors, adapter.NOW))
+
+
+@register
+def kmeans_check(s):
+    """What any good clustering must meet: all customers, four labels, cost not above fixed centres."""
+    features = _features(s)
+    standard = segment.standardise(segment.stored_histogram(features))
+    fitted = segment.predict(standard, segment.fit(standard))
+    segments = _segments(features, fitted)
+    counts = segments.agg(
+        F.count(F.lit(1)).alias("customers"), F.count_distinct("cluster_id").alias("clusters"),
+        F.count_distinct("customer_segment").alias("labels"))
+    fixed_cost = segment.cost(segment.predict(standard, FIXED_CENTRES)).scalar()
+    return counts.withColumn("not_worse", segment.cost(fitted).scalar() <= fixed_cost + 1e-9)

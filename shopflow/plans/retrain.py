@@ -6,18 +6,18 @@ from shopflow import schemas
 from shopflow.functions import fixed_values as fixed
 from shopflow.operators import forecast, gate, segment
 from shopflow.plans import pipeline
-from shopflow.plans.layout import Layout, read_if_any
-from shopflow.sources import ingest, stage, versioned
+from shopflow.plans.layout import Layout, job
+from shopflow.sources import stage, versioned
 
 
 def segmentation(spark: SparkSession, lake: Layout, version: str, run_id: str, now=None) -> DataFrame:
     """Write the segment of every customer; return the run rows."""
-    c360 = spark.read.parquet(lake.table("gold", "customer_360"))
+    c360 = lake.published(spark, "gold", "customer_360")
     features = segment.rfm_features(c360)
     standard = segment.standardise(segment.stored_histogram(features))
     assigned = segment.predict(standard, segment.fit(standard))
     segments = segment.assign(features, assigned, segment.label(assigned), run_id, now)
-    ingest.full_refresh(segments, lake.table("ml", "customer_segments"), schemas.CUSTOMER_SEGMENTS)
+    versioned.publish_next(segments, lake.table("ml", "customer_segments"), schemas.CUSTOMER_SEGMENTS)
     params = {"n_clusters": len(fixed.SEGMENT_NAMES), "seed": fixed.KMEANS_SEED,
               "n_init": fixed.KMEANS_STARTS}
     return gate.record_run(spark, "segmentation", version, run_id, params, {}, now).unionByName(
@@ -29,11 +29,11 @@ def demand_forecast(spark: SparkSession, lake: Layout, version: str, run_id: str
                     n: int | None = None, now=None) -> DataFrame:
     """Write forecast, parameters and skipped SKUs; return the run rows."""
     weekly = stage.table(forecast.weekly_for(pipeline.transactions(spark, lake), n), "weekly-sales")
-    ingest.full_refresh(forecast.refit(weekly), lake.table("ml", "forecast_params"))
-    stored = spark.read.parquet(lake.table("ml", "forecast_params"))
+    versioned.publish_next(forecast.refit(weekly), lake.table("ml", "forecast_params"))
+    stored = lake.published(spark, "ml", "forecast_params")
     rows = forecast.to_gold(forecast.predict(stored), version, run_id, now)
-    ingest.full_refresh(rows, lake.table("gold", "demand_forecast"), schemas.DEMAND_FORECAST)
-    ingest.full_refresh(forecast.skipped(weekly), lake.table("ml", "forecast_skipped"))
+    versioned.publish_next(rows, lake.table("gold", "demand_forecast"), schemas.DEMAND_FORECAST)
+    versioned.publish_next(forecast.skipped(weekly), lake.table("ml", "forecast_skipped"))
     fitted = forecast.fit(weekly, fixed.HOLDOUT_WEEKS)
     errors = forecast.metrics(forecast.backtest(weekly, fitted))
     params = {"n_skus": n or "all", "forecast_horizon_weeks": fixed.FORECAST_HORIZON_WEEKS,
@@ -46,7 +46,7 @@ def demand_forecast(spark: SparkSession, lake: Layout, version: str, run_id: str
 def validation(spark: SparkSession, lake: Layout, thresholds: DataFrame | None = None,
                now=None) -> DataFrame:
     """Judge the latest versions and move the champion pointers of those that pass."""
-    runs = read_if_any(spark, lake.table("ml", "runs"))
+    runs = versioned.current(spark, lake.table("ml", "runs"), schemas.RUNS)
     judged = gate.validate(runs, thresholds or gate.default_thresholds(spark))
     pointers = lake.table("ml", "champions")
     champions = versioned.current(spark, pointers, gate.CHAMPIONS)
@@ -59,9 +59,15 @@ def validation(spark: SparkSession, lake: Layout, thresholds: DataFrame | None =
 def run(spark: SparkSession, lake: Layout, version: str, run_id: str,
         n_skus: int | None = None, thresholds: DataFrame | None = None,
         now=None) -> DataFrame:
-    """All three steps. Returns the verdict per model; a failing model stops nothing."""
-    rows = segmentation(spark, lake, version, run_id, now).unionByName(
-        demand_forecast(spark, lake, version, run_id, n_skus, now)
-    )
-    ingest.append(rows, lake.table("ml", "runs"))
-    return validation(spark, lake, thresholds, now)
+    """All three steps. Returns the verdict per threshold; a failing model stops nothing.
+
+    A run that is repeated under its id replaces what it wrote before.
+    """
+    with job(spark):
+        rows = stage.table(segmentation(spark, lake, version, run_id, now).unionByName(
+            demand_forecast(spark, lake, version, run_id, n_skus, now)
+        ), "run-rows")
+        runs = lake.table("ml", "runs")
+        stored = versioned.current(spark, runs, schemas.RUNS)
+        versioned.publish_next(gate.replace_run(stored, rows, run_id), runs)
+        return validation(spark, lake, thresholds, now)

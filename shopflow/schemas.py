@@ -75,6 +75,7 @@ STORES = table(
 WATERMARKS = table(("pipeline_name", S, True), ("last_watermark_value", TS, True))
 
 LINEAGE = table(("_ingested_at", TS), ("_source_file", S))
+SNAPSHOT = table(("_snapshot_date", DATE, False, "run date of the landing folder"))
 
 SILVER_TRANSACTIONS = T.StructType(
     RAW_TRANSACTIONS.fields

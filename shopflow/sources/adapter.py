@@ -115,6 +115,16 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def product_snapshots(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Two full daily snapshots; on the first one all was dearer and of another category."""
+    second = products(spark, sf_dir).drop("_ingested_at")
+    first = second.withColumns({
+        "category": F.lit("EARLIER"),
+        "avg_unit_price": (F.col("avg_unit_price") + 1).cast("decimal(10,2)"),
+    })
+    return [first, second]
+
+
 def raw_extract_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Lines as text in two parts that spell the customer column differently.
 

@@ -32,6 +32,15 @@ def with_lineage(df: DataFrame, now=None) -> DataFrame:
     )
 
 
+def with_snapshot_date(df: DataFrame) -> DataFrame:
+    """Run date of the landing folder a row was read from; null outside such a folder.
+
+    Snapshots that wait for one run share its ingest time, so only this tells their order.
+    """
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"run_date=(\d{4}-\d{2}-\d{2})", 1)
+    return df.withColumn("_snapshot_date", day.try_cast("date"))
+
+
 def land_parquet(df: DataFrame, path: str, run_date, part: str | None = None) -> str:
     """Write under the month and day of the run, not of the rows. Returns the folder.
 
@@ -87,8 +96,10 @@ def read_watermark(watermarks: DataFrame, name: str) -> str:
     return found.mark if found else fixed.WATERMARK_START
 
 
-def next_watermark(source: DataFrame, column: str = "invoice_date") -> str | None:
-    return source.agg(F.max(column).cast("string").alias("mark")).head().mark
+def next_watermark(source: DataFrame, low: str, column: str = "invoice_date") -> str | None:
+    """The newest time above ``low``; the filter lets a scan skip what is older."""
+    newer = source.where(F.col(column) > F.lit(low).cast("timestamp"))
+    return newer.agg(F.max(column).cast("string").alias("mark")).head().mark
 
 
 def extract_increment(source: DataFrame, low: str, high: str | None,
@@ -118,7 +129,8 @@ def run_increment(source: DataFrame, watermarks: DataFrame, name: str) -> Increm
     The high mark is read first and bounds the copy, so rows that arrive in between are
     left for the next run instead of being copied twice.
     """
-    low, high = read_watermark(watermarks, name), next_watermark(source)
+    low = read_watermark(watermarks, name)
+    high = next_watermark(source, low)
     marks = watermarks if high is None else upsert_watermark(watermarks, name, high)
     return Increment(extract_increment(source, low, high), marks, low, high)
 
@@ -131,7 +143,7 @@ def extract_snapshot(source: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Declared columns and types. Digits beyond a type are cut; other misfits become null."""
+    """Declared columns and types. Decimals are rounded half up; other misfits become null."""
     types = dict(df.dtypes)
 
     def cast(f):

@@ -7,6 +7,7 @@ checkpointed row RDD is not.
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +22,30 @@ def folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_open_scopes = []
+
+
+@contextmanager
+def scope(spark: SparkSession):
+    """Tables staged inside go to one folder, which is deleted at the end."""
+    path = f"{folder(spark)}/shopflow/run-{uuid.uuid4().hex}"
+    _open_scopes.append(path)
+    try:
+        yield path
+    finally:
+        _open_scopes.remove(path)
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path nobody has used, below the shared folder."""
-    return f"{folder(spark)}/shopflow/{name}-{uuid.uuid4().hex}"
+    """A path nobody has used, below the shared folder or the open scope's."""
+    base = _open_scopes[-1] if _open_scopes else f"{folder(spark)}/shopflow"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def table(df: DataFrame, name: str) -> DataFrame:

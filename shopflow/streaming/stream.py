@@ -103,6 +103,7 @@ def upsert_scd1(stream: DataFrame, base: str, schema: T.StructType, keys: list[s
         if stored is not None:
             rows = stored.unionByName(rows)
         versioned.publish(silver.scd1_latest(rows, keys, order), base, batch_id)
+        versioned.prune(spark, base)
 
     query = (
         stream.writeStream.foreachBatch(merge)

@@ -77,6 +77,6 @@ def test_scores_need_no_single_partition(spark, name):
 
 def test_small_dimension_moves_no_facts(spark):
     fact = spark.range(4000).select((F.col("id") % 2).cast("string").alias("k"), "id")
-    dim = spark.createDataFrame([("0", 1)], "k string, v int")
+    dim = spark.range(1).select(F.lit("0").alias("k"), F.lit(1).alias("v"))
     plan = plan_of(joins.lookup(fact, dim, "k"))
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

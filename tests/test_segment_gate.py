@@ -124,8 +124,8 @@ def test_gate_verdicts(spark):
     rows = {r.model: r for r in judged.collect()}
     assert rows["good"].passed and rows["good"].version == "10"
     assert not rows["bad"].passed and rows["bad"].error is None
-    assert rows["bare"].error == "Metric 's' not found in run run-1."
-    assert rows["none"].error == "No versions found for model 'none'"
+    assert rows["bare"].error == "run run-1 has no number for s"
+    assert rows["none"].error == "model none was never run"
     total = gate.summary(judged).first()
     assert (total.all_passed, total.passed_models, total.failed_models) == (False, 1, 3)
 

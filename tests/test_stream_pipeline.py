@@ -1,10 +1,12 @@
+from pathlib import Path
+
 import pytest
 from conftest import D, ts
 
 from shopflow import schemas
 from shopflow.operators import silver
-from shopflow.plans import extract, pipeline, retrain
-from shopflow.sources import adapter, ingest, versioned
+from shopflow.plans import extract, layout, pipeline, retrain
+from shopflow.sources import adapter, ingest, stage, versioned
 from shopflow.streaming import stream
 
 SF = "/root/testdata/sf0.001"
@@ -112,8 +114,8 @@ def test_pipeline_conserves_rows(spark, raw, lake):
 
 def test_gold_tables_meet_their_contract(spark, lake):
     lake = lake[0]
-    kpis = spark.read.parquet(lake.table("gold", "daily_kpis"))
-    c360 = spark.read.parquet(lake.table("gold", "customer_360"))
+    kpis = lake.published(spark, "gold", "daily_kpis")
+    c360 = lake.published(spark, "gold", "customer_360")
     assert kpis.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.DAILY_KPIS]
     assert c360.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.CUSTOMER_360]
     assert kpis.count() == kpis.select("report_date").distinct().count() > 0
@@ -124,22 +126,22 @@ def test_gold_tables_meet_their_contract(spark, lake):
 
 def test_segments_flow_back_into_customer_360(spark, lake):
     lake = lake[0]
-    c360 = spark.read.parquet(lake.table("gold", "customer_360"))
+    c360 = lake.published(spark, "gold", "customer_360")
     assert c360.where("rfm_recency_score IS NOT NULL AND customer_segment IS NULL").count() == 0
     assert c360.select("customer_segment").where("customer_segment IS NOT NULL").distinct().count() == 4
 
 
 def test_retrain_writes_forecast_runs_and_verdict(spark, lake):
     lake, verdict = lake[0], lake[1]
-    forecast = spark.read.parquet(lake.table("gold", "demand_forecast"))
+    forecast = lake.published(spark, "gold", "demand_forecast")
     assert forecast.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.DEMAND_FORECAST]
     skus = forecast.select("stock_code").distinct().count()
-    skipped = spark.read.parquet(lake.table("ml", "forecast_skipped")).count()
+    skipped = lake.published(spark, "ml", "forecast_skipped").count()
     assert forecast.count() == 12 * skus
     assert skus + skipped == pipeline.transactions(spark, lake).select("stock_code").distinct().count()
     rows = {r.model: r for r in verdict}
     assert set(rows) == {"segmentation", "demand_forecast"} and rows["segmentation"].passed
-    runs = spark.read.parquet(lake.table("ml", "runs"))
+    runs = lake.published(spark, "ml", "runs")
     assert {"silhouette_score", "mean_mape", "mean_mae", "n_skus_trained"} <= {r.key for r in runs.collect()}
 
 
@@ -150,8 +152,87 @@ def test_second_run_without_new_files_changes_nothing(spark, lake):
     assert again == made and pipeline.transactions(spark, again).count() == before
 
 
-def test_full_refresh_builds_a_new_generation(spark, lake):
+def test_a_repeated_retrain_gives_the_same_tables(spark, lake):
+    made = lake[0]
+
+    def state():
+        runs = made.published(spark, "ml", "runs").drop("logged_at")
+        champions = made.published(spark, "ml", "champions").drop("promoted_at")
+        return sorted(map(tuple, runs.collect())), sorted(map(tuple, champions.collect()))
+
+    before = state()
+    again = retrain.run(spark, made, "1", "run-1")
+    assert state() == before and again.count() == len(lake[1])
+
+
+def test_full_refresh_builds_a_new_generation_and_keeps_the_models(spark, lake):
     made, _, landing, out = lake
+    champions = made.published(spark, "ml", "champions").count()
     fresh = pipeline.run(spark, landing, out, adapter.AS_OF, mode="full_refresh")
     assert fresh.root.endswith("generation=1") and made.root.endswith("generation=0")
     assert pipeline.transactions(spark, fresh).count() == pipeline.transactions(spark, made).count()
+    assert fresh.published(spark, "ml", "champions").count() == champions > 0
+    c360 = fresh.published(spark, "gold", "customer_360")
+    assert c360.where("rfm_recency_score IS NOT NULL AND customer_segment IS NULL").count() == 0
+
+
+def test_a_refresh_that_stops_does_not_become_current(spark, lake, monkeypatch):
+    made, _, landing, out = lake
+    current = layout.open_layout(spark, out, "incremental")
+
+    def broken(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(pipeline, "gold_tables", broken)
+    with pytest.raises(RuntimeError):
+        pipeline.run(spark, landing, out, adapter.AS_OF, mode="full_refresh")
+    assert layout.open_layout(spark, out, "incremental") == current
+
+
+def test_a_failed_gold_write_leaves_the_version_before(spark, tmp_path):
+    base = str(tmp_path / "t")
+    versioned.publish_next(spark.range(3), base)
+    with pytest.raises(Exception):
+        versioned.publish_next(spark.range(9).selectExpr("if(id = 8, raise_error('stop'), id) AS id"), base)
+    assert versioned.current(spark, base).count() == 3
+    for n in (4, 5):
+        versioned.publish_next(spark.range(n), base)
+    assert versioned.current(spark, base).count() == 5
+    assert len(versioned.numbers(spark, base)) == 2
+
+
+def test_jobs_leave_nothing_staged_and_run_in_utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Australia/Sydney")
+    try:
+        with layout.job(spark):
+            stored = stage.table(spark.range(3).selectExpr("timestamp_seconds(1700000000) AS t"), "x")
+            path = stored.inputFiles()[0].removeprefix("file:")
+            assert str(stored.selectExpr("to_date(t)").first()[0]) == "2023-11-14"
+            assert Path(path).exists()
+        assert not Path(path).exists()
+        assert spark.conf.get("spark.sql.session.timeZone") == "Australia/Sydney"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_waiting_snapshots_are_taken_in_the_order_of_their_dates(spark, tmp_path):
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    blank = {"phone": None, "date_of_birth": None, "registration_date": None, "is_wholesaler": False,
+             "preferred_store_id": None, "marketing_opt_in": True}
+    people = [("2024-03-01", "Zora Old", "gold"), ("2024-03-02", "Abel New", "silver")]
+    for day, name, tier in people:
+        row = {"customer_id": 4, "full_name": name, "email": "four@mail.test", "loyalty_tier": tier, **blank}
+        extract.snapshot(spark.createDataFrame([row], schemas.RAW_CUSTOMERS), "customers", landing, day)
+        price = D("9.50") if tier == "gold" else D("1.25")
+        item = ("TEA", "tea", "Drinks", price, None, None, True, None, None)
+        extract.snapshot(spark.createDataFrame([item], schemas.RAW_PRODUCTS), "products", landing, day)
+    line = ("77", "TEA", "tea", 2, ts("2024-03-02 10:00"), D("1.25"), 4, "France")
+    source = spark.createDataFrame([line], ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" for f in schemas.RAW_TRANSACTIONS))
+    extract.transactions(source, landing, str(tmp_path / "control"), "2024-03-02")
+    for mode in ("incremental", "full_refresh"):
+        made = pipeline.run(spark, landing, out, "2024-03-05", mode=mode)
+        customer = pipeline.customers(spark, made).collect()
+        product = made.published(spark, "silver", "products").collect()
+        assert [(r.full_name, r.loyalty_tier) for r in customer] == [("Abel New", "Silver")]
+        assert [r.avg_unit_price for r in product] == [D("1.25")]
