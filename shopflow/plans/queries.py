@@ -195,7 +195,8 @@ def daily_top_category(s):
 
 @register
 def daily_kpis(s):
-    return gold.daily_kpis(s.stored_transactions, s.routed.cancelled, s.products).drop("_rebuilt_at")
+    routed = silver.route_transactions(s.stored_raw)
+    return gold.daily_kpis(silver.transactions(s.stored_raw), routed.cancelled, s.products).drop("_rebuilt_at")
 
 
 def _rounded(df, digits=6, **by_column):

@@ -49,6 +49,11 @@ class Shop:
     def stored_transactions(self) -> DataFrame:
         return stage.table(self.transactions, "silver-transactions")
 
+    @cached_property
+    def stored_raw(self) -> DataFrame:
+        """Raw transactions stored once, for a job that needs two of their routes."""
+        return stage.table(self.raw_transactions, "raw-transactions")
+
     @cached_property
     def customers(self) -> DataFrame:
         return silver.customers(self.raw_customers).drop("_transformed_at")

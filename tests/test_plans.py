@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shopflow.operators import dedupe, joins, silver
+from shopflow.operators import dedupe, gold, joins, silver
 from shopflow.plans.queries import QUERIES
-from shopflow.sources import adapter
+from shopflow.sources import adapter, stage
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,6 +77,25 @@ def test_scores_need_no_single_partition(spark, name):
 
 def test_small_dimension_moves_no_facts(spark):
     fact = spark.range(4000).select((F.col("id") % 2).cast("string").alias("k"), "id")
-    dim = spark.range(1).select(F.lit("0").alias("k"), F.lit(1).alias("v"))
+    dim = spark.range(3).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
     plan = plan_of(joins.lookup(fact, dim, "k"))
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_daily_kpis_take_one_scan_and_six_exchanges(spark, tmp_path, monkeypatch):
+    """Counted over the final plan and what is stored on the way, after the silver table."""
+    path = str(tmp_path / "tx")
+    silver.transactions(adapter.transactions(spark, SF)).write.parquet(path)
+    tx, plans = spark.read.parquet(path), []
+    keep = stage.table
+
+    def recorded(df, name):
+        plans.append(plan_of(df))
+        return keep(df, name)
+
+    monkeypatch.setattr(gold.stage, "table", recorded)
+    cancelled = tx.select("invoice_no", "invoice_date").limit(0)
+    plans.append(plan_of(gold.daily_kpis(tx, cancelled, adapter.products(spark, SF))))
+    text = "\n".join(plans)
+    assert sum("Exchange" in x and "Broadcast" not in x and "Reused" not in x for x in text.splitlines()) <= 6
+    assert sum("FileScan" in x and "line_total" in x for x in text.splitlines()) == 1
