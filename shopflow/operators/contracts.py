@@ -33,6 +33,22 @@ def null_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     return counts.unpivot([], required, "column_name", "null_rows")
 
 
+def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that stand on several rows, or hold a null, with the number of rows."""
+    broken = F.lit(False)
+    for k in keys:
+        broken = broken | F.col(k).isNull()
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where((F.col("rows") > 1) | broken)
+
+
+def check_keys(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Return ``df``, or raise ContractError naming a few of the keys that are not unique."""
+    bad = key_violations(df, keys).limit(5).collect()
+    if bad:
+        raise ContractError(f"{name}: not unique by {', '.join(keys)}: {[tuple(r) for r in bad]}")
+    return df
+
+
 def check_contract(df: DataFrame, schema: T.StructType, nulls: bool = True) -> DataFrame:
     """Return ``df`` in declared column order, or raise ContractError."""
     problems = schema_differences(df, schema)

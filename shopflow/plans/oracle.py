@@ -539,6 +539,12 @@ UNION ALL SELECT 'unit_price', count(*) FILTER (WHERE price IS NULL) FROM extrac
     "land_snapshot": "SELECT * EXCLUDE (ingested_at) FROM cust",
     "stream_bronze": "SELECT * FROM tx",
     "stream_dedupe_keys": "SELECT invoice_no, stock_code FROM silver",
+    "stream_dedupe_rows": """
+SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id,
+       country, line_total, invoice_year, invoice_month, invoice_week FROM silver""",
+    "key_violations": """
+SELECT 'raw' AS table_name, invoice_no, stock_code, count(*) AS rows FROM tx
+GROUP BY invoice_no, stock_code HAVING count(*) > 1""",
     "stream_cancelled": """
 SELECT invoice_no, original_invoice_no, stock_code, quantity FROM cancelled""",
     "stream_side_tables": """

@@ -581,6 +581,29 @@ def stream_dedupe_keys(s):
     return made.select("invoice_no", "stock_code")
 
 
+@register
+def stream_dedupe_rows(s):
+    """Clean transactions from two drains, all columns: the survivors are fixed."""
+    base = stage.new_path(s.spark, "stream")
+    for land in _landed(s, f"{base}/landing"):
+        land()
+        files = ingest.scan_stream(s.spark, f"{base}/landing", schemas.RAW_TRANSACTIONS)
+        stream.append_first(
+            silver.route_transactions(files).valid, f"{base}/table", schemas.PRIMARY_KEYS["transactions"],
+            silver.TRANSACTION_ORDER, f"{base}/checkpoint", silver.enrich_transactions)
+    stored = s.spark.read.option("recursiveFileLookup", True).parquet(f"{base}/table")
+    return stored.drop("_transformed_at")
+
+
+@register
+def key_violations(s):
+    """Keys on several rows: raw transactions have some, silver ones none."""
+    keys = schemas.PRIMARY_KEYS["transactions"]
+    found = [contracts.key_violations(df, keys).select(F.lit(name).alias("table_name"), *keys, "rows")
+             for name, df in (("raw", s.raw_transactions), ("silver", s.transactions))]
+    return contracts.union_all(found)
+
+
 @register
 def stream_cancelled(s):
     made = _streamed(s, lambda rows: silver.route_transactions(rows).cancelled)

@@ -55,6 +55,22 @@ def land_parquet(df: DataFrame, path: str, run_date, part: str | None = None) ->
     return target
 
 
+def check_landed(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Raise ContractError when the newest landing folder lacks or mistypes a declared column.
+
+    A scan with a declared schema would read such a column as null without notice.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*/run_date=*")
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(root)
+    folders = sorted(f.getPath().toString() for f in found or [])
+    if folders:
+        landed = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(folders[-1])
+        problems = contracts.schema_differences(landed, schema)
+        if problems:
+            raise contracts.ContractError(f"{folders[-1]}: {'; '.join(problems)}")
+
+
 def full_refresh(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
     """Replace a stored table, schema included; enforces the contract when one is given."""
     if schema is not None:

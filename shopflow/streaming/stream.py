@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.functions import columns as C
-from shopflow.operators import silver
+from shopflow.operators import dedupe as dedupe_rows, silver
 from shopflow.sources import versioned
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -88,6 +88,54 @@ def rejected_sides(bronze: DataFrame, route, reasons: dict, now=None) -> DataFra
     )
 
 
+def for_each_batch(rows: DataFrame, write, checkpoint: str) -> StreamingQuery:
+    """Hand every batch, with its number, to ``write``; it must give the same when repeated."""
+    query = (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def write_batch(rows: DataFrame, base: str, batch_id: int) -> None:
+    """One folder per batch: a batch that is repeated replaces its own rows only."""
+    rows.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
+
+
+def append_first(rows: DataFrame, base: str, keys: list[str], order: list[str], checkpoint: str,
+                 finish=lambda df: df) -> StreamingQuery:
+    """Append the rows whose key is not stored yet, the first by ``order`` of each batch.
+
+    Within a batch the choice is the batch rule, so it does not depend on arrival; between
+    batches what was stored stays. The keys stored by earlier batches are the only state.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        once = dedupe_rows.first_per_key(batch, keys, order)
+        earlier = [n for n in versioned.numbers(spark, base, "batch=") if n < batch_id]
+        if earlier:
+            stored = spark.read.parquet(*[f"{base}/batch={n}" for n in earlier])
+            once = once.join(stored.select(keys), keys, "left_anti").select(batch.columns)
+        write_batch(finish(once), base, batch_id)
+
+    return for_each_batch(rows, write, checkpoint)
+
+
+def merge_scd1(batch: DataFrame, base: str, schema: T.StructType, keys: list[str], order: list[str],
+               batch_id: int) -> None:
+    """The version after ``batch``: the latest row per key of it and the version before."""
+    spark = batch.sparkSession
+    rows = batch.select(schema.names)
+    stored = versioned.current(spark, base, schema, before=batch_id)
+    if stored is not None:
+        rows = stored.unionByName(rows)
+    versioned.publish(silver.scd1_latest(rows, keys, order), base, batch_id)
+    versioned.prune(spark, base)
+
+
 def upsert_scd1(stream: DataFrame, base: str, schema: T.StructType, keys: list[str],
                 order: list[str], checkpoint: str) -> StreamingQuery:
     """Latest row per key over all batches, as versions of a table.
@@ -96,20 +144,6 @@ def upsert_scd1(stream: DataFrame, base: str, schema: T.StructType, keys: list[s
     gives the same table again.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.select(schema.names)
-        stored = versioned.current(spark, base, schema, before=batch_id)
-        if stored is not None:
-            rows = stored.unionByName(rows)
-        versioned.publish(silver.scd1_latest(rows, keys, order), base, batch_id)
-        versioned.prune(spark, base)
-
-    query = (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    return for_each_batch(
+        stream, lambda batch, n: merge_scd1(batch, base, schema, keys, order, n), checkpoint
     )
-    query.awaitTermination()
-    return query

@@ -4,7 +4,7 @@ import pytest
 from conftest import D, ts
 
 from shopflow import schemas
-from shopflow.operators import silver
+from shopflow.operators import contracts, silver
 from shopflow.plans import extract, layout, pipeline, retrain
 from shopflow.sources import adapter, ingest, stage, versioned
 from shopflow.streaming import stream
@@ -112,6 +112,49 @@ def test_pipeline_conserves_rows(spark, raw, lake):
     assert tx.where("line_total IS NULL OR _ingested_at IS NULL").count() == 0
 
 
+def test_customers_and_products_conserve_rows(spark, lake):
+    lake = lake[0]
+    read = lambda name: spark.read.option("recursiveFileLookup", True).parquet(lake.table("silver", name))
+    people = spark.read.parquet(lake.table("bronze", "customers"))
+    routed = silver.route_customers(people)
+    assert read("quarantine_customers").count() == routed.quarantine.count() > 0
+    assert read("rejected_customers").count() == routed.rejected.count() > 0
+    assert pipeline.customers(spark, lake).where("_transformed_at IS NULL").count() == 0
+    goods = spark.read.parquet(lake.table("bronze", "products"))
+    rejected = lake.published(spark, "silver", "rejected_products")
+    assert rejected.count() == silver.route_products(goods).rejected.count() > 0
+    metrics = {(r.table_name, r.rule): r for r in lake.published(spark, "silver", "rule_metrics").collect()}
+    assert {t for t, _ in metrics} == set(pipeline.RULES)
+    assert all(r.passed_rows + r.failed_rows == spark.read.parquet(lake.table("bronze", t)).count()
+               for (t, _), r in metrics.items())
+
+
+def test_a_landed_file_that_breaks_its_contract_stops_the_job(spark, tmp_path):
+    bad = spark.createDataFrame([("X", 1)], "stock_code string, avg_unit_price int")
+    ingest.land_parquet(bad, str(tmp_path / "products"), "2024-01-01")
+    with pytest.raises(contracts.ContractError, match="missing column category.*avg_unit_price is int"):
+        ingest.check_landed(spark, str(tmp_path / "products"), schemas.RAW_PRODUCTS)
+
+
+def test_keys_must_be_unique(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "d")], "customer_id long, v string")
+    assert {r.customer_id for r in contracts.key_violations(df, ["customer_id"]).collect()} == {1, None}
+    with pytest.raises(contracts.ContractError, match="customers"):
+        contracts.check_keys(df, ["customer_id"], "customers")
+
+
+def test_stored_keys_win_over_later_batches_and_a_repeat_changes_nothing(spark, tmp_path):
+    landing, table, checkpoint = (str(tmp_path / n) for n in ("landing", "table", "cp"))
+    schema = "k string, o int, v string"
+    for day, rows in (("2024-01-01", [("a", 2, "x"), ("a", 1, "y")]), ("2024-01-02", [("a", 0, "z"), ("b", 5, "w")])):
+        ingest.land_parquet(spark.createDataFrame(rows, schema), landing, day)
+        files = ingest.scan_stream(spark, landing, spark.createDataFrame(rows, schema).schema)
+        stream.append_first(files, table, ["k"], ["o"], checkpoint)
+    stored = ingest.scan(spark, table, spark.createDataFrame([], schema).schema)
+    assert {(r.k, r.v) for r in stored.collect()} == {("a", "y"), ("b", "w")}
+    assert versioned.numbers(spark, table, "batch=") == [0, 1]
+
+
 def test_gold_tables_meet_their_contract(spark, lake):
     lake = lake[0]
     kpis = lake.published(spark, "gold", "daily_kpis")
