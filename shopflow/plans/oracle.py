@@ -9,11 +9,18 @@ CTES = {
     "tx": """
 SELECT (CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'C' ELSE '' END)
          || CAST(l_orderkey AS VARCHAR) AS invoice_no,
-       'SKU' || CAST(l_partkey AS VARCHAR) AS stock_code, p_name AS description,
+       CASE WHEN l_linenumber = 3 AND l_orderkey % 61 = 0 THEN ' sku' || CAST(l_partkey AS VARCHAR) || ' '
+            WHEN l_partkey % 40 = 0 THEN 'SKU' || CAST(l_partkey AS VARCHAR) || '-'
+                 || CAST(year(o_orderdate) * 100 + month(o_orderdate) AS VARCHAR)
+            ELSE 'SKU' || CAST(l_partkey AS VARCHAR) END AS stock_code, p_name AS description,
        CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber <= 2 THEN -l_quantity
                  ELSE l_quantity END AS INTEGER) AS quantity,
-       o_orderdate AS invoice_date,
-       CAST(CASE WHEN p_type = 'PROMO' AND p_size <= 3 THEN 0 ELSE p_retailprice END
+       CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' AND l_orderkey % 50 = 0
+              THEN CAST(make_date(1990, 1, CAST(1 + l_orderkey % 28 AS INTEGER)) AS TIMESTAMP)
+            WHEN l_linenumber = 2 AND l_orderkey % 83 = 0 THEN NULL
+            ELSE CAST(o_orderdate AS TIMESTAMP) END AS invoice_date,
+       CAST(CASE WHEN l_linenumber = 3 AND l_orderkey % 89 = 0 THEN -1
+                 WHEN p_type = 'PROMO' AND p_size <= 3 THEN 0 ELSE p_retailprice END
             AS DECIMAL(10,2)) AS unit_price,
        CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN NULL
             ELSE o_custkey END AS customer_id,
@@ -57,9 +64,13 @@ SELECT *, CASE WHEN invoice_no LIKE 'C%' THEN 'cancelled'
                WHEN customer_id IS NULL THEN 'quarantine'
                WHEN quantity > 0 AND unit_price >= 0 AND invoice_date IS NOT NULL
                     AND stock_code IS NOT NULL THEN 'valid'
-               ELSE 'rejected' END AS route FROM tx""",
+               ELSE 'rejected' END AS route,
+       concat_ws(',', CASE WHEN NOT coalesce(quantity > 0, false) THEN 'quantity_positive' END,
+                 CASE WHEN NOT coalesce(unit_price >= 0, false) THEN 'unit_price_non_negative' END,
+                 CASE WHEN invoice_date IS NULL THEN 'invoice_date_not_null' END) AS failed_rules
+FROM tx""",
     "silver": """
-SELECT * EXCLUDE (route, rn), CAST(quantity * unit_price AS DECIMAL(12,2)) AS line_total,
+SELECT * EXCLUDE (route, failed_rules, rn), CAST(quantity * unit_price AS DECIMAL(12,2)) AS line_total,
        CAST(year(invoice_date) AS INTEGER) AS invoice_year,
        CAST(month(invoice_date) AS INTEGER) AS invoice_month,
        CAST(weekofyear(invoice_date) AS INTEGER) AS invoice_week,
@@ -69,7 +80,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY invoice_no, stock_code ORDER BY
         country NULLS FIRST, customer_id NULLS FIRST, description NULLS FIRST) AS rn
       FROM routed WHERE route = 'valid') WHERE rn = 1""",
     "cancelled": """
-SELECT * EXCLUDE (route), substr(invoice_no, 2) AS original_invoice_no
+SELECT * EXCLUDE (route, failed_rules), substr(invoice_no, 2) AS original_invoice_no
 FROM routed WHERE route = 'cancelled'""",
     "good_email": """
 SELECT * FROM cust WHERE regexp_matches(trim(email),
@@ -161,8 +172,8 @@ LEFT JOIN daily_cancelled USING (report_date) LEFT JOIN top_category USING (repo
     "product_dimension": """
 SELECT stock_code, description, avg_unit_price, first_listed_date FROM (
   SELECT stock_code, CAST(min(invoice_date) AS DATE) AS first_listed_date,
-         CAST(CAST((2 * CAST(sum(unit_price) * 100 AS BIGINT) + count(*)) // (2 * count(*))
-              AS DECIMAL(12,0)) / 100 AS DECIMAL(10,2)) AS avg_unit_price
+         CAST(CAST(sign(sum(unit_price)) * ((2 * abs(CAST(sum(unit_price) * 100 AS BIGINT)) + count(*))
+              // (2 * count(*))) AS DECIMAL(12,0)) / 100 AS DECIMAL(10,2)) AS avg_unit_price
   FROM tx WHERE length(stock_code) <= 10 GROUP BY stock_code)
 JOIN (SELECT stock_code, description, row_number() OVER (
         PARTITION BY stock_code ORDER BY count(*) DESC, description) AS rn
@@ -332,14 +343,14 @@ SELECTS = {
 SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id,
        country, line_total, invoice_year, invoice_month, invoice_week FROM silver""",
     "cancelled_transactions": """
-SELECT invoice_no, original_invoice_no, stock_code, quantity, invoice_date, unit_price,
-       customer_id, country FROM cancelled""",
+SELECT invoice_no, original_invoice_no, stock_code, description, quantity, invoice_date,
+       unit_price, customer_id, country FROM cancelled""",
     "quarantine_transactions": """
-SELECT invoice_no, stock_code, quantity, invoice_date, unit_price, country,
-       'customer_id IS NULL' AS quarantine_reason FROM routed WHERE route = 'quarantine'""",
+SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id,
+       country, 'customer_id IS NULL' AS quarantine_reason FROM routed WHERE route = 'quarantine'""",
     "rejected_transactions": """
-SELECT invoice_no, stock_code, quantity, invoice_date, unit_price, customer_id,
-       'quantity_positive' AS failed_rules FROM routed WHERE route = 'rejected'""",
+SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id,
+       country, failed_rules FROM routed WHERE route = 'rejected'""",
     "strict_price_transactions": """
 SELECT invoice_no, stock_code, quantity, unit_price, line_total FROM silver WHERE unit_price > 0""",
     "transaction_routes": """
@@ -387,7 +398,8 @@ SELECT customer_id, rfm_recency_score, rfm_frequency_score, rfm_monetary_score F
     "customer_facts": """
 SELECT r.*, country, favourite_category FROM rfm r JOIN top_country USING (customer_id)
 LEFT JOIN favourite USING (customer_id)""",
-    "customer_360": "SELECT * FROM c360",
+    "customer_360": """
+SELECT *, CAST(NULL AS VARCHAR) AS customer_segment, CAST(NULL AS FLOAT) AS churn_risk_score FROM c360""",
     "first_purchase": "SELECT * FROM first_purchase",
     "daily_sales": "SELECT * FROM daily",
     "daily_new_returning": "SELECT * FROM new_returning",
@@ -454,6 +466,13 @@ SELECT country || ' Online Store' AS store_name, country,
             WHEN country IN ('USA', 'Canada') THEN 'Americas' ELSE 'EMEA' END AS region,
        CASE country WHEN 'United Kingdom' THEN 'GBP' WHEN 'EIRE' THEN 'GBP' WHEN 'Australia' THEN 'AUD'
             WHEN 'Japan' THEN 'JPY' WHEN 'USA' THEN 'USD' WHEN 'Canada' THEN 'USD' ELSE 'EUR' END AS currency_code,
+       CASE country WHEN 'United Kingdom' THEN 'UK-001' WHEN 'Germany' THEN 'DE-001' WHEN 'France' THEN 'FR-001'
+            WHEN 'EIRE' THEN 'IE-001' WHEN 'Australia' THEN 'AU-001' WHEN 'Japan' THEN 'JP-001'
+            WHEN 'USA' THEN 'US-001' ELSE 'CA-001' END AS store_id,
+       CASE country WHEN 'United Kingdom' THEN 'Europe/London' WHEN 'Germany' THEN 'Europe/Berlin'
+            WHEN 'France' THEN 'Europe/Paris' WHEN 'EIRE' THEN 'Europe/Dublin' WHEN 'Australia' THEN 'Australia/Sydney'
+            WHEN 'Japan' THEN 'Asia/Tokyo' WHEN 'USA' THEN 'America/New_York' ELSE 'America/Toronto' END AS timezone,
+       true AS is_active, CAST(NULL AS DATE) AS opened_date,
        CAST(sum(line_total) AS DECIMAL(14,2)) AS revenue, count(*) AS lines
 FROM silver WHERE country NOT LIKE 'NATION%' GROUP BY country""",
     "rfm_histogram": """
@@ -472,7 +491,7 @@ SELECT cluster_id, customers, round(composite_score, 6) AS composite_score, cust
 FROM labels_fixed""",
     "segment_distribution": "SELECT customer_segment, customers FROM labels_fixed",
     "customer_360_segments": """
-SELECT customer_id, full_name, loyalty_tier, total_orders, customer_segment FROM c360
+SELECT c360.*, customer_segment, CAST(NULL AS FLOAT) AS churn_risk_score FROM c360
 LEFT JOIN (SELECT r, f, m, customer_segment FROM cells JOIN labels_fixed USING (cluster_id))
   ON rfm_recency_score = r AND rfm_frequency_score = f AND rfm_monetary_score = m""",
     "model_gate": """
@@ -507,7 +526,8 @@ SELECT 'pl_ingest_transactions' AS pipeline_name, max(invoice_date) AS last_wate
 UNION ALL SELECT 'pl_new', max(invoice_date) FROM tx
 UNION ALL SELECT 'pl_other', TIMESTAMP '1998-07-01 00:00:00'""",
     "keep_last": """
-SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY invoice_no, stock_code ORDER BY
+SELECT * EXCLUDE (rn) FROM (SELECT * REPLACE (upper(trim(invoice_no)) AS invoice_no, upper(trim(stock_code)) AS stock_code),
+  row_number() OVER (PARTITION BY upper(trim(invoice_no)), upper(trim(stock_code)) ORDER BY
   invoice_date DESC, quantity DESC, unit_price DESC, country DESC, customer_id DESC NULLS LAST,
   description DESC) AS rn FROM tx) WHERE rn = 1""",
     "duplicate_count": """
@@ -537,7 +557,7 @@ UNION ALL SELECT 'invoice_date', count(*) FILTER (WHERE invoice_date IS NULL) FR
 UNION ALL SELECT 'unit_price', count(*) FILTER (WHERE price IS NULL) FROM extract""",
     "csv_products": "SELECT * FROM product_dimension",
     "land_snapshot": "SELECT * EXCLUDE (ingested_at) FROM cust",
-    "stream_bronze": "SELECT * FROM tx",
+    "stream_bronze": "SELECT * FROM tx WHERE invoice_date IS NOT NULL",
     "stream_dedupe_keys": "SELECT invoice_no, stock_code FROM silver",
     "stream_dedupe_rows": """
 SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id,
@@ -550,8 +570,8 @@ SELECT invoice_no, original_invoice_no, stock_code, quantity FROM cancelled""",
     "stream_side_tables": """
 SELECT invoice_no, stock_code, quantity, route,
        CASE route WHEN 'cancelled' THEN substr(invoice_no, 2)
-                  WHEN 'quarantine' THEN 'customer_id IS NULL' ELSE 'quantity_positive' END AS reason
-FROM routed WHERE route <> 'valid'""",
+                  WHEN 'quarantine' THEN 'customer_id IS NULL' ELSE failed_rules END AS reason
+FROM routed WHERE route <> 'valid' AND invoice_date IS NOT NULL""",
     "stream_scd1_backlog": """
 SELECT customer_id, full_name, email, loyalty_tier, is_wholesaler, marketing_opt_in FROM customers""",
     "products_backlog": """
@@ -568,7 +588,8 @@ SELECT stock_code, CAST(avg_unit_price + 1 AS DECIMAL(10,2)) AS avg_unit_price,
 FROM prod UNION ALL SELECT stock_code, avg_unit_price, DATE '2001-08-02' FROM prod""",
     "stream_lineage": """
 SELECT CASE WHEN invoice_date <= TIMESTAMP '1998-07-01 00:00:00' THEN '1998-07-02' ELSE '2001-08-02' END AS run_date,
-       count(*) AS row_count, count(*) AS stamped_rows FROM tx GROUP BY 1""",
+       count(*) AS row_count, count(*) AS stamped_rows FROM tx
+WHERE invoice_date IS NOT NULL GROUP BY 1""",
     "snapshot_products": "SELECT * FROM prod",
     "snapshot_customers": """
 SELECT * EXCLUDE (ingested_at) FROM cust WHERE ingested_at = TIMESTAMP '2001-08-02 00:00:00'""",

@@ -33,19 +33,18 @@ def silver_transactions(s):
 
 @register
 def cancelled_transactions(s):
-    return s.routed.cancelled.drop("cancelled_at", "description")
+    return s.routed.cancelled.drop("cancelled_at")
 
 
 @register
 def quarantine_transactions(s):
-    return s.routed.quarantine.drop("quarantined_at", "description", "customer_id")
+    return s.routed.quarantine.drop("quarantined_at")
 
 
 @register
 def rejected_transactions(s):
     return s.routed.rejected.select(
-        "invoice_no", "stock_code", "quantity", "invoice_date", "unit_price", "customer_id",
-        _names("failed_rules"),
+        *schemas.RAW_TRANSACTIONS.names, _names("failed_rules"),
     )
 
 
@@ -155,7 +154,7 @@ def customer_facts(s):
 @register
 def customer_360(s):
     full = gold.customer_360(s.transactions, s.customers, s.products, adapter.AS_OF)
-    return full.drop("customer_segment", "churn_risk_score", "_rebuilt_at")
+    return full.drop("_rebuilt_at")
 
 
 @register
@@ -316,7 +315,7 @@ def store_sales(s):
         F.sum("line_total").cast("decimal(14,2)").alias("revenue"),
         F.count(F.lit(1)).alias("lines"),
     )
-    stores = dims.stores(s.spark).select("store_name", "country", "region", "currency_code")
+    stores = dims.stores(s.spark)
     return by_country.join(F.broadcast(stores), "country")
 
 
@@ -375,7 +374,7 @@ def customer_360_segments(s):
     segments = _segments(*_fixed_model(s))
     return gold.customer_360(
         s.transactions, s.customers, s.products, adapter.AS_OF, segments
-    ).select("customer_id", "full_name", "loyalty_tier", "total_orders", "customer_segment")
+    ).drop("_rebuilt_at")
 
 
 @register

@@ -1,9 +1,10 @@
 """The test tables seen as a shop: orders, lines and parts become raw retail tables.
 
 The mapping plants every case the cleaning rules know: cancelled invoices, returns with a
-negative quantity, guests without customer id, give-aways at price zero, bad and padded
-e-mail addresses, unknown loyalty tiers, uncategorised and unlisted products, and a second
-customer snapshot. It only derives values; every row of the tables takes part.
+negative quantity, negative prices, lines without a date, cancellations on days without a
+sale, guests without customer id, give-aways at price zero, codes in lower case or sold for
+a month only, bad and padded e-mail addresses, unknown loyalty tiers, uncategorised and
+unlisted products, and a second snapshot. It only derives values; every row of the tables takes part.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,6 +28,18 @@ NATION_COUNTRY = {
 
 PRICE_SQL = "CAST(CASE WHEN p_type = 'PROMO' AND p_size <= 3 THEN 0 ELSE p_retailprice END AS DECIMAL(10,2))"
 
+# Some parts are sold under a code per month, which is long and has few weeks of sales; a
+# few codes were typed in lower case with blanks around.
+CODE_SQL = """CASE WHEN l_linenumber = 3 AND l_orderkey % 61 = 0 THEN ' sku' || CAST(l_partkey AS STRING) || ' '
+    WHEN l_partkey % 40 = 0 THEN 'SKU' || CAST(l_partkey AS STRING) || '-'
+         || CAST(year(o_orderdate) * 100 + month(o_orderdate) AS STRING)
+    ELSE 'SKU' || CAST(l_partkey AS STRING) END"""
+
+# Some cancellations fall on days without a sale; a few lines have no date.
+DATE_SQL = """CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' AND l_orderkey % 50 = 0
+         THEN make_date(1990, 1, CAST(1 + l_orderkey % 28 AS INT))
+    WHEN l_linenumber = 2 AND l_orderkey % 83 = 0 THEN NULL ELSE o_orderdate END"""
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,12 +66,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.expr("CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'C' ELSE '' END"
                    " || CAST(l_orderkey AS STRING)").alias("invoice_no"),
-            F.expr("'SKU' || CAST(l_partkey AS STRING)").alias("stock_code"),
+            F.expr(CODE_SQL).alias("stock_code"),
             F.col("p_name").alias("description"),
             F.expr("CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber <= 2 THEN -l_quantity"
                    " ELSE l_quantity END AS INT)").alias("quantity"),
-            F.col("o_orderdate").cast("timestamp").alias("invoice_date"),
-            F.expr(PRICE_SQL).alias("unit_price"),
+            F.expr(DATE_SQL).cast("timestamp").alias("invoice_date"),
+            F.expr(f"CAST(CASE WHEN l_linenumber = 3 AND l_orderkey % 89 = 0 THEN -1 ELSE {PRICE_SQL} END"
+                   " AS DECIMAL(10,2))").alias("unit_price"),
             F.expr("CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P'"
                    " THEN NULL ELSE o_custkey END").alias("customer_id"),
             _country().alias("country"),
