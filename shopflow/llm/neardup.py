@@ -9,13 +9,16 @@ Nodes of few classes are compared exhaustively in one task; larger nodes branch
 
 Before that a pass over deep nodes only ties every member to the node's least class. It
 joins large groups of copies into one component, so that later nodes whose members are one
-component are done, and members of one component are never compared.
+component are done, and members of one component are never compared. Classes that lie near
+a large component are compared with all its members, on full sets and once, not per tree.
 
 Every link is confirmed on full sets. A pair of similarity s is missed by a tree in which
 it is parted before its node is small, after d levels, with chance 1 - s**d; for s = 0.8,
 d = 3 and 20 trees that is 6e-7.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -28,7 +31,9 @@ COORDINATES = 64
 TREES = 20
 LEVELS = 8  # nodes of this depth that are still large are compared block by block
 STAR_LEVEL = 6
+DENSE_LEVEL = 2
 SMALL = 64  # classes compared exhaustively
+BLOCK = 128  # classes of either side when a component is compared with those near to it
 # Classes are confirmed on full sets when so many of their coordinates agree: four standard
 # deviations below what a similarity of 0.8 gives.
 AGREEING = 38
@@ -165,11 +170,8 @@ def _compare(rows: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("node").mapInArrow(run, "a long, b long").distinct()
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
-    pairs = stage.table(pairs, "pairs")
-    wanted = stage.table(
-        pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "wanted")
+def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """Stored (rep, set) of the ids in ``wanted``, read from their texts again."""
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
@@ -182,10 +184,17 @@ def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int, id_col:
                     pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64)))
                 ], names=["rep", "set"])
 
+    wanted = stage.table(wanted.distinct(), "wanted")
     if wanted.count() * 16 <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
-    sets = stage.table(
+    return stage.table(
         texts.join(wanted, "rep", "left_semi").mapInArrow(run, "rep long, set array<long>"), "sets")
+
+
+def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The pairs whose full sets reach the similarity."""
+    pairs = stage.table(pairs, "pairs")
+    sets = _full_sets(docs, pairs.select(F.col("a").alias("rep")).union(pairs.select("b")), size, id_col, text_col)
     both = (
         pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
         .join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
@@ -195,6 +204,66 @@ def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int, id_col:
     return stage.table(both.where(100 * common >= percent * union).select("a", "b").distinct(), "links")
 
 
+def _confirm_near(near: DataFrame, labelled: DataFrame, docs: DataFrame, size: int, percent: int,
+                  id_col: str, text_col: str) -> DataFrame:
+    """A link from every class to the component it lies near to, where there is one.
+
+    ``near``: (rep, core). A class is compared on full sets with all members of the
+    component, block by block; as they are one component already, one link per block is
+    enough, so the result grows with the classes, not with the pairs.
+    """
+    near = stage.table(near.distinct(), "near")
+    if not near.limit(1).count():
+        return near.toDF("a", "b")
+    cores = near.groupBy("core").agg(F.count(F.lit(1)).alias("n_near"))
+    inside = labelled.select("rep", "label").join(cores, F.col("label") == F.col("core"), "left_semi")
+    sizes = stage.table(
+        cores.join(inside.groupBy(F.col("label").alias("core")).agg(F.count(F.lit(1)).alias("n_inside")), "core")
+        .select("core", F.ceil(F.col("n_near") / BLOCK).cast("int").alias("near_blocks"),
+                F.ceil(F.col("n_inside") / BLOCK).cast("int").alias("inside_blocks")), "near-sizes")
+
+    def dealt(rows, own, other):
+        block = F.pmod(F.xxhash64("rep"), F.col(f"{own}_blocks")).cast("int")
+        return rows.join(sizes, "core").select(
+            "core", "rep", F.lit(own == "near").alias("asks"), block.alias(own),
+            F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(other))
+
+    both = dealt(near, "near", "inside").unionByName(
+        dealt(inside.select("rep", F.col("label").alias("core")), "inside", "near"))
+    sets = _full_sets(docs, both.select("rep"), size, id_col, text_col)
+    rows = both.join(sets.select(F.col("rep").alias("of"), "set"), F.col("rep") == F.col("of")).drop("of")
+
+    def link(group: pa.Table) -> pa.Table:
+        asks = group.column("asks").to_numpy()
+        rep = group.column("rep").to_numpy()
+        column = group.column("set").combine_chunks()
+        first = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])
+        values = column.flatten().to_numpy()
+        counts = np.diff(first)
+        inside = np.flatnonzero(~asks)
+        at = np.concatenate([np.arange(first[i], first[i + 1]) for i in inside]) if len(inside) else inside
+        pool, starts = values[at], np.cumsum(counts[inside]) - counts[inside]
+        order = np.argsort(pool)
+        owner = np.repeat(np.arange(len(inside)), counts[inside])[order]
+        pool = pool[order]
+        found = []
+        for i in np.flatnonzero(asks):
+            mine = values[first[i]:first[i + 1]]
+            low, high = np.searchsorted(pool, mine, "left"), np.searchsorted(pool, mine, "right")
+            spans = high - low
+            hit = np.repeat(low - (np.cumsum(spans) - spans), spans) + np.arange(spans.sum())
+            common = np.bincount(owner[hit], minlength=len(inside))
+            union = counts[i] + counts[inside] - common
+            linked = np.flatnonzero(100 * common >= percent * union)
+            if len(linked):
+                found.append((rep[i], rep[inside[linked]].min()))
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return stage.table(
+        rows.groupBy("core", "near", "inside").applyInArrow(link, "a long, b long"), "near-links")
+
+
 def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
     """Stored ``classes`` with ``label``, the root of the component so far."""
     roots = stage.table(components(links), "roots")
@@ -203,54 +272,63 @@ def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
         .select("rep", F.coalesce("root", "rep").alias("label"), "minwise"), "labelled")
 
 
-def _candidate_pairs(labelled: DataFrame, trees: int, levels: int, small: int) -> list:
-    """Tables of pairs that meet in a small node, level by level."""
-    found, large = [], None
+def _candidate_pairs(labelled: DataFrame, trees: int, levels: int, small: int):
+    """(pairs, near): pairs of classes that meet in a small node, and (rep, core) of classes
+    that meet a large component in a large node.
+
+    From DENSE_LEVEL on a large node is alike in itself, and when most of it is one
+    component it would hardly shrink further: its other members are noted as near to that
+    component, and the branching goes on without the component.
+    """
+    pairs, near, large = [], [], None
     for level in range(1, levels + 1):
         rows = _nodes(labelled, level, trees)
         if large is not None:
-            rows = rows.join(large.select(F.col("at").alias("parent")), "parent", "left_semi")
+            rows = rows.join(large, F.col("parent") == F.col("at")).where(
+                F.col("core").isNull() | (F.col("label") != F.col("core")))
+        rows = rows.select("node", "rep", "label")
         sized = stage.table(
             rows.groupBy("node")
             .agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
             .where("low <> high").select(F.col("node").alias("at"), "n"), "nodes")
-        met = rows.select("node", "rep", "label").join(sized, F.col("node") == F.col("at"))
+        met = rows.join(sized, F.col("node") == F.col("at")).drop("at")
         few = met.where(F.col("n") <= small).select("node", F.lit(-1).alias("part"), "rep", "label")
-        found.append(stage.table(_compare(_with_short(few, labelled)), "candidates"))
-        large = sized.where(F.col("n") > small)
+        pairs.append(stage.table(_compare(_with_short(few, labelled)), "candidates"))
+        large = sized.where(F.col("n") > small).select("at", F.lit(None).cast("long").alias("core"))
         if not large.limit(1).count():
-            return found
-    rest = met.where(F.col("n") > small).select("node", "rep", "label")
-    found.append(stage.table(_compare(_with_short(_blocks(rest, small), labelled)), "candidates"))
-    return found
+            return pairs, near
+        if level >= DENSE_LEVEL:
+            rest = met.where(F.col("n") > small).select("node", "rep", "label")
+            core = rest.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy(
+                F.col("node").alias("at")).agg(F.max(F.struct("n", "label")).alias("most"))
+            large = stage.table(core.select(
+                "at", F.when(F.col("most.n") > small, F.col("most.label")).alias("core")), "large-nodes")
+            near.append(stage.table(
+                rest.join(large.where("core IS NOT NULL"), F.col("node") == F.col("at"))
+                .where(F.col("label") != F.col("core")).select("rep", "core").distinct(), "near"))
+    rest = rest.join(large, F.col("node") == F.col("at")).where(
+        F.col("core").isNull() | (F.col("label") != F.col("core"))).select("node", "rep", "label")
+    pairs.append(stage.table(_compare(_with_short(_blocks(rest, small), labelled)), "candidates"))
+    return pairs, near
 
 
 def _blocks(rows: DataFrame, small: int) -> DataFrame:
-    """Large last nodes cut into pairs of blocks, each pair a node of its own.
-
-    The label most members of a node have is its core: core blocks only meet blocks of the
-    others, so a large component and a few strangers cost a row per member and few more.
-    """
-    per_label = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
-    nodes = stage.table(per_label.groupBy("node").agg(
-        F.max(F.struct("n", "label")).alias("core"), F.sum("n").alias("n")), "large-nodes")
-    nodes = nodes.select(
-        F.col("node").alias("at"), F.col("core.label").alias("core"),
-        F.ceil(F.col("core.n") / small).cast("int").alias("core_blocks"),
-        F.ceil((F.col("n") - F.col("core.n")) / small).cast("int").alias("other_blocks"))
+    """Large last nodes cut into pairs of blocks, each pair a node of its own."""
+    nodes = stage.table(rows.groupBy(F.col("node").alias("at")).agg(
+        F.ceil(F.count(F.lit(1)) / small).cast("int").alias("blocks")), "last-nodes")
     met = rows.join(nodes, F.col("node") == F.col("at"))
-    is_core = F.col("label") == F.col("core")
-    own = F.when(is_core, F.pmod(F.xxhash64("rep"), F.col("core_blocks")) + F.col("other_blocks")).otherwise(
-        F.pmod(F.xxhash64("rep"), F.col("other_blocks"))).cast("int")
-    last = F.when(is_core, F.col("other_blocks") - 1).otherwise(
-        F.col("core_blocks") + F.col("other_blocks") - 1)
-    met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    met = met.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
     return met.select(
         F.xxhash64("node", low, high).alias("node"),
         F.when(low == high, F.lit(-1)).otherwise(F.col("own")).alias("part"), "rep", "label")
 
 
+def _all(tables: list) -> DataFrame:
+    return reduce(DataFrame.union, tables)
+
+
 def groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
            text_col: str = "text", trees: int = TREES, small: int = SMALL) -> DataFrame:
     """``id_col``, ``n_shingles``, ``component_id`` and ``kept`` of every row.
@@ -282,11 +360,10 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc
     links = _confirm(stars, docs, size, percent, id_col, text_col)
 
     labelled = _labelled(classes.select("rep", "minwise"), links.union(same_id))
-    found = _candidate_pairs(labelled, trees, LEVELS, small)
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    others = _confirm(pairs.distinct(), docs, size, percent, id_col, text_col)
+    found, near = _candidate_pairs(labelled, trees, LEVELS, small)
+    others = _confirm(_all(found).distinct(), docs, size, percent, id_col, text_col)
+    if near:
+        others = others.union(_confirm_near(_all(near), labelled, docs, size, percent, id_col, text_col))
 
     roots = stage.table(components(links.union(others).union(same_id)), "roots")
     named = stage.table(

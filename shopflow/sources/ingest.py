@@ -87,7 +87,9 @@ def read_csv_typed(spark: SparkSession, path, schema: T.StructType) -> DataFrame
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Text keeps its blanks, which the writer would trim by default."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, **keep).csv(path)
 
 
 # ---- high-water marks -----------------------------------------------------------------

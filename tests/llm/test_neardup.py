@@ -79,11 +79,28 @@ def test_large_nodes(spark):
 
 
 def test_blocks_compare_all_of_a_node(spark):
-    rows = spark.createDataFrame([(7, i, 0 if i < 30 else i) for i in range(40)], "node long, rep long, label long")
+    rows = spark.createDataFrame([(7, i, i) for i in range(40)], "node long, rep long, label long")
     cut = [(r.node, r.part, r.rep, r.label) for r in neardup._blocks(rows, 4).collect()]
     met = {(min(x[2], y[2]), max(x[2], y[2])) for x in cut for y in cut
            if x[0] == y[0] and x[3] != y[3] and (x[1] < 0 or x[1] != y[1])}
-    assert met == {(i, j) for j in range(30, 40) for i in range(j)}
+    assert met == {(i, j) for j in range(40) for i in range(j)}
+
+
+def test_near_classes_meet_every_member(spark, monkeypatch):
+    """Only one member of a large component is similar enough to the class near it."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(base[:50] + [f"e{i}"] + base[51:])) for i in range(30)]
+    member = base[:20] + ["far"] * 3 + base[23:]
+    rows += [(50, " ".join(member)), (60, " ".join(member[:80] + ["off"] * 4 + member[84:])),
+             (61, " ".join(base[:40] + ["no"] * 30 + base[70:]))]
+    labelled = spark.createDataFrame(
+        [(i, 0 if i <= 50 else i) for i, _ in rows], "rep long, label long")
+    near = spark.createDataFrame([(60, 0), (61, 0)], "rep long, core long")
+    got = neardup._confirm_near(near, labelled, docs(spark, rows), 2, 80, "doc_id", "text").collect()
+    _, sets = brute(rows, 2)
+    linked = {b for b, s in sets.items() if b <= 50 and 100 * len(s[0] & sets[60][0]) >= 80 * len(s[0] | sets[60][0])}
+    assert linked and {r.a for r in got} == {60} and {r.b for r in got} <= linked
 
 
 def test_repeated_id_with_other_text(spark):
