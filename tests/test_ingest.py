@@ -1,7 +1,9 @@
 import pytest
 from conftest import D, day, ts
+from pyspark.sql import functions as F
 
 from shopflow import schemas
+from shopflow.functions import columns as C
 from shopflow.operators import contracts, dims, monitor
 from shopflow.plans import extract
 from shopflow.sources import ingest, relational, versioned
@@ -246,3 +248,24 @@ def test_recent_errors(events):
 def test_exceptions_are_exploded_and_broken_text_kept(events):
     rows = {(r.class_name, r.message) for r in monitor.explode_exceptions(events).collect()}
     assert rows == {("A", "one"), ("B", "two"), (None, "{broken")}
+
+
+def test_whole_numbers_keep_no_fraction(spark):
+    df = spark.createDataFrame([("12",), ("12.0",), ("12.7",), ("-3.5",), ("x",), (None,)], "q string")
+    assert [r[0] for r in df.select(C.whole_number("q", "int")).collect()] == [12, 12, None, None, None, None]
+
+
+def test_next_mark_reads_only_what_is_newer(spark, tmp_path):
+    path = str(tmp_path / "source")
+    spark.createDataFrame([(ts("2010-01-01"),), (ts("2010-01-05"),)], "invoice_date timestamp").write.parquet(path)
+    source = spark.read.parquet(path)
+    assert ingest.next_watermark(source, "2010-01-02 00:00:00") == "2010-01-05 00:00:00"
+    assert ingest.next_watermark(source, "2010-01-05 00:00:00") is None
+    newer = source.where(F.col("invoice_date") > F.lit("2010-01-02").cast("timestamp")).agg(F.max("invoice_date"))
+    assert "GreaterThan(invoice_date" in newer._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_keeps_blanks(spark, tmp_path):
+    df = spark.createDataFrame([(" a ", 1)], "t string, n int")
+    ingest.write_csv(df, str(tmp_path / "csv"))
+    assert ingest.read_csv_typed(spark, str(tmp_path / "csv"), df.schema).first().t == " a "
