@@ -320,7 +320,6 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     words = encoded.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
         "key", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     light = counts.where(F.col("n") * HEAVY < vocabulary.tokens)
-    # Where most words of a few texts were looked up, the sums are few rows per text and task.
     rest = words.join(light, "word", "left").groupBy("key").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(SMOOTH))).alias("rest"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rest_known"))

@@ -92,8 +92,10 @@ def judge(urls: DataFrame, rules: list, url_col: str = "url", default: str = "al
         rule_index(rows.select(tokens.alias("tokens")), rules), "url-rules")
     size = index.agg(F.coalesce(F.sum(
         F.length("rule") + F.length("regex") + F.length("token") + 64), F.lit(0)).alias("n")).first().n
-    target = F.when(F.col("c.layer") == 1, F.concat("host", "path")).otherwise(
-        F.coalesce("url", F.lit("")))
+
+    def fits(c):
+        target = F.when(c["layer"] == 1, F.concat("host", "path")).otherwise(F.coalesce("url", F.lit("")))
+        return F.regexp_like(target, c["regex"])
 
     def rank(c):
         return F.struct(c["layer"].alias("layer"), c["length"].alias("length"),
@@ -115,10 +117,7 @@ def judge(urls: DataFrame, rules: list, url_col: str = "url", default: str = "al
                             F.concat(tokens, F.array(F.lit(""))).alias("tokens"))
         fetched = F.flatten(F.filter(F.transform("tokens", lambda t: F.try_element_at(known, t)),
                                      lambda x: x.isNotNull()))
-        fits = F.filter(fetched, lambda c: F.regexp_like(
-            F.when(c["layer"] == 1, F.concat("host", "path")).otherwise(
-                F.coalesce("url", F.lit(""))), c["regex"]))
-        best = F.array_max(F.transform(fits, rank))
+        best = F.array_max(F.transform(F.filter(fetched, fits), rank))
         judged = split.select("row", "host", "path", best.alias("best"))
     else:
         distinct = rows.select("url").distinct().select(
@@ -127,7 +126,7 @@ def judge(urls: DataFrame, rules: list, url_col: str = "url", default: str = "al
             F.concat("tokens", F.array(F.lit("")))).alias("token"))
         fitting = (
             candidates.join(index.select("token", F.struct("*").alias("c")), "token")
-            .where(F.regexp_like(target, F.col("c.regex")))
+            .where(fits(F.col("c")))
             .groupBy("url").agg(F.max(rank(F.col("c"))).alias("best"))
         )
         judged = (
