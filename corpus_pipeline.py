@@ -5,12 +5,13 @@ Every stage works on what the one before kept. Stages but the last return the co
 """
 
 import uuid
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopflow.llm import bpe, contamination, lines, neardup, parameters, quality
-from shopflow.llm.queries import VOCABULARY, importable, quality_weights, table
+from shopflow.llm.queries import VOCABULARY, prepare, quality_weights, table
 from shopflow.sources import stage
 
 SHINGLE_WORDS = 5
@@ -43,12 +44,21 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def _prepared(function):
+    @wraps(function)
+    def stage_function(spark, docs, sf_dir):
+        prepare(spark)
+        return function(spark, docs, sf_dir)
+
+    return stage_function
+
+
 STAGES = [
-    ("quality", accepted),
-    ("line_dedup", without_boilerplate),
-    ("near_dedup", without_near_copies),
-    ("decontamination", without_leaks),
-    ("byte_bpe", tokens),
+    ("quality", _prepared(accepted)),
+    ("line_dedup", _prepared(without_boilerplate)),
+    ("near_dedup", _prepared(without_near_copies)),
+    ("decontamination", _prepared(without_leaks)),
+    ("byte_bpe", _prepared(tokens)),
 ]
 
 # The first stage learns a model and the third branches by hash: SQL cannot express them.
@@ -57,7 +67,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is stored and read again by the next."""
-    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES:
         path = f"{stage.folder(spark)}/corpus-{name}-{uuid.uuid4().hex}"

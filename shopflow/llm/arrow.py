@@ -8,7 +8,7 @@ on nothing but the word, so they agree between tasks, runs and machines.
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20  # text handled at once; one longer text makes a block of its own
+BLOCK_BYTES = 1 << 19  # text handled at once; one longer text makes a block of its own
 
 _U64 = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -31,6 +31,10 @@ def mix(x):
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U64(_P))
 _powers = {}
 
+# What operators of one worker keep between tasks: functions that free it when the worker
+# goes on to other work.
+keepers = []
+
 
 def _power_table(n):
     """P**0 .. P**(n-1) and the same of the inverse, kept for the longest block so far."""
@@ -47,8 +51,10 @@ def text_blocks(column):
     """Yield (first row, offsets, bytes) for runs of rows of about BLOCK_BYTES of text.
 
     ``offsets`` has one entry more than rows and counts from 0 in ``bytes``. A null text
-    is an empty one.
+    is an empty one. Frees what other operators kept in this worker.
     """
+    for free in keepers:
+        free()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string())

@@ -23,6 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from shopflow.llm import arrow
+
 VOCABULARY_BYTES = 32 << 20  # a rank file beyond this is refused, not broadcast
 REMEMBERED = 350_000  # units of a generation, per worker
 REMEMBERED_CHARS = 40  # longer units are not remembered
@@ -179,6 +181,7 @@ def parse_ranks(data: bytes) -> dict:
 
 
 _encoders = {}
+arrow.keepers.append(_encoders.clear)
 
 
 def _encoder(data: bytes, pattern: str) -> Encoder:

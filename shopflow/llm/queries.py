@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from shopflow.llm import bpe, contamination, hmm, licenses, lines, neardup, parameters, quality, secrets, topk, urls
 from shopflow.llm.sql import ORACLE_SQL  # noqa: F401  registered with the queries
 
+# Rows of an Arrow batch: texts are long, and a batch is held by Spark and by its worker.
+BATCH_ROWS = 2_000
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 QUERIES = {}
@@ -17,13 +20,19 @@ QUERIES = {}
 def register(fn):
     """Register a function of (spark, folder) under its own name."""
     def query(spark, sf_dir):
-        importable(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = query
     return fn
 
 
+def prepare(spark):
+    """Session settings of these queries: batches to Python of a few MB of text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    importable(spark)
+
+
 def importable(spark):
     """Let local workers import this package from where the driver did.
 

@@ -91,3 +91,14 @@ def test_a_huge_vocabulary_is_refused(tmp_path, monkeypatch):
     (tmp_path / "v").write_bytes(b"x" * 11)
     with pytest.raises(ValueError):
         bpe.read_ranks(str(tmp_path / "v"))
+
+
+def test_other_work_frees_what_was_remembered():
+    import pyarrow as pa
+
+    from shopflow.llm import arrow
+
+    coder = bpe._encoder(bpe.read_ranks(PATH), P.PATTERN)
+    assert bpe._encoder(bpe.read_ranks(PATH), P.PATTERN) is coder
+    list(arrow.text_blocks(pa.array(["a"])))
+    assert not bpe._encoders
