@@ -31,7 +31,7 @@ COORDINATES = 64
 TREES = 20
 LEVELS = 8  # nodes of this depth that are still large are compared block by block
 STAR_LEVEL = 6
-DENSE_LEVEL = 2
+DENSE_LEVEL = 3
 SMALL = 64  # classes compared exhaustively
 BLOCK = 128  # classes of either side when a component is compared with those near to it
 # Classes are confirmed on full sets when so many of their coordinates agree: four standard
