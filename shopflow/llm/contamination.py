@@ -1,11 +1,13 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Texts become words (A-Z lower-cased, cut at ASCII signs and white space) and words become
+Texts become words (folded to one case, cut at ASCII signs and white space) and words become
 64-bit hashes. A mask picks some of SPAN neighbouring words and ignores the others, so a
 seed survives a substitution at an ignored position; the masks ignore different positions.
 Seeds of benchmark items and of texts are joined by hash. Around every hit the text is
 aligned with the item, word by word without gaps, and the overlap with the best run is
-kept: a run grows while at least MATCH_SHARE of its words agree.
+kept: a run grows while at least MATCH_SHARE of its words agree. RADIUS words to either side
+reach both ends of an item that is not longer; with longer items the text and the item are
+aligned from end to end, once for every shift at which a seed hit.
 """
 
 import json
@@ -17,19 +19,22 @@ from shopflow.sources import stage
 # The masks; 0 ignores a word. Each inner position is ignored by one of them.
 MASKS = ["11101101", "10110111", "11011011"]
 SPAN = 8
-RADIUS = 64  # words around a hit that are aligned, to either side
+RADIUS = 64  # words carried along with a hit, to either side; longer items are met otherwise
 LEAST_WORDS = 13  # agreeing words of a run that make a leak, fewer only for short items
 MATCH_SHARE = 0.8
 BROADCAST_BYTES = 64 << 20  # of seeds; more are joined by shuffling
 BITMAP_BITS = 1 << 22  # at most, of the filter in front of the join
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SIGNS = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
 
 def _hashes(text):
-    """The words of a text column as an array of hashes."""
-    words = F.split(F.translate(text, UPPER, LOWER), SIGNS, -1)
+    """The words of a text column as an array of hashes.
+
+    Upper case first: it writes out the letters that have no capital ('ß' as 'SS'). Without
+    the blank in between Spark would simplify the two to ``lower`` alone.
+    """
+    words = F.split(F.lower(F.concat(F.upper(text), F.lit(" "))), SIGNS, -1)
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
@@ -112,6 +117,51 @@ def text_key(text_col: str = "text"):
     return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
 
 
+def _around(docs, text_col, texts, seeds, items):
+    """``key``, ``item``, ``n`` and ``eq``: a row per hit, RADIUS words to either side."""
+    # explode_outer: a filter on the arrays would be pushed below them and compute them anew
+    # for every word; the join drops the texts without a hit.
+    hit = texts.select("key", "tokens", "hits").select(
+        "key", F.explode_outer(F.transform("hits", lambda h: F.struct(
+            h["seed"].alias("seed"),
+            F.least(h["at"], F.lit(RADIUS)).alias("left"),
+            F.slice("tokens", h["at"] - F.least(h["at"], F.lit(RADIUS)) + 1,
+                    F.least(h["at"], F.lit(RADIUS)) + SPAN + RADIUS).alias("around")))).alias("h"),
+    ).select("key", "h.*")
+    met = hit.join(seeds, "seed").join(items, "item")
+    left = F.least("left", "at")
+    size = left + F.least(F.size("around") - F.col("left"), F.size("tokens") - F.col("at"))
+    return met.select(
+        "key", "item", F.size("tokens").alias("n"),
+        F.zip_with(
+            F.slice("around", F.col("left") - left + 1, size),
+            F.slice("tokens", F.col("at") - left + 1, size), lambda a, b: a == b).alias("eq"))
+
+
+def _end_to_end(docs, text_col, texts, seeds, items):
+    """The same, a row per shift between a text and an item, over all their words."""
+    hit = texts.select("key", F.explode_outer("hits").alias("h")).select(
+        "key", "h.seed", F.col("h.at").alias("there"))
+    shifts = stage.table(
+        hit.join(seeds, "seed").select("key", "item", (F.col("there") - F.col("at")).alias("shift"))
+        .distinct(), "benchmark-shifts")
+    of_text = shifts.groupBy(F.col("key").alias("known")).agg(
+        F.collect_list(F.struct("item", "shift")).alias("met"))
+    raw = docs.select(text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
+    met = (
+        raw.join(of_text, F.col("key") == F.col("known"))
+        .select("key", "met", _hashes(F.col("text")).alias("words"))
+        .select("key", "words", F.explode("met").alias("m")).select("key", "words", "m.*")
+        .join(items, "item")
+    )
+    there, at = F.greatest("shift", F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
+    size = F.least(F.size("words") - there, F.size("tokens") - at)
+    return met.select(
+        "key", "item", F.size("tokens").alias("n"),
+        F.zip_with(F.slice("words", there + 1, size), F.slice("tokens", at + 1, size),
+                   lambda a, b: a == b).alias("eq"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``key`` (see ``text_key``), ``item`` and ``words`` (agreeing ones) of every leak.
@@ -145,25 +195,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         return F.filter(found, lambda h: filed.may_hold(h["seed"]))
 
     texts = texts.withColumn("hits", F.concat(*[hits(m) for m in range(len(MASKS))]))
-    # explode_outer: a filter on the arrays would be pushed below them and compute them anew
-    # for every word; the join drops the texts without a hit.
-    hit = texts.select("key", "tokens", "hits").select(
-        "key", F.explode_outer(F.transform("hits", lambda h: F.struct(
-            h["seed"].alias("seed"),
-            F.least(h["at"], F.lit(RADIUS)).alias("left"),
-            F.slice("tokens", h["at"] - F.least(h["at"], F.lit(RADIUS)) + 1,
-                    F.least(h["at"], F.lit(RADIUS)) + SPAN + RADIUS).alias("around")))).alias("h"),
-    ).select("key", "h.*")
     small = seed_bytes <= BROADCAST_BYTES
-    met = hit.join(F.broadcast(seeds) if small else seeds, "seed").join(
-        F.broadcast(items) if small else items, "item")
-    left = F.least("left", "at")
-    size = left + F.least(F.size("around") - F.col("left"), F.size("tokens") - F.col("at"))
-    aligned = met.select(
-        "key", "item", F.size("tokens").alias("n"),
-        F.zip_with(
-            F.slice("around", F.col("left") - left + 1, size),
-            F.slice("tokens", F.col("at") - left + 1, size), lambda a, b: a == b).alias("eq"))
+    longest = items.agg(F.coalesce(F.max(F.size("tokens")), F.lit(0)).alias("n")).first().n
+    align = _around if longest <= RADIUS else _end_to_end
+    aligned = align(docs, text_col, texts, F.broadcast(seeds) if small else seeds,
+                    F.broadcast(items) if small else items)
     scored = aligned.select("key", "item", "n", _agreeing(F.col("eq")).alias("words"))
     enough = F.least(F.lit(LEAST_WORDS), F.ceil(F.col("n") * MATCH_SHARE))
     return (

@@ -85,3 +85,26 @@ def test_empty_tables(spark):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert c.flagged(docs(spark, []), benchmark).count() == 0
     assert c.clean(docs(spark, [(1, "a")]), benchmark).count() == 1
+
+
+def test_an_upper_cased_passage_with_other_letters(spark):
+    items = [
+        (1, "la función de la educación está en la región según la comisión económica y su población"),
+        (2, "où l'été a été préféré à l'hiver, les élèves français étaient très gênés par la forêt brûlée"),
+        (3, "die Straße war groß und weiß und hieß seit jeher Große Gaßstraße bis zum Fluß draußen"),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, "Before it. " + text.upper() + " and after") for i, text in items]
+    rows += [(i + 10, text) for i, text in items]
+    got = {r.doc_id: r["items"] for r in c.flagged(docs(spark, rows), benchmark).collect()}
+    assert got == {1: "1", 2: "2", 3: "3", 11: "1", 12: "2", 13: "3"}
+
+
+def test_words_of_a_leak_longer_than_the_radius(spark):
+    item = [f"t{i}" for i in range(400)]
+    gap = item[:40] + [f"u{i}" for i in range(8)] + item[48:]
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, prose(4, 30, 5000))], "item_id long, text string")
+    rows = [(1, "so " + " ".join(item) + " on"), (2, " ".join(item[90:390])), (3, " ".join(gap)),
+            (4, "a " + prose(4, 30, 5000)), (5, " ".join(item)), (6, " ".join(item)), (7, None), (8, prose(5, 90))]
+    got = {r.doc_id: r.words for r in c.flagged(docs(spark, rows), benchmark).collect()}
+    assert got == {1: 400, 2: 300, 3: 392, 4: 30, 5: 400, 6: 400, 7: 0, 8: 0}
