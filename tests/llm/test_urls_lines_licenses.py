@@ -44,6 +44,22 @@ def test_urls(spark, index_bytes):
     assert urls.judge(frame.limit(0), RULES, index_bytes=index_bytes).count() == 0
 
 
+def test_rules_outside_the_contract_change_verdicts(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    rules = RULES[:-1]  # those of the registered query
+    judged = urls.judge(pages, rules).where("rule IS NULL")
+    blocked = {r.host: r["count"] for r in judged.where("verdict = 'block'").groupBy("host").count().collect()}
+    assert blocked == {"blog.adult-x.example.net": 10}
+    more = {
+        "http://m.casino-win.example.org/en/1": "block", "https://free-bets.example.net/en/2": "block",
+        "https://www.cheap-pills.example.org/en/3": "block", "https://adult-education.example.org/a": "allow",
+        "http://x.org/login": "block", "http://x.org/login?next=1": "block", "http://x.org/cart#top": "block",
+        "http://x.org/cart?id=3": "block", "http://x.org/cartoons/1": "allow", "http://x.org/alphabets.html": "allow",
+    }
+    frame = spark.createDataFrame(list(enumerate(more)), "page_id long, url string")
+    assert {r.url: r.verdict for r in urls.judge(frame, rules).collect()} == more
+
+
 def test_a_rule_is_filed_under_its_rarest_token(spark):
     frame = spark.createDataFrame([(["net", "fr", "x"],), (["net", "es"],), (["net", "es"],)], "tokens array<string>")
     rules = [urls.host_rule("block", p) for p in ("net/es/", "net/fr/", "net/")] + [urls.wildcard_rule("block", "*x*")]
