@@ -34,11 +34,10 @@ PLACEHOLDERS = {
 }
 THRESHOLD = 0.5
 SHORTEST = 8
-LONGEST_NAME = 64
-PARTS = 64  # joined or followed literals of one value, a bound on work per assignment
+LONGEST_PLACEHOLDER = max(map(len, PLACEHOLDERS))
 
 _OPERATOR = re.compile(r":=|=>|(?<![=!<>:+*/-])=(?!=)|(?<!:):(?![:/=])")
-_NAME_END = re.compile(r"""([A-Za-z_][A-Za-z0-9_.\-]*)["']?[ \t]*\Z""")
+_NAME_BACK = re.compile(r"""[ \t]*["']?([A-Za-z0-9_.\-]*)""")  # of the reversed text
 _VALUE = re.compile(
     r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([^\s"'`,;(){}\[\]<>#+]+))""")
 _PLUS = re.compile(r"[ \t]*\+")
@@ -59,35 +58,93 @@ def base_spans(text: str) -> list:
     return spans
 
 
+class _Value:
+    """A literal, or two values joined, of any length: what a score needs and where it came from.
+
+    Joined values refer to their parts, so a constant that is doubled again and again stays
+    small. ``blanks`` tells of white space (before, after, within) the stripped value, which
+    has ``n`` characters, begins with ``head`` and holds ``counts``.
+    """
+
+    __slots__ = ("span", "parts", "blanks", "n", "head", "counts")
+
+    def __init__(self, text: str, span: tuple = None):
+        bare = text.strip()
+        self.span, self.parts = span, ()
+        self.blanks = (text[:1].isspace(), text[-1:].isspace(), bool(re.search(r"\s", bare)))
+        self.n, self.head, self.counts = len(bare), bare[:LONGEST_PLACEHOLDER + 1], Counter(bare)
+
+    @classmethod
+    def joined(cls, a, b):
+        both = cls.__new__(cls)
+        both.span, both.parts = None, (a, b)
+        before = a.blanks[0] or (not a.n and b.blanks[0])
+        after = b.blanks[1] or (not b.n and a.blanks[1])
+        between = bool(a.n and b.n) and (a.blanks[1] or b.blanks[0])
+        both.blanks = (before, after, a.blanks[2] or b.blanks[2] or between)
+        both.n = a.n + b.n
+        both.head = (a.head + b.head)[:LONGEST_PLACEHOLDER + 1]
+        both.counts = a.counts.copy()
+        both.counts.update(b.counts)
+        return both
+
+    def spans(self, seen: set):
+        """Yield (start, end) of the literals; values in ``seen`` were asked before."""
+        open_values = [self]
+        while open_values:
+            value = open_values.pop()
+            if id(value) not in seen:
+                seen.add(id(value))
+                open_values += value.parts
+                if value.span:
+                    yield value.span
+
+
+def _name_before(text: str, low: int, high: int) -> str:
+    """The name that ends at ``high`` but for a quote and blanks; '' without one."""
+    low = max(low, text.rfind("\n", low, high) + 1)
+    back = _NAME_BACK.match(text[low:high][::-1])
+    return back[1][::-1].lstrip("0123456789.-")
+
+
 def assignments(text: str):
-    """Yield (name, [(start, end) of its literals], value) in text order, constants followed.
+    """Yield (name, value) in text order, constants followed.
 
     A bare word that was assigned before stands for that literal; a name stands for the
-    value it had last. ``a`` and ``obj.a`` are different names.
+    value it had last. ``a`` and ``obj.a`` are different names. Neither a name nor the
+    literals of a value are limited in number or length.
     """
-    known = {}
+    known, tails, last = {}, {}, 0
     for op in _OPERATOR.finditer(text):
-        named = _NAME_END.search(text[max(0, op.start() - LONGEST_NAME - 2):op.start()])
-        if not named or len(named[1]) > LONGEST_NAME:
+        name, last = _name_before(text, last, op.start()), op.end()
+        if not name:
             continue
-        at, spans, value = op.end(), [], ""
-        while len(spans) < PARTS and (m := _VALUE.match(text, at)):
+        at, starts, values, fixed = op.end(), [], [], True
+        while m := _VALUE.match(text, at):
+            if at in tails:  # read before, by an operator within an earlier literal
+                values.append(tails[at])
+                starts.append(at)
+                break
             group = m.lastindex
-            if group == 3 and _NAME.match(m[3]) and m[3] in known:
-                earlier, part = known[m[3]]
-                spans += earlier
-            else:
-                part = m[group]
-                spans.append((m.start(group), m.end(group)))
-            value += part
+            starts.append(at)
+            if group == 3 and _NAME.match(m[3]):
+                fixed = False
+            values.append(known[m[3]] if group == 3 and m[3] in known
+                          else _Value(m[group], (m.start(group), m.end(group))))
             at = m.end()
             plus = _PLUS.match(text, at)
             if not plus:
                 break
             at = plus.end()
-        if spans:
-            known[named[1]] = (spans[:PARTS], value)
-            yield named[1], spans, value
+        if values:
+            value = values[-1]
+            for start, part in zip(starts[-2::-1], values[-2::-1]):
+                if fixed:
+                    tails[start] = value = _Value.joined(part, value)
+                else:
+                    value = _Value.joined(part, value)
+            known[name] = value
+            yield name, value
 
 
 def sensitivity(name: str) -> float:
@@ -100,16 +157,16 @@ def sensitivity(name: str) -> float:
     return best
 
 
-def randomness(value: str) -> float:
+def randomness(value: _Value) -> float:
     """0 to 1: length, character classes and entropy of a literal; 0 for placeholders."""
-    bare = value.strip()
-    if len(bare) < SHORTEST or re.search(r"\s", bare) or bare.lower() in PLACEHOLDERS:
+    n, counts = value.n, value.counts
+    if n < SHORTEST or value.blanks[2] or value.head.lower() in PLACEHOLDERS:
         return 0.0
-    if bare[0] in "$<{%" or len(set(bare)) < 5:
+    if value.head[0] in "$<{%" or len(counts) < 5:
         return 0.0
-    classes = sum(bool(re.search(p, bare)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    n = len(bare)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(bare).values())
+    letters = "".join(counts)
+    classes = sum(bool(re.search(p, letters)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     return min(1.0, entropy / 3.5) * (0.4, 0.8, 1.0, 1.0)[classes - 1]
 
 
@@ -117,11 +174,12 @@ def lexed_spans(text: str, taken: list, threshold: float = THRESHOLD) -> list:
     """(start, kind number, end) of literals in sensitive names, but for those in ``taken``."""
     if ":" not in text and "=" not in text:
         return []
-    found = set()
-    for name, spans, value in assignments(text):
+    found, seen, kept = set(), set(), []
+    for name, value in assignments(text):
         sensitive = sensitivity(name)
         if sensitive and sensitive * randomness(value) >= threshold:
-            found |= set(spans)
+            kept.append(value)  # so that its id stays its own
+            found.update(value.spans(seen))
     covered = [(s, e) for s, _, e in taken]
     return [(s, 3, e) for s, e in found
             if e > s and not any(s < b and a < e for a, b in covered)]

@@ -41,6 +41,31 @@ def test_texts(text, want):
     assert found(text) == want
 
 
+ODD = "é!Qx%7&"  # with signs that no base kind takes
+
+
+@pytest.mark.parametrize("text, want", [
+    (f"spring.security.oauth2.client.registration.internal-sso.client-secret.of.{'x' * 80}: '{ODD}9z'", [("lexed", ODD + "9z")]),
+    (f"db_password{' ' * 60}= '{ODD}9z'", [("lexed", ODD + "9z")]),
+    (f"'db_pwd'{chr(9) * 500}: '{ODD}9z'", [("lexed", ODD + "9z")]),
+    (f"db_pwd\n{' ' * 80}= '{ODD}9z'", []),
+    ("db_pwd = " + " + ".join(f"'{ODD}{i}'" for i in range(300)), sorted(("lexed", f"{ODD}{i}") for i in range(300))),
+    (f"k = '{ODD}9z'\n" + "k = k + k\n" * 500 + "db_pwd = k", [("lexed", ODD + "9z")]),
+    ("k = 'é'\n" + "".join(f"k = k + '{ODD}{i}'\n" for i in range(3000)) + "db_pwd = k",
+     sorted([("lexed", "é")] + [("lexed", f"{ODD}{i}") for i in range(3000)])),
+    ("db_pwd = 'change' + 'me'", []),
+    (f"db_pwd = '{ODD}9z ' + 'word'", []),
+    (f"db_pwd = ' ' + '{ODD}9z' + ' '", [("lexed", " "), ("lexed", " "), ("lexed", ODD + "9z")]),
+])
+def test_names_and_values_without_limits(text, want):
+    assert found(text) == want
+
+
+def test_a_long_chain_of_operators_is_read_once():
+    text = "db_pwd=" + "+".join(f"x=é!{i}" for i in range(20_000))
+    assert len(found(text)) == 20_000
+
+
 def brute(text):
     """The base spans read off the contract, pattern by pattern."""
     out = []
