@@ -103,6 +103,47 @@ TEMPLATES = {
     ],
 }
 
+
+def _add(name, *texts):
+    """Texts of a licence that are not listed yet."""
+    known = TEMPLATES.setdefault(name, [])
+    known += [text for text in texts if text not in known]
+
+
+# GNU licences differ by a word or a number only, so each needs every wording.
+for _name, _title, _version in [
+    ("GPL-3.0", "General Public License", "3"),
+    ("GPL-2.0", "General Public License", "2"),
+    ("LGPL-3.0", "Lesser General Public License", "3"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1"),
+    ("AGPL-3.0", "Affero General Public License", "3"),
+]:
+    _add(
+        _name,
+        f"This work is licensed under the GNU {_title}, version {_version}.",
+        f"Licensed under the GNU {_title}, version {_version}.",
+        *[f"SPDX-License-Identifier: {_name}{end}" for end in ("-only", "-or-later", "")])
+    for _thing in ("program", "library"):
+        _header = (f"This {_thing} is free software: you can redistribute it and/or modify it under the "
+                   f"terms of the GNU {_title} ")
+        _add(
+            _name,
+            _header + "as published by the Free Software Foundation, either version "
+            f"{_version} of the License, or (at your option) any later version.",
+            _header + f"version {_version} as published by the Free Software Foundation.")
+
+for _name in ["MPL-2.0", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense"]:
+    _add(_name, f"SPDX-License-Identifier: {_name}")
+for _name, _title in [
+    ("Apache-2.0", "Apache License, Version 2.0"), ("MIT", "MIT License"), ("ISC", "ISC License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"), ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("MPL-2.0", "Mozilla Public License, version 2.0"),
+]:
+    _add(_name, *[f"{verb} under the {_title}." for verb in ("Released", "Licensed", "This work is licensed")])
+_add("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be "
+     "used to endorse or promote products derived from this software without specific prior "
+     "written permission.")
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -121,6 +121,28 @@ def test_licenses(spark):
     assert licenses.summary(docs(spark, [])).count() == 0
 
 
+def test_each_license_has_its_own_wordings(spark):
+    header = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as "
+              "published by the Free Software Foundation; either version {} of the License, or (at your option) "
+              "any later version.")
+    want = {
+        "Licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "Licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        header.format("program", "General Public License", "2"): "GPL-2.0",
+        header.format("program", "General Public License", "3"): "GPL-3.0",
+        header.format("library", "Lesser General Public License", "2.1"): "LGPL-2.1",
+        header.format("program", "Lesser General Public License", "3"): "LGPL-3.0",
+        header.format("program", "Affero General Public License", "3"): "AGPL-3.0",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+        "SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1",
+        "// SPDX-License-Identifier: MPL-2.0": "MPL-2.0",
+        "Licensed under the BSD 2-Clause License.": "BSD-2-Clause",
+    }
+    rows = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.summary(rows).collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+
+
 def test_license_bounds_lose_nothing(spark):
     template = {"T": ["a b c d e f g h i j"]}
     texts = [" ".join("abcdefghij"[:n]) for n in range(1, 11)] + ["a b c d e f g h i j " + "k l m n o p"[:2 * n] for n in range(6)]
