@@ -6,13 +6,16 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from shopflow.llm import bpe, contamination, hmm, licenses, lines, neardup, parameters, quality, secrets, topk, urls
+from shopflow.llm import (
+    alignment, bpe, contamination, hmm, licenses, lines, neardup, parameters, quality, secrets, simhash, spelling, topk,
+    urls)
 from shopflow.llm.sql import ORACLE_SQL  # noqa: F401  registered with the queries
 
 # Rows of an Arrow batch: texts are long, and a batch is held by Spark and by its worker.
 BATCH_ROWS = 2_000
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES = {}
 
@@ -119,3 +122,19 @@ def op9_hmm_score(spark, sf_dir):
 def op10_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path(VOCABULARY)
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@register
+def op11_alignment(spark, sf_dir):
+    a, b = map(public_tokenizers.path, ALIGNED)
+    return alignment.summary(table(spark, sf_dir, "documents"), a, b)
+
+
+@register
+def op12_simhash(spark, sf_dir):
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
