@@ -128,9 +128,59 @@ def topk():
     WHERE rank <= 5"""
 
 
+def spelling_variants():
+    """Words by fold of CRC-32 over bytes; neighbours share a word with one place left out."""
+    return f"""
+    WITH RECURSIVE crc AS MATERIALIZED (
+        SELECT list(v ORDER BY i) AS steps FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+            FROM range(256) AS r(i))),
+    runs AS (
+        SELECT doc_id, run, count(*) AS n FROM (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, {_UP}, {_LOW}), '[A-Za-zÀ-ÿ]+')) AS run
+            FROM documents)
+        WHERE length(run) >= 5 GROUP BY doc_id, run),
+    hashed AS (
+        SELECT run, n, xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(range(length(h) // 2),
+                       lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+                   lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS h
+        FROM (SELECT run, n, hex(encode(doc_id::VARCHAR || ':' || run)) AS h FROM runs), crc),
+    words AS MATERIALIZED (
+        SELECT word, sum(n)::BIGINT AS n FROM (
+            SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT)
+                           || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed)
+        WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    gaps AS MATERIALIZED (
+        SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS gap
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+    near AS (
+        SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n
+        FROM gaps a JOIN gaps b ON a.i = b.i AND a.gap = b.gap AND a.word <> b.word
+        UNION SELECT a.word, a.n, b.word, b.n FROM gaps a JOIN words b ON a.gap = b.word
+        UNION SELECT b.word, b.n, a.word, a.n FROM gaps a JOIN words b ON a.gap = b.word),
+    best AS MATERIALIZED (
+        SELECT word, n, count(*) AS n_near, max(other_n) AS m,
+               min(other) FILTER (other_n = top) AS form
+        FROM (SELECT *, max(other_n) OVER (PARTITION BY word) AS top FROM near) GROUP BY word, n),
+    forms AS MATERIALIZED (
+        SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+               CASE WHEN m >= 2 * w.n THEN form END AS form, CASE WHEN m >= 2 * w.n THEN m END AS form_n
+        FROM words w LEFT JOIN best USING (word)),
+    steps(word, root) AS (
+        SELECT word, word FROM forms
+        UNION ALL SELECT steps.word, forms.form FROM steps JOIN forms ON steps.root = forms.word
+                  WHERE forms.form IS NOT NULL)
+    SELECT f.word, f.form, root, f.n, f.n_near, f.form_n::BIGINT AS form_n
+    FROM steps JOIN forms last ON last.word = steps.root AND last.form IS NULL
+    JOIN (SELECT * FROM forms) f ON f.word = steps.word"""
+
+
 ORACLE_SQL = {
     "op1_url_filter": url_filter(),
     "op2_line_dedup": line_dedup(),
     "op4_license_scan": license_scan(),
     "op8_topk": topk(),
+    "op13_spelling": spelling_variants(),
 }
