@@ -1,12 +1,14 @@
+import os
 import sys
-from datetime import date, datetime
-from decimal import Decimal
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+ROOT = str(Path(__file__).resolve().parents[1])
+sys.path.insert(0, ROOT)
+# Python workers import what the tests import.
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))
 
 
 @pytest.fixture(scope="session")
@@ -26,13 +28,3 @@ def spark(tmp_path_factory):
     yield session
     session.stop()
 
-
-def ts(text):
-    return datetime.fromisoformat(text)
-
-
-def day(text):
-    return date.fromisoformat(text)
-
-
-D = Decimal

@@ -1,7 +1,7 @@
 from datetime import timedelta
 
 import pytest
-from conftest import D, day, ts
+from rows import D, day, ts
 
 from shopflow import schemas
 from shopflow.operators import contracts, forecast

@@ -1,7 +1,7 @@
 from pathlib import Path
 
 import pytest
-from conftest import D, ts
+from rows import D, ts
 
 from shopflow import schemas
 from shopflow.operators import contracts, silver
