@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from shopflow.functions import columns as C
 
@@ -93,5 +93,23 @@ def expectation_report(df: DataFrame, rules: dict) -> DataFrame:
     )
 
 
+def watch_rules(df: DataFrame, rules: dict) -> tuple[DataFrame, Observation]:
+    """The same rows, and counts per rule that the next action on them fills.
+
+    The counts ride along in the job that writes the rows, so they cost no pass of their own.
+    """
+    seen = Observation()
+    return df.observe(
+        seen, F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(~C.passes(rule)).alias(name) for name, rule in rules.items()]), seen
+
+
+def watched_report(spark: SparkSession, seen: Observation, rules: dict) -> DataFrame:
+    """What ``expectation_report`` gives, from the counts of a finished write."""
+    counts = seen.get
+    rows = [(name, counts["_rows"] - counts[name], counts[name]) for name in rules]
+    return spark.createDataFrame(rows, "rule string, passed_rows long, failed_rows long")
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

@@ -37,8 +37,12 @@ def metric_rows(model: str, version: str, run_id: str, metrics: DataFrame, now=N
 
 
 def latest_version(runs: DataFrame) -> DataFrame:
-    """Highest version per model, compared as a number."""
-    newest = F.max(F.struct(F.col("version").cast("int").alias("_number"), "version", "run_id"))
+    """Highest version per model, and the run of it that logged last.
+
+    Versions that are whole numbers compare as numbers and are above all others, which
+    compare as text. Runs that logged at the same time compare by run id.
+    """
+    newest = F.max(F.struct(F.col("version").try_cast("bigint").alias("_number"), "version", "logged_at", "run_id"))
     return runs.groupBy("model").agg(newest.alias("newest")).select(
         "model", "newest.version", "newest.run_id"
     )

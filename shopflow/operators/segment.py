@@ -70,6 +70,33 @@ def fit(standardised: DataFrame, k: int = len(fixed.SEGMENT_NAMES),
         points.unpersist()
 
 
+def lloyd(standardised: DataFrame, starts: list, steps: int = 50) -> list[list[float]]:
+    """Weighted K-Means steps from fixed starting centres; the cheapest of several starts.
+
+    A step is one aggregation of at most 125 rows to K rows: every combination goes to its
+    nearest centre, and a centre moves to the mean of its customers, or stays where it has
+    none. It ends when no centre moves or after ``steps``. Nothing is random, so any engine
+    can follow it.
+    """
+    best = None
+    for centres in starts:
+        centres = [[float(x) for x in c] for c in centres]
+        for _ in range(steps):
+            means = predict(standardised, centres).groupBy("cluster_id").agg(
+                *[(F.sum(F.col("n") * F.col(z)) / F.sum("n")).alias(z) for z in Z]).collect()
+            moved = [list(c) for c in centres]
+            for r in means:
+                moved[r.cluster_id] = [r[z] for z in Z]
+            done = max(abs(a - b) for old, new in zip(centres, moved) for a, b in zip(old, new)) < 1e-9
+            centres = moved
+            if done:
+                break
+        spread = cost(predict(standardised, centres)).first().cost
+        if best is None or spread < best[0] - 1e-9:
+            best = spread, centres
+    return best[1]
+
+
 def predict(standardised: DataFrame, centres: list[list[float]]) -> DataFrame:
     """Nearest centre per combination; equal distances go to the lower cluster."""
     distances = [

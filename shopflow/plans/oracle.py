@@ -257,6 +257,29 @@ SELECT cluster_id, customers, composite_score,
          [row_number() OVER (ORDER BY composite_score DESC, cluster_id)] AS customer_segment
 FROM (SELECT cluster_id, CAST(sum(n) AS BIGINT) AS customers,
              sum(n * (zr + zf + zm)) / sum(n) AS composite_score FROM cells GROUP BY cluster_id)""",
+    "lloyd": """
+SELECT * FROM (VALUES
+  (1, 0, 1.1::DOUBLE, 1.1::DOUBLE, 1.1::DOUBLE, 0.3::DOUBLE, 0.3::DOUBLE, 0.3::DOUBLE,
+   -0.4::DOUBLE, -0.4::DOUBLE, -0.4::DOUBLE, -1.2::DOUBLE, -1.2::DOUBLE, -1.2::DOUBLE),
+  (2, 0, 1.1, 0.9, 1.0, 0.8, -0.7, -1.05, -0.85, 0.75, 0.95, -1.0, -1.1, -0.9))
+  AS v(start_no, step, r0, f0, m0, r1, f1, m1, r2, f2, m2, r3, f3, m3)
+UNION ALL
+SELECT start_no, any_value(step) + 1, {means}
+FROM (SELECT l.*, n, zr, zf, zm, {nearest} AS k FROM lloyd l, standard_hist WHERE step < 50) GROUP BY start_no""",
+    "lloyd_cells": """
+SELECT start_no, h.*, {nearest} AS cluster_id FROM lloyd l, standard_hist h WHERE step = 50""",
+    "lloyd_cost": """
+SELECT start_no, sum(squares - (sr * sr + sf * sf + sm * sm) / n) AS cost FROM (
+  SELECT start_no, cluster_id, sum(n) AS n, sum(n * zr) AS sr, sum(n * zf) AS sf, sum(n * zm) AS sm,
+         sum(n * (zr * zr + zf * zf + zm * zm)) AS squares FROM lloyd_cells GROUP BY start_no, cluster_id)
+GROUP BY start_no""",
+    "lloyd_best": """
+SELECT CASE WHEN max(cost) FILTER (start_no = 2) < max(cost) FILTER (start_no = 1) - 1e-9 THEN 2 ELSE 1 END AS start_no
+FROM lloyd_cost""",
+    "lloyd_labels": """
+SELECT cluster_id, ['Champions', 'Loyal Customers', 'At Risk', 'Lost Customers']
+         [row_number() OVER (ORDER BY sum(n * (zr + zf + zm)) / sum(n) DESC, cluster_id)] AS customer_segment
+FROM lloyd_cells JOIN lloyd_best USING (start_no) GROUP BY cluster_id""",
     "event_log": """
 SELECT ts AS "timestamp",
        CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' ELSE 'INFO' END AS level,
@@ -322,6 +345,23 @@ def _with_fits(ctes):
 CTES = _with_fits(CTES)
 
 
+def _nearest():
+    """Number of the nearest of four centres, the lower one of equally near ones."""
+    d = [f"((zr - r{k})**2 + (zf - f{k})**2 + (zm - m{k})**2)" for k in range(4)]
+    tests = [f"WHEN {' AND '.join(f'{d[k]} <= {d[j]}' for j in range(k + 1, 4))} THEN {k}" for k in range(3)]
+    return f"CASE {' '.join(tests)} ELSE 3 END"
+
+
+_MEANS = ", ".join(
+    f"coalesce(sum(n * z{c}) FILTER (k = {k}) / sum(n) FILTER (k = {k}), any_value({c}{k}))"
+    for k in range(4) for c in "rfm")
+for _name in ("lloyd", "lloyd_cells"):
+    CTES[_name] = CTES[_name].format(nearest=_nearest(), means=_MEANS)
+
+# Read in every step of a recursion: computed once.
+MATERIALIZED = {"standard_hist"}
+
+
 def needed(sql: str) -> list[str]:
     """CTEs a text uses, with those they use in turn, in definition order."""
     import re
@@ -334,8 +374,10 @@ def needed(sql: str) -> list[str]:
 
 
 def query(select: str) -> str:
-    ctes = ",\n".join(f"{name} AS ({CTES[name].strip()})" for name in needed(select))
-    return f"WITH {ctes}\n{select.strip()}"
+    names = needed(select)
+    ctes = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' * (name in MATERIALIZED)}({CTES[name].strip()})" for name in names)
+    return f"WITH {'RECURSIVE ' * ('lloyd' in names)}{ctes}\n{select.strip()}"
 
 
 SELECTS = {
@@ -356,6 +398,15 @@ SELECT invoice_no, stock_code, quantity, unit_price, line_total FROM silver WHER
     "transaction_routes": """
 SELECT route, count(*) AS row_count FROM routed GROUP BY route""",
     "expectation_report": """
+SELECT rule, sum(CASE WHEN ok THEN 1 ELSE 0 END)::BIGINT AS passed_rows,
+       sum(CASE WHEN ok THEN 0 ELSE 1 END)::BIGINT AS failed_rows FROM (
+  SELECT 'quantity_positive' AS rule, coalesce(quantity > 0, false) AS ok FROM tx UNION ALL
+  SELECT 'unit_price_non_negative', coalesce(unit_price >= 0, false) FROM tx UNION ALL
+  SELECT 'invoice_date_not_null', invoice_date IS NOT NULL FROM tx UNION ALL
+  SELECT 'invoice_no_not_null', invoice_no IS NOT NULL FROM tx UNION ALL
+  SELECT 'stock_code_not_null', stock_code IS NOT NULL FROM tx UNION ALL
+  SELECT 'customer_id_not_null', customer_id IS NOT NULL FROM tx) GROUP BY rule""",
+    "observed_rules": """
 SELECT rule, sum(CASE WHEN ok THEN 1 ELSE 0 END)::BIGINT AS passed_rows,
        sum(CASE WHEN ok THEN 0 ELSE 1 END)::BIGINT AS failed_rows FROM (
   SELECT 'quantity_positive' AS rule, coalesce(quantity > 0, false) AS ok FROM tx UNION ALL
@@ -399,6 +450,8 @@ SELECT customer_id, rfm_recency_score, rfm_frequency_score, rfm_monetary_score F
 SELECT r.*, country, favourite_category FROM rfm r JOIN top_country USING (customer_id)
 LEFT JOIN favourite USING (customer_id)""",
     "customer_360": """
+SELECT *, CAST(NULL AS VARCHAR) AS customer_segment, CAST(NULL AS FLOAT) AS churn_risk_score FROM c360""",
+    "customer_360_bucketed": """
 SELECT *, CAST(NULL AS VARCHAR) AS customer_segment, CAST(NULL AS FLOAT) AS churn_risk_score FROM c360""",
     "first_purchase": "SELECT * FROM first_purchase",
     "daily_sales": "SELECT * FROM daily",
@@ -409,6 +462,12 @@ SELECT * FROM daily_cancelled WHERE report_date NOT IN (SELECT report_date FROM
     "daily_category_revenue": "SELECT * FROM category_revenue",
     "daily_top_category": "SELECT * FROM top_category",
     "daily_kpis": "SELECT * FROM kpis",
+    "daily_kpis_incremental": "SELECT * FROM kpis",
+    "pipeline_kpis": """
+SELECT *, 'incremental' AS mode FROM kpis UNION ALL SELECT *, 'full_refresh' FROM kpis""",
+    "pipeline_silver": """
+SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id,
+       country, line_total, invoice_year, invoice_month, invoice_week FROM silver""",
     "top_skus": "SELECT * FROM top_skus",
     "weekly_sales": """
 SELECT * FROM weekly_all WHERE stock_code IN (SELECT stock_code FROM top_skus)""",
@@ -532,6 +591,15 @@ SELECT * EXCLUDE (rn) FROM (SELECT * REPLACE (upper(trim(invoice_no)) AS invoice
   description DESC) AS rn FROM tx) WHERE rn = 1""",
     "duplicate_count": """
 SELECT count(*) - count(DISTINCT invoice_no || '|' || stock_code) AS dropped_rows FROM tx""",
+    "keep_last_observed": """
+SELECT count(*) AS all_rows, count(DISTINCT upper(trim(invoice_no)) || '|' || upper(trim(stock_code))) AS kept_rows,
+       count(*) - count(DISTINCT upper(trim(invoice_no)) || '|' || upper(trim(stock_code))) AS dropped_rows FROM tx""",
+    "late_rows": "SELECT * FROM tx WHERE invoice_date IS NOT NULL",
+    "stream_archive": "SELECT * FROM tx WHERE invoice_date IS NOT NULL",
+    "landing_violations": """
+SELECT '2001-07-31' AS run_date, 'missing column email; column customer_id is string, declared bigint' AS problems,
+       CAST(0 AS BIGINT) AS read_rows
+UNION ALL SELECT '2001-08-01', NULL, count(*) FROM cust1 UNION ALL SELECT '2001-08-02', NULL, count(*) FROM cust1""",
     "normalise_raw": """
 SELECT invoice_no, stock_code, description, quantity, invoice_date,
        CAST(price AS DECIMAL(10,2)) AS unit_price, customer_id, country FROM extract
@@ -560,6 +628,9 @@ UNION ALL SELECT 'unit_price', count(*) FILTER (WHERE price IS NULL) FROM extrac
     "stream_bronze": "SELECT * FROM tx WHERE invoice_date IS NOT NULL",
     "stream_dedupe_keys": "SELECT invoice_no, stock_code FROM silver",
     "stream_dedupe_rows": """
+SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id,
+       country, line_total, invoice_year, invoice_month, invoice_week FROM silver""",
+    "stream_dedupe_parts": """
 SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id,
        country, line_total, invoice_year, invoice_month, invoice_week FROM silver""",
     "key_violations": """
@@ -608,7 +679,16 @@ FROM c360 WHERE rfm_recency_score IS NOT NULL""",
 SELECT 'segmentation' AS model, 'champion' AS alias, '1' AS version, CAST(NULL AS TIMESTAMP) AS promoted_at,
        silhouette_score >= 1.1 AS passed FROM silhouette
 UNION ALL SELECT 'demand_forecast', 'champion', '10', TIMESTAMP '2024-01-31 00:00:00', avg(mape) >= 0 FROM backtest_all
-UNION ALL SELECT 'kept', 'champion', '7', NULL, false""",
+UNION ALL SELECT 'kept', 'champion', '7', NULL, false
+UNION ALL SELECT 'rerun', 'champion', '4', TIMESTAMP '2024-01-31 00:00:00', true
+UNION ALL SELECT 'weekly', 'champion', '2024w10', TIMESTAMP '2024-01-31 00:00:00', true""",
+    "kmeans_segments": """
+SELECT customer_id, cluster_id, customer_segment, 'run' AS run_id FROM c360
+JOIN (SELECT * FROM lloyd_cells JOIN lloyd_best USING (start_no))
+  ON rfm_recency_score = r AND rfm_frequency_score = f AND rfm_monetary_score = m
+JOIN lloyd_labels USING (cluster_id)""",
+    "stream_scd1_buckets": """
+SELECT customer_id, full_name, email, loyalty_tier, is_wholesaler, marketing_opt_in FROM customers""",
     "stream_scd1": """
 SELECT customer_id, full_name, email, loyalty_tier, is_wholesaler, marketing_opt_in FROM customers""",
 }

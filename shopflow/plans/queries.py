@@ -7,9 +7,9 @@ from shopflow.functions import fixed_values as fixed
 from shopflow.operators import (
     contracts, dims, forecast, gate, gold, monitor, segment, silver,
 )
-from shopflow.plans import extract, pipeline
+from shopflow.plans import daily, extract, pipeline
 from shopflow.plans.shop import Shop
-from shopflow.sources import adapter, ingest, stage, versioned
+from shopflow.sources import adapter, buckets, ingest, partitions, stage, versioned
 from shopflow.streaming import stream
 
 QUERIES = {}
@@ -67,6 +67,14 @@ def expectation_report(s):
     return contracts.expectation_report(s.raw_transactions, rules)
 
 
+@register
+def observed_rules(s):
+    """The same counts from metrics that ride along while the rows are written."""
+    watched, seen = contracts.watch_rules(s.raw_transactions, pipeline.RULES["transactions"])
+    stage.table(watched, "bronze")
+    return contracts.watched_report(s.spark, seen, pipeline.RULES["transactions"])
+
+
 @register
 def customers_clean(s):
     return silver.route_customers(s.raw_customers).valid.drop("_ingested_at")
@@ -157,6 +165,15 @@ def customer_360(s):
     return full.drop("_rebuilt_at")
 
 
+@register
+def customer_360_bucketed(s):
+    """The same from lines, facts and customers bucketed by customer: no shuffle by it but theirs."""
+    lines = buckets.store(s.transactions, "lines", "customer_id")
+    facts = buckets.store(gold.facts_by_key(lines, s.products, adapter.AS_OF), "facts", "customer_id")
+    customers = buckets.store(s.customers, "customers", "customer_id")
+    return gold.assemble_360(customers, gold.scored(facts)).drop("_rebuilt_at")
+
+
 @register
 def first_purchase(s):
     return gold.first_purchase(s.transactions)
@@ -192,6 +209,19 @@ def daily_top_category(s):
     return gold.daily_top_category(gold.daily_category_revenue(s.transactions, s.products))
 
 
+@register
+def daily_kpis_incremental(s):
+    """KPIs after three batches of mixed dates; each computes the days it touches."""
+    base = stage.new_path(s.spark, "daily")
+    batch = F.pmod(F.crc32(F.col("invoice_no").cast("binary")), F.lit(3)).alias("batch")
+    lines = stage.table(s.transactions.select("*", batch), "lines")
+    gone = stage.table(s.routed.cancelled.select("invoice_no", "invoice_date", batch), "cancelled")
+    for n in range(3):
+        new = daily.sold_and_cancelled(lines.where(f"batch = {n}"), gone.where(f"batch = {n}"))
+        daily.advance(base, n, new, lines.where(f"batch <= {n}"), gone.where(f"batch <= {n}"), s.products)
+    return daily.kpis(s.spark, base).drop("_rebuilt_at")
+
+
 @register
 def daily_kpis(s):
     routed = silver.route_transactions(s.stored_raw)
@@ -377,12 +407,16 @@ def customer_360_segments(s):
     ).drop("_rebuilt_at")
 
 
+# Starting centres of K-Means where another engine has to follow it.
+STARTS = [FIXED_CENTRES, [[1.1, 0.9, 1.0], [0.8, -0.7, -1.05], [-0.85, 0.75, 0.95], [-1.0, -1.1, -0.9]]]
+
+
 @register
 def kmeans_segments(s):
-    """Segments from K-Means itself; the centres depend on MLlib, so there is no SQL."""
+    """Segments by weighted K-Means from fixed starts."""
     features = _features(s)
     standard = segment.standardise(segment.stored_histogram(features))
-    assigned = segment.predict(standard, segment.fit(standard))
+    assigned = segment.predict(standard, segment.lloyd(standard, STARTS))
     return _segments(features, assigned).drop("segmented_at")
 
 
@@ -430,10 +464,16 @@ def gate_promote(s):
         gate.metric_rows("demand_forecast", "10", "run-10", errors, adapter.NOW),
         gate.record_run(s.spark, "other", "3", "run-3", {"n": 1}, {}, adapter.NOW),
         gate.record_run(s.spark, "other", "2", "run-2", {}, {"score": 1.0}, stale),
+        # The newest run counts, not the largest name; versions may be text.
+        gate.record_run(s.spark, "rerun", "4", "run-10", {}, {"score": 0.9}, adapter.NOW),
+        gate.record_run(s.spark, "rerun", "4", "run-9", {}, {"score": 0.1}, stale),
+        gate.record_run(s.spark, "weekly", "2024w10", "run-a", {}, {"score": 0.9}, stale),
+        gate.record_run(s.spark, "weekly", "2024w09", "run-b", {}, {"score": 0.1}, adapter.NOW),
     ])
     thresholds = s.spark.createDataFrame([
         ("segmentation", "silhouette_score", ">=", 0.0), ("segmentation", "silhouette_score", ">=", 1.1),
         ("demand_forecast", "mean_mape", ">=", 0.0), ("other", "score", ">=", 0.5), ("kept", "score", ">=", 0.5),
+        ("rerun", "score", ">=", 0.5), ("weekly", "score", ">=", 0.5),
     ], schemas.THRESHOLDS)
     champions = s.spark.createDataFrame(
         [("segmentation", "champion", "1", None), ("kept", "champion", "7", None)], gate.CHAMPIONS)
@@ -470,6 +510,24 @@ def watermark_increment(s):
     return step.rows
 
 
+@register
+def late_rows(s):
+    """Landed rows after three runs, of which the first misses rows at and below its mark.
+
+    They reach the source later, at most 60 days below the mark: none is lost or doubled.
+    """
+    base, control = stage.new_path(s.spark, "landing"), stage.new_path(s.spark, "control")
+    source = stage.table(s.raw_transactions, "source")
+    mark = F.lit(MARK).cast("timestamp")
+    late = F.col("invoice_date").between(mark - F.expr("INTERVAL 59 DAY"), mark) & (
+        F.pmod(F.crc32(F.col("invoice_no").cast("binary")), F.lit(4)) == 0)
+    early = source.where(F.col("invoice_date") <= mark)
+    at_mark = early.where(~F.coalesce(late, F.lit(False)))
+    for day, rows in (("1998-07-02", at_mark), ("1998-07-03", early), ("2001-08-02", source)):
+        extract.transactions(rows, base, control, day, overlap="60 DAY")
+    return ingest.scan(s.spark, f"{base}/transactions", schemas.RAW_TRANSACTIONS)
+
+
 @register
 def watermark_upsert(s):
     """The control table after a run of a known pipeline and the first run of a new one."""
@@ -488,6 +546,17 @@ def duplicate_count(s):
     return ingest.duplicate_count(s.raw_transactions, schemas.PRIMARY_KEYS["transactions"])
 
 
+@register
+def keep_last_observed(s):
+    """Rows before and after ``keep_last``, counted while its result is written."""
+    keys = schemas.PRIMARY_KEYS["transactions"]
+    rows, before, after = ingest.keep_last_counted(
+        ingest.canonical_keys(s.raw_transactions), keys, silver.TRANSACTION_ORDER)
+    stage.table(rows, "kept")
+    counts = before.get["rows"], after.get["rows"], before.get["rows"] - after.get["rows"]
+    return s.spark.createDataFrame([counts], "all_rows long, kept_rows long, dropped_rows long")
+
+
 @register
 def normalise_raw(s):
     return ingest.normalise_raw(ingest.union_parts(adapter.raw_extract_parts(s.spark, s.sf_dir)))
@@ -594,6 +663,53 @@ def stream_dedupe_rows(s):
     return stored.drop("_transformed_at")
 
 
+@register
+def stream_dedupe_parts(s):
+    """The same rows from three drains, stored by key part: a drain opens few earlier files."""
+    base = stage.new_path(s.spark, "stream")
+    runs = [(fixed.WATERMARK_START, "1996-01-01"), ("1996-01-01", MARK), (MARK, None)]
+    for (low, high), day in zip(runs, ("1996-01-02", "1998-07-02", "2001-08-02")):
+        ingest.land_parquet(ingest.extract_increment(s.raw_transactions, low, high), f"{base}/landing", day)
+        files = ingest.scan_stream(s.spark, f"{base}/landing", schemas.RAW_TRANSACTIONS)
+        stream.append_first(
+            silver.route_transactions(files).valid, f"{base}/table", schemas.PRIMARY_KEYS["transactions"],
+            silver.TRANSACTION_ORDER, f"{base}/checkpoint", silver.enrich_transactions, tail=3)
+    stored = s.spark.read.option("recursiveFileLookup", True).parquet(f"{base}/table")
+    return stored.drop("_transformed_at")
+
+
+@register
+def stream_archive(s):
+    """Bronze from drains of one file a batch; what was read leaves the landing folder."""
+    base = stage.new_path(s.spark, "stream")
+    for land in _landed(s, f"{base}/landing"):
+        land()
+        files = ingest.scan_stream(
+            s.spark, f"{base}/landing", schemas.RAW_TRANSACTIONS, max_files=1, archive=f"{base}/archive")
+        stream.append(files, f"{base}/table", f"{base}/checkpoint")
+    return s.spark.read.parquet(f"{base}/table")
+
+
+@register
+def landing_violations(s):
+    """Landing folders with what breaks their contract, and the rows a guarded stream reads.
+
+    The oldest folder has a mistyped and a missing column; it is not opened.
+    """
+    base = stage.new_path(s.spark, "landing")
+    first, second = [df.drop("_ingested_at") for df in adapter.customer_snapshots(s.spark, s.sf_dir)]
+    bad = first.withColumn("customer_id", F.col("customer_id").cast("string")).drop("email")
+    for day, rows in (("2001-07-31", bad), ("2001-08-01", first), ("2001-08-02", second)):
+        ingest.land_parquet(rows, f"{base}/landing", day)
+    found = ingest.landing_violations(s.spark, f"{base}/landing", first.schema)
+    rows = ingest.scan_stream(s.spark, f"{base}/landing", first.schema).where(ingest.outside([f for f, _ in found]))
+    stream.append(ingest.with_snapshot_date(rows), f"{base}/table", f"{base}/checkpoint")
+    read = s.spark.read.parquet(f"{base}/table").groupBy(F.col("_snapshot_date").cast("string").alias("run_date")).count()
+    folders = [(f.rpartition("=")[2], dict(found).get(f)) for f in ingest.landing_folders(s.spark, f"{base}/landing")]
+    return s.spark.createDataFrame(folders, "run_date string, problems string").join(read, "run_date", "left").select(
+        "run_date", "problems", F.coalesce("count", F.lit(0)).alias("read_rows"))
+
+
 @register
 def key_violations(s):
     """Keys on several rows: raw transactions have some, silver ones none."""
@@ -632,6 +748,21 @@ def stream_scd1(s):
     return versioned.current(s.spark, f"{base}/table", schema).drop("_ingested_at")
 
 
+@register
+def stream_scd1_buckets(s):
+    """The same customers from a table of which a batch rewrites only its own buckets."""
+    base = stage.new_path(s.spark, "scd1")
+    snapshots = adapter.customer_snapshots(s.spark, s.sf_dir)
+    schema = snapshots[0].schema
+    for day, rows in zip(("2001-08-01", "2001-08-02"), snapshots):
+        ingest.land_parquet(rows, f"{base}/landing", day)
+        valid = silver.route_customers(ingest.scan_stream(s.spark, f"{base}/landing", schema)).valid
+        stream.upsert_buckets(
+            valid, f"{base}/table", schema, ["customer_id"], ["_ingested_at"], f"{base}/checkpoint", buckets=16)
+    stored = partitions.read(s.spark, f"{base}/table", stream.bucketed(schema))
+    return stored.drop("_ingested_at", "_bucket")
+
+
 @register
 def stream_scd1_backlog(s):
     """Two snapshots that wait for one drain; the later run date wins."""
@@ -720,6 +851,37 @@ def run_records(s):
         gate.metric_rows("demand_forecast", "1", "run", errors, adapter.NOW))
 
 
+def _job(s, modes):
+    """Extract and daily job over two days of landed files; the last day once per mode."""
+    root = stage.new_path(s.spark, "lake")
+    landing, control = f"{root}/landing", f"{root}/control"
+    source = stage.table(s.raw_transactions, "source")
+    products = adapter.with_all_columns(s.raw_products, schemas.RAW_PRODUCTS)
+    snapshots = adapter.customer_snapshots(s.spark, s.sf_dir)
+    parts = source.where(F.col("invoice_date") <= F.lit(MARK).cast("timestamp")), source
+    for day, rows, customers in zip(("2001-08-01", "2001-08-02"), parts, snapshots):
+        extract.transactions(rows, landing, control, day)
+        extract.snapshot(adapter.with_all_columns(customers, schemas.RAW_CUSTOMERS), "customers", landing, day)
+        extract.snapshot(products, "products", landing, day)
+        lake = pipeline.run(s.spark, landing, f"{root}/out", adapter.AS_OF)
+    return {"incremental": lake} | {m: pipeline.run(s.spark, landing, f"{root}/out", adapter.AS_OF, m) for m in modes}
+
+
+@register
+def pipeline_silver(s):
+    """Clean transactions after two daily runs of the whole job, and the customers with them."""
+    made = pipeline.transactions(s.spark, _job(s, [])["incremental"])
+    return made.drop("_ingested_at", "_source_file", "_transformed_at")
+
+
+@register
+def pipeline_kpis(s):
+    """The published KPI table after two daily runs, and after a full refresh."""
+    made = [lake.published(s.spark, "gold", "daily_kpis").withColumn("mode", F.lit(mode))
+            for mode, lake in _job(s, ["full_refresh"]).items()]
+    return contracts.union_all(made).drop("_rebuilt_at")
+
+
 @register
 def kmeans_check(s):
     """What any good clustering must meet: all customers, four labels, cost not above fixed centres."""

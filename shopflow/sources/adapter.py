@@ -184,3 +184,10 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                             || '"},{"class_name":"Inner","message":"user ' || CAST(user_id AS STRING) || '"}]}'
                   END""").alias("error"),
     )
+
+
+def with_all_columns(df: DataFrame, schema) -> DataFrame:
+    """The declared columns of a raw table; those the test tables lack are null."""
+    return df.select([
+        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema
+    ])

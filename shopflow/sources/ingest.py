@@ -1,8 +1,10 @@
 """Extracting, landing and normalising tables."""
 
+import re
 from typing import NamedTuple
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from shopflow import schemas
 from shopflow.functions import columns as C, fixed_values as fixed
@@ -17,11 +19,17 @@ def scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def scan_stream(spark: SparkSession, path: str, schema: T.StructType,
-                max_files: int | None = None) -> DataFrame:
-    """The same as a stream that finds new files by listing the folder."""
+                max_files: int | None = None, archive: str | None = None) -> DataFrame:
+    """The same as a stream that finds new files by listing the folder.
+
+    ``max_files`` bounds a batch. With ``archive``, files move there once their batch is
+    done, so that a listing only ever finds what is new.
+    """
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.parquet(path)
 
 
@@ -55,20 +63,48 @@ def land_parquet(df: DataFrame, path: str, run_date, part: str | None = None) ->
     return target
 
 
-def check_landed(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Raise ContractError when the newest landing folder lacks or mistypes a declared column.
-
-    A scan with a declared schema would read such a column as null without notice.
-    """
+def landing_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders of all run dates, in order; parts of a day are inside its folder."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*/run_date=*")
     found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(root)
-    folders = sorted(f.getPath().toString() for f in found or [])
-    if folders:
-        landed = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(folders[-1])
-        problems = contracts.schema_differences(landed, schema)
-        if problems:
-            raise contracts.ContractError(f"{folders[-1]}: {'; '.join(problems)}")
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def landing_violations(spark: SparkSession, path: str, schema: T.StructType, known=()) -> list[tuple[str, str]]:
+    """(folder, problems) of landing folders whose files lack or mistype a declared column.
+
+    Reads the footers of every folder but the ``known`` ones. A scan with a declared schema
+    would read a missing column as null without notice, and stop at a mistyped one.
+    """
+    found = []
+    for folder in landing_folders(spark, path):
+        if folder not in known:
+            landed = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(folder)
+            problems = contracts.schema_differences(landed, schema)
+            if problems:
+                found.append((folder, "; ".join(problems)))
+    return found
+
+
+def check_landed(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Raise ContractError when any landing folder breaks the contract."""
+    found = landing_violations(spark, path, schema)
+    if found:
+        raise contracts.ContractError("; ".join(f"{folder}: {problems}" for folder, problems in found))
+
+
+def outside(folders: list[str]):
+    """Condition on a file scan: rows of files that lie in none of the folders.
+
+    It is on file metadata alone, so such files are not opened.
+    """
+    path = F.col("_metadata.file_path")
+    kept = F.lit(True)
+    for folder in folders:
+        plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", folder)
+        kept = kept & ~path.contains(quote(plain, safe="/=:@!$&'()*+,;") + "/")
+    return kept
 
 
 def full_refresh(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
@@ -130,6 +166,28 @@ def extract_increment(source: DataFrame, low: str, high: str | None,
     return rows.select(schemas.RAW_TRANSACTIONS.names)
 
 
+def extract_late(source: DataFrame, landed: DataFrame, low: str, high: str | None, overlap: str,
+                 column: str = "invoice_date") -> DataFrame:
+    """Rows in ``(low - overlap, high]`` that are not landed yet, each as often as it is missing.
+
+    Rows that reach the source late, at or below the mark, are taken as long as they are not
+    older than the overlap. Rows are compared as a whole and counted, so equal rows of the
+    source all land, and a run repeated after a crash lands nothing twice. Both sides are
+    cut to the window before they are compared.
+    """
+    start = F.lit(low).cast("timestamp") - F.expr(f"INTERVAL {overlap}")
+
+    def window(df):
+        rows = df.where(F.col(column) > start)
+        if high is not None:
+            rows = rows.where(F.col(column) <= F.lit(high).cast("timestamp"))
+        else:
+            rows = rows.where(F.col(column) <= F.lit(low).cast("timestamp"))
+        return rows.select(schemas.RAW_TRANSACTIONS.names)
+
+    return window(source).exceptAll(window(landed))
+
+
 def upsert_watermark(watermarks: DataFrame, name: str, value: str) -> DataFrame:
     """Set the mark of one pipeline, adding the row when there is none."""
     row = watermarks.sparkSession.range(1).select(
@@ -210,6 +268,13 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return dedupe.last_per_key(df, keys, order)
 
 
+def keep_last_counted(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, Observation, Observation]:
+    """``keep_last``, with counts of all and of kept rows (``rows``) that its write fills."""
+    before, after = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    return keep_last(df.observe(before, rows), keys, order).observe(after, rows), before, after
+
+
 def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     """How many rows ``keep_last`` drops."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -38,8 +38,24 @@ def scope(spark: SparkSession):
 
 
 def delete(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def _path(spark, path):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = _path(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Paths right below a folder; none when there is no such folder."""
+    hadoop_path, fs = _path(spark, path)
+    return [s.getPath().toString() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.functions import columns as C
 from shopflow.operators import dedupe as dedupe_rows, silver
-from shopflow.sources import versioned
+from shopflow.sources import partitions, stage, versioned
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -105,23 +105,91 @@ def write_batch(rows: DataFrame, base: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{base}/batch={batch_id}")
 
 
-def append_first(rows: DataFrame, base: str, keys: list[str], order: list[str], checkpoint: str,
-                 finish=lambda df: df) -> StreamingQuery:
-    """Append the rows whose key is not stored yet, the first by ``order`` of each batch.
+def key_part(key: str, tail: int = 6):
+    """Partition of a key: the key without its last ``tail`` signs.
+
+    Equal keys share it whatever their date, and numbers given out in order keep the keys
+    of a batch in few partitions.
+    """
+    return F.concat(F.lit("p"), F.substring(F.col(key), F.lit(1), F.greatest(F.length(key) - tail, F.lit(0))))
+
+
+# A batch with more partitions than this is compared with all stored keys.
+MAX_PARTS = 1000
+
+
+def stored_rows(spark: SparkSession, base: str, columns: T.StructType, batches: list[int],
+                parts: list[str] | None) -> DataFrame:
+    """Stored columns of some batches; with ``parts``, only files of these partitions are opened."""
+    schema = T.StructType([*columns.fields, T.StructField("_part", T.StringType())])
+    rows = spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/batch={n}" for n in batches])
+    return rows if parts is None else rows.where(F.col("_part").isin(parts))
+
+
+def parts_of(rows: DataFrame) -> list[str] | None:
+    """Partitions of keys that rows touch, None when there are more than MAX_PARTS."""
+    found = [r[0] for r in rows.select("_part").distinct().limit(MAX_PARTS + 1).collect()]
+    return found if len(found) <= MAX_PARTS else None
+
+
+def append_batch(batch: DataFrame, batch_id: int, base: str, keys: list[str], order: list[str],
+                 finish=lambda df: df, tail: int = 6) -> None:
+    """Append the rows of a batch whose key no earlier batch stored, the first by ``order``.
 
     Within a batch the choice is the batch rule, so it does not depend on arrival; between
-    batches what was stored stays. The keys stored by earlier batches are the only state.
+    batches what was stored stays. Rows are stored by the ``key_part`` of the first key, so
+    only files that may hold the batch's keys are opened, and of these only the key columns.
+    """
+    spark = batch.sparkSession
+    once = stage.table(dedupe_rows.first_per_key(batch, keys, order).withColumn("_part", key_part(keys[0], tail)), "batch")
+    earlier = [n for n in versioned.numbers(spark, base, "batch=") if n < batch_id]
+    if earlier:
+        wanted = T.StructType([once.schema[k] for k in keys])
+        stored = stored_rows(spark, base, wanted, earlier, parts_of(once)).select(keys)
+        # The batch is the smaller side: stored keys are reduced to those it has.
+        met = stored.join(once.select(keys), keys, "left_semi")
+        once = once.join(met, keys, "left_anti").select(once.columns)
+    made = finish(once.drop("_part")).withColumn("_part", key_part(keys[0], tail))
+    made.repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(f"{base}/batch={batch_id}")
+
+
+def append_first(rows: DataFrame, base: str, keys: list[str], order: list[str], checkpoint: str,
+                 finish=lambda df: df, tail: int = 6) -> StreamingQuery:
+    """``append_batch`` for every batch of a stream."""
+    return for_each_batch(
+        rows, lambda batch, n: append_batch(batch, n, base, keys, order, finish, tail), checkpoint)
+
+
+def merge_buckets(batch: DataFrame, base: str, schema: T.StructType, keys: list[str], order: list[str],
+                  buckets: int = 64) -> None:
+    """The latest row per key of the table and the batch; untouched buckets are not rewritten.
+
+    The table is partitioned by a hash of its keys (``_bucket``), and a batch replaces the
+    buckets of its own keys only. Merging a batch once more changes nothing.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        once = dedupe_rows.first_per_key(batch, keys, order)
-        earlier = [n for n in versioned.numbers(spark, base, "batch=") if n < batch_id]
-        if earlier:
-            stored = spark.read.parquet(*[f"{base}/batch={n}" for n in earlier])
-            once = once.join(stored.select(keys), keys, "left_anti").select(batch.columns)
-        write_batch(finish(once), base, batch_id)
-
-    return for_each_batch(rows, write, checkpoint)
+    spark, whole = batch.sparkSession, bucketed(schema)
+    latest = silver.scd1_latest(batch.select(schema.names), keys, order)
+    rows = stage.table(latest.withColumn("_bucket", bucket_of(keys, buckets)), "batch")
+    stored = partitions.read(spark, base, whole)
+    if stored is not None:
+        touched = [r[0] for r in rows.select("_bucket").distinct().collect()]
+        rows = silver.scd1_latest(stored.where(F.col("_bucket").isin(touched)).unionByName(rows), keys, order)
+    partitions.swap(rows, base, whole)
+
+
+def bucketed(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_bucket", T.IntegerType())])
+
+
+def bucket_of(keys: list[str], buckets: int):
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def upsert_buckets(rows: DataFrame, base: str, schema: T.StructType, keys: list[str], order: list[str],
+                   checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """``merge_buckets`` for every batch of a stream."""
+    return for_each_batch(
+        rows, lambda batch, n: merge_buckets(batch, base, schema, keys, order, buckets), checkpoint)
 
 
 def merge_scd1(batch: DataFrame, base: str, schema: T.StructType, keys: list[str], order: list[str],

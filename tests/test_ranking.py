@@ -34,10 +34,28 @@ def test_one_value_for_all_rows(spark):
     assert same_as_window(spark.range(500).withColumn("v", F.lit(7)), {"s": F.col("v")}, 5)
 
 
-def test_no_task_holds_the_whole_table(spark):
-    df = stage.table(spark.range(2000).withColumn("v", F.col("id") % 17), "some")
+@pytest.mark.parametrize("few, ranges", [(1, 2), (3, 8), (50, 1024)])
+def test_many_steps_of_counting(spark, monkeypatch, few, ranges):
+    """With few rows and cuts per step, values, ties and nulls are all narrowed down."""
+    monkeypatch.setattr(ranking, "FEW", few)
+    monkeypatch.setattr(ranking, "RANGES", ranges)
+    rng = random.Random(few)
+    wide = [-2**63, 2**63 - 1, 0, 1, 2, 5]
+    rows = [(i * 7919 % 10007, rng.choice([None, 1, 1, 1, 9]), rng.choice([None, 0.1, 0.2, 1e300, -1e-300, 5.0]),
+             rng.choice(wide), rng.randint(0, 10**6)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, heavy long, some double, wide long, spread long").cache()
+    assert same_as_window(df, {f"of_{c}": F.col(c) for c in ("heavy", "some", "wide", "spread")}, 5)
+
+
+def test_nothing_is_sorted_or_dealt_by_range(spark):
+    df = stage.table(spark.range(20_000).withColumn("v", F.col("id") % 17), "some")
     plan = ranking.ntile(df, "id", {"s": F.col("v")}, 5)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Window" not in plan
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+
+
+def test_text_has_no_tiles(spark):
+    with pytest.raises(TypeError, match="string"):
+        ranking.ntile(spark.range(3).withColumn("v", F.lit("a")), "id", {"s": F.col("v")}, 5)
 
 
 def test_scores_of_null_measures(spark):
