@@ -11,6 +11,7 @@ one product serves many texts.
 import hashlib
 import os
 import re
+from itertools import chain
 from pathlib import Path
 from typing import NamedTuple
 
@@ -89,20 +90,17 @@ class Block(NamedTuple):
     near_links: np.ndarray  # per text: pairs of tokens that share a group
 
 
-def _first(flags, numbers):
-    """For texts of ``numbers`` items each: the first item of every text, and the end."""
-    first = np.zeros(len(flags) + 1, np.int64)
-    np.cumsum(numbers, out=first[1:])
-    return first
+def _first(numbers):
+    """The first item of every text, and the end, for texts of ``numbers`` items each."""
+    return np.concatenate(([0], np.cumsum(numbers, dtype=np.int64)))
 
 
-def align(ids_a: list, ids_b: list, bytes_a: np.ndarray, bytes_b: np.ndarray) -> Block:
-    """Align lists of ids per text; ``bytes_*`` has the byte length of every id.
+def align(a: np.ndarray, first_a: np.ndarray, b: np.ndarray, first_b: np.ndarray,
+          bytes_a: np.ndarray, bytes_b: np.ndarray) -> Block:
+    """Align the ids of texts laid end to end; ``bytes_*`` has the byte length of every id.
 
-    The tokens of a text have the same bytes in both lists.
+    The tokens of a text have the same bytes on both sides.
     """
-    first_a, first_b = (_first(x, [len(i) for i in x]) for x in (ids_a, ids_b))
-    a, b = (np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in (ids_a, ids_b))
     ends_a, ends_b = np.cumsum(bytes_a[a]), np.cumsum(bytes_b[b])
     size = int(ends_a[-1]) if len(a) else 0
     columns = np.arange(size)
@@ -171,29 +169,57 @@ class Pair:
                                 else piece.replace("▁", " ").encode())
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.a_bytes, self.b_bytes = (
+            (np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(length) - length, length)
+            for tokens, length in ((self.bytes_a, self.len_a), (self.bytes_b, self.len_b)))
         # "id" with the sign that follows it: within a side, and at its end.
         self.shown = [s for k in range(len(self.bytes_a)) for s in (f"{k},", f"{k}|")]
         self.shown += [s for k in range(len(self.bytes_b)) for s in (f"{k},", f"{k};")]
 
     def encode(self, texts: list):
-        """Ids of A and of B per text; none where the tokens' bytes differ from space + text."""
-        pieces = [cut(t) if t else [] for t in texts]
+        """(ids of A, first of every text, ids of B, first of every text), texts end to end.
+
+        A text whose tokens do not spell space + text has none.
+        """
+        pieces = [cut(t) if t else [] for t in texts] if any(len(t) > BLOCK_CHARS for t in texts) else [
+            [t] if t else [] for t in texts]
         flat = [p if k else " " + p for own in pieces for k, p in enumerate(own)]
-        flat_a = [e.ids for e in self.a.encode_batch_fast(flat, add_special_tokens=False)]
-        flat_b = self.b.encode([p[1:] for p in flat], num_threads=1)
-        ids_a, ids_b, at = [], [], 0
-        for text, own in zip(texts, pieces):
-            a, b = flat_a[at:at + len(own)], flat_b[at:at + len(own)]
-            at += len(own)
-            a, b = ([k for part in x for k in part] if len(x) != 1 else x[0] for x in (a, b))
-            if a:
-                data = b" " + text.encode()
-                if (b"".join(map(self.bytes_a.__getitem__, a)) != data
-                        or b"".join(map(self.bytes_b.__getitem__, b)) != data):
-                    a, b = [], []
-            ids_a.append(a)
-            ids_b.append(b)
-        return ids_a, ids_b
+        sizes = np.fromiter((len(p.encode()) for p in flat), np.int64, len(flat))
+        a, first_a = self._flat([e.ids for e in self.a.encode_batch_fast(flat, add_special_tokens=False)])
+        b, first_b = self._flat(self.b.encode([p[1:] for p in flat], num_threads=1))
+        whole = np.frombuffer("".join(flat).encode(), np.uint8)
+        spelt = self._spelt(a, first_a, self.a_bytes, whole, sizes) & self._spelt(b, first_b, self.b_bytes, whole, sizes)
+        at = _first([len(own) for own in pieces])  # a text's first piece
+        if not spelt.all():
+            good = np.logical_and.reduceat(np.append(spelt, True), at[:-1]) if len(texts) else spelt
+            good = np.repeat(good, np.diff(at))
+            a, first_a = _kept(a, first_a, good)
+            b, first_b = _kept(b, first_b, good)
+        return a, first_a[at], b, first_b[at]
+
+    @staticmethod
+    def _flat(lists):
+        first = _first(list(map(len, lists)))
+        return np.fromiter(chain.from_iterable(lists), np.int64, int(first[-1])), first
+
+    @staticmethod
+    def _spelt(ids, first, table, whole, sizes):
+        """Whether the bytes of each piece's tokens are those of the piece."""
+        flat, start, length = table
+        spans = length[ids]
+        ends = np.concatenate(([0], np.cumsum(spans)))
+        same = np.diff(ends[first]) == sizes
+        if same.all():
+            # Bytes of all tokens, one after the other: as the tokens are short, by place in the token.
+            at = np.arange(ends[-1]) - np.repeat(ends[:-1] - start[ids], spans)
+            wrong = np.flatnonzero(flat[at] != whole)
+            same[np.searchsorted(_first(sizes), wrong, "right") - 1] = False
+            return same
+        offsets = _first(sizes)
+        for k in np.flatnonzero(same):
+            own = ids[first[k]:first[k + 1]]
+            same[k] = b"".join(flat[start[i]:start[i] + length[i]].tobytes() for i in own) == whole[offsets[k]:offsets[k + 1]].tobytes()
+        return same
 
     def groups(self, block: Block) -> list:
         """Per text: ids of A and B by group, ``a1,a2|b1;a3|b2,b3``."""
@@ -213,6 +239,12 @@ class Pair:
         return ["".join(shown[x:y])[:-1] for x, y in zip(first, first[1:])]
 
 
+def _kept(ids, first, good):
+    """The ids of good pieces; the others have none."""
+    spans = np.diff(first)
+    return ids[np.repeat(good, spans)], _first(np.where(good, spans, 0))
+
+
 _pairs = {}
 
 
@@ -239,17 +271,89 @@ def _lists(first, values, kind):
     return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, kind))
 
 
-def _counted(block: Block):
-    """Per text, its distinct (A id, B id) links as numbers and how often each occurs."""
-    linked = (block.ids_a[block.link_a] << 32) | block.ids_b[block.link_b]
-    first, values, times = [0], [], []
-    for low, high in zip(block.first_link[:-1], block.first_link[1:]):
-        value, number = np.unique(linked[low:high], return_counts=True)
-        values.append(value)
-        times.append(number)
-        first.append(first[-1] + len(value))
-    empty = np.zeros(0, np.int64)
-    return first, np.concatenate([empty, *values]), np.concatenate([empty, *times])
+# Spaces at which a text is cut, and what a text must not hold to be cut at every space.
+_LONE = re.compile(r"(?<=[^\s▁]) (?=\S)")
+_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000▁]")
+_NEXT_TO_SPACE = ("  ", "\n ", " \n", "\t ", " \t", "\r ", " \r")
+
+
+def pieces_of(text: str) -> list:
+    """A text cut at lone spaces, which are left out; each piece follows a space.
+
+    Neither tokenizer has a token that runs on into a space behind another sign, so both
+    have a token's end at each cut: pieces are encoded and aligned by themselves.
+    """
+    if not text:
+        return []
+    if text[0] == " " or text[-1] == " " or any(x in text for x in _NEXT_TO_SPACE) or _ODD.search(text):
+        return _LONE.split(text)
+    return text.split(" ")
+
+
+class Units:
+    """Alignments of distinct pieces, kept while a task goes on from block to block.
+
+    ``number`` tells the place of a piece in the other fields: its groups as text, its
+    numbers of tokens, groups and links, and its linked pairs of ids. A piece without
+    tokens is one whose tokens do not spell it.
+    """
+
+    KEPT = 250_000  # pieces; beyond this the next block starts afresh
+    COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_group_links")
+
+    def __init__(self, pair):
+        self.pair = pair
+        self.clear()
+
+    def clear(self):
+        self.number, self.shown = {}, []
+        self.counts = np.zeros((0, len(self.COUNTS)), np.int64)
+        self.first, self.linked = np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def numbers(self, texts: list) -> list:
+        """Per text the numbers of its pieces; none where a piece is not spelt by its tokens."""
+        if len(self.number) > self.KEPT:
+            self.clear()
+        pieces = [pieces_of(t) for t in texts]
+        known = self.number
+        fresh = list(set(chain.from_iterable(pieces)).difference(known))
+        for _, part in _blocks(fresh):
+            self._add(part)
+        spelt = self.counts[:, 0] > 0
+        out = [list(map(known.__getitem__, own)) for own in pieces]
+        if not spelt.all():
+            out = [own if spelt[own].all() else [] for own in out]
+        return out
+
+    def _add(self, fresh):
+        block = align(*self.pair.encode(fresh), self.pair.len_a, self.pair.len_b)
+        for piece in fresh:
+            self.number[piece] = len(self.number)
+        self.shown += self.pair.groups(block)
+        firsts = (block.first_a, block.first_b, block.first_group, block.first_link)
+        self.counts = np.concatenate((self.counts, np.stack([*map(np.diff, firsts), block.near_links], 1)))
+        self.first = np.concatenate((self.first, self.first[-1] + block.first_link[1:]))
+        linked = (block.ids_a[block.link_a] << 32) | block.ids_b[block.link_b]
+        self.linked = np.concatenate((self.linked, linked))
+
+    def pairs(self, numbers: list):
+        """Per text, its distinct linked pairs of ids and how often each occurs."""
+        sizes = np.array([len(own) for own in numbers], np.int64)
+        text = np.repeat(np.arange(len(numbers)), sizes)
+        unit = np.fromiter((k for own in numbers for k in own), np.int64, int(sizes.sum()))
+        key, times = np.unique(text * len(self.shown) + unit, return_counts=True)
+        text, unit = np.divmod(key, max(len(self.shown), 1))
+        span = self.first[unit + 1] - self.first[unit]
+        ends = np.cumsum(span)
+        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - span, span) + np.repeat(self.first[unit], span)
+        values, code = np.unique(self.linked[at], return_inverse=True)
+        key = np.repeat(text, span) * len(values) + code
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], np.repeat(times, span)[order]
+        begins = np.flatnonzero(np.diff(key, prepend=-1))
+        text, code = np.divmod(key[begins], max(len(values), 1))
+        first = np.searchsorted(text, np.arange(len(numbers) + 1))
+        return first, values[code], np.add.reduceat(times, begins) if len(begins) else times
 
 
 def _blocks(texts):
@@ -265,18 +369,18 @@ def _blocks(texts):
 
 
 def _mapped(docs, tokenizer_a, model_b, id_col, text_col, schema, columns_of):
+    """``columns_of(pair)`` gives a function from a block of texts to named columns."""
     shared = docs.sparkSession.sparkContext.broadcast((read_model(tokenizer_a), read_model(model_b)))
     frame = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = frame.schema["id"].dataType.simpleString()
 
     def run(batches):
-        pair = _pair(*shared.value)
+        columns = columns_of(_pair(*shared.value))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for low, part in _blocks(texts):
-                block = align(*pair.encode(part), pair.len_a, pair.len_b)
-                columns = {"id": batch.column(0).slice(low, len(part)), **columns_of(pair, block)}
-                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+                made = {"id": batch.column(0).slice(low, len(part)), **columns(part)}
+                yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
 
     return frame.mapInArrow(run, f"id {kind}, {schema}")
 
@@ -294,7 +398,10 @@ def alignments(docs: DataFrame, tokenizer_a: str, model_b: str, id_col: str = "d
     Every row gives a row, repeated rows too; ids may be null; a null or empty text, and one
     whose tokens do not spell space + text, has empty lists; other columns are ignored.
     """
-    def columns_of(pair, block):
+    def columns_of(pair):
+        return lambda texts: columns(align(*pair.encode(texts), pair.len_a, pair.len_b))
+
+    def columns(block):
         def own(values, first, base):
             return _lists(first, values - np.repeat(base, np.diff(first)), pa.int32())
 
@@ -319,16 +426,19 @@ def alignments(docs: DataFrame, tokenizer_a: str, model_b: str, id_col: str = "d
                    f"{numbers}, links array<struct<a: int, b: int>>", columns_of).withColumnRenamed("id", id_col)
 
 
-def _digests(pair, block):
-    def number(first):
-        return pa.array(np.diff(first), pa.int64())
+def _digests(pair):
+    units = Units(pair)
+
+    def columns(texts):
+        numbers = units.numbers(texts)
+        shown = [";".join(map(units.shown.__getitem__, own)) for own in numbers]
+        counts = np.array([units.counts[own].sum(0) for own in numbers], np.int64).reshape(len(numbers), -1)
+        first, values, times = units.pairs(numbers)
+        return {**{name: pa.array(counts[:, k], pa.int64()) for k, name in enumerate(units.COUNTS)},
+                "groups_sha256": pa.array([hashlib.sha256(x.encode()).hexdigest() if x else "" for x in shown], pa.string()),
+                "pairs": _lists(first, values, pa.int64()), "times": _lists(first, times, pa.int32())}
 
-    shown = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in pair.groups(block)]
-    first, values, times = _counted(block)
-    return {"n_a": number(block.first_a), "n_b": number(block.first_b),
-            "n_groups": number(block.first_group), "n_links": number(block.first_link),
-            "n_group_links": pa.array(block.near_links, pa.int64()), "groups_sha256": pa.array(shown, pa.string()),
-            "pairs": _lists(first, values, pa.int64()), "times": _lists(first, times, pa.int32())}
+    return columns
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:

@@ -71,6 +71,23 @@ def test_summary_equals_all_pairs_of_byte_sets(spark, monkeypatch, frequent):
     assert [tuple(r)[1:] for r in got] == brute(texts)
 
 
+def test_pieces_are_encoded_as_within_their_text():
+    pair = alignment.Pair(alignment.read_model(A), alignment.read_model(B))
+    texts = [t for t in TEXTS if t] + ["a\nb c", "a \nb", "x▁ y", "x ▁y", "don't won't 's 's", "1 2 3 a1 b2", "a,b , c",
+                                       "tail ", " x", "\u3000 a b", "é è\u0301 ü", "a \u0301b", prose(9, 200)]
+    whole = Tokenizer.from_file(A)
+    whole.encode_special_tokens = True
+    for text in texts:
+        pieces = alignment.pieces_of(text)
+        assert " ".join(pieces) == text
+        a, first, b, _ = pair.encode(pieces)
+        if not all(first[1:] > first[:-1]):  # a piece that its tokens do not spell: so it is for the text
+            assert [len(x) for x in pair.encode([text])] == [0, 2, 0, 2]
+            continue
+        assert a.tolist() == whole.encode(" " + text, add_special_tokens=False).ids
+        assert b.tolist() == SentencePieceProcessor(model_file=B).encode(text)
+
+
 def test_product_is_a_matrix_product(monkeypatch):
     rng = np.random.default_rng(3)
     for entries in (1 << 20, 7):
@@ -101,6 +118,7 @@ def test_alignments_rebuild_the_text(spark):
 
 
 def test_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(alignment.Units, "KEPT", 20)
     monkeypatch.setattr(alignment, "BLOCK_CHARS", 50)  # long texts are cut at blanks between letters
     long = prose(4, 400) + "  two blanks " + prose(5, 50)
     rows = [(None, "same text"), (7, "same text"), (7, "same text"), (8, None), (9, long), (10, "q" * 500)]
