@@ -25,8 +25,10 @@ def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: lines that a source repeats go; ``n_chars`` follows the text."""
-    cut = lines.dedup(docs).drop(*lines.COUNTS)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    cut = lines.cut(docs)
+    if "n_chars" in cut.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(cut.schema["n_chars"].dataType))
+    return cut
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
