@@ -7,13 +7,14 @@ find-first-set steps, whatever the pre-token's length. Positions leave a bucket
 Entries of pairs that meanwhile changed are skipped when they surface. A pre-token of n
 bytes takes O(n log n), so texts without any break are no problem.
 
-Ids of frequent words are remembered per worker, up to a fixed count.
+Texts are cut into units at spaces. Equal units of a task are encoded once, and so are equal
+pre-tokens of different units ("word," and "word."). Both are forgotten when a task ends, or
+when they take KEPT_BYTES; texts are put together from them by array operations.
 """
 
 import base64
 import hashlib
 import re
-import sys
 from array import array
 from heapq import heappop, heappush
 from pathlib import Path
@@ -26,9 +27,9 @@ from pyspark.sql import DataFrame, functions as F
 from shopflow.llm import arrow
 
 VOCABULARY_BYTES = 32 << 20  # a rank file beyond this is refused, not broadcast
-REMEMBERED = 350_000  # units of a generation, per worker
-REMEMBERED_CHARS = 40  # longer units are not remembered
-LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
+KEPT_BYTES = 128 << 20  # about what a worker keeps of units and pre-tokens
+BLOCK_CHARS = 1 << 19  # text encoded at once; one longer text makes a block of its own
+GATHERED = 1 << 20  # items put together at once
 
 
 _BIT = [1 << i for i in range(256)]
@@ -39,72 +40,97 @@ class Merger:
 
     def __init__(self, ranks: dict):
         self.ranks = ranks
+        # Rank of any two bytes, by their number.
+        self.two = [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
         self.low = [0] * ((max(ranks.values(), default=0) >> 8) + 1)  # a bit per rank
+        self.top_bit = [1 << i for i in range(len(self.low))]
         self.buckets = {}  # rank -> its only position, or a heap of several
 
     def merge(self, data: bytes) -> list:
         """Ids of one pre-token. The queue is inlined: calls would double the time."""
-        get, low, buckets, bit = self.ranks.get, self.low, self.buckets, _BIT
+        get, low, buckets, bit, top_bit = self.ranks.get, self.low, self.buckets, _BIT, self.top_bit
         whole = get(data)
         if whole is not None:
             return [whole]
-        n = len(data)
+        n, two = len(data), self.two
         top = live = 0  # a bit per word of low; pairs that can still merge
-        following = list(range(1, n + 1))  # also the end of the run that starts here
-        before = list(range(-1, n))
-        queued = [None] * (n + 1)  # rank under which the pair starting here is queued now
-        fresh = [(get(data[i:i + 2]), i) for i in range(n - 1)]
-        while True:
-            for rank, at in fresh:
-                queued[at] = rank
-                if rank is None:
-                    continue
+        # Rank under which the pair starting here is queued now.
+        queued = [two[a << 8 | b] for a, b in zip(data, data[1:])]
+        at = 0
+        for rank in queued:
+            if rank is not None:
                 live += 1
                 held = buckets.get(rank)
                 if held is None:
                     buckets[rank] = at
                     a = rank >> 8
-                    word = low[a]
-                    if not word:
-                        top |= 1 << a
-                    low[a] = word | bit[rank & 255]
-                elif type(held) is int:
-                    buckets[rank] = [held, at] if held < at else [at, held]
+                    if not low[a]:
+                        top |= top_bit[a]
+                    low[a] |= bit[rank & 255]
+                elif held.__class__ is int:
+                    buckets[rank] = [held, at]
                 else:
-                    heappush(held, at)
-            if not live:
-                break
+                    held.append(at)  # positions come in order, so the heap stays one
+            at += 1
+        queued += (None, None)
+        following = list(range(1, n + 1))  # also the end of the run that starts here
+        before = list(range(-1, n))
+        while live:
             # Find first set, from the top level down.
             a = (top & -top).bit_length() - 1
             word = low[a]
-            lowest = (a << 8) + (word & -word).bit_length() - 1
+            b = (word & -word).bit_length() - 1
+            lowest = (a << 8) + b
             held = buckets[lowest]
-            if type(held) is int:
+            if held.__class__ is int:
                 i = held
+                held = None
             else:
                 i = heappop(held)
-            if type(held) is int or not held:
+            if not held:
                 del buckets[lowest]
-                low[a] = word = word & (word - 1)
+                word ^= bit[b]
+                low[a] = word
                 if not word:
-                    top &= top - 1
-            fresh = []
+                    top ^= top_bit[a]
             if queued[i] != lowest:
                 continue  # stale: the pair changed after it was queued
             j = following[i]
             live -= 1 + (queued[j] is not None)
-            queued[j] = queued[i] = None
+            queued[i] = queued[j] = None
             k = following[i] = following[j]
             if k < n:
                 before[k] = i
-                fresh.append((get(data[i:following[k]]), i))
+                right = get(data[i:following[k]])
+            else:
+                right = None
             h = before[i]
+            left = None
             if h >= 0:
-                rank = get(data[h:k])
-                was = queued[h]
-                if rank is None or rank != was:
-                    live -= was is not None
-                    fresh.append((rank, h))
+                left = get(data[h:k])
+                if left == queued[h]:
+                    left = None  # queued already, or not to be queued
+                elif queued[h] is not None:
+                    live -= 1
+                    queued[h] = None
+            while True:
+                if right is not None:
+                    queued[i] = right
+                    live += 1
+                    held = buckets.get(right)
+                    if held is None:
+                        buckets[right] = i
+                        a = right >> 8
+                        if not low[a]:
+                            top |= top_bit[a]
+                        low[a] |= bit[right & 255]
+                    elif held.__class__ is int:
+                        buckets[right] = [held, i] if held < i else [i, held]
+                    else:
+                        heappush(held, i)
+                if left is None:
+                    break
+                right, i, left = left, h, None  # the pair on the left, in the same way
         for rank in buckets:  # what is left is stale
             low[rank >> 8] = 0
         buckets.clear()
@@ -116,54 +142,115 @@ class Merger:
         return ids
 
 
+def _gather(flat, starts, spans):
+    """``flat[s:s + n]`` of all starts and spans, one after the other."""
+    out, ends, low = np.empty(int(spans.sum()), flat.dtype), np.cumsum(spans), 0
+    while low < len(spans):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + GATHERED, "right")))
+        shift = starts[low:high] - (ends[low:high] - spans[low:high])
+        out[before:ends[high - 1]] = flat[np.arange(before, ends[high - 1]) + np.repeat(shift, spans[low:high])]
+        low = high
+    return out
+
+
 class Encoder:
-    """Ids of texts, remembering those of frequent units.
+    """Ids of texts, remembering those of units and pre-tokens.
 
     A unit is a space and what follows up to the next space. Pre-tokens never run on into
     a white-space run, so a text may be cut before any run; with a lone space the run's
     start is the space itself. Texts in which white space comes right before a space are
-    matched as a whole instead. Two generations of units are remembered: when the young
-    one is full it replaces the old one, so frequent units stay.
+    matched as a whole instead, and their pre-tokens are units.
     """
 
     def __init__(self, ranks: dict, pattern: str):
         self.pattern = regex.compile(pattern)
         self.double = re.compile(r"\s ")
         self.merge = Merger(ranks).merge
-        self.token = {rank: token for token, rank in ranks.items()}
-        self.young, self.old = {}, {}
-
-    def unit(self, text: str) -> bytes:
-        """Packed ids of a unit that is not in the young generation."""
-        packed = self.old.get(text)
+        size = max(ranks.values(), default=-1) + 1
+        tokens = [b""] * size
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.bytes_of = np.frombuffer(b"".join(tokens), np.uint8)
+        self.length = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.clear()
+
+    def clear(self):
+        # Numbers of units: behind a space, at a text's start, and whole pre-tokens.
+        self.spaced, self.head, self.whole = {}, {}, {}
+        self.pieces = {}  # pre-token -> its packed ids
+        self.ids, self.first = array("I"), array("q", [0])
+        self.single = bytearray()  # per number: whether the unit is one pre-token
+        self.weight = 0
+
+    def _packed(self, piece: str) -> bytes:
+        packed = self.pieces.get(piece)
+        if packed is None and piece[0] == " ":
+            number = self.spaced.get(piece[1:])
+            if number is not None and self.single[number]:
+                return self.ids[self.first[number]:self.first[number + 1]].tobytes()
         if packed is None:
-            ids = []
-            for piece in self.pattern.findall(text):
-                ids += self.merge(piece.encode())
-            packed = array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
-        if len(text) <= REMEMBERED_CHARS:
-            if len(self.young) >= REMEMBERED:
-                self.old, self.young = self.young, {}
-            self.young[text] = packed
+            packed = self.pieces[piece] = array("I", self.merge(piece.encode())).tobytes()
+            self.weight += 180 + len(piece) + len(packed)
         return packed
 
+    def _add(self, known: dict, unit: str, pieces: list) -> None:
+        if len(pieces) == 1 and pieces[0] not in self.pieces:  # a unit of one pre-token stands for it
+            packed = array("I", self.merge(pieces[0].encode())).tobytes()
+        else:
+            packed = b"".join(map(self._packed, pieces))
+        self.ids.frombytes(packed)
+        known[unit] = len(self.first) - 1
+        self.single.append(len(pieces) == 1)
+        self.first.append(len(self.ids))
+        self.weight += 180 + len(unit) + len(packed)
+
+    def _numbers(self, text: str) -> list:
+        """Numbers of a text's units."""
+        if self.double.search(text):
+            units, known = self.pattern.findall(text), self.whole
+            for unit in set(units).difference(known):
+                self._add(known, unit, [unit])
+            return list(map(known.__getitem__, units))
+        head, *rest = text.split(" ")
+        if head not in self.head:
+            self._add(self.head, head, self.pattern.findall(head))
+        known, findall = self.spaced, self.pattern.findall
+        for unit in set(rest).difference(known):
+            self._add(known, unit, findall(" " + unit))
+        return [self.head[head], *map(known.__getitem__, rest)]
+
+    def encode_block(self, texts: list):
+        """(ids of all texts, first of every text and the end)."""
+        if self.weight > KEPT_BYTES:
+            self.clear()
+        numbers, cuts = array("q"), [0]
+        for text in texts:
+            if text:
+                numbers.extend(self._numbers(text))
+            cuts.append(len(numbers))
+        number = np.frombuffer(numbers, np.int64) if numbers else np.zeros(0, np.int64)
+        first = np.array(self.first, np.int64)
+        spans = np.diff(first)[number]
+        ids = _gather(np.array(self.ids, np.uint32), first[number], spans)
+        return ids, np.concatenate(([0], np.cumsum(spans)))[cuts]
+
+    def decode_block(self, ids: np.ndarray, first: np.ndarray):
+        """(bytes that ids stand for, first of every text and the end); KeyError for an unknown id."""
+        if len(ids) and (ids.max() >= len(self.length) or not self.length[ids].all()):
+            raise KeyError("an id that the vocabulary does not have")
+        spans = self.length[ids]
+        return _gather(self.bytes_of, self.start[ids], spans), np.concatenate(([0], np.cumsum(spans)))[first]
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        if self.double.search(text):
-            units = (m[0] for m in self.pattern.finditer(text))
-        else:
-            first, *rest = text.split(" ")
-            units = [first, *[" " + x for x in rest]]
-        unit, out = self.unit, []
-        for u in units:
-            # The young generation is replaced when full, so it is looked up each time.
-            packed = self.young.get(u)
-            out.append(unit(u) if packed is None else packed)
-        return b"".join(out)
+        return self.encode_block([text])[0].astype("<u4").tobytes()
 
     def decode(self, packed: bytes) -> bytes:
-        """The bytes that packed ids stand for; an unknown id raises KeyError."""
-        return b"".join(map(self.token.__getitem__, np.frombuffer(packed, "<u4").tolist()))
+        """The bytes that packed ids stand for."""
+        ids = np.frombuffer(packed, "<u4")
+        return self.decode_block(ids, np.array([0, len(ids)]))[0].tobytes()
 
 
 def read_ranks(path: str) -> bytes:
@@ -209,21 +296,42 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
 
     def run(batches):
         coder = _encoder(shared.value, pattern)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
-                ids = [coder.encode(t) if t else b"" for t in part.column(1).to_pylist()]
-                columns = [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                           pa.array(ids, pa.binary())]
-                if with_decoded:
-                    columns.append(pa.array(map(coder.decode, ids), pa.binary()))
-                names = ["id", "n_tokens", "ids", "decoded"][:len(columns)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        try:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                for low, part in _blocks(texts):
+                    ids, first = coder.encode_block(part)
+                    columns = [batch.column(0).slice(low, len(part)), pa.array(np.diff(first), pa.int64()),
+                               _binary(ids.astype("<u4").view(np.uint8), first * 4)]
+                    if with_decoded:
+                        columns.append(_binary(*coder.decode_block(ids, first)))
+                    names = ["id", "n_tokens", "ids", "decoded"][:len(columns)]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+        finally:
+            coder.clear()
 
     schema = f"id {kind}, n_tokens long, ids binary" + ", decoded binary" * with_decoded
     return frame.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
+def _blocks(texts):
+    """(first row, texts) of about BLOCK_CHARS."""
+    low = size = 0
+    for k, text in enumerate(texts):
+        if size and size + len(text) > BLOCK_CHARS:
+            yield low, texts[low:k]
+            low, size = k, 0
+        size += len(text)
+    if low < len(texts):
+        yield low, texts[low:]
+
+
+def _binary(data, first):
+    """An Arrow column of the bytes between neighbouring places."""
+    return pa.Array.from_buffers(pa.large_binary(), len(first) - 1, [
+        None, pa.py_buffer(np.ascontiguousarray(first, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+
+
 def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``id_col`` and ``decoded`` (binary) of packed ids; null ids decode to empty bytes."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
@@ -233,11 +341,9 @@ def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str
     def run(batches):
         coder = _encoder(shared.value, "")
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
-                texts = [coder.decode(x or b"") for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(texts, pa.binary())], names=["id", "decoded"])
+            texts = [coder.decode(x or b"") for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(texts, pa.binary())], names=["id", "decoded"])
 
     return frame.mapInArrow(run, f"id {kind}, decoded binary").withColumnRenamed("id", id_col)
 

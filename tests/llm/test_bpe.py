@@ -56,12 +56,23 @@ def test_queue_is_empty_after_every_pre_token(coders):
         assert not merge.buckets and not any(merge.low)
 
 
-def test_cache_generations(coders, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 3)
-    own, public = bpe.Encoder(coders[0].token and bpe.parse_ranks(bpe.read_ranks(PATH)), P.PATTERN), coders[1]
-    text = " ".join(f"wordy{i % 7}" for i in range(60))
-    assert ids(own.encode(text)) == public.encode_ordinary(text)
-    assert len(own.young) <= 3 and len(own.old) <= 3
+def test_what_is_remembered_is_bounded_and_forgotten(coders, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 3000)
+    monkeypatch.setattr(bpe, "GATHERED", 5)
+    own, public = bpe.Encoder(bpe.parse_ranks(bpe.read_ranks(PATH)), P.PATTERN), coders[1]
+    texts = [" ".join(f"wordy{i % 7}, word{i % k}." for i in range(60)) for k in range(1, 12)]
+    for low in range(0, len(texts), 3):
+        ids_of, first = own.encode_block(texts[low:low + 3])
+        for text, a, b in zip(texts[low:], first, first[1:]):
+            assert ids_of[a:b].tolist() == public.encode_ordinary(text)
+        assert own.weight < 3000 + 40_000
+    own.clear()
+    assert not own.spaced and not own.pieces and not own.ids
+
+
+def test_unknown_ids_have_no_bytes(coders):
+    with pytest.raises(KeyError):
+        coders[0].decode(np.array([10**6], "<u4").tobytes())
 
 
 def test_rows_of_every_kind(spark, coders):
