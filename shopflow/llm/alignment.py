@@ -24,6 +24,7 @@ from shopflow.sources import stage
 
 MODEL_BYTES = 32 << 20  # a tokenizer file beyond this is refused, not broadcast
 BLOCK_CHARS = 1 << 19  # text handled at once; one longer text makes a block of its own
+JOINED = 4096  # signs of pieces that are encoded as one text
 ENTRIES = 1 << 20  # entries of a product formed at once
 # Pairs in 1 of 2**18 links of the corpus or more are broadcast: at most 2**18 pairs.
 FREQUENT = 1 << 18
@@ -197,6 +198,32 @@ class Pair:
             b, first_b = _kept(b, first_b, good)
         return a, first_a[at], b, first_b[at]
 
+    def encode_plain(self, pieces: list):
+        """The same for pieces that neither begin nor end with a sign that could join a space.
+
+        They are put together, spaces between them, to texts of about JOINED signs, since a
+        call of its own for every piece would cost more than its tokens.
+        """
+        if not pieces:
+            return self.encode(pieces)
+        cuts = np.flatnonzero(np.diff(np.cumsum([len(p) for p in pieces]) // JOINED, prepend=-1)).tolist()
+        texts = [" ".join(pieces[low:high]) for low, high in zip(cuts, [*cuts[1:], len(pieces)])]
+        a, _ = self._flat([e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)])
+        b, _ = self._flat(self.b.encode(texts, num_threads=1))
+        sizes = np.fromiter((len(p.encode()) + 1 for p in pieces), np.int64, len(pieces))
+        whole = np.frombuffer((" " + " ".join(pieces)).encode(), np.uint8)
+        out = []
+        for ids, table in ((a, self.a_bytes), (b, self.b_bytes)):
+            ends, wanted = np.cumsum(table[2][ids]), np.cumsum(sizes)
+            last = np.minimum(np.searchsorted(ends, wanted), max(len(ends) - 1, 0))
+            if not len(ends) or (ends[last] != wanted).any():
+                return self.encode(pieces)
+            first = np.concatenate(([0], last + 1))
+            if not self._spelt(ids, first, table, whole, sizes).all():
+                return self.encode(pieces)
+            out += (ids, first)
+        return tuple(out)
+
     @staticmethod
     def _flat(lists):
         first = _first(list(map(len, lists)))
@@ -316,17 +343,20 @@ class Units:
             self.clear()
         pieces = [pieces_of(t) for t in texts]
         known = self.number
-        fresh = list(set(chain.from_iterable(pieces)).difference(known))
-        for _, part in _blocks(fresh):
-            self._add(part)
+        fresh = set(chain.from_iterable(pieces)).difference(known)
+        odd = [p for p in fresh if p != p.strip() or p[-1] == "▁"]
+        for _, part in _blocks(list(fresh.difference(odd))):
+            self._add(part, self.pair.encode_plain(part))
+        for _, part in _blocks(odd):
+            self._add(part, self.pair.encode(part))
         spelt = self.counts[:, 0] > 0
         out = [list(map(known.__getitem__, own)) for own in pieces]
         if not spelt.all():
             out = [own if spelt[own].all() else [] for own in out]
         return out
 
-    def _add(self, fresh):
-        block = align(*self.pair.encode(fresh), self.pair.len_a, self.pair.len_b)
+    def _add(self, fresh, encoded):
+        block = align(*encoded, self.pair.len_a, self.pair.len_b)
         for piece in fresh:
             self.number[piece] = len(self.number)
         self.shown += self.pair.groups(block)

@@ -88,6 +88,17 @@ def test_pieces_are_encoded_as_within_their_text():
         assert b.tolist() == SentencePieceProcessor(model_file=B).encode(text)
 
 
+def test_pieces_put_together_are_encoded_as_alone(monkeypatch):
+    pair = alignment.Pair(alignment.read_model(A), alignment.read_model(B))
+    plain = [p for t in TEXTS if t for p in alignment.pieces_of(t) if p == p.strip() and "▁" not in p and "<" not in p]
+    for joined in (4096, 10, 1):
+        monkeypatch.setattr(alignment, "JOINED", joined)
+        for x, y in zip(pair.encode_plain(plain), pair.encode(plain)):
+            assert x.tolist() == y.tolist()
+    odd = [*plain, "a▁b"]  # not spelt: falls back
+    assert [x.tolist() for x in pair.encode_plain(odd)] == [x.tolist() for x in pair.encode(odd)]
+
+
 def test_product_is_a_matrix_product(monkeypatch):
     rng = np.random.default_rng(3)
     for entries in (1 << 20, 7):
