@@ -140,14 +140,13 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int, chars: int) -> DataFr
     texts = docs.join(F.broadcast(least), "id")
     sizes = sorted((r["hash"], r.chars) for r in texts.groupBy("hash").agg(
         F.sum(F.length("text")).alias("chars")).collect())  # at most ``rows`` of them
-    held, cut = 0, None
+    held, fitting = 0, []
     for value, size in sizes:
-        held += size
-        if held > chars:
-            break
-        cut = value
-    fits = F.col("hash") <= cut if cut is not None else F.lit(False)
-    return stage.table(texts.where(fits), "quality-sample")
+        if held + size <= chars:  # a text that does not fit costs itself only
+            held += size
+            fitting.append((value,))
+    fitting = docs.sparkSession.createDataFrame(fitting, "hash long")
+    return stage.table(texts.join(F.broadcast(fitting), "hash", "left_semi"), "quality-sample")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -159,8 +158,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     their mean is taken, so what reaches the driver is one vector of 2**BITS + 1 numbers.
     Labels that are not 0 or 1, or of no document, are left out; with none left all weights
     are 0 and every score is 0.5. A document labelled twice counts twice. The id only
-    joins, picks and orders rows. Rows whose text alone exceeds ``chars`` are not learned
-    from.
+    joins and picks rows; they are dealt and ordered by their texts. Rows are taken in the
+    order of their hash as long as they fit, so a text that exceeds what is left of
+    ``chars`` is not learned from, and only it is left out.
     """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -170,10 +170,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = sample.count()
     shards = max(1, min(shards, picked // LEAST_SHARD))
     epochs = min(MOST_EPOCHS, max(EPOCHS, UPDATES * shards // max(picked, 1)))
-    sample = sample.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(shards)).cast("int"))
+    sample = sample.withColumn("place", F.xxhash64("text")).withColumn(
+        "shard", F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(shards)).cast("int"))
 
     def learn(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("id", "ascending"), ("label", "ascending")])
+        group = group.sort_by([("place", "ascending"), ("label", "ascending"), ("text", "ascending")])
         numbers, values, firsts = [], [], [np.zeros(1, np.int64)]
         for _, offsets, data in arrow.text_blocks(group.column("text")):
             number, value, first = features(offsets, data)
