@@ -7,7 +7,9 @@ Seeds of benchmark items and of texts are joined by hash. Around every hit the t
 aligned with the item, word by word without gaps, and the overlap with the best run is
 kept: a run grows while at least MATCH_SHARE of its words agree. RADIUS words to either side
 reach both ends of an item that is not longer; with longer items the text and the item are
-aligned from end to end, once for every shift at which a seed hit.
+aligned from end to end, once for every shift at which a seed hit. Which of the two it is
+depends on the item alone. Items of fewer than SPAN words have no seed: texts are searched
+for runs of exactly their words.
 """
 
 import json
@@ -72,15 +74,15 @@ class _Bitmap:
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Stored (item, tokens) of the items with SPAN words or more."""
+    """Stored (item, tokens) of the items with a word."""
     items = benchmark.select(F.col(id_col).alias("item"), _hashes(
         F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("tokens"))
-    known = items.where((F.size("tokens") >= SPAN) & F.col("item").isNotNull()).distinct()
+    known = items.where((F.size("tokens") > 0) & F.col("item").isNotNull()).distinct()
     return stage.table(known, "benchmark-items")
 
 
 def _seeds(items: DataFrame) -> DataFrame:
-    """Stored (seed, item, at) of every item, position and mask."""
+    """Stored (seed, item, at) of every item of SPAN words or more, position and mask."""
     def seeds_of(m):
         return F.transform(_starts(F.col("tokens")), lambda i: F.struct(
             _seed(m, F.col("tokens"), i).alias("seed"), i.alias("at")))
@@ -143,7 +145,7 @@ def _end_to_end(docs, text_col, texts, seeds, items):
     hit = texts.select("key", F.explode_outer("hits").alias("h")).select(
         "key", "h.seed", F.col("h.at").alias("there"))
     shifts = stage.table(
-        hit.join(seeds, "seed").select("key", "item", (F.col("there") - F.col("at")).alias("shift"))
+        hit.join(seeds, "seed").join(items.select("item"), "item", "left_semi").select("key", "item", (F.col("there") - F.col("at")).alias("shift"))
         .distinct(), "benchmark-shifts")
     of_text = shifts.groupBy(F.col("key").alias("known")).agg(
         F.collect_list(F.struct("item", "shift")).alias("met"))
@@ -162,19 +164,48 @@ def _end_to_end(docs, text_col, texts, seeds, items):
                    lambda a, b: a == b).alias("eq"))
 
 
+def _short_leaks(texts, items, sizes):
+    """(key, item, words) of items of ``sizes`` words that a text holds as a whole run."""
+    filed = items.select(F.xxhash64(F.lit(-1), F.size("tokens"), "tokens").alias("run"), "item", "tokens")
+    filed = stage.table(filed, "benchmark-runs")
+    if filed.count() * SPAN * 16 <= BROADCAST_BYTES:
+        filed = F.broadcast(filed)
+
+    def runs(n):
+        ends = F.size("tokens") - n
+        starts = F.when(ends >= 0, F.sequence(F.lit(0), ends)).otherwise(F.expr("array()").cast("array<int>"))
+
+        def possible(i):
+            cond = F.get("known", i)
+            for o in range(1, n):
+                cond = cond & F.get("known", i + o)
+            return cond
+
+        return F.transform(F.filter(starts, possible), lambda i: F.slice("tokens", i + 1, n))
+
+    held = F.array_distinct(F.concat(*[runs(n) for n in sizes]))
+    found = texts.select("key", F.explode(held).alias("words")).select(
+        "key", "words", F.xxhash64(F.lit(-1), F.size("words"), "words").alias("run"))
+    met = found.join(filed, "run").where(F.col("words") == F.col("tokens"))
+    return met.select("key", "item", F.size("tokens").cast("long").alias("words")).distinct()
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``key`` (see ``text_key``), ``item`` and ``words`` (agreeing ones) of every leak.
 
     A text leaks an item when a run (see the module) has LEAST_WORDS agreeing words, or
-    MATCH_SHARE of the item's words where that is fewer. Only items of SPAN words or more
-    are looked for. One row per different text and item, so copies of a text share their
-    rows; null texts and null item ids take no part.
+    MATCH_SHARE of the item's words where that is fewer; of an item of fewer than SPAN words
+    it holds all words in a row. Items without a word are not looked for. One row per
+    different text and item, so copies of a text share their rows; null texts and null item
+    ids take no part.
     """
-    items = _items(benchmark, item_col, item_text_col)
+    every = _items(benchmark, item_col, item_text_col)
+    sizes = sorted(r.n for r in every.select(F.size("tokens").alias("n")).where(F.col("n") < SPAN).distinct().collect())
+    items = every.where(F.size("tokens") >= SPAN)
     seeds = _seeds(items)
     seed_bytes = seeds.count() * 40
-    vocabulary = _Bitmap(items.select(F.explode("tokens").alias("word")).distinct(), "word", 32)
+    vocabulary = _Bitmap(every.select(F.explode("tokens").alias("word")).distinct(), "word", 32)
     filed = _Bitmap(seeds.select("seed").distinct(), "seed", 64)
 
     texts = docs.where(F.col(text_col).isNotNull()).select(
@@ -196,16 +227,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     texts = texts.withColumn("hits", F.concat(*[hits(m) for m in range(len(MASKS))]))
     small = seed_bytes <= BROADCAST_BYTES
+
+    def sent(df):
+        return F.broadcast(df) if small else df
+
     longest = items.agg(F.coalesce(F.max(F.size("tokens")), F.lit(0)).alias("n")).first().n
-    align = _around if longest <= RADIUS else _end_to_end
-    aligned = align(docs, text_col, texts, F.broadcast(seeds) if small else seeds,
-                    F.broadcast(items) if small else items)
+    near, far = items.where(F.size("tokens") <= RADIUS), items.where(F.size("tokens") > RADIUS)
+    aligned = _around(docs, text_col, texts, sent(seeds), sent(near))
+    if longest > RADIUS:
+        aligned = aligned.unionByName(_end_to_end(docs, text_col, texts, sent(seeds), sent(far)))
     scored = aligned.select("key", "item", "n", _agreeing(F.col("eq")).alias("words"))
     enough = F.least(F.lit(LEAST_WORDS), F.ceil(F.col("n") * MATCH_SHARE))
-    return (
+    found = (
         scored.where(F.col("words") >= enough)
         .groupBy("key", "item").agg(F.max("words").cast("long").alias("words"))
     )
+    if sizes:
+        found = found.unionByName(_short_leaks(texts, every.where(F.size("tokens") < SPAN), sizes))
+    return found
 
 
 def flagged(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
