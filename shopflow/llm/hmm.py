@@ -24,7 +24,8 @@ OWN = 2_000  # words with 1/OWN of all training tokens or more are classes of th
 BUCKET_BITS = 6  # the others share 2**BUCKET_BITS classes
 HEAVY = 1 << 20
 ROUNDS = 4
-SEGMENT = 128  # training reads texts in pieces of so many tokens; all tokens are read
+SEGMENT = 128  # tokens of a row of the training matrix; longer texts take several rows
+PIECES = 1024  # rows handled at once
 SMOOTH = 0.1  # added to every word's count
 SEED = 7
 
@@ -153,10 +154,10 @@ def _encode(rows: DataFrame, shared) -> DataFrame:
 
 
 class Model:
-    """Start, transition and emission probabilities; ``mean`` starts pieces within a text."""
+    """Start, transition and emission probabilities."""
 
-    def __init__(self, start, step, emit, mean):
-        self.start, self.step, self.emit, self.mean = start, step, emit, mean
+    def __init__(self, start, step, emit):
+        self.start, self.step, self.emit = start, step, emit
 
     @classmethod
     def first(cls, class_n, states=STATES, seed=SEED):
@@ -166,32 +167,72 @@ class Model:
         np.fill_diagonal(step, 0.9 if states > 1 else 1.0)
         emit = (class_n + 0.1) * rng.uniform(0.5, 1.5, (states, len(class_n)))
         even = np.full(states, 1 / states)
-        return cls(even, step, emit / emit.sum(1, keepdims=True), even)
+        return cls(even, step, emit / emit.sum(1, keepdims=True))
 
     def updated(self, sums):
         """The model that expected counts call for, with a little of the shares for zeros."""
         k, c = self.emit.shape
         start, step, emit = sums[:k], sums[k:k + k * k].reshape(k, k), sums[k + k * k:].reshape(k, c)
-        mean = emit.sum(1) + 1e-3
         shares = emit.sum(0) + 0.1
         emit = emit + 0.5 * shares / shares.sum()
         step, start = step + 0.01, start + 0.01
-        return Model(start / start.sum(), step / step.sum(1, keepdims=True),
-                     emit / emit.sum(1, keepdims=True), mean / mean.sum())
+        return Model(start / start.sum(), step / step.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
 
-def expected_counts(model: Model, classes, pieces_of_start) -> np.ndarray:
+def messages(model: Model, classes, starts):
+    """What pieces of longer texts pass on to each other, exactly.
+
+    ``entering`` is the distribution of the state before a piece (unused where a text
+    starts), ``leaving`` the weight of the states after it, 1 at a text's end; both as
+    (pieces, states). A piece is a matrix from the state at its first token to the one at
+    its last; the matrices of a text are multiplied along from both ends.
+    """
+    pieces, length = classes.shape
+    k, c = model.emit.shape
+    entering, leaving = np.zeros((pieces, k)), np.ones((pieces, k))
+    first = np.flatnonzero(starts)
+    counts = np.diff(np.append(first, pieces))
+    if not pieces or counts.max() == 1:
+        return entering, leaving
+    of = np.flatnonzero(np.repeat(counts > 1, counts))
+    emit = np.vstack([model.emit.T, np.ones(k)])
+    through = np.empty((pieces, k, k))
+    for low in range(0, len(of), PIECES):
+        some = of[low:low + PIECES]
+        own = np.zeros((len(some), k, k))
+        own[:, np.arange(k), np.arange(k)] = emit[classes[some, 0]]
+        for t in range(1, length):
+            now = classes[some, t]
+            ahead = (own.reshape(-1, k) @ model.step).reshape(own.shape) * emit[now][:, None, :]
+            own = np.where((now < c)[:, None, None], ahead, own)
+            if t % 8 == 0:
+                own /= own.sum((1, 2), keepdims=True)
+        through[some] = own / own.sum((1, 2), keepdims=True)
+    for j in range(1, int(counts.max())):
+        at = first[counts > j] + j  # pieces that come j-th in their text, from 0
+        before = np.broadcast_to(model.start, (len(at), k)) if j == 1 else entering[at - 1] @ model.step
+        a = np.einsum("pk,pkl->pl", before, through[at - 1])
+        entering[at] = a / a.sum(1, keepdims=True)
+    for j in range(int(counts.max()) - 1, 0, -1):
+        at = first[counts > j] + j
+        b = np.einsum("pkl,pl->pk", through[at], leaving[at]) @ model.step.T
+        leaving[at - 1] = b / b.sum(1, keepdims=True)
+    return entering, leaving
+
+
+def expected_counts(model: Model, classes, starts, entering, leaving) -> np.ndarray:
     """Expected starts, steps and emissions of pieces, as one vector.
 
-    ``classes`` is (pieces, SEGMENT) with the number of classes as padding;
-    ``pieces_of_start`` tells which pieces begin a text.
+    ``classes`` is (pieces, SEGMENT) with the number of classes as padding, which only ends
+    texts; ``starts`` tells which pieces begin a text, and ``messages`` gives the others.
+    Steps from one piece to the next are counted with the later one.
     """
     k, c = model.emit.shape
     emit = np.vstack([model.emit.T, np.ones(k)])
     pieces, length = classes.shape
     alpha, scale = np.empty((length, pieces, k)), np.empty((length, pieces))
     valid = classes < c
-    a = np.where(pieces_of_start[:, None], model.start, model.mean)
+    a = np.where(starts[:, None], model.start, entering @ model.step)
     for t in range(length):
         if t:
             a = a @ model.step
@@ -199,18 +240,20 @@ def expected_counts(model: Model, classes, pieces_of_start) -> np.ndarray:
         scale[t] = np.where(valid[:, t], a.sum(1), 1.0)
         a = a / scale[t][:, None]
         alpha[t] = a
-    steps, beta = np.zeros((k, k)), np.ones((pieces, k))
+    steps, beta = np.zeros((k, k)), leaving / (alpha[-1] * leaving).sum(1, keepdims=True)
     for t in range(length - 1, 0, -1):
         ahead = emit[classes[:, t]] * beta / scale[t][:, None]
         steps += alpha[t - 1].T @ (ahead * valid[:, t, None])
         gamma = alpha[t] * beta
         alpha[t] = gamma / gamma.sum(1, keepdims=True)
         beta = ahead @ model.step.T
+    inner = ~starts
+    steps += entering[inner].T @ (emit[classes[inner, 0]] * beta[inner] / scale[0][inner, None])
     gamma = alpha[0] * beta
     alpha[0] = gamma / gamma.sum(1, keepdims=True)
     flat = classes.T.ravel()
     emits = [np.bincount(flat, alpha[:, :, s].ravel(), c + 1)[:c] for s in range(k)]
-    start = alpha[0][pieces_of_start].sum(0)
+    start = alpha[0][starts].sum(0)
     return np.concatenate([start, (steps * model.step).ravel(), *emits])
 
 
@@ -242,12 +285,10 @@ def train(encoded: DataFrame, class_n, rounds: int = ROUNDS, states: int = STATE
             for batch in batches:
                 held, pieces = [], 0
                 for packed in batch.column(0).to_pylist():
-                    sequence = np.frombuffer(packed, np.uint16)
-                    for low in range(0, len(sequence), SEGMENT << 10):
-                        held.append((low == 0, sequence[low:low + (SEGMENT << 10)]))
-                        pieces += -(-len(held[-1][1]) // SEGMENT)
-                        if pieces >= 1024:
-                            total, held, pieces = total + _sum(model, held, c), [], 0
+                    held.append(np.frombuffer(packed, np.uint16))
+                    pieces += -(-len(held[-1]) // SEGMENT)
+                    if pieces >= PIECES:
+                        total, held, pieces = total + _sum(model, held, c), [], 0
                 if held:
                     total = total + _sum(model, held, c)
             if np.ndim(total):
@@ -256,10 +297,10 @@ def train(encoded: DataFrame, class_n, rounds: int = ROUNDS, states: int = STATE
                     [pa.array(at, pa.int32()), pa.array(total[at])], names=["at", "n"])
 
         def _sum(model, held, c):
-            pieces, begins = _pieces([s for _, s in held], c)
-            first = np.flatnonzero(begins)
-            begins[first[[not begin for begin, _ in held]]] = False
-            return expected_counts(model, pieces, begins)
+            pieces, starts = _pieces(held, c)
+            entering, leaving = messages(model, pieces, starts)
+            return sum(expected_counts(model, *(x[low:low + PIECES] for x in (pieces, starts, entering, leaving)))
+                       for low in range(0, len(pieces), PIECES))
 
         sums = np.zeros(size)
         for r in (encoded.select("classes").mapInArrow(run, "at int, n double")

@@ -24,10 +24,10 @@ _SLACK = 1e-9  # for rounding of distances, as a share of the squared lengths
 
 
 def scaled(rows: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
-    """(id, v): vectors as floor(scale * x), one row per id.
+    """(id, v): vectors as floor(scale * x), a row per row.
 
     Rows without an id, and vectors that are null or hold null or non-finite components,
-    take no part. Of several rows of one id the one with the least vector counts.
+    take no part.
     """
     x = F.col(vector_col).cast("array<double>")
     fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
@@ -35,7 +35,6 @@ def scaled(rows: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) ->
         rows.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & fine)
         .select(F.col(id_col).cast("long").alias("id"),
                 F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v"))
-        .groupBy("id").agg(F.min("v").alias("v"))
     )
 
 

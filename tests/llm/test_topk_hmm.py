@@ -13,17 +13,13 @@ from shopflow.llm import hmm, topk
 
 
 def best(rows, k=5):
-    fine = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        fine.setdefault(i, []).append([math.floor(256 * x) for x in v])
-    fine = {i: min(v) for i, v in fine.items()}
+    """Every row is a query or a candidate, also those that repeat an id."""
+    fine = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in fine:
-        if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(fine[q], v)), i) for i, v in fine.items() if i != q)
-            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    for query in {i for i, _ in fine if i % 50 == 0}:
+        scored = sorted((-sum(a * b for a, b in zip(q, v)), i) for j, q in fine if j == query for i, v in fine if i != query)
+        out += [(query, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -32,7 +28,7 @@ def test_search(spark, monkeypatch):
     rows = [(int(i), [float(x) for x in rng.normal(size=8).astype(np.float32)]) for i in range(230)]
     rows += [(1000 + i, rows[50][1]) for i in range(40)]  # ties
     rows += [(400, None), (450, [1.0, None] * 4), (500, [float("nan")] * 8), (550, [float("inf")] * 8),
-             (None, rows[0][1]), (600, [3.0]), (650, []), (50, rows[50][1]), (700, [1e6] * 8)]
+             (None, rows[0][1]), (600, [3.0]), (650, []), (50, rows[50][1]), (50, rows[51][1]), (77, rows[50][1]), (77, rows[9][1]), (700, [1e6] * 8)]
     frame = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, id int, v int")
     for per_block in (topk.ROWS_PER_BLOCK, 40):
         monkeypatch.setattr(topk, "ROWS_PER_BLOCK", per_block)
@@ -72,7 +68,7 @@ def test_rows_beyond_the_bound_are_not_evaluated():
 def model(seed, states=3, classes=5):
     rng = np.random.default_rng(seed)
     rows = lambda *shape: (x := rng.uniform(0.1, 1, shape)) / x.sum(-1, keepdims=True)
-    return hmm.Model(rows(states), rows(states, states), rows(states, classes), rows(states))
+    return hmm.Model(rows(states), rows(states, states), rows(states, classes))
 
 
 def path_sums(m, sequence):
@@ -91,16 +87,32 @@ def path_sums(m, sequence):
     return total, steps / total, emit / total
 
 
-def test_forward_and_expected_counts_equal_sums_over_paths():
+@pytest.mark.parametrize("segment", [128, 6, 3, 2, 1])
+def test_forward_and_expected_counts_equal_sums_over_paths(monkeypatch, segment):
+    """Also when texts go over the ends of pieces."""
+    monkeypatch.setattr(hmm, "SEGMENT", segment)
+    monkeypatch.setattr(hmm, "PIECES", 2)
     m = model(1)
-    sequences = [np.array(s, np.uint16) for s in ([0, 1, 2, 3, 4, 0], [2], [4, 4, 1])]
+    sequences = [np.array(s, np.uint16) for s in ([0, 1, 2, 3, 4, 0, 2], [2], [4, 4, 1], [1, 1, 3, 0], [3, 3, 3, 3, 3, 3])]
     want = [path_sums(m, s) for s in sequences]
     assert np.allclose(hmm.forward(m, sequences), [math.log10(w[0]) for w in want])
-    pieces, begins = hmm._pieces(sequences, 5)
-    sums = hmm.expected_counts(m, pieces, begins)
+    pieces, starts = hmm._pieces(sequences, 5)
+    sums = hmm.expected_counts(m, pieces, starts, *hmm.messages(m, pieces, starts))
     assert np.allclose(sums[3:12].reshape(3, 3), sum(w[1] for w in want))
     assert np.allclose(sums[12:].reshape(3, 5), sum(w[2] for w in want))
-    assert sums[:3].sum() == pytest.approx(3)
+    assert sums[:3].sum() == pytest.approx(5)
+
+
+def test_a_long_text_is_trained_on_as_a_whole(monkeypatch):
+    rng = np.random.default_rng(4)
+    long = rng.integers(0, 5, 3000).astype(np.uint16)
+
+    def sums(segment):
+        monkeypatch.setattr(hmm, "SEGMENT", segment)
+        pieces, starts = hmm._pieces([long, long[:7]], 5)
+        return hmm.expected_counts(model(3), pieces, starts, *hmm.messages(model(3), pieces, starts))
+
+    assert np.allclose(sums(128), sums(4000))
 
 
 def test_forward_of_long_text_does_not_vanish():
@@ -131,6 +143,51 @@ def test_scores(spark):
         assert r.score < 0
 
 
+def plain_score(train, text, words_of, m, own, buckets, bucket_of):
+    """log10 probability of one text, word by word, from its definition."""
+    counts = {}
+    for t in train:
+        for w in words_of(t):
+            counts[w] = counts.get(w, 0) + 1
+    tokens = sum(counts.values()) + len(train)
+    large = sorted((w for w in counts if counts[w] * own >= tokens), key=hash_of)
+    shared = [sum(counts[w] for w in counts if w not in large and bucket_of(w) == b)
+              + hmm.SMOOTH * (sum(w not in large and bucket_of(w) == b for w in counts) + 1) for b in range(buckets)]
+    classes = [buckets + large.index(w) if w in large else bucket_of(w) for w in words_of(text)] + [buckets + len(large)]
+    share = sum(math.log10((counts.get(w, 0) + hmm.SMOOTH) / shared[bucket_of(w)]) for w in words_of(text) if w not in large)
+    a, total = m.start, 0.0
+    for n, c in enumerate(classes):
+        a = (a if n == 0 else a @ m.step) * m.emit[:, c]
+        total, a = total + math.log10(a.sum()), a / a.sum()
+    return total + share
+
+
+def hash_of(word):
+    import pyarrow as pa
+
+    from shopflow.llm import arrow
+
+    return int(arrow.words(*next(arrow.text_blocks(pa.array([word])))[1:])[0][0])
+
+
+def test_a_whole_score_equals_its_definition(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "OWN", 12)
+    monkeypatch.setattr(hmm, "HEAVY", 40)  # so that some counts are joined
+    trained = []
+    train = hmm.train
+
+    def kept(*args, **options):
+        trained.append(train(*args, **options))
+        return trained[0]
+
+    monkeypatch.setattr(hmm, "train", kept)
+    texts = [prose(i, 12, 25) for i in range(14)] + ["", "unknown w1 words", "w0"]
+    got = {r.doc_id: r.score for r in hmm.score(docs(spark, list(enumerate(texts))), F.col("doc_id") < 11, rounds=2).collect()}
+    for i, text in enumerate(texts):
+        want = plain_score(texts[:11], text, str.split, trained[0], 12, 64, lambda w: hash_of(w) >> 58)
+        assert got[i] == pytest.approx(want)
+
+
 def test_all_words_of_a_vocabulary_share_probability_one(spark, monkeypatch):
     """Over all known words and the unknown ones of each shared class, one step sums to one."""
     monkeypatch.setattr(hmm, "OWN", 8)
