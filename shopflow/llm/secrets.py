@@ -1,14 +1,18 @@
 """Secret scans: fixed patterns plus an assignment-aware reading of names and literals.
 
 The reader finds every assignment operator, takes the name before it and the literal after
-it (``name = "x"``, ``"name": "x"``, ``NAME=x``, ``name := "x" + "y"``), follows names that
+it (``name = "x"``, ``"name": "x"``, ``NAME=x``, ``name := "x" + "y"``, strings of three
+quotes and with prefixes, lines below a YAML ``name: |``) and the text of XML elements
+(``<name>x</name>``), follows names that
 were given a literal earlier in the text, and scores the literal by how sensitive the name
 it ends up in sounds and by how random it looks. Spans are in code points, end exclusive.
 """
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -38,8 +42,15 @@ LONGEST_PLACEHOLDER = max(map(len, PLACEHOLDERS))
 
 _OPERATOR = re.compile(r":=|=>|(?<![=!<>:+*/-])=(?!=)|(?<!:):(?![:/=])")
 _NAME_BACK = re.compile(r"""[ \t]*["']?([A-Za-z0-9_.\-]*)""")  # of the reversed text
+# A literal in quotes, with a prefix as in f"..", of three quotes, or bare (the last group).
 _VALUE = re.compile(
-    r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([^\s"'`,;(){}\[\]<>#+]+))""")
+    r"""[ \t]*(?:[A-Za-z]{0,2}(?:"(?!"")((?:[^"\\\n]|\\.)*)"|'(?!'')((?:[^'\\\n]|\\.)*)'"""
+    r'|"{3}((?s:.*?))"{3}' r"|'{3}((?s:.*?))'{3})"
+    r"""|([^\s"'`,;(){}\[\]<>#+]+))""")
+# A YAML block: the rest of the line after "|" or ">", and the deeper lines below.
+_BLOCK = re.compile(r"[ \t]*[|>][+-]?[0-9]?[ \t]*(?:#[^\n]*)?\n")
+_ELEMENT = re.compile(r"<([A-Za-z_][A-Za-z0-9_.\-]*)(?:\s[^<>]*)?>([^<>]+)</\1\s*>")
+_BARE = 5  # the group of _VALUE that needs no quotes
 _PLUS = re.compile(r"[ \t]*\+")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.\-]*\Z")
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -107,6 +118,32 @@ def _name_before(text: str, low: int, high: int) -> str:
     return back[1][::-1].lstrip("0123456789.-")
 
 
+def _block_value(text: str, key: int, low: int):
+    """The lines from ``low`` on that are deeper than the line of the key; None without any."""
+    line = text.rfind("\n", 0, key) + 1
+    depth = len(text[line:key]) - len(text[line:key].lstrip(" \t-"))
+    end = first = None
+    while low < len(text):
+        stop = text.find("\n", low)
+        stop = len(text) if stop < 0 else stop
+        bare = text[low:stop].strip()
+        if bare:
+            if stop - low - len(text[low:stop].lstrip(" \t")) <= depth:
+                break
+            if first is None:
+                first = stop - len(text[low:stop].lstrip())
+            end = low + len(text[low:stop].rstrip())
+        low = stop + 1
+    return _Value(text[first:end], (first, end)) if end is not None else None
+
+
+def elements(text: str):
+    """Yield (name, value) of XML elements that hold plain text only."""
+    if "</" in text:
+        for m in _ELEMENT.finditer(text):
+            yield m[1], _Value(m[2], m.span(2))
+
+
 def assignments(text: str):
     """Yield (name, value) in text order, constants followed.
 
@@ -119,6 +156,12 @@ def assignments(text: str):
         name, last = _name_before(text, last, op.start()), op.end()
         if not name:
             continue
+        if op[0] == ":" and (block := _BLOCK.match(text, op.end())):
+            value = _block_value(text, op.start(), block.end())
+            if value:
+                known[name] = value
+                yield name, value
+            continue
         at, starts, values, fixed = op.end(), [], [], True
         while m := _VALUE.match(text, at):
             if at in tails:  # read before, by an operator within an earlier literal
@@ -127,9 +170,9 @@ def assignments(text: str):
                 break
             group = m.lastindex
             starts.append(at)
-            if group == 3 and _NAME.match(m[3]):
+            if group == _BARE and _NAME.match(m[_BARE]):
                 fixed = False
-            values.append(known[m[3]] if group == 3 and m[3] in known
+            values.append(known[m[_BARE]] if group == _BARE and m[_BARE] in known
                           else _Value(m[group], (m.start(group), m.end(group))))
             at = m.end()
             plus = _PLUS.match(text, at)
@@ -172,17 +215,28 @@ def randomness(value: _Value) -> float:
 
 def lexed_spans(text: str, taken: list, threshold: float = THRESHOLD) -> list:
     """(start, kind number, end) of literals in sensitive names, but for those in ``taken``."""
-    if ":" not in text and "=" not in text:
+    if ":" not in text and "=" not in text and "</" not in text:
         return []
     found, seen, kept = set(), set(), []
-    for name, value in assignments(text):
+    for name, value in chain(assignments(text), elements(text)):
         sensitive = sensitivity(name)
         if sensitive and sensitive * randomness(value) >= threshold:
             kept.append(value)  # so that its id stays its own
             found.update(value.spans(seen))
-    covered = [(s, e) for s, _, e in taken]
-    return [(s, 3, e) for s, e in found
-            if e > s and not any(s < b and a < e for a, b in covered)]
+    # What the base kinds cover, as parts that do not touch, in order.
+    starts, ends = [], []
+    for s, _, e in sorted(taken):
+        if starts and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+
+    def covered(s, e):
+        k = bisect_left(ends, s + 1)  # the first part that ends behind s
+        return k < len(starts) and starts[k] < e
+
+    return [(s, 3, e) for s, e in found if e > s and not covered(s, e)]
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))

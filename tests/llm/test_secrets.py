@@ -61,6 +61,59 @@ def test_names_and_values_without_limits(text, want):
     assert found(text) == want
 
 
+@pytest.mark.parametrize("text, want", [
+    (f'db_pwd = """{ODD}9z"""', [ODD + "9z"]),
+    (f"db_pwd = u'''\n{ODD}9z\n'''", [f"\n{ODD}9z\n"]),
+    (f"db_pwd = f'{ODD}9z' + rb\"{ODD}8y\"", [ODD + "8y", ODD + "9z"]),
+    (f"auth:\n  db_pwd: |\n    {ODD}9z\n  other: |-\n    {ODD}7x\n", [ODD + "9z"]),
+    (f"- db_pwd: >-  # note\n\n    {ODD}9z  \n- other: {ODD}7x", [ODD + "9z"]),
+    (f"db_pwd: |\n{ODD}9z", []),  # not deeper than its name
+    (f"<config><db-password>{ODD}9z</db-password><colour>{ODD}7x</colour></config>", [ODD + "9z"]),
+    (f"<pwd kind='a'> {ODD}9z </pwd >", [f" {ODD}9z "]),
+    (f"<pwd>{ODD}9z</other>", []),
+    ('db_pwd = ""', []),
+    ('db_pwd = """open', []),
+])
+def test_literals_of_other_forms(text, want):
+    assert sorted(x for k, x in found(text) if k == "lexed") == want
+
+
+def test_many_literals_and_base_spans_take_linear_time():
+    import time
+
+    def seconds(n):
+        text = "\n".join(f"password = {KEY}{i}\ndb_pwd = '{ODD}{i}'" for i in range(n))
+        began = time.process_time()
+        base = secrets.base_spans(text)
+        assert len(secrets.lexed_spans(text, base)) == n == len(base)
+        return time.process_time() - began
+
+    assert seconds(16_000) < 12 * seconds(4_000) + 0.5
+
+
+def test_spans_within_base_spans_are_left_out():
+    text = "x" * 100
+    for taken in ([(5, 0, 9), (7, 1, 20), (40, 2, 50)], []):
+        kept = {(s, e) for s in range(0, 60) for e in range(s + 1, 60)
+                if not any(s < b and a < e for a, _, b in taken)}
+        assert kept == {(s, e) for s in range(0, 60) for e in range(s + 1, 60) if free(taken, s, e)}
+    assert text
+
+
+def free(taken, s, e):
+    """Whether ``lexed_spans`` keeps a literal at that place."""
+    class Held:
+        def spans(self, seen):
+            yield s, e
+
+    original = secrets.assignments, secrets.randomness
+    secrets.assignments, secrets.randomness = (lambda text: [("password", Held())]), (lambda value: 1.0)
+    try:
+        return bool(secrets.lexed_spans("=", taken))
+    finally:
+        secrets.assignments, secrets.randomness = original
+
+
 def test_a_long_chain_of_operators_is_read_once():
     text = "db_pwd=" + "+".join(f"x=é!{i}" for i in range(20_000))
     assert len(found(text)) == 20_000
