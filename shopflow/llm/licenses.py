@@ -3,10 +3,17 @@
 Lines, paragraphs and the whole text are normalised to words (A-Z lower-cased, all but
 a-z, 0-9 cut) and become sets of word bigrams. Dice(A, B) = 2|A & B| / (|A| + |B|) cannot
 reach t unless |A| lies between t/(2-t) and (2-t)/t times |B|, so a segment is compared
-only with templates of such a size.
+only with templates of such a size. It also needs t/(2-t) of |B| to be shared, so one of any
+larger rest of B's bigrams: a segment that holds none of the marked bigrams of any template
+is not compared at all.
+
+Notices often stand right above other text. Texts with a marked bigram are also read by
+windows, runs of neighbouring lines within a paragraph; of these the best one per licence
+counts, and only where it is better than every other segment found for that licence.
 """
 
 import json
+import math
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -57,8 +64,6 @@ TEMPLATES = {
     ],
     "BSD-3-Clause": [
         "Released under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, "
-        "are permitted provided that the following conditions are met:",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "BSD-2-Clause": [
@@ -76,20 +81,6 @@ TEMPLATES = {
         "with or without fee is hereby granted, provided that the above copyright notice and "
         "this permission notice appear in all copies.",
     ],
-    "CC-BY-4.0": [
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ],
-    "CC-BY-SA-4.0": [
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
-        "International License.",
-    ],
-    "CC-BY-NC-4.0": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-        "International License.",
-    ],
     "CC0-1.0": [
         "Released under CC0 1.0 Universal.",
         "To the extent possible under law, the author has waived all copyright and related or "
@@ -132,7 +123,19 @@ for _name, _title, _version in [
             f"{_version} of the License, or (at your option) any later version.",
             _header + f"version {_version} as published by the Free Software Foundation.")
 
-for _name in ["MPL-2.0", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense"]:
+# Creative Commons licences differ by version and by the area they were written for.
+for _short, _title in [("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"),
+                       ("BY-NC", "Attribution-NonCommercial"), ("BY-ND", "Attribution-NoDerivatives")]:
+    for _version, _area in [("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")]:
+        _add(
+            f"CC-{_short}-{_version}",
+            f"Licensed under CC {_short} {_version}.",
+            f"This work is licensed under a Creative Commons {_title} {_version} {_area} License.",
+            f"This work is licensed under a Creative Commons {_title} {_version} License.",
+            f"Licensed under Creative Commons {_title} {_version}.",
+            f"SPDX-License-Identifier: CC-{_short}-{_version}")
+
+for _name in ["MPL-2.0", "ISC", "CC0-1.0", "Unlicense"]:
     _add(_name, f"SPDX-License-Identifier: {_name}")
 for _name, _title in [
     ("Apache-2.0", "Apache License, Version 2.0"), ("MIT", "MIT License"), ("ISC", "ISC License"),
@@ -140,9 +143,51 @@ for _name, _title in [
     ("MPL-2.0", "Mozilla Public License, version 2.0"),
 ]:
     _add(_name, *[f"{verb} under the {_title}." for verb in ("Released", "Licensed", "This work is licensed")])
-_add("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be "
-     "used to endorse or promote products derived from this software without specific prior "
-     "written permission.")
+
+# The parts of the MIT, ISC and BSD licences.
+_NOTICE = ("The above copyright notice and this permission notice shall be included in all copies or "
+           "substantial portions of the Software.")
+_MIT_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+    "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+    "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+    "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE "
+    "USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_ISC_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+    "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+    "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+    "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
+    "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.")
+_BSD_TERMS = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+              "provided that the following conditions are met:")
+_BSD_CLAUSES = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this "
+    "list of conditions and the following disclaimer in the documentation and/or other materials provided with "
+    "the distribution.")
+_BSD_THIRD = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+              "or promote products derived from this software without specific prior written permission.")
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+    "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE "
+    "POSSIBILITY OF SUCH DAMAGE.")
+
+# Parts that several licences share name none of them; whole texts and clauses of their own do.
+_add("MIT", f"MIT License {TEMPLATES['MIT'][2]} {_NOTICE} {_MIT_WARRANTY}")
+_add("ISC", f"ISC License {TEMPLATES['ISC'][0]} {_ISC_WARRANTY}")
+_add("BSD-3-Clause", _BSD_THIRD, f"{_BSD_TERMS} {_BSD_CLAUSES} 3. {_BSD_THIRD}",
+     f"{_BSD_TERMS} {_BSD_CLAUSES} 3. {_BSD_THIRD} {_BSD_WARRANTY}")
+_add("BSD-2-Clause", f"{_BSD_TERMS} {_BSD_CLAUSES} {_BSD_WARRANTY}")
+_add("BSD", _BSD_TERMS, f"{_BSD_TERMS} {_BSD_CLAUSES}")
+
+WINDOW_LINES = 14  # of a window, at most; longer notices are whole paragraphs or texts
+BITMAP_BITS = 1 << 16
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -162,24 +207,38 @@ def _bigrams(words):
     return F.when(n >= 2, F.array_distinct(pairs)).otherwise(F.expr("array()").cast("array<bigint>"))
 
 
-def _hashed(spark, templates):
-    """Templates as an array literal: (name, number in the list, size, bigrams)."""
+def _hashed(spark, templates, similarity):
+    """Templates as an array literal (name, number in the list, size, bigrams), their sizes,
+    and a literal bitmap of the marked bigrams of all of them."""
     rows = [(name, i, text) for i, (name, text) in enumerate(
         (name, text) for name, texts in templates.items() for text in texts)]
-    grams = spark.createDataFrame(rows, "name string, number int, text string").select(
-        "name", "number", _bigrams(F.flatten(_lines_of_words(F.col("text")))).alias("grams"))
-    found = [r.asDict() | {"size": len(r.grams)} for r in grams.collect() if r.grams]
+    words = F.flatten(_lines_of_words(F.col("text")))
+    found = [r.asDict() for r in spark.createDataFrame(rows, "name string, number int, text string").select(
+        "name", "number", words.alias("words"), _bigrams(words).alias("grams")).collect() if r.grams]
     found.sort(key=lambda r: r["number"])
+    bitmap = [0] * (BITMAP_BITS // 64)
+    for r in found:
+        pairs = list(dict.fromkeys(zip(r["words"], r.pop("words")[1:])))  # in the order of the bigrams
+        shared = math.ceil(similarity / (2 - similarity) * len(pairs) - 1e-9)
+        # Long words are rare ones: any len - shared + 1 bigrams would do.
+        for _, gram in sorted(zip(pairs, r["grams"]), key=lambda x: (-sum(map(len, x[0])), x[0]))[:len(pairs) - shared + 1]:
+            spot = gram % BITMAP_BITS
+            bitmap[spot // 64] |= 1 << (spot % 64)
+        r["size"] = len(pairs)
     schema = "array<struct<name:string,number:int,size:int,grams:array<bigint>>>"
-    return F.from_json(F.lit(json.dumps(found)), schema), [r["size"] for r in found]
+    signed = [w - (1 << 64) if w >> 63 else w for w in bitmap]
+    return (F.from_json(F.lit(json.dumps(found)), schema), [r["size"] for r in found],
+            F.from_json(F.lit(json.dumps(signed)), "array<bigint>"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          templates: dict = None, similarity: float = SIMILARITY) -> DataFrame:
-    """``id_col`` and ``matches``: array of (segment, position, name, number, dice).
+    """``id_col`` and ``matches``: array of (segment, position, name, number, dice, shared).
 
-    ``segment`` is ``line``, ``paragraph`` (of two lines or more, between blank lines) or
-    ``text`` (of two paragraphs or more); ``position`` counts from 0. A segment gives its
+    ``segment`` is ``line``, ``paragraph`` (of two lines or more, between blank lines),
+    ``text`` (of two paragraphs or more) or ``window`` (2 to WINDOW_LINES lines of a
+    paragraph); ``position`` counts from 0, of a window in lines. ``shared`` is the number of
+    common bigrams. A segment gives its
     best template of ``similarity`` or more; ties go to the template listed first
     (``number``). ``templates`` maps names to lists of texts, a list fit for a literal.
 
@@ -187,23 +246,33 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text, or one without a segment of two words, has no match; other columns are ignored.
     No shuffle: every text is judged where it is read.
     """
-    known, sizes = _hashed(docs.sparkSession, templates or TEMPLATES)
+    known, sizes, marks = _hashed(docs.sparkSession, templates or TEMPLATES, similarity)
     low, high = similarity / (2 - similarity), (2 - similarity) / similarity
     least, most = min(sizes) * low, max(sizes) * high
 
+    def marked(gram):
+        spot = F.pmod(gram, F.lit(BITMAP_BITS))
+        word = F.get(marks, F.shiftright(spot, 6).cast("int"))
+        return F.getbit(word, F.pmod(gram, F.lit(64)).cast("int")) == 1
+
     def best(segment):
         size = F.size(segment["grams"])
         fitting = F.filter(known, lambda t: (size >= t["size"] * low) & (size <= t["size"] * high))
         scored = F.transform(fitting, lambda t: F.struct(
-            (F.lit(2.0) * F.size(F.array_intersect(segment["grams"], t["grams"]))
-             / (size + t["size"])).alias("dice"),
-            (-t["number"]).alias("first"), t["name"].alias("name")))
-        return F.array_max(scored)
+            F.size(F.array_intersect(segment["grams"], t["grams"])).alias("shared"),
+            t["size"].alias("n"), t["number"].alias("number"), t["name"].alias("name")))
+        return F.array_max(F.transform(scored, lambda x: F.struct(
+            (F.lit(2.0) * x["shared"] / (size + x["n"])).alias("dice"),
+            (-x["number"]).alias("first"), x["name"].alias("name"), x["shared"].alias("shared"))))
+
+    def fits(segment):
+        size = F.size(segment["grams"])
+        return (size >= least) & (size <= most) & F.exists(segment["grams"], marked)
 
     def segments(kind, arrays):
         grams = F.transform(arrays, lambda words, i: F.struct(
             F.lit(kind).alias("segment"), i.alias("position"), _bigrams(words).alias("grams")))
-        return F.filter(grams, lambda s: (F.size(s["grams"]) >= least) & (F.size(s["grams"]) <= most))
+        return F.filter(grams, fits)
 
     # Paragraphs: fold lines into (closed paragraphs, lines and words of the open one).
     lines = F.col("lines")
@@ -231,24 +300,55 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     split = docs.select(F.col(id_col), _lines_of_words(
         F.coalesce(F.col(text_col), F.lit(""))).alias("lines"))
-    cut = split.select(id_col, F.concat(
+
+    def judged(found):
+        """Segments with their best template, where it is similar enough."""
+        scored = F.transform(found, lambda s: F.struct(
+            s["segment"].alias("segment"), s["position"].alias("position"), best(s).alias("best")))
+        return F.transform(F.filter(scored, lambda s: s["best"]["dice"] >= similarity), lambda s: F.struct(
+            s["segment"].alias("segment"), s["position"].alias("position"), s["best"]["name"].alias("name"),
+            (-s["best"]["first"]).alias("number"), s["best"]["dice"].alias("dice"), s["best"]["shared"].alias("shared")))
+
+    # A line is marked by its own bigrams and by the one across its end.
+    size = F.size("lines")
+    ends = F.transform("lines", lambda line, i: F.concat(
+        line, F.slice(F.coalesce(F.get("lines", i + 1), F.expr("array()").cast("array<string>")), 1, 1)))
+    cut = split.select(id_col, "lines", F.concat(
         segments("line", lines), segments("paragraph", paragraphs), segments("text", whole)
-    ).alias("segments"))
-    scored = cut.select(id_col, F.transform("segments", lambda s: F.struct(
-        s["segment"].alias("segment"), s["position"].alias("position"), best(s).alias("best")
-    )).alias("scored"))
-    return scored.select(id_col, F.transform(
-        F.filter("scored", lambda s: s["best"]["dice"] >= similarity),
-        lambda s: F.struct(
-            s["segment"].alias("segment"), s["position"].alias("position"),
-            s["best"]["name"].alias("name"), (-s["best"]["first"]).alias("number"),
-            s["best"]["dice"].alias("dice"))).alias("matches"))
+    ).alias("segments"), F.transform(ends, lambda line: F.exists(_bigrams(line), marked)).alias("marks"))
+
+    def windows_from(i):
+        longest = F.least(F.lit(WINDOW_LINES), size - i)
+        sizes = F.when(longest >= 2, F.sequence(F.lit(2), longest)).otherwise(F.expr("array()").cast("array<int>"))
+        runs = F.transform(sizes, lambda k: F.slice("lines", i + 1, k))
+        runs = F.filter(runs, lambda run: ~F.exists(run, lambda line: F.size(line) == 0))
+        return F.transform(runs, lambda run: F.struct(
+            F.lit("window").alias("segment"), i.alias("position"), _bigrams(F.flatten(run)).alias("grams")))
+
+    places = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), lambda i: F.exists(
+        F.slice("marks", i + 1, WINDOW_LINES), lambda m: m))
+    windows = F.when(F.exists("marks", lambda m: m), F.flatten(F.transform(places, windows_from))).otherwise(
+        F.expr("array()").cast("array<struct<segment:string,position:int,grams:array<bigint>>>"))
+    scored = cut.select(id_col, judged(F.col("segments")).alias("plain"),
+                        judged(F.filter(windows, fits)).alias("windows"))
+
+    def better(w):
+        """Better than all other segments of the licence, and the first of equally good windows."""
+        return ~F.exists("plain", lambda s: (s["name"] == w["name"]) & (s["dice"] >= w["dice"])) & ~F.exists(
+            "windows", lambda v: (v["name"] == w["name"]) & (F.struct(-v["dice"], v["position"], v["shared"], v["number"])
+                                                            < F.struct(-w["dice"], w["position"], w["shared"], w["number"])))
+
+    return scored.select(id_col, F.concat("plain", F.array_distinct(F.filter("windows", better))).alias("matches"))
 
 
 def summary(docs: DataFrame) -> DataFrame:
-    """Best licence of every document, its Dice coefficient and all names found."""
+    """The licence with most evidence in every document, its Dice coefficient, all names found.
+
+    Most evidence is the match that shares most bigrams with its template, then the most
+    similar one, then the template listed first: a whole licence tells more than a sentence.
+    """
     top = F.array_max(F.transform("matches", lambda m: F.struct(
-        m["dice"].alias("dice"), (-m["number"]).alias("first"), m["name"].alias("name"))))
+        m["shared"].alias("shared"), m["dice"].alias("dice"), (-m["number"]).alias("first"), m["name"].alias("name"))))
     names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["name"])))
     return scan(docs).select(
         "doc_id", F.size("matches").cast("long").alias("n_matches"),

@@ -9,34 +9,23 @@ HOST_RULES = [
     ("block", "net/fr/"),
 ]
 
-# Pages without prose, by any part of the URL; ``*`` stands for anything.
+# Pages without prose, by any part of the URL; ``*`` stands for anything, ``|`` for the edge
+# of a word.
 WILDCARD_RULES = [
-    ("block", "/login/"),
-    ("block", "/signup/"),
-    ("block", "/cart/"),
-    ("block", "/checkout/"),
-    ("block", "/wp-admin/"),
-    ("block", "/ads/"),
+    *[("block", f"/{page}|") for page in ("login", "signup", "cart", "checkout", "wp-admin", "ads")],
     ("block", "?sessionid="),
     ("block", "&sessionid="),
     ("block", "/search?*q="),
     ("allow", "/search/help/"),
 ]
 
-# The same pages without a closing slash. ``/cart`` and ``/ads`` also begin other words, so
-# they need a sign behind them; at the very end of a URL they are not told from those.
-WILDCARD_RULES += [("block", page) for page in ("/login", "/signup", "/checkout", "/wp-admin")]
-WILDCARD_RULES += [("block", page + end) for page in ("/cart", "/ads") for end in ("?", "#", ".php", ".html")]
-
 # Spam and advertising, by whole words of a host's labels.
 SPAM_WORDS = ["adult", "casino", "bets", "pills", "porn", "viagra", "ads"]
 WILDCARD_RULES += [
     ("block", begin + word + end)
     for word in SPAM_WORDS for begin, end in [("://", "-"), ("://", "."), (".", "-"), (".", "."), ("-", ".")]]
-WILDCARD_RULES += [
-    ("block", "spam-farm"), ("block", "link-farm"),
-    ("allow", "adult-education"), ("allow", "adult-learning"), ("allow", "adult-literacy"),
-]
+WILDCARD_RULES += [("block", f"|{words}|") for words in ("spam-farm", "link-farm")]
+WILDCARD_RULES += [("allow", f"|{words}|") for words in ("adult-education", "adult-learning", "adult-literacy")]
 
 # A document is kept from this score on.
 QUALITY_CUT = 0.3

@@ -9,19 +9,29 @@ def _text(value):
     return "'" + value.replace("'", "''") + "'"
 
 
+def _pattern(rule):
+    """The signs of a wildcard rule as a regular expression."""
+    signs = {"*": "(?s:.*)", "|": "(^|[^A-Za-z0-9]|$)"}
+    return "".join(signs.get(c, c if c.isalnum() else "\\" + c) for c in rule)
+
+
 def url_filter():
     hosts = ", ".join(
         f"({_text(p)}, {_text(a)}, {_text(p.partition('/')[0])}, {_text('/' + p.partition('/')[2])})"
         for a, p in parameters.HOST_RULES)
     anywhere = ", ".join(
-        f"({_text(p)}, {_text(a)}, {_text('%' + p.replace('*', '%') + '%')}, {i})"
+        f"({_text(p)}, {_text(a)}, {_text(_pattern(p))}, {i})"
         for i, (a, p) in enumerate(parameters.WILDCARD_RULES))
     return f"""
     WITH parts AS (
         SELECT page_id, url,
                coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_UP}, {_LOW}), '') AS host,
-               coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+               coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+               coalesce(regexp_extract(url, '(?s)^(.*?://)', 1), '') AS scheme
         FROM pages),
+    whole AS (
+        SELECT page_id, CASE WHEN scheme = '' THEN coalesce(url, '')
+               ELSE scheme || host || substr(url, length(scheme) + length(host) + 1) END AS target FROM parts),
     hosts(rule, action, suffix, prefix) AS (VALUES {hosts}),
     anywhere(rule, action, pattern, number) AS (VALUES {anywhere}),
     best_host AS (
@@ -29,16 +39,18 @@ def url_filter():
         FROM parts JOIN hosts ON (host = suffix OR ends_with(host, '.' || suffix)) AND starts_with(path, prefix)
         GROUP BY page_id),
     best_anywhere AS (
-        SELECT page_id, arg_max(action, length(rule) * 1000 + (action = 'block')::INT * 500 - number) AS action
-        FROM parts JOIN anywhere ON url LIKE pattern GROUP BY page_id)
-    SELECT page_id, host, path, h.rule, coalesce(h.action, a.action, 'allow') AS verdict
+        SELECT page_id, arg_max(action, length(rule) * 1000 + (action = 'block')::INT * 500 - number) AS action,
+               arg_max(rule, length(rule) * 1000 + (action = 'block')::INT * 500 - number) AS rule
+        FROM whole JOIN anywhere ON regexp_matches(target, pattern) GROUP BY page_id)
+    SELECT page_id, host, path, h.rule, coalesce(h.action, a.action, 'allow') AS verdict,
+           coalesce(h.rule, a.rule) AS decided_by
     FROM parts LEFT JOIN best_host h USING (page_id) LEFT JOIN best_anywhere a USING (page_id)"""
 
 
 def line_dedup():
     return f"""
     WITH split AS (
-        SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents),
+        SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
     totals AS (SELECT source, count(*) AS total FROM split WHERE source IS NOT NULL GROUP BY source),
     counted AS (
         SELECT source, line, count(*) AS pages
@@ -50,12 +62,13 @@ def line_dedup():
         SELECT source, list(line) AS bad FROM counted JOIN totals USING (source)
         WHERE pages >= {lines.LEAST_PAGES} AND pages * 100 > total * {lines.PERCENT} GROUP BY source),
     cut AS (
-        SELECT doc_id, lines, CASE WHEN bad IS NULL THEN lines ELSE list_filter(
+        SELECT doc_id, source, text, lines, CASE WHEN bad IS NULL THEN lines ELSE list_filter(
             lines, lambda x: NOT list_contains(bad, trim(x, ' ' || chr(9) || chr(13)))) END AS kept
         FROM split LEFT JOIN bad USING (source)),
     final AS (
         SELECT doc_id, lines, CASE WHEN len(list_filter(
-            kept, lambda x: trim(x, ' ' || chr(9) || chr(13)) <> '')) > 0 THEN kept ELSE lines END AS kept
+            kept, lambda x: trim(x, ' ' || chr(9) || chr(13)) <> '')) = 0
+            AND count(*) OVER (PARTITION BY source, text) > 1 THEN lines ELSE kept END AS kept
         FROM cut)
     SELECT doc_id, array_to_string(kept, chr(10)) AS text, coalesce(len(lines), 0)::BIGINT AS n_lines,
            coalesce(len(lines) - len(kept), 0)::BIGINT AS n_dropped
@@ -86,28 +99,50 @@ def license_scan():
     grouped AS (
         SELECT *, sum((len(w) = 0)::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS block,
                max((len(w) = 0)::INT) OVER (PARTITION BY doc_id) AS has_blank FROM worded),
+    blocks AS (
+        SELECT doc_id, min(pos) AS pos, list(w ORDER BY pos) AS ws FROM grouped WHERE len(w) > 0 GROUP BY doc_id, block),
+    starts AS (SELECT doc_id, pos, ws, unnest(range(len(ws))) AS i FROM blocks),
+    windows AS (
+        SELECT doc_id, pos + i AS pos, flatten(ws[i + 1:i + k]) AS w
+        FROM (SELECT *, unnest(range(2, least({licenses.WINDOW_LINES}, len(ws) - i) + 1)) AS k FROM starts)),
     segments AS (
-        SELECT doc_id, w FROM grouped
+        SELECT doc_id, 0 AS pos, false AS is_window, w FROM grouped
         UNION ALL
-        SELECT doc_id, flatten(list(w ORDER BY pos)) FROM grouped WHERE len(w) > 0
+        SELECT doc_id, 0, false, flatten(list(w ORDER BY pos)) FROM grouped WHERE len(w) > 0
         GROUP BY doc_id, block HAVING count(*) >= 2
         UNION ALL
-        SELECT doc_id, flatten(list(w ORDER BY pos)) FROM grouped WHERE has_blank = 1 GROUP BY doc_id),
-    sets AS (SELECT doc_id, row_number() OVER () AS seg, {grams('w')} AS grams FROM segments WHERE len(w) >= 2),
+        SELECT doc_id, 0, false, flatten(list(w ORDER BY pos)) FROM grouped WHERE has_blank = 1 GROUP BY doc_id
+        UNION ALL
+        SELECT doc_id, pos, true, w FROM windows),
     bounds AS (SELECT min(len(grams)) AS least, max(len(grams)) AS most FROM templates),
+    sets AS (
+        SELECT doc_id, pos, is_window, row_number() OVER () AS seg, grams, len(grams) AS size
+        FROM (SELECT *, {grams('w')} AS grams FROM segments WHERE len(w) >= 2), bounds
+        WHERE len(grams) BETWEEN least * {t / (2 - t)} AND most * {(2 - t) / t}),
+    of_template AS (SELECT name, number, len(grams) AS n, unnest(grams) AS gram FROM templates),
+    of_segment AS (SELECT seg, unnest(grams) AS gram FROM sets),
+    common AS (
+        SELECT seg, name, number, n, count(*) AS shared FROM of_segment JOIN of_template USING (gram)
+        GROUP BY seg, name, number, n),
     scored AS (
-        SELECT doc_id, seg, name, number,
-               2.0::DOUBLE * len(list_intersect(s.grams, t.grams)) / (len(s.grams) + len(t.grams)) AS dice
-        FROM (SELECT * FROM sets, bounds WHERE len(grams) BETWEEN least * {t / (2 - t)} AND most * {(2 - t) / t}) s
-        JOIN templates t ON len(list_intersect(s.grams, t.grams)) > 0),
+        SELECT doc_id, pos, is_window, seg, name, number, shared, 2.0::DOUBLE * shared / (size + n) AS dice
+        FROM common JOIN sets USING (seg)),
     best AS (
-        SELECT doc_id, seg, max(dice) AS dice, arg_max(name, dice * 1e6 - number * 1e-3) AS name,
-               arg_max(number, dice * 1e6 - number * 1e-3) AS number
-        FROM scored WHERE dice >= {t} GROUP BY doc_id, seg),
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY dice DESC, number) AS place
+                       FROM scored WHERE dice >= {t}) WHERE place = 1),
+    kept AS (
+        SELECT doc_id, name, number, shared, dice FROM best WHERE NOT is_window
+        UNION ALL
+        SELECT doc_id, name, number, shared, dice FROM (
+            SELECT *, row_number() OVER (PARTITION BY doc_id, name ORDER BY dice DESC, pos, shared, number) AS rank
+            FROM best WHERE is_window) w
+        WHERE rank = 1 AND dice > coalesce((
+            SELECT max(dice) FROM best p WHERE NOT p.is_window AND p.doc_id = w.doc_id AND p.name = w.name), 0)),
     found AS (
-        SELECT doc_id, count(*) AS n_matches, arg_max(name, dice * 1e6 - number * 1e-3) AS license,
-               max(dice) AS dice, array_to_string(list_sort(list_distinct(list(name))), ',') AS licenses
-        FROM best GROUP BY doc_id)
+        SELECT doc_id, count(*) AS n_matches, first(name ORDER BY shared DESC, dice DESC, number) AS license,
+               first(dice ORDER BY shared DESC, dice DESC, number) AS dice,
+               array_to_string(list_sort(list_distinct(list(name))), ',') AS licenses
+        FROM kept GROUP BY doc_id)
     SELECT doc_id, coalesce(n_matches, 0)::BIGINT AS n_matches, license, dice, coalesce(licenses, '') AS licenses
     FROM documents LEFT JOIN found USING (doc_id)"""
 

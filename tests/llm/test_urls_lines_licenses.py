@@ -55,9 +55,30 @@ def test_rules_outside_the_contract_change_verdicts(spark):
         "https://www.cheap-pills.example.org/en/3": "block", "https://adult-education.example.org/a": "allow",
         "http://x.org/login": "block", "http://x.org/login?next=1": "block", "http://x.org/cart#top": "block",
         "http://x.org/cart?id=3": "block", "http://x.org/cartoons/1": "allow", "http://x.org/alphabets.html": "allow",
+        "http://x.org/cart": "block", "http://x.org/login2020-results": "allow", "http://x.org/loginova-tennis": "allow",
+        "http://Casino-Win.example.org/x": "block", "http://x.org/SPAM-FARM": "allow", "http://x.org/a-spam-farm": "block",
+        "http://x.org/signup": "block", "http://x.org/ads": "block", "/login": "block",
     }
     frame = spark.createDataFrame(list(enumerate(more)), "page_id long, url string")
-    assert {r.url: r.verdict for r in urls.judge(frame, rules).collect()} == more
+    for index_bytes in (1 << 20, 0):
+        got = {r.url: r for r in urls.judge(frame, rules, index_bytes=index_bytes).collect()}
+        assert {u: r.verdict for u, r in got.items()} == more
+    assert got["http://x.org/login"].decided_by == "/login|" and got["http://x.org/cartoons/1"].decided_by is None
+    assert got["https://adult-education.example.org/a"].decided_by == "|adult-education|"
+
+
+def test_every_rule_but_true_wildcards_has_a_token(spark):
+    frame = spark.createDataFrame([(["login"],), (["net"],)], "tokens array<string>")
+    filed = {r.rule: r.token for r in urls.rule_index(frame, RULES).collect()}
+    assert len(filed) == len(RULES) and [r for r, t in filed.items() if t == ""] == ["secret*door"]
+
+
+def test_only_words_of_rules_are_counted(spark, monkeypatch):
+    frame = spark.createDataFrame([(["net", "fr", f"other{i}"],) for i in range(50)], "tokens array<string>")
+    rules = [urls.host_rule("block", p) for p in ("net/fr/", "net/es/")]
+    for size in (urls.INDEX_BYTES, 0):
+        monkeypatch.setattr(urls, "INDEX_BYTES", size)
+        assert {r.rule: r.token for r in urls.rule_index(frame, rules).collect()} == {"net/fr/": "fr", "net/es/": "es"}
 
 
 def test_a_rule_is_filed_under_its_rarest_token(spark):
@@ -70,10 +91,12 @@ def test_a_rule_is_filed_under_its_rarest_token(spark):
 def test_lines(spark):
     rows = [(i, f"menu\nown text {i}\n\nfoot ", "big") for i in range(9)]
     rows += [(20, "menu\nfoot\n", "big"), (21, None, "big"), (22, "", "big"), (23, "menu\nmenu\nelse", "big"),
-             (24, "menu\nx", "small"), (25, "menu\ny", None), (0, "menu\nown text 0\n\nfoot ", "big")]
+             (24, "menu\nx", "small"), (25, "menu\ny", None), (30, "foot\nmenu", "big"), (31, "foot\nmenu", "big"),
+             (32, "foot\nmenu", "small"), (33, "z" * 100_000 + "\nmenu", "big"), (0, "menu\nown text 0\n\nfoot ", "big")]
     got = {(r.doc_id, r.source): r for r in lines.dedup(docs(spark, rows), percent=30).collect()}
     assert got[3, "big"].text == "own text 3\n" and got[3, "big"].n_dropped == 2
-    assert got[20, "big"].text == "menu\nfoot\n" and got[20, "big"].n_dropped == 0  # would be empty
+    assert got[20, "big"].text == "" and got[20, "big"].n_dropped == 2  # boilerplate only
+    assert got[30, "big"].text == got[31, "big"].text == "foot\nmenu" and got[30, "big"].n_dropped == 0  # a repeated page
     assert got[21, "big"].text is None and got[21, "big"].n_lines == 0
     assert got[22, "big"].text == ""
     assert got[23, "big"].text == "else" and got[23, "big"].n_dropped == 2
@@ -84,6 +107,14 @@ def test_lines(spark):
     assert lines.dedup(docs(spark, rows)).columns[:8] == docs(spark, rows).columns
 
 
+def test_cut_keeps_all_columns_whatever_their_names(spark):
+    frame = docs(spark, [(i, f"menu\n{i}") for i in range(9)]).withColumns(
+        {c: F.lit(5) for c in (*lines.COUNTS, "_text", "_at", "_kept", "host", "keys")})
+    made = lines.cut(frame)
+    assert made.columns == frame.columns and {r.n_lines for r in made.collect()} == {5}
+    assert {r.text for r in made.collect()} == {str(i) for i in range(9)}
+
+
 def test_lines_of_one_page_count_once(spark):
     rows = [(1, "\n".join(["again"] * 50)), *[(i, f"page {i}\nline {i}") for i in range(2, 12)]]
     assert lines.dedup(docs(spark, rows)).agg(F.sum("n_dropped")).first()[0] == 0
@@ -143,6 +174,42 @@ def test_each_license_has_its_own_wordings(spark):
     assert [got[i] for i in range(len(want))] == list(want.values())
 
 
+def test_the_right_license_of_a_family(spark):
+    terms, clauses, third, warranty = licenses._BSD_TERMS, licenses._BSD_CLAUSES, licenses._BSD_THIRD, licenses._BSD_WARRANTY
+    gpl = "Licensed under the GNU General\nPublic License, version 2."
+
+    def lined(text, n=11):
+        w = text.split()
+        return "\n".join("# " + " ".join(w[i:i + n]) for i in range(0, len(w), n))
+
+    want = {
+        terms: "BSD",
+        f"Copyright 2020 A B\n\n{terms}\n\n{clauses}\n\n{warranty}": "BSD-2-Clause",
+        f"Copyright 2020 A B\n\n{terms}\n\n{clauses}\n\n3. {third}\n\n{warranty}": "BSD-3-Clause",
+        "Licensed under Creative Commons Attribution 3.0": "CC-BY-3.0",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+        f"{gpl}\nint main() {{ return 0; }}\nint other(int a) {{ return a + 1; }}\n" * 2: "GPL-2.0",
+        f"import os\n{lined(licenses.TEMPLATES['Apache-2.0'][1])}\nimport sys\nprint(sys.path, os.name, 'and more')": "Apache-2.0",
+        f"{lined(licenses.TEMPLATES['MIT'][2])}\nclass A: pass": "MIT",
+        "Copyright line\n\n" + licenses.TEMPLATES["MIT"][2] + "\n\n" + licenses._NOTICE + "\n\n" + licenses._MIT_WARRANTY: "MIT",
+    }
+    rows = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.summary(rows).collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+
+
+def test_a_window_counts_once_and_only_where_it_is_best(spark):
+    notice = ["alpha beta gamma delta epsilon", "zeta eta theta iota kappa", "lam mu nu xi omicron"]
+    text = "\n".join(["int x", *notice, "int y", "", *notice, "", "int z", *notice])
+    templates = {"T": [" ".join(notice)], "U": ["alpha beta gamma delta epsilon"], "V": ["alpha beta gamma delta epsilon"]}
+    got = licenses.scan(docs(spark, [(1, text), (2, "\n".join(["int x", *notice, "int y"]))]), templates=templates).collect()
+    found = {r.doc_id: sorted((m["segment"], m["position"], m["name"], m["dice"]) for m in r.matches) for r in got}
+    # The paragraph is as good as any window; the lines tie, so the template listed first names them.
+    assert found[1] == [("line", 1, "U", 1.0), ("line", 6, "U", 1.0), ("line", 11, "U", 1.0), ("paragraph", 0, "T", 0.875),
+                        ("paragraph", 1, "T", 1.0), ("paragraph", 2, "T", found[1][5][3])]
+    assert found[2] == [("line", 1, "U", 1.0), ("paragraph", 0, "T", 0.875), ("window", 1, "T", 1.0)]
+
+
 def test_license_bounds_lose_nothing(spark):
     template = {"T": ["a b c d e f g h i j"]}
     texts = [" ".join("abcdefghij"[:n]) for n in range(1, 11)] + ["a b c d e f g h i j " + "k l m n o p"[:2 * n] for n in range(6)]
