@@ -73,6 +73,34 @@ def test_a_substitution_within_every_eight_words(spark):
     assert got == {1: True, 2: False, 3: False}
 
 
+def test_short_items_are_found_as_whole_runs(spark, monkeypatch):
+    items = [(1, "Quick brown fox"), (2, "brown"), (3, "one two three four five six seven"), (4, "a b a b"), (5, "..."),
+             (6, prose(3, 30, 5000))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "the quick, BROWN fox!"), (2, "quick fox brown"), (3, "one two three four five six and seven"),
+            (4, "x one two three four five six seven"), (5, "b a b a b a"), (6, "a a b b a"), (7, None), (8, ""), (9, "..."),
+            (10, items[5][1]), (None, "brown"), (1, "the quick, BROWN fox!")]
+    for limit in (c.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(c, "BROADCAST_BYTES", limit)
+        got = [(r.doc_id, r["items"], r.words) for r in c.flagged(docs(spark, rows), benchmark).collect()]
+        assert sorted(got, key=str) == sorted([
+            (1, "1,2", 3), (2, "2", 1), (3, "", 0), (4, "3", 7), (5, "4", 4), (6, "", 0), (7, "", 0), (8, "", 0), (9, "", 0),
+            (10, "6", 30), (None, "2", 1), (1, "1,2", 3)], key=str)
+
+
+def test_an_item_is_aligned_alike_whatever_the_others(spark):
+    """A long item does not change how a short one is found."""
+    short, long = prose(4, 30, 5000), " ".join(f"t{i}" for i in range(400))
+    rows = [(1, "a " + short), (2, "so " + long), (3, " ".join(short.split()[:15])), (4, prose(5, 90))]
+
+    def found(items):
+        benchmark = spark.createDataFrame(items, "item_id long, text string")
+        return {r.doc_id: (r["items"], r.words) for r in c.flagged(docs(spark, rows), benchmark).collect()}
+
+    alone, both = found([(1, short)]), found([(1, short), (2, long)])
+    assert both[2] == ("2", 400) and {k: v for k, v in both.items() if k != 2} == {k: v for k, v in alone.items() if k != 2}
+
+
 def test_shuffled_seeds_give_the_same(spark, monkeypatch):
     item = prose(3, 30, 5000)
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from llm_rows import docs, prose
 
@@ -78,6 +79,23 @@ def test_large_nodes(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_recall_at_the_deepest_level():
+    """Of pairs of similarity 0.8 that are parted in all trees before LEVELS are done."""
+    rng = np.random.default_rng(8)
+    pairs = 40_000
+    a = rng.integers(0, 2**32, (pairs, neardup.COORDINATES), np.uint32)
+    b = np.where(rng.random(a.shape) < 0.8, a, rng.integers(0, 2**32, a.shape, np.uint32))
+    levels, trees = neardup.LEVELS, neardup.TREES
+    together = (neardup._paths(a, levels, trees)[:, :, -1] == neardup._paths(b, levels, trees)[:, :, -1]).any(1)
+    agreeing = (a == b).sum(1) >= neardup.AGREEING
+    assert together.mean() >= 0.999 and (together & agreeing).mean() >= 0.999
+
+
+def test_lower_similarities_are_refused(spark):
+    with pytest.raises(ValueError, match="80"):
+        neardup.groups(docs(spark, [(1, "a b")]), percent=70)
+
+
 def test_blocks_compare_all_of_a_node(spark):
     rows = spark.createDataFrame([(7, i, i) for i in range(40)], "node long, rep long, label long")
     cut = [(r.node, r.part, r.rep, r.label) for r in neardup._blocks(rows, 4).collect()]

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES)
 
 
@@ -57,3 +57,48 @@ def test_leaks_go(stages, spark):
 
 def test_run_equals_the_stages(stages, spark):
     assert sorted(map(tuple, pipeline.run(spark, SF).collect())) == sorted(map(tuple, stages[-1].collect()))
+
+
+ODD_COLUMNS = ["n_lines", "n_dropped", "hash", "score", "label", "row", "key", "_doc", "_row", "_text", "id", "words"]
+
+
+def odd_documents(spark):
+    long = "long text of many words " * 8_000
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "Some words of a plain text here."), (4, "Some words of a plain text here."),
+            (5, long), (6, "One more text, with enough words to be told from others."), (None, "a text without an id"), (7, "x")]
+    rows = [(i, t, "en", None if i == 6 else "s", None if t is None else len(t), *[i] * len(ODD_COLUMNS)) for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, "
+    return spark.createDataFrame(rows, schema + ", ".join(f"{c} long" for c in ODD_COLUMNS))
+
+
+def texts_of(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
+def test_odd_documents_go_through_every_stage(spark):
+    """Nulls, empty and long texts, repeated rows and clashing columns: stage by stage what stays."""
+    docs = odd_documents(spark)
+    every = texts_of(docs)
+    for name, function in pipeline.STAGES[:-1]:
+        made = function(spark, docs, SF)
+        assert made.columns == docs.columns and made.dtypes == docs.dtypes, name
+        want = every
+        if name == "near_dedup":  # rows of one id are one document
+            want = [x for k, x in enumerate(every) if x not in every[:k]]
+        assert texts_of(made) == want, name
+    made = pipeline.STAGES[-1][1](spark, docs, SF)
+    assert made.count() == docs.count()
+    assert sorted(r.n_tokens for r in made.where("doc_id IN (1, 2)").collect()) == [0, 0]
+
+
+def test_stages_take_an_empty_table(spark):
+    docs = odd_documents(spark).limit(0)
+    for _, function in pipeline.STAGES:
+        assert function(spark, docs, SF).count() == 0
+
+
+def test_values_of_clashing_columns_stay(spark):
+    docs = odd_documents(spark)
+    for name, function in pipeline.STAGES[:-1]:
+        made = function(spark, docs, SF).where("doc_id IS NOT NULL")
+        assert all(made.where(f"`{c}` <> doc_id").count() == 0 for c in ("n_lines", "_doc", "_row", "key")), name

@@ -70,6 +70,107 @@ def test_sample_bounds(spark):
     assert quality._sample(texts, labels, 100, 40).count() <= 10
 
 
+def test_one_long_text_costs_only_itself(spark):
+    rows = [(i, "abcd") for i in range(50)] + [(100 + i, "x" * 500) for i in range(5)]
+    labels = spark.createDataFrame([(str(i), 1) for i, _ in rows], "id string, label int")
+    texts = docs(spark, rows).selectExpr("cast(doc_id as string) id", "text")
+    picked = {r.id for r in quality._sample(texts, labels, 100, 300).collect()}
+    assert picked == {str(i) for i in range(50)}
+
+
+def test_weights_do_not_depend_on_ids(spark):
+    rows = [(i, bad(i) if i % 4 == 0 else good(i)) for i in range(60)]
+    labels = [(i, int(i % 4 != 0)) for i in range(60)]
+
+    def weights(shift):
+        return quality.fit(docs(spark, [(i * shift + 7, t) for i, t in rows]),
+                           spark.createDataFrame([(i * shift + 7, q) for i, q in labels], "doc_id long, quality int"))
+
+    assert np.array_equal(weights(1), weights(-13))
+
+
+U64 = np.uint64
+
+
+def plain_features(text, bits=quality.BITS):
+    """number -> value of one text, word by word."""
+    def mixed(x):
+        return int(arrow.mix(np.array([x], np.uint64) if isinstance(x, int) else x)[0])
+
+    def shape(byte):
+        if byte in b" \t\n\x0b\x0c\r":
+            return 0
+        return 1 if 97 <= byte <= 122 or byte >= 128 else 2 if 65 <= byte <= 90 else 3 if 48 <= byte <= 57 else 4
+
+    top = 2**64
+    words = text.encode().split()
+    hashes = [int(arrow.words(np.array([0, len(w)]), np.frombuffer(w, np.uint8))[0][0]) for w in words]
+    shapes = []
+    for w in words:
+        out = shape(w[0])
+        for back in range(quality._SHAPE_WORD):
+            out = (out * 5 + shape(w[max(len(w) - 1 - back, 0)])) % top
+        out = (out * 256 + (w[-1] if shape(w[-1]) == 4 else 0)) % top
+        shapes.append(mixed(out) >> 44)
+    counts = {}
+
+    def add(salt, value):
+        number = mixed((value + salt) % top) >> (64 - bits)
+        counts[number] = counts.get(number, 0) + 1
+
+    for k, (h, s) in enumerate(zip(hashes, shapes)):
+        add(0x11, h)
+        add(0x22, s)
+        if k + 1 < len(words):
+            again = int(h == hashes[k + 1])
+            add(0x33, (h * 0x9E3779B97F4A7C15 + hashes[k + 1]) % top)
+            add(0x44, (s * (1 << 20) + shapes[k + 1] * 2 + again) % top)
+            add(0x55, again)
+    values = {n: 1 + np.log(c) for n, c in counts.items()}
+    norm = sum(v * v for v in values.values()) ** 0.5
+    return {n: v / norm for n, v in values.items()}
+
+
+def test_features_equal_their_definition():
+    texts = ["Alpha beta beta!! 12.5", "", "ONE", "é É x\ty  z.", prose(3, 40), "a a a a"]
+    _, offsets, data = next(arrow.text_blocks(pa.array(texts)))
+    number, value, first = quality.features(offsets, data)
+    for r, text in enumerate(texts):
+        got = dict(zip(number[first[r]:first[r + 1]].tolist(), value[first[r]:first[r + 1]].tolist()))
+        want = plain_features(text)
+        assert got.keys() == want.keys() and all(np.isclose(got[n], want[n]) for n in want)
+
+
+def test_training_equals_plain_ftrl():
+    """Follow the regularised leader, feature by feature from the sums of gradients."""
+    texts = [good(i) if i % 3 else bad(i) for i in range(30)]
+    labels = np.array([int(i % 3 > 0) for i in range(30)])
+    _, offsets, data = next(arrow.text_blocks(pa.array(texts)))
+    number, value, first = quality.features(offsets, data)
+    got = quality.train_ftrl(number, value, first, labels, epochs=2)
+    z, n, bias = {}, {}, 1 << quality.BITS
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= quality.L1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return (sign * quality.L1 - z[i]) / ((quality.BETA + n[i] ** 0.5) / quality.ALPHA + quality.L2)
+
+    order = np.arange(30)
+    for epoch in range(2):
+        np.random.default_rng(epoch).shuffle(order)
+        for r in order:
+            x = plain_features(texts[r]) | {bias: 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + np.exp(-sum(w[i] * x[i] for i in x)))
+            for i in x:
+                g = (p - labels[r]) * x[i]
+                sigma = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / quality.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    assert np.allclose(got[list(z)], [weight(i) for i in z]) and np.count_nonzero(got) == sum(weight(i) != 0 for i in z)
+
+
 def test_features_do_not_depend_on_neighbours():
     texts = ["Alpha beta beta!!", "", "beta", "Alpha beta beta!!"]
     _, offsets, data = next(arrow.text_blocks(pa.array(texts)))
