@@ -74,7 +74,7 @@ def sketches(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
                     pa.array([x.tobytes() for x in least], pa.binary()),
                 ], names=["id", "n", "f1", "f2", "minwise"])
 
-    return frame.mapInArrow(run, "id long, n long, f1 long, f2 long, minwise binary")
+    return frame.mapInArrow(arrow.tidy(run), "id long, n long, f1 long, f2 long, minwise binary")
 
 
 def _paths(minwise, levels, trees):
@@ -96,7 +96,7 @@ def _minwise(column):
 
 
 def _nodes(classes: DataFrame, level: int, trees: int) -> DataFrame:
-    """(node, parent, rep, label): the node of every class in every tree after ``level`` levels.
+    """(node, parent, tree, rep, label): the node of every class in every tree after ``level`` levels.
 
     Computed anew for each level, which costs far less than to store or move all paths.
     """
@@ -106,31 +106,37 @@ def _nodes(classes: DataFrame, level: int, trees: int) -> DataFrame:
             parent = paths[:, :, max(level - 2, 0)].ravel()  # at the first level nobody asks for it
             yield pa.RecordBatch.from_arrays(
                 [pa.array(paths[:, :, -1].ravel().view(np.int64)), pa.array(parent.view(np.int64)),
+                 pa.array(np.tile(np.arange(trees, dtype=np.int32), batch.num_rows)),
                  *[pa.array(np.repeat(batch.column(c).to_numpy(), trees)) for c in range(2)]],
-                names=["node", "parent", "rep", "label"])
+                names=["node", "parent", "tree", "rep", "label"])
 
     return classes.select("rep", "label", "minwise").mapInArrow(
-        run, "node long, parent long, rep long, label long")
+        arrow.tidy(run), "node long, parent long, tree int, rep long, label long")
 
 
-def _with_short(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows by ``rep`` plus ``short``: a byte per coordinate, for comparing."""
+def _with_short(rows: DataFrame, classes: DataFrame, trees: int, levels: int) -> DataFrame:
+    """Rows by ``rep`` plus ``short``, a byte per coordinate, and ``last``, four per tree that
+    stand for the class's node after ``levels`` levels: for comparing."""
     def run(batches):
         for batch in batches:
-            short = _minwise(batch.column(1)).astype(np.uint8)
+            minwise = _minwise(batch.column(1))
+            short = minwise.astype(np.uint8)
+            last = (_paths(minwise, levels, trees)[:, :, -1] >> _U64(32)).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x.tobytes() for x in short], pa.binary())],
-                names=["of", "short"])
+                [batch.column(0), *[pa.array([x.tobytes() for x in y], pa.binary()) for y in (short, last)]],
+                names=["of", "short", "last"])
 
-    bytes_of = classes.select("rep", "minwise").mapInArrow(run, "of long, short binary")
+    bytes_of = classes.select("rep", "minwise").mapInArrow(arrow.tidy(run), "of long, short binary, last binary")
     return rows.join(bytes_of, F.col("rep") == F.col("of")).drop("of")
 
 
 def _compare(rows: DataFrame) -> DataFrame:
     """Distinct (a, b) of different labels that agree in AGREEING coordinates, within nodes.
 
-    ``rows``: (node, part, rep, label, short). Rows of a node lie together in one task;
-    members of parts other than -1 are compared with those of another part only.
+    ``rows``: (node, part, tree, rep, label, short, last). Rows of a node lie together in one
+    task; members of parts other than -1 are compared with those of another part only. A
+    pair whose members end in one node of an earlier tree was compared there, at some level,
+    and is left out.
     """
     def run(batches):
         left = None
@@ -146,8 +152,10 @@ def _compare(rows: DataFrame) -> DataFrame:
             yield _candidates(left)
 
     def _candidates(batch):
-        node, part, rep, label = (batch.column(c).to_numpy() for c in range(4))
-        short = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        node, part, tree, rep, label = (batch.column(c).to_numpy() for c in range(5))
+        short = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        last = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint32).reshape(len(node), -1)
+        ranks = np.arange(last.shape[1])
         starts = np.concatenate([[0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)]])
         sizes = np.diff(starts)
         found_a, found_b = [], []
@@ -161,6 +169,8 @@ def _compare(rows: DataFrame) -> DataFrame:
                 some = at[low:low + (1 << 16)]
                 agree = (short[some] == short[some + shift]).sum(1)
                 some = some[agree >= AGREEING]
+                earlier = (last[some] == last[some + shift]) & (ranks < tree[some][:, None])
+                some = some[~earlier.any(1)]
                 found_a.append(rep[some])
                 found_b.append(rep[some + shift])
         a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
@@ -168,8 +178,8 @@ def _compare(rows: DataFrame) -> DataFrame:
         pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
         return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    dealt = rows.select("node", "part", "rep", "label", "short").repartition("node")
-    return dealt.sortWithinPartitions("node").mapInArrow(run, "a long, b long").distinct()
+    dealt = rows.select("node", "part", "tree", "rep", "label", "short", "last").repartition("node")
+    return dealt.sortWithinPartitions("node").mapInArrow(arrow.tidy(run), "a long, b long").distinct()
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -190,7 +200,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_
     if wanted.count() * 16 <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
     return stage.table(
-        texts.join(wanted, "rep", "left_semi").mapInArrow(run, "rep long, set array<long>"), "sets")
+        texts.join(wanted, "rep", "left_semi").mapInArrow(arrow.tidy(run), "rep long, set array<long>"), "sets")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -302,11 +312,11 @@ def _candidate_pairs(labelled: DataFrame, trees: int, levels: int, small: int):
             held = parts.join(nodes, F.col("node") == F.col("at")).select(
                 F.col("node").alias("in"), F.col("label").alias("of"))
             return rows.join(held, (F.col("node") == F.col("in")) & (F.col("label") == F.col("of"))).select(
-                "node", "rep", "label")
+                "node", "tree", "rep", "label")
 
         few = members(sized.where(F.col("n") <= small).select("at"))
-        few = few.select("node", F.lit(-1).alias("part"), "rep", "label")
-        pairs.append(stage.table(_compare(_with_short(few, labelled)), "candidates"))
+        few = few.select("node", F.lit(-1).alias("part"), "tree", "rep", "label")
+        pairs.append(stage.table(_compare(_with_short(few, labelled, trees, levels)), "candidates"))
         large = sized.where(F.col("n") > small).select("at", F.lit(None).cast("long").alias("core"))
         if large.isEmpty():
             return pairs, near
@@ -323,8 +333,8 @@ def _candidate_pairs(labelled: DataFrame, trees: int, levels: int, small: int):
         F.col("core").isNull() | (F.col("label") != F.col("core"))).select(
         F.col("node").alias("in"), F.col("label").alias("of"))
     rest = rows.join(left, (F.col("node") == F.col("in")) & (F.col("label") == F.col("of"))).select(
-        "node", "rep", "label")
-    pairs.append(stage.table(_compare(_with_short(_blocks(rest, small), labelled)), "candidates"))
+        "node", "tree", "rep", "label")
+    pairs.append(stage.table(_compare(_with_short(_blocks(rest, small), labelled, trees, levels)), "candidates"))
     return pairs, near
 
 
@@ -338,7 +348,7 @@ def _blocks(rows: DataFrame, small: int) -> DataFrame:
     low, high = F.least("own", "other"), F.greatest("own", "other")
     return met.select(
         F.xxhash64("node", low, high).alias("node"),
-        F.when(low == high, F.lit(-1)).otherwise(F.col("own")).alias("part"), "rep", "label")
+        F.when(low == high, F.lit(-1)).otherwise(F.col("own")).alias("part"), "tree", "rep", "label")
 
 
 def _all(tables: list) -> DataFrame:

@@ -91,13 +91,28 @@ def test_recall_at_the_deepest_level():
     assert together.mean() >= 0.999 and (together & agreeing).mean() >= 0.999
 
 
+def test_a_pair_is_compared_in_one_tree_of_those_it_ends_together_in(spark):
+    rng = np.random.default_rng(1)
+    minwise = rng.integers(0, 2**32, (6, neardup.COORDINATES), np.uint32)
+    minwise[1:4] = minwise[0]
+    minwise[3, ::5] += 1
+    classes = spark.createDataFrame([(i, i, bytearray(x.tobytes())) for i, x in enumerate(minwise)],
+                                    "rep long, label long, minwise binary")
+    rows = neardup._nodes(classes, 2, 8).selectExpr("node", "-1 AS part", "tree", "rep", "label")
+    made = neardup._with_short(rows, classes, 8, 4)
+    pairs = {tuple(r) for r in neardup._compare(made).collect()}
+    assert {(1, 0), (2, 0), (2, 1)} <= pairs <= {(1, 0), (2, 0), (2, 1), (3, 0), (3, 1), (3, 2)}
+    later = made.where("tree > 0")
+    assert neardup._compare(later.where("rep IN (0, 1)")).count() == 0
+
+
 def test_lower_similarities_are_refused(spark):
     with pytest.raises(ValueError, match="80"):
         neardup.groups(docs(spark, [(1, "a b")]), percent=70)
 
 
 def test_blocks_compare_all_of_a_node(spark):
-    rows = spark.createDataFrame([(7, i, i) for i in range(40)], "node long, rep long, label long")
+    rows = spark.createDataFrame([(7, 0, i, i) for i in range(40)], "node long, tree int, rep long, label long")
     cut = [(r.node, r.part, r.rep, r.label) for r in neardup._blocks(rows, 4).collect()]
     met = {(min(x[2], y[2]), max(x[2], y[2])) for x in cut for y in cut
            if x[0] == y[0] and x[3] != y[3] and (x[1] < 0 or x[1] != y[1])}
