@@ -412,7 +412,7 @@ def _mapped(docs, tokenizer_a, model_b, id_col, text_col, schema, columns_of):
                 made = {"id": batch.column(0).slice(low, len(part)), **columns(part)}
                 yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
 
-    return frame.mapInArrow(run, f"id {kind}, {schema}")
+    return frame.mapInArrow(arrow.tidy(run), f"id {kind}, {schema}")
 
 
 def alignments(docs: DataFrame, tokenizer_a: str, model_b: str, id_col: str = "doc_id",

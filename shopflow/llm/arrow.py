@@ -5,6 +5,8 @@ touch ASCII bytes, so working on UTF-8 bytes equals working on characters. Hashe
 on nothing but the word, so they agree between tasks, runs and machines.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -36,6 +38,25 @@ _powers = {}
 keepers = []
 
 
+def release() -> None:
+    """Give freed memory of this worker back to the system; idle workers keep the rest."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
+def tidy(run):
+    """A function over batches that gives its memory back when a task is done."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
 def _power_table(n):
     """P**0 .. P**(n-1) and the same of the inverse, kept for the longest block so far."""
     if len(_powers.get("p", ())) < n:

@@ -311,7 +311,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
             coder.clear()
 
     schema = f"id {kind}, n_tokens long, ids binary" + ", decoded binary" * with_decoded
-    return frame.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return frame.mapInArrow(arrow.tidy(run), schema).withColumnRenamed("id", id_col)
 
 
 def _blocks(texts):
@@ -345,7 +345,7 @@ def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.binary())], names=["id", "decoded"])
 
-    return frame.mapInArrow(run, f"id {kind}, decoded binary").withColumnRenamed("id", id_col)
+    return frame.mapInArrow(arrow.tidy(run), f"id {kind}, decoded binary").withColumnRenamed("id", id_col)
 
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:

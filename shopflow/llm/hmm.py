@@ -52,7 +52,7 @@ def _count_words(texts: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array(word.view(np.int64)), pa.array(n, pa.int64())], names=["word", "n"])
 
-    parts = texts.mapInArrow(run, "word long, n long")
+    parts = texts.mapInArrow(arrow.tidy(run), "word long, n long")
     return parts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -148,7 +148,7 @@ def _encode(rows: DataFrame, shared) -> DataFrame:
                           "log_share", "words", "times"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, (
+    return rows.mapInArrow(arrow.tidy(run), (
         f"key long, id {kind}, held_out boolean, classes binary, n_tokens long, known long, "
         "log_n double, log_share double, words array<long>, times array<int>"))
 
@@ -303,7 +303,7 @@ def train(encoded: DataFrame, class_n, rounds: int = ROUNDS, states: int = STATE
                        for low in range(0, len(pieces), PIECES))
 
         sums = np.zeros(size)
-        for r in (encoded.select("classes").mapInArrow(run, "at int, n double")
+        for r in (encoded.select("classes").mapInArrow(arrow.tidy(run), "at int, n double")
                   .groupBy("at").agg(F.sum("n").alias("n")).collect()):
             sums[r["at"]] = r.n
         model = model.updated(sums)
@@ -377,7 +377,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
 
     scored = encoded.select(
         "key", "id", "held_out", "n_tokens", "known", "log_n", "log_share", "classes",
-    ).mapInArrow(run, (f"key long, id {kind}, held_out boolean, n_tokens long, known long, "
+    ).mapInArrow(arrow.tidy(run), (f"key long, id {kind}, held_out boolean, n_tokens long, known long, "
                        "log_n double, log_share double, log_classes double"))
     rest_sum = F.coalesce("rest", F.lit(0.0))
     return scored.join(rest, "key", "left").select(

@@ -219,7 +219,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
             scores = _scores(batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["id", "score"])
 
-    return frame.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return frame.mapInArrow(arrow.tidy(run), f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
 def accept(docs: DataFrame, weights: np.ndarray, cut: float, text_col: str = "text") -> DataFrame:
@@ -232,4 +232,4 @@ def accept(docs: DataFrame, weights: np.ndarray, cut: float, text_col: str = "te
             scores = _scores(batch.column(text), shared.value)
             yield batch.filter(pa.array(scores >= cut))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(arrow.tidy(run), docs.schema)

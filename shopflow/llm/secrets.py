@@ -17,6 +17,8 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from shopflow.llm import arrow
+
 # The base patterns and the kinds in their order.
 KINDS = ["assign", "access", "hex", "lexed"]
 ASSIGN = re.compile(
@@ -268,7 +270,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     [part.column(0), pa.array(spans, _SPANS)], names=["id", "spans"])
 
     schema = f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>"
-    return frame.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return frame.mapInArrow(arrow.tidy(run), schema).withColumnRenamed("id", id_col)
 
 
 def summary(docs: DataFrame) -> DataFrame:

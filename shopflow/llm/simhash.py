@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from shopflow.llm import arrow
 from shopflow.llm.components import components
 from shopflow.sources import stage
 
@@ -61,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column(0), pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())],
                 names=["id", "fp"])
 
-    return frame.mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
+    return frame.mapInArrow(arrow.tidy(run), f"id {kind}, fp long").withColumnRenamed("id", id_col)
 
 
 def _unary(x):
@@ -207,7 +208,7 @@ def near_links(classes: DataFrame) -> DataFrame:
     all pairs at DISTANCE or less do. Dense groups give a link per member, not per pair."""
     dealt = _dealt(classes)
     ordered = dealt.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    return ordered.mapInArrow(_find_links, "a long, b long").distinct()
+    return ordered.mapInArrow(arrow.tidy(_find_links), "a long, b long").distinct()
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -90,7 +90,7 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if counts:
             yield rows(counts)
 
-    return frame.mapInArrow(run, "word string, n long").groupBy("word").agg(
+    return frame.mapInArrow(arrow.tidy(run), "word string, n long").groupBy("word").agg(
         F.sum("n").alias("n")).where(F.col("n") >= FEWEST)
 
 
@@ -184,7 +184,7 @@ def _mapped(words: DataFrame, columns_of, schema: str) -> DataFrame:
                     held.append(word)
                     size += len(word)
 
-    return words.select("word").mapInArrow(run, schema)
+    return words.select("word").mapInArrow(arrow.tidy(run), schema)
 
 
 def _edge_table(words):
