@@ -5,14 +5,20 @@ a row c, |d(q, p) - d(c, p)| is a lower bound of d(q, c) for every pivot p; the
 bounds the inner product from above, as q.c = (|q|^2 + |c|^2 - d(q, c)^2) / 2. Rows are
 evaluated in the order of that bound until the bound falls below the k-th best score.
 
-Queries meet all rows block by block: a task holds one block of each, so it never grows
-with the tables, and only k rows per query and block go on.
+Rows lie in blocks by their two nearest pivots. The least and largest distance of a block to
+every pivot bound its best inner product in the same way. A query first meets the block of
+the highest bound, which gives a k-th best score to beat, and then only blocks whose bound
+reaches it. A task holds one block and some of the queries sent to it, so it never grows with
+the tables, and only k rows per query and block go on.
 """
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shopflow.llm import arrow
 from shopflow.sources import stage
 
 PIVOTS = 24
@@ -20,6 +26,7 @@ ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 16_384, 4_096
 LEAST_ROWS_PER_BLOCK = 2_048
 CHUNK = 256  # rows evaluated between two looks at the bound
 SCALE = 256
+STATISTICS_BYTES = 64 << 20  # of all blocks; with more, queries go to every block
 _SLACK = 1e-9  # for rounding of distances, as a share of the squared lengths
 
 
@@ -74,11 +81,11 @@ def with_pivots(vectors: DataFrame, pivots: int = PIVOTS) -> DataFrame:
 
     if not picked:
         return vectors.withColumn("d", F.array().cast("array<double>"))
-    return vectors.mapInArrow(run, "id long, v array<long>, d array<double>")
+    return vectors.mapInArrow(arrow.tidy(run), "id long, v array<long>, d array<double>")
 
 
 def best_of_block(query_ids, queries, query_d, ids, rows, row_d, k):
-    """(query, id, score) of the k best rows per query, ties to the smaller id; own id left out."""
+    """(number of the query, id, score) of its k best rows, ties to the smaller id; own id left out."""
     order = np.argsort(ids, kind="stable")
     ids, rows, row_d = ids[order], rows[order], row_d[order]
     exact = np.float64(np.abs(queries).max(initial=0)) * np.abs(rows).max(initial=0) * max(
@@ -87,7 +94,7 @@ def best_of_block(query_ids, queries, query_d, ids, rows, row_d, k):
     rows, queries = rows.astype(kind), queries.astype(kind)
     length = (rows.astype(np.float64)**2).sum(1)
     out = []
-    for at, q, d in zip(query_ids, queries, query_d):
+    for number, (at, q, d) in enumerate(zip(query_ids, queries, query_d)):
         own = (q.astype(np.float64)**2).sum()
         bound = np.abs(row_d - d).max(1, initial=0.0)
         total = own + length
@@ -105,51 +112,151 @@ def best_of_block(query_ids, queries, query_d, ids, rows, row_d, k):
             found = np.concatenate([best_id, ids[part]])
             top = np.lexsort((found, -score))[:k]
             best_score, best_id = score[top], found[top]
-        out.append((np.full(len(best_id), at), best_id, best_score.astype(np.int64)))
+        out.append((np.full(len(best_id), number), best_id, best_score.astype(np.int64)))
     return [np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out) if out else [[]] * 3)]
 
 
-def search(rows: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
-           vector_col: str = "embedding", scale: int = SCALE, pivots: int = PIVOTS) -> DataFrame:
-    """``query_id``, ``rank`` (from 1), ``id_col`` and ``score`` of every query's k best rows.
+class Blocks:
+    """Numbers of blocks, and per block its ranges of pivot distances and longest row."""
+
+    def __init__(self, block, low, high, length):
+        self.block, self.low, self.high, self.length = block, low, high, length
+
+    def bounds(self, d, own):
+        """(queries, blocks): no row of the block has a larger inner product.
+
+        ``d``: the queries' distances to the pivots, ``own`` their squared lengths.
+        """
+        apart = np.zeros((len(d), len(self.block)))
+        for p in range(d.shape[1]):
+            to = d[:, p, None]
+            np.maximum(apart, np.maximum(self.low[:, p] - to, to - self.high[:, p]), out=apart)
+        total = own[:, None] + self.length
+        return (total - np.maximum(apart - np.sqrt(_SLACK * total), 0.0)**2) / 2 + _SLACK * total + 1e-6
+
+
+def _in_blocks(vectors: DataFrame, per_block: int, pivots: int):
+    """``vectors`` plus ``block``, by the two nearest pivots, and by hash where more rows meet;
+    and the number of blocks, which count from 0."""
+    order = F.array_sort("d")
+    near = F.array_position("d", F.get(order, F.lit(0)))
+    second = F.coalesce(F.array_position("d", F.get(order, F.lit(1))), F.lit(0))
+    celled = vectors.withColumn("cell", F.coalesce(near * (pivots + 1) + second, F.lit(0)).cast("int"))
+    # At most (pivots + 1)**2 rows.
+    sizes = {r.cell: -(-r["count"] // per_block) for r in celled.groupBy("cell").count().collect()}
+    places = max(sizes, default=0) + 1
+    firsts, number = [0] * places, 0
+    for cell, parts in sorted(sizes.items()):
+        firsts[cell], number = number, number + parts
+    first, parts = (F.from_json(F.lit(json.dumps(x)), "array<int>")
+                    for x in (firsts, [sizes.get(cell, 1) for cell in range(places)]))
+    own = F.pmod(F.xxhash64("key"), F.get(parts, F.col("cell"))).cast("int")
+    return celled.withColumn("block", F.get(first, F.col("cell")) + own).drop("cell"), number
+
+
+def _statistics(stored: DataFrame, pivots: int, number: int):
+    """The blocks' bounds, or None where they are too many to be sent along."""
+    if number * (2 * pivots + 2) * 8 > STATISTICS_BYTES:
+        return None
+    square = F.aggregate(F.transform("v", lambda x: x.cast("double") * x), F.lit(0.0), lambda a, x: a + x)
+    found = stored.groupBy("block").agg(
+        F.max(square).alias("length"),
+        F.array(*[F.min(F.get("d", F.lit(p))) for p in range(pivots)]).alias("low"),
+        F.array(*[F.max(F.get("d", F.lit(p))) for p in range(pivots)]).alias("high")).collect()
+    return Blocks(np.array([r.block for r in found]), np.array([r.low for r in found], float),
+                  np.array([r.high for r in found], float), np.array([r.length for r in found], float))
 
-    ``is_query`` is a boolean column over ``id``; every row but the query's own is a
-    candidate; with fewer than k others all are returned. See ``scaled`` for rows that take
-    no part. Missing components of a shorter vector count as 0. Scores are exact as long as
-    they fit 64 bits. An empty table gives no rows; other columns are ignored.
-    """
-    stored = stage.table(with_pivots(
-        stage.table(scaled(rows, id_col, vector_col, scale), "vectors"), pivots), "pivot-table")
-    n, n_queries = stored.count(), stored.where(is_query).count()
-    parallel = rows.sparkSession.sparkContext.defaultParallelism
-    per_block = min(ROWS_PER_BLOCK, max(LEAST_ROWS_PER_BLOCK, n // (4 * parallel)))
-    row_blocks = max(1, -(-n // per_block))
-    query_blocks = max(1, -(-n_queries // QUERIES_PER_BLOCK))
 
-    def dealt(salt, blocks):
-        return F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(blocks)).cast("int")
+def _sent(queries: DataFrame, blocks, first: bool) -> DataFrame:
+    """Queries with the ``block`` they meet: the one of the highest bound, or, with the score
+    ``beat`` to reach there and not yet met, all whose bound reaches it."""
+    shared = queries.sparkSession.sparkContext.broadcast(blocks)
+    names = ["key", "id", "v", "d", "block"]
+
+    def run(batches):
+        blocks = shared.value
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                width = _width(part.column(2))
+                own = (_matrix(part.column(2), width).astype(np.float64)**2).sum(1)
+                d = np.array(part.column(3).flatten()).reshape(part.num_rows, -1)
+                bounds = blocks.bounds(d, own)
+                if first:
+                    row, to = np.arange(part.num_rows), bounds.argmax(1)
+                else:
+                    beat = part.column(4).to_numpy(zero_copy_only=False).astype(np.float64)
+                    met = part.column(5).to_numpy()
+                    row, to = np.nonzero((bounds >= np.where(np.isnan(beat), -np.inf, beat)[:, None])
+                                         & (blocks.block != met[:, None]))
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c).take(pa.array(row)) for c in range(4)], pa.array(blocks.block[to], pa.int32())],
+                    names=names)
+
+    columns = ["key", "id", "v", "d"] + ([] if first else ["beat", "met"])
+    return queries.select(columns).mapInArrow(
+        arrow.tidy(run), "key long, id long, v array<long>, d array<double>, block int")
 
-    def every(blocks):
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    queries = stored.where(is_query).select(
-        every(row_blocks).alias("rb"), dealt(1, query_blocks).alias("qb"), F.lit(True).alias("query"), "id", "v", "d")
-    candidates = stored.select(
-        dealt(2, row_blocks).alias("rb"), every(query_blocks).alias("qb"), F.lit(False).alias("query"), "id", "v", "d")
+def _evaluated(sent: DataFrame, stored: DataFrame, k: int) -> DataFrame:
+    """``key``, ``query_id``, ``found``, ``score``: the k best rows of each query in its blocks."""
+    sent = stage.table(sent, "sent-queries")
+    # Few of a block's queries share a task; its rows go to each of these tasks.
+    chunks = stage.table(sent.groupBy("block").agg(
+        F.ceil(F.count(F.lit(1)) / QUERIES_PER_BLOCK).cast("int").alias("chunks")), "query-chunks")
+    queries = sent.join(chunks, "block").select(
+        "block", F.pmod(F.xxhash64(F.lit(1), "key"), F.col("chunks")).cast("int").alias("chunk"),
+        F.lit(True).alias("query"), "key", "id", "v", "d")
+    rows = stored.join(chunks, "block").select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+        F.lit(False).alias("query"), "key", "id", "v", "d")
 
     def best(group: pa.Table) -> pa.Table:
         asks = group.column("query").to_numpy()
         width = _width(group.column("v"))
         v = _matrix(group.column("v"), width)
         d = np.array(group.column("d").combine_chunks().flatten()).reshape(len(group), -1)
-        ids = group.column("id").to_numpy()
-        query, found, score = best_of_block(
-            ids[asks], v[asks], d[asks], ids[~asks], v[~asks], d[~asks], k)
-        return pa.table({"query_id": pa.array(query, pa.int64()), "found": pa.array(found, pa.int64()),
-                         "score": pa.array(score, pa.int64())})
-
-    partial = queries.unionByName(candidates).groupBy("rb", "qb").applyInArrow(
-        best, "query_id long, found long, score long")
+        ids, keys = group.column("id").to_numpy(), group.column("key").to_numpy()
+        numbers, found, score = best_of_block(ids[asks], v[asks], d[asks], ids[~asks], v[~asks], d[~asks], k)
+        return pa.table({"key": pa.array(keys[asks][numbers], pa.int64()), "query_id": pa.array(ids[asks][numbers], pa.int64()),
+                         "found": pa.array(found, pa.int64()), "score": pa.array(score, pa.int64())})
+
+    return queries.unionByName(rows).groupBy("block", "chunk").applyInArrow(
+        best, "key long, query_id long, found long, score long")
+
+
+def search(rows: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
+           vector_col: str = "embedding", scale: int = SCALE, pivots: int = PIVOTS) -> DataFrame:
+    """``query_id``, ``rank`` (from 1), ``id_col`` and ``score`` of every query's k best rows.
+
+    ``is_query`` is a boolean column over ``id``; every row but those of the query's own id is
+    a candidate, rows that repeat an id or a vector too; with fewer than k others all are
+    returned. See ``scaled`` for rows that take no part. Missing components of a shorter
+    vector count as 0. Scores are exact as long as they fit 64 bits. An empty table gives no
+    rows; other columns are ignored.
+    """
+    vectors = stage.table(scaled(rows, id_col, vector_col, scale), "vectors")
+    n = vectors.count()
+    parallel = rows.sparkSession.sparkContext.defaultParallelism
+    per_block = min(ROWS_PER_BLOCK, max(LEAST_ROWS_PER_BLOCK, n // (4 * parallel)))
+    pivots = min(pivots, n)
+    keyed = stage.table(with_pivots(vectors, pivots).withColumn("key", F.monotonically_increasing_id()), "pivot-table")
+    dealt, number = _in_blocks(keyed, per_block, pivots)
+    stored = stage.table(dealt, "blocks")
+    queries = stored.where(is_query)
+    blocks = _statistics(stored, pivots, number)
+    if blocks is None:
+        everywhere = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(number - 1))))
+        partial = _evaluated(everywhere.select("key", "id", "v", "d", "block"), stored, k)
+    elif not n:
+        partial = rows.sparkSession.createDataFrame([], "key long, query_id long, found long, score long")
+    else:
+        first = stage.table(_sent(queries, blocks, True), "first-blocks")
+        near = stage.table(_evaluated(first, stored, k), "first-scores")
+        beat = near.groupBy("key").agg(
+            F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("beat")).withColumnRenamed("key", "of")
+        rest = first.withColumnRenamed("block", "met").join(beat, F.col("key") == F.col("of"), "left")
+        partial = near.unionByName(_evaluated(_sent(rest, blocks, False), stored, k))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "found"))
     return partial.withColumn("rank", place).where(F.col("rank") <= k).select(
         "query_id", "rank", F.col("found").alias(id_col), "score")

@@ -37,6 +37,31 @@ def test_search(spark, monkeypatch):
         assert got == best(rows)
 
 
+def test_far_blocks_are_not_met(spark, monkeypatch):
+    """Clustered rows: queries are sent to few blocks; without statistics they go to all."""
+    monkeypatch.setattr(topk, "ROWS_PER_BLOCK", 60)
+    monkeypatch.setattr(topk, "LEAST_ROWS_PER_BLOCK", 60)
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 6)) * 40
+    rows = [(i, [float(x) for x in centres[i % 12] + rng.normal(size=6)]) for i in range(1200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sent, send = [], topk._sent
+
+    def counted(queries, blocks, first):
+        made = send(queries, blocks, first)
+        sent.append((made.count(), len(blocks.block)))
+        return made
+
+    monkeypatch.setattr(topk, "_sent", counted)
+    want = best(rows)
+    assert sorted(tuple(r) for r in topk.search(frame, F.col("id") % 50 == 0).collect()) == want
+    (first, blocks), (rest, _) = sent
+    assert first == 24 and blocks > 15 and rest < 24 * blocks / 2
+    monkeypatch.setattr(topk, "STATISTICS_BYTES", 0)
+    assert sorted(tuple(r) for r in topk.search(frame, F.col("id") % 50 == 0).collect()) == want
+    assert len(sent) == 2
+
+
 def test_search_of_few_rows(spark):
     frame = spark.createDataFrame([(0, [1.0]), (50, [2.0]), (3, [-1.0])], "vec_id long, embedding array<float>")
     assert topk.search(frame, F.col("id") % 50 == 0).count() == 4
