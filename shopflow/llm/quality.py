@@ -184,6 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         w = train_ftrl(np.concatenate(numbers), np.concatenate(values), np.concatenate(firsts),
                        group.column("label").to_numpy(), epochs)
         at = np.flatnonzero(w)
+        del numbers, values, firsts, group
+        arrow.release()
         return pa.table({"at": pa.array(at, pa.int32()), "w": pa.array(w[at], pa.float64())})
 
     learned = sample.groupBy("shard").applyInArrow(learn, "at int, w double")
