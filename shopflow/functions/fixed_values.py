@@ -93,3 +93,12 @@ RAW_HEADERS = {
 
 WATERMARK_START = "1900-01-01 00:00:00"
 MAX_STOCK_CODE_LENGTH = 10
+
+# Characters that the text columns of the source database hold at most.
+TEXT_LIMITS = {
+    "transactions": {"invoice_no": 20, "stock_code": 20, "description": 255, "country": 100},
+    "customers": {"full_name": 150, "email": 255, "phone": 50, "loyalty_tier": 20, "preferred_store_id": 20},
+    "products": {"stock_code": 20, "description": 255, "category": 100, "supplier_id": 20},
+    "stores": {"store_id": 20, "store_name": 255, "country": 100, "region": 50, "timezone": 50, "currency_code": 3},
+    "pipeline_watermarks": {"pipeline_name": 100},
+}

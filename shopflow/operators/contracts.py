@@ -75,6 +75,32 @@ def enforce(df: DataFrame, schema: T.StructType) -> DataFrame:
     return checked.select([f.name if f.nullable else required(f.name) for f in schema])
 
 
+def text_lengths(df: DataFrame, limits: dict) -> DataFrame:
+    """(column_name, max_length, longest, too_long_rows) per limited column, in one pass."""
+    def measured(name, limit):
+        length = F.length(name)
+        return F.struct(F.lit(name).alias("column_name"), F.lit(limit).alias("max_length"), F.max(length).alias("longest"),
+                        F.count_if(length > limit).alias("too_long_rows"))
+
+    found = df.agg(F.array(*[measured(c, n) for c, n in limits.items() if c in df.columns]).alias("found"))
+    return found.select(F.inline("found"))
+
+
+def fit_text(df: DataFrame, limits: dict) -> DataFrame:
+    """The same rows; the job that reads them fails on a text beyond its limit.
+
+    As in ``enforce``, the check rides along in the projection of the write: a database would
+    refuse the row or cut the text after others had been written.
+    """
+    def fitting(name):
+        if name not in limits:
+            return F.col(name)
+        fail = F.raise_error(F.lit(f"text of more than {limits[name]} characters in column {name}"))
+        return F.when(F.length(name) > limits[name], fail).otherwise(F.col(name)).alias(name)
+
+    return df.select([fitting(c) for c in df.columns])
+
+
 def expect_all(df: DataFrame, rules: dict) -> tuple[DataFrame, DataFrame]:
     """Split into rows meeting every rule and rows with the names of the broken ones."""
     kept = df.where(C.passes_all(rules))

@@ -421,11 +421,11 @@ FROM standard WHERE loyalty_tier IN ('Bronze', 'Silver', 'Gold', 'Platinum')""",
     "customers_scd1": """
 SELECT customer_id, full_name, email, loyalty_tier, is_wholesaler, marketing_opt_in FROM customers""",
     "quarantine_customers": """
-SELECT customer_id, email, loyalty_tier, ingested_at, 'invalid_email' AS quarantine_reason
+SELECT *, 'invalid_email' AS quarantine_reason
 FROM cust WHERE coalesce(NOT regexp_matches(trim(email),
   '^[a-zA-Z0-9._%+\\-]+@[a-zA-Z0-9.\\-]+\\.[a-zA-Z]{2,}$'), true)""",
     "rejected_customers": """
-SELECT customer_id, email, loyalty_tier, ingested_at, 'loyalty_tier_valid' AS failed_rules
+SELECT *, 'loyalty_tier_valid' AS failed_rules
 FROM standard WHERE loyalty_tier NOT IN ('Bronze', 'Silver', 'Gold', 'Platinum')""",
     "products_clean": "SELECT stock_code, description, category, avg_unit_price FROM products",
     "rejected_products": """
@@ -637,9 +637,10 @@ SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price,
 SELECT 'raw' AS table_name, invoice_no, stock_code, count(*) AS rows FROM tx
 GROUP BY invoice_no, stock_code HAVING count(*) > 1""",
     "stream_cancelled": """
-SELECT invoice_no, original_invoice_no, stock_code, quantity FROM cancelled""",
+SELECT invoice_no, original_invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id,
+       country FROM cancelled WHERE invoice_date IS NOT NULL""",
     "stream_side_tables": """
-SELECT invoice_no, stock_code, quantity, route,
+SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id, country, route,
        CASE route WHEN 'cancelled' THEN substr(invoice_no, 2)
                   WHEN 'quarantine' THEN 'customer_id IS NULL' ELSE failed_rules END AS reason
 FROM routed WHERE route <> 'valid' AND invoice_date IS NOT NULL""",
@@ -655,8 +656,17 @@ FROM (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY day DESC) AS
         UNION ALL SELECT stock_code, description, category, avg_unit_price, 2 FROM prod)
       WHERE avg_unit_price > 0) WHERE rn = 1""",
     "stream_products": """
-SELECT stock_code, CAST(avg_unit_price + 1 AS DECIMAL(10,2)) AS avg_unit_price, DATE '2001-08-01' AS snapshot_date
-FROM prod UNION ALL SELECT stock_code, avg_unit_price, DATE '2001-08-02' FROM prod""",
+SELECT stock_code, description, 'EARLIER' AS category, CAST(avg_unit_price + 1 AS DECIMAL(10,2)) AS avg_unit_price,
+       DATE '2001-08-01' AS snapshot_date FROM prod
+UNION ALL SELECT stock_code, description, category, avg_unit_price, DATE '2001-08-02' FROM prod""",
+    "text_lengths": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{c}' AS column_name, {n} AS max_length, max(length({c}))::INTEGER AS longest, "
+        f"count(*) FILTER (WHERE length({c}) > {n}) AS too_long_rows FROM {table}"
+        for name, table, limits in [
+            ("transactions", "tx", {"invoice_no": 20, "stock_code": 20, "description": 255, "country": 100}),
+            ("customers", "cust", {"full_name": 150, "email": 255, "loyalty_tier": 20}),
+            ("products", "prod", {"stock_code": 20, "description": 255, "category": 100})]
+        for c, n in limits.items()),
     "stream_lineage": """
 SELECT CASE WHEN invoice_date <= TIMESTAMP '1998-07-01 00:00:00' THEN '1998-07-02' ELSE '2001-08-02' END AS run_date,
        count(*) AS row_count, count(*) AS stamped_rows FROM tx

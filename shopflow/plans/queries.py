@@ -87,18 +87,14 @@ def customers_scd1(s):
 
 @register
 def quarantine_customers(s):
-    return silver.route_customers(s.raw_customers).quarantine.select(
-        "customer_id", "email", "loyalty_tier", F.col("_ingested_at").alias("ingested_at"),
-        "quarantine_reason",
-    )
+    return silver.route_customers(s.raw_customers).quarantine.drop("quarantined_at").withColumnRenamed(
+        "_ingested_at", "ingested_at")
 
 
 @register
 def rejected_customers(s):
-    return silver.route_customers(s.raw_customers).rejected.select(
-        "customer_id", "email", "loyalty_tier", F.col("_ingested_at").alias("ingested_at"),
-        _names("failed_rules"),
-    )
+    rejected = silver.route_customers(s.raw_customers).rejected.drop("rejected_at")
+    return rejected.withColumnRenamed("_ingested_at", "ingested_at").withColumn("failed_rules", _names("failed_rules"))
 
 
 @register
@@ -594,6 +590,15 @@ def contract_violations(s):
     return contracts.null_violations(_conformed(s), schemas.RAW_TRANSACTIONS)
 
 
+@register
+def text_lengths(s):
+    """Longest texts of the raw tables against what the source database holds."""
+    tables = {"transactions": s.raw_transactions, "customers": s.raw_customers, "products": s.raw_products}
+    return contracts.union_all([
+        contracts.text_lengths(df, fixed.TEXT_LIMITS[name]).select(F.lit(name).alias("table_name"), "*")
+        for name, df in tables.items()])
+
+
 @register
 def csv_products(s):
     """The product dimension written to CSV and read back with its declared types."""
@@ -722,7 +727,7 @@ def key_violations(s):
 @register
 def stream_cancelled(s):
     made = _streamed(s, lambda rows: silver.route_transactions(rows).cancelled)
-    return made.select("invoice_no", "original_invoice_no", "stock_code", "quantity")
+    return made.select("original_invoice_no", *schemas.RAW_TRANSACTIONS.names)
 
 
 @register
@@ -731,7 +736,7 @@ def stream_side_tables(s):
     made = _streamed(s, lambda rows: stream.rejected_sides(
         rows, silver.transaction_route(), pipeline.side_reasons()
     ))
-    return made.select("invoice_no", "stock_code", "quantity", "route", "reason")
+    return made.select(*schemas.RAW_TRANSACTIONS.names, "route", "reason")
 
 
 @register
@@ -800,7 +805,8 @@ def stream_products(s):
         files = ingest.scan_stream(s.spark, f"{base}/landing", snapshots[0].schema)
         stream.append(ingest.with_lineage(ingest.with_snapshot_date(files)), f"{base}/table", f"{base}/checkpoint")
     stored = s.spark.read.parquet(f"{base}/table")
-    return stored.select("stock_code", "avg_unit_price", F.col("_snapshot_date").alias("snapshot_date"))
+    return stored.select("stock_code", "description", "category", "avg_unit_price",
+                         F.col("_snapshot_date").alias("snapshot_date"))
 
 
 @register

@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopflow.operators import contracts
+
 SINK_BATCH_ROWS = 10_000
 
 
@@ -38,7 +40,13 @@ def jdbc_source(spark: SparkSession, url: str, table: str, properties: dict | No
 
 
 def jdbc_sink(df: DataFrame, url: str, table: str, properties: dict | None = None,
-              connections: int = 8) -> None:
-    """Truncate the table and load it again; its definition and grants stay."""
+              connections: int = 8, limits: dict | None = None) -> None:
+    """Truncate the table and load it again; its definition and grants stay.
+
+    With ``limits`` (see ``fixed_values.TEXT_LIMITS``) a text that does not fit stops the
+    load with its column's name. To keep a loaded table whole, look at ``text_lengths`` first.
+    """
+    if limits:
+        df = contracts.fit_text(df, limits)
     options = sink_options(url, table, connections) | (properties or {})
     df.write.format("jdbc").mode("overwrite").options(**options).save()

@@ -269,3 +269,13 @@ def test_csv_keeps_blanks(spark, tmp_path):
     df = spark.createDataFrame([(" a ", 1)], "t string, n int")
     ingest.write_csv(df, str(tmp_path / "csv"))
     assert ingest.read_csv_typed(spark, str(tmp_path / "csv"), df.schema).first().t == " a "
+
+
+def test_texts_that_do_not_fit_are_counted_and_stop_a_write(spark, tmp_path):
+    df = spark.createDataFrame([("abc", "é" * 5, None), ("ab", None, "x" * 9)], "a string, b string, c string")
+    limits = {"a": 2, "b": 5, "missing": 1}
+    rows = {r.column_name: tuple(r)[1:] for r in contracts.text_lengths(df, limits).collect()}
+    assert rows == {"a": (2, 3, 1), "b": (5, 5, 0)}
+    with pytest.raises(Exception, match="more than 2 characters in column a"):
+        contracts.fit_text(df, limits).write.parquet(str(tmp_path / "t"))
+    assert contracts.fit_text(df, {"a": 3, "b": 5}).collect() == df.collect()
