@@ -199,36 +199,66 @@ def _lines_of_words(text):
         F.split(line, " ", -1), lambda word: word != ""))
 
 
-def _bigrams(words):
-    """The distinct bigrams of an array of words, as hashes."""
+_NO_GRAMS = "array<bigint>"
+
+
+def _empty(kind):
+    return F.expr("array()").cast(kind)
+
+
+def _let(value, body):
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _pairs(words):
+    """The bigrams of an array of words, as hashes, in order."""
     n = F.size(words)
     pairs = F.zip_with(F.slice(words, F.lit(1), n - 1), F.slice(words, F.lit(2), n - 1),
                        lambda a, b: F.xxhash64(a, b))
-    return F.when(n >= 2, F.array_distinct(pairs)).otherwise(F.expr("array()").cast("array<bigint>"))
+    return F.when(n >= 2, pairs).otherwise(_empty(_NO_GRAMS))
+
+
+def _bigrams(words):
+    """The distinct bigrams of an array of words, as hashes."""
+    return F.array_distinct(_pairs(words))
+
+
+def _bitmap(grams):
+    """A literal set of hashes: never misses one, lets a small share of others pass."""
+    words = [0] * (BITMAP_BITS // 64)
+    for gram in grams:
+        spot = gram % BITMAP_BITS
+        words[spot // 64] |= 1 << (spot % 64)
+    signed = [w - (1 << 64) if w >> 63 else w for w in words]
+    return F.from_json(F.lit(json.dumps(signed)), _NO_GRAMS)
+
+
+def _holds(bitmap, gram):
+    spot = F.pmod(gram, F.lit(BITMAP_BITS)).cast("int")
+    return F.getbit(F.get(bitmap, F.shiftright(spot, 6)), F.pmod(spot, F.lit(64))) == 1
 
 
 def _hashed(spark, templates, similarity):
     """Templates as an array literal (name, number in the list, size, bigrams), their sizes,
-    and a literal bitmap of the marked bigrams of all of them."""
+    and literal bitmaps of their marked bigrams and of all bigrams."""
     rows = [(name, i, text) for i, (name, text) in enumerate(
         (name, text) for name, texts in templates.items() for text in texts)]
     words = F.flatten(_lines_of_words(F.col("text")))
     found = [r.asDict() for r in spark.createDataFrame(rows, "name string, number int, text string").select(
         "name", "number", words.alias("words"), _bigrams(words).alias("grams")).collect() if r.grams]
     found.sort(key=lambda r: r["number"])
-    bitmap = [0] * (BITMAP_BITS // 64)
+    marked = set()
     for r in found:
         pairs = list(dict.fromkeys(zip(r["words"], r.pop("words")[1:])))  # in the order of the bigrams
         shared = math.ceil(similarity / (2 - similarity) * len(pairs) - 1e-9)
         # Long words are rare ones: any len - shared + 1 bigrams would do.
-        for _, gram in sorted(zip(pairs, r["grams"]), key=lambda x: (-sum(map(len, x[0])), x[0]))[:len(pairs) - shared + 1]:
-            spot = gram % BITMAP_BITS
-            bitmap[spot // 64] |= 1 << (spot % 64)
+        rare = sorted(zip(pairs, r["grams"]), key=lambda x: (-sum(map(len, x[0])), x[0]))
+        marked.update(gram for _, gram in rare[:len(pairs) - shared + 1])
         r["size"] = len(pairs)
     schema = "array<struct<name:string,number:int,size:int,grams:array<bigint>>>"
-    signed = [w - (1 << 64) if w >> 63 else w for w in bitmap]
     return (F.from_json(F.lit(json.dumps(found)), schema), [r["size"] for r in found],
-            F.from_json(F.lit(json.dumps(signed)), "array<bigint>"))
+            _bitmap(marked), _bitmap({gram for r in found for gram in r["grams"]}))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -246,15 +276,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text, or one without a segment of two words, has no match; other columns are ignored.
     No shuffle: every text is judged where it is read.
     """
-    known, sizes, marks = _hashed(docs.sparkSession, templates or TEMPLATES, similarity)
+    known, sizes, marked, every = _hashed(docs.sparkSession, templates or TEMPLATES, similarity)
     low, high = similarity / (2 - similarity), (2 - similarity) / similarity
     least, most = min(sizes) * low, max(sizes) * high
 
-    def marked(gram):
-        spot = F.pmod(gram, F.lit(BITMAP_BITS))
-        word = F.get(marks, F.shiftright(spot, 6).cast("int"))
-        return F.getbit(word, F.pmod(gram, F.lit(64)).cast("int")) == 1
-
     def best(segment):
         size = F.size(segment["grams"])
         fitting = F.filter(known, lambda t: (size >= t["size"] * low) & (size <= t["size"] * high))
@@ -267,7 +292,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def fits(segment):
         size = F.size(segment["grams"])
-        return (size >= least) & (size <= most) & F.exists(segment["grams"], marked)
+        return (size >= least) & (size <= most)
 
     def segments(kind, arrays):
         grams = F.transform(arrays, lambda words, i: F.struct(
@@ -298,9 +323,57 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = F.when(has_blank, F.array(F.flatten(lines))).otherwise(
         F.expr("array()").cast("array<array<string>>"))
 
+    segment_type = "array<struct<segment:string,position:int,grams:array<bigint>>>"
     split = docs.select(F.col(id_col), _lines_of_words(
         F.coalesce(F.col(text_col), F.lit(""))).alias("lines"))
 
+    def next_line(i):
+        """The next line with words; texts seldom have many blank lines in a row."""
+        def found(rest, otherwise):
+            return _let(F.filter(rest, lambda line: F.size(line) > 0),
+                        lambda x: F.when(F.size(x) > 0, F.get(x, F.lit(0))).otherwise(otherwise))
+
+        near = F.get("lines", i + 1)
+        far = found(F.slice("lines", i + 3, F.size("lines")), F.lit(None).cast("array<string>"))
+        return F.when(F.size(near) != 0, near).otherwise(found(F.slice("lines", i + 3, 8), far))
+
+    # Flags of a line: a marked bigram in it, one in it or across its end, and whether any
+    # bigram of a template lies in it (inside) or across its end (across).
+    def flags(line, i):
+        after = next_line(i)
+        across = F.when((F.size(line) > 0) & (F.size(after) > 0), F.xxhash64(F.element_at(line, -1), F.get(after, F.lit(0))))
+        inside = F.filter(_pairs(line), lambda g: _holds(every, g))
+        return _let(F.struct(inside.alias("inside"), across.alias("across")), lambda x: F.struct(
+            F.exists(x["inside"], lambda g: _holds(marked, g)).alias("marked"),
+            (F.size(x["inside"]) > 0).alias("inside"),
+            F.coalesce(_holds(every, x["across"]), F.lit(False)).alias("across"),
+            F.coalesce(_holds(marked, x["across"]), F.lit(False)).alias("marked_across")))
+
+    # Only texts with a marked bigram are compared with templates at all.
+    flagged = split.select(id_col, "lines", F.transform("lines", flags).alias("flags"))
+    size = F.size("lines")
+
+    def windows_from(i):
+        longest = F.least(F.lit(WINDOW_LINES), size - i)
+        sizes = F.when(longest >= 2, F.sequence(F.lit(2), longest)).otherwise(_empty("array<int>"))
+        # A line at either end that shares nothing would only lower the coefficient.
+        sizes = F.filter(sizes, lambda k: F.get("flags", i + k - 1)["inside"] | F.get("flags", i + k - 2)["across"])
+        runs = F.transform(sizes, lambda k: F.slice("lines", i + 1, k))
+        runs = F.filter(runs, lambda run: ~F.exists(run, lambda line: F.size(line) == 0))
+        return F.transform(runs, lambda run: F.struct(
+            F.lit("window").alias("segment"), i.alias("position"), _let(F.flatten(run), _bigrams).alias("grams")))
+
+    starts = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), lambda i: (
+        F.get("flags", i)["inside"] | F.get("flags", i)["across"]) & F.exists(
+        F.slice("flags", i + 1, WINDOW_LINES), lambda f: f["marked"] | f["marked_across"]))
+    single = F.filter(F.transform("lines", lambda line, i: F.struct(
+        F.lit("line").alias("segment"), i.alias("position"),
+        F.when(F.get("flags", i)["marked"], _bigrams(line)).otherwise(_empty(_NO_GRAMS)).alias("grams"))), fits)
+    cut = flagged.select(id_col, F.when(
+        F.exists("flags", lambda f: f["marked"] | f["marked_across"]), F.struct(
+            F.concat(single, segments("paragraph", paragraphs), segments("text", whole)).cast(segment_type).alias("segments"),
+            F.filter(F.flatten(F.transform(starts, windows_from)), fits).cast(segment_type).alias("windows"))).alias("found"))
+
     def judged(found):
         """Segments with their best template, where it is similar enough."""
         scored = F.transform(found, lambda s: F.struct(
@@ -309,28 +382,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             s["segment"].alias("segment"), s["position"].alias("position"), s["best"]["name"].alias("name"),
             (-s["best"]["first"]).alias("number"), s["best"]["dice"].alias("dice"), s["best"]["shared"].alias("shared")))
 
-    # A line is marked by its own bigrams and by the one across its end.
-    size = F.size("lines")
-    ends = F.transform("lines", lambda line, i: F.concat(
-        line, F.slice(F.coalesce(F.get("lines", i + 1), F.expr("array()").cast("array<string>")), 1, 1)))
-    cut = split.select(id_col, "lines", F.concat(
-        segments("line", lines), segments("paragraph", paragraphs), segments("text", whole)
-    ).alias("segments"), F.transform(ends, lambda line: F.exists(_bigrams(line), marked)).alias("marks"))
-
-    def windows_from(i):
-        longest = F.least(F.lit(WINDOW_LINES), size - i)
-        sizes = F.when(longest >= 2, F.sequence(F.lit(2), longest)).otherwise(F.expr("array()").cast("array<int>"))
-        runs = F.transform(sizes, lambda k: F.slice("lines", i + 1, k))
-        runs = F.filter(runs, lambda run: ~F.exists(run, lambda line: F.size(line) == 0))
-        return F.transform(runs, lambda run: F.struct(
-            F.lit("window").alias("segment"), i.alias("position"), _bigrams(F.flatten(run)).alias("grams")))
-
-    places = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), lambda i: F.exists(
-        F.slice("marks", i + 1, WINDOW_LINES), lambda m: m))
-    windows = F.when(F.exists("marks", lambda m: m), F.flatten(F.transform(places, windows_from))).otherwise(
-        F.expr("array()").cast("array<struct<segment:string,position:int,grams:array<bigint>>>"))
-    scored = cut.select(id_col, judged(F.col("segments")).alias("plain"),
-                        judged(F.filter(windows, fits)).alias("windows"))
+    nothing = _empty(segment_type)
+    scored = cut.select(id_col, judged(F.coalesce("found.segments", nothing)).alias("plain"),
+                        judged(F.coalesce("found.windows", nothing)).alias("windows"))
 
     def better(w):
         """Better than all other segments of the licence, and the first of equally good windows."""
