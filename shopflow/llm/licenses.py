@@ -189,12 +189,16 @@ _add("BSD", _BSD_TERMS, f"{_BSD_TERMS} {_BSD_CLAUSES}")
 WINDOW_LINES = 14  # of a window, at most; longer notices are whole paragraphs or texts
 BITMAP_BITS = 1 << 16
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_SIGNS = "".join(c for c in map(chr, range(1, 128)) if not c.isalnum() and c not in " \n")
+_FROM = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _SIGNS
+_TO = "abcdefghijklmnopqrstuvwxyz" + " " * len(_SIGNS)
 
 
 def _lines_of_words(text):
     """An array of lines, each an array of words, of a text column."""
-    flat = F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9\n]+", " ")
+    # Signs of ASCII are mapped one by one; an expression would find a match at every blank.
+    flat = F.regexp_replace(F.translate(text, _FROM, _TO), "[^\\x01-\\x7f]+", " ")
     return F.transform(F.split(flat, "\n", -1), lambda line: F.filter(
         F.split(line, " ", -1), lambda word: word != ""))
 
@@ -294,35 +298,6 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         size = F.size(segment["grams"])
         return (size >= least) & (size <= most)
 
-    def segments(kind, arrays):
-        grams = F.transform(arrays, lambda words, i: F.struct(
-            F.lit(kind).alias("segment"), i.alias("position"), _bigrams(words).alias("grams")))
-        return F.filter(grams, fits)
-
-    # Paragraphs: fold lines into (closed paragraphs, lines and words of the open one).
-    lines = F.col("lines")
-    empty = F.struct(
-        F.expr("array()").cast("array<array<string>>").alias("done"),
-        F.lit(0).alias("n"), F.expr("array()").cast("array<string>").alias("open"))
-
-    def closed(acc):
-        return F.when(acc["n"] >= 2, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"])
-
-    def step(acc, line):
-        blank = F.size(line) == 0
-        return F.struct(
-            F.when(blank, closed(acc)).otherwise(acc["done"]).alias("done"),
-            F.when(blank, F.lit(0)).otherwise(acc["n"] + 1).alias("n"),
-            F.when(blank, F.expr("array()").cast("array<string>"))
-            .otherwise(F.concat(acc["open"], line)).alias("open"))
-
-    has_blank = F.exists(lines, lambda line: F.size(line) == 0)
-    paragraphs = F.when(has_blank, F.aggregate(lines, empty, step, closed)).otherwise(
-        F.when(F.size(lines) >= 2, F.array(F.flatten(lines)))
-        .otherwise(F.expr("array()").cast("array<array<string>>")))
-    whole = F.when(has_blank, F.array(F.flatten(lines))).otherwise(
-        F.expr("array()").cast("array<array<string>>"))
-
     segment_type = "array<struct<segment:string,position:int,grams:array<bigint>>>"
     split = docs.select(F.col(id_col), _lines_of_words(
         F.coalesce(F.col(text_col), F.lit(""))).alias("lines"))
@@ -337,42 +312,86 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         far = found(F.slice("lines", i + 3, F.size("lines")), F.lit(None).cast("array<string>"))
         return F.when(F.size(near) != 0, near).otherwise(found(F.slice("lines", i + 3, 8), far))
 
-    # Flags of a line: a marked bigram in it, one in it or across its end, and whether any
-    # bigram of a template lies in it (inside) or across its end (across).
+    # Flags of a line: a marked bigram in it or across its end, whether any bigram of a
+    # template lies across its end, how many lie in it, and how many different ones in it
+    # belong to no template.
     def flags(line, i):
         after = next_line(i)
         across = F.when((F.size(line) > 0) & (F.size(after) > 0), F.xxhash64(F.element_at(line, -1), F.get(after, F.lit(0))))
-        inside = F.filter(_pairs(line), lambda g: _holds(every, g))
-        return _let(F.struct(inside.alias("inside"), across.alias("across")), lambda x: F.struct(
-            F.exists(x["inside"], lambda g: _holds(marked, g)).alias("marked"),
-            (F.size(x["inside"]) > 0).alias("inside"),
-            F.coalesce(_holds(every, x["across"]), F.lit(False)).alias("across"),
-            F.coalesce(_holds(marked, x["across"]), F.lit(False)).alias("marked_across")))
+        return _let(F.struct(_pairs(line).alias("grams"), across.alias("across")), lambda x: _let(
+            F.filter(x["grams"], lambda g: _holds(every, g)), lambda inside: F.struct(
+                (F.size(line) == 0).alias("blank"),
+                F.exists(inside, lambda g: _holds(marked, g)).alias("marked"),
+                F.coalesce(_holds(marked, x["across"]), F.lit(False)).alias("marked_across"),
+                F.coalesce(_holds(every, x["across"]), F.lit(False)).alias("across"),
+                F.size(inside).alias("known"),
+                F.when(F.size(inside) > 0, F.size(F.array_distinct(F.filter(x["grams"], lambda g: ~_holds(every, g)))))
+                .otherwise(F.size(F.array_distinct(x["grams"]))).alias("other"))))
 
     # Only texts with a marked bigram are compared with templates at all.
     flagged = split.select(id_col, "lines", F.transform("lines", flags).alias("flags"))
     size = F.size("lines")
+    spent = 2 * (1 - similarity) / similarity  # other bigrams per shared one, at most
+
+    def may_fit(known, other):
+        """Whether lines could be similar to a template: ``known`` bigrams of templates they
+        hold at most, ``other`` different ones at least."""
+        return other <= known * spent + 1e-9
+
+    def segment(kind, position, words):
+        return F.struct(F.lit(kind).alias("segment"), position.cast("int").alias("position"), _bigrams(words).alias("grams"))
+
+    def window_fits(i, k):
+        own = F.slice("flags", i + 1, k)
+        known = F.aggregate(own, F.lit(0), lambda n, f: n + f["known"] + 1)
+        return may_fit(known, F.array_max(F.transform(own, lambda f: f["other"])))
 
     def windows_from(i):
         longest = F.least(F.lit(WINDOW_LINES), size - i)
         sizes = F.when(longest >= 2, F.sequence(F.lit(2), longest)).otherwise(_empty("array<int>"))
         # A line at either end that shares nothing would only lower the coefficient.
-        sizes = F.filter(sizes, lambda k: F.get("flags", i + k - 1)["inside"] | F.get("flags", i + k - 2)["across"])
+        sizes = F.filter(sizes, lambda k: (
+            (F.get("flags", i + k - 1)["known"] > 0) | F.get("flags", i + k - 2)["across"]) & window_fits(i, k))
         runs = F.transform(sizes, lambda k: F.slice("lines", i + 1, k))
         runs = F.filter(runs, lambda run: ~F.exists(run, lambda line: F.size(line) == 0))
-        return F.transform(runs, lambda run: F.struct(
-            F.lit("window").alias("segment"), i.alias("position"), _let(F.flatten(run), _bigrams).alias("grams")))
+        return F.transform(runs, lambda run: _let(F.flatten(run), lambda words: segment("window", i, words)))
 
     starts = F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), lambda i: (
-        F.get("flags", i)["inside"] | F.get("flags", i)["across"]) & F.exists(
+        (F.get("flags", i)["known"] > 0) | F.get("flags", i)["across"]) & F.exists(
         F.slice("flags", i + 1, WINDOW_LINES), lambda f: f["marked"] | f["marked_across"]))
-    single = F.filter(F.transform("lines", lambda line, i: F.struct(
-        F.lit("line").alias("segment"), i.alias("position"),
-        F.when(F.get("flags", i)["marked"], _bigrams(line)).otherwise(_empty(_NO_GRAMS)).alias("grams"))), fits)
+
+    # Paragraphs: fold lines into (first line, number of lines) of those that may fit.
+    def closed(acc):
+        fit = (acc["n"] >= 2) & may_fit(acc["known"], acc["other"])
+        own = F.struct((acc["at"] - acc["n"]).alias("at"), acc["n"].alias("n"), acc["nr"].alias("nr"))
+        return F.when(fit, F.concat(acc["done"], F.array(own))).otherwise(acc["done"])
+
+    def state(done, at, n, nr, known, other):
+        return F.struct(done.alias("done"), at.alias("at"), n.alias("n"), nr.alias("nr"),
+                        known.alias("known"), other.alias("other"))
+
+    def step(acc, f):
+        return F.when(f["blank"], state(
+            closed(acc), acc["at"] + 1, F.lit(0), acc["nr"] + F.when(acc["n"] >= 2, 1).otherwise(0), F.lit(0), F.lit(0))
+        ).otherwise(state(acc["done"], acc["at"] + 1, acc["n"] + 1, acc["nr"], acc["known"] + f["known"] + 1,
+                          F.greatest(acc["other"], f["other"])))
+
+    zero = F.lit(0)
+    begin = state(_empty("array<struct<at:int,n:int,nr:int>>"), zero, zero, zero, zero, zero)
+    paragraphs = F.transform(F.aggregate("flags", begin, step, closed), lambda x: _let(
+        F.flatten(F.slice("lines", x["at"] + 1, x["n"])), lambda words: segment("paragraph", x["nr"], words)))
+    whole = F.when(
+        F.exists("flags", lambda f: f["blank"]) & may_fit(
+            F.aggregate("flags", F.lit(0), lambda n, f: n + f["known"] + 1), F.array_max(F.transform("flags", lambda f: f["other"]))),
+        F.array(segment("text", F.lit(0), F.flatten("lines")))).otherwise(_empty(segment_type))
+    single = F.transform(
+        F.filter(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), lambda i: F.get("flags", i)["marked"] & may_fit(
+            F.get("flags", i)["known"], F.get("flags", i)["other"])),
+        lambda i: segment("line", i, F.get("lines", i)))
     cut = flagged.select(id_col, F.when(
         F.exists("flags", lambda f: f["marked"] | f["marked_across"]), F.struct(
-            F.concat(single, segments("paragraph", paragraphs), segments("text", whole)).cast(segment_type).alias("segments"),
-            F.filter(F.flatten(F.transform(starts, windows_from)), fits).cast(segment_type).alias("windows"))).alias("found"))
+            F.filter(F.concat(*[x.cast(segment_type) for x in (single, paragraphs, whole)]), fits).alias("segments"),
+            F.filter(F.flatten(F.transform(starts, windows_from)).cast(segment_type), fits).alias("windows"))).alias("found"))
 
     def judged(found):
         """Segments with their best template, where it is similar enough."""
