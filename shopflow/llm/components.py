@@ -13,11 +13,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     around = around.toDF("u", "v")
     # Minima are summed up before the shuffle, and stored: so both sides of the join are
-    # plain shuffles, which adaptive execution can split at a hub.
+    # plain shuffles, which adaptive execution can split at a hub. They are never broadcast:
+    # a table of a few MB takes a multiple of that from the driver, round after round.
     least = stage.table(
         around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "stars"
     ).withColumnRenamed("u", "hub")
-    met = around.join(least, F.col("u") == F.col("hub"))
+    met = around.join(least.hint("merge"), F.col("u") == F.col("hub"))
     if large:
         moved = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:

@@ -101,11 +101,12 @@ def _dealt(classes: DataFrame) -> DataFrame:
     """Rows of cells in which something can meet, as ``cell``, ``i``, ``j``, ``mine``, ``home``, ``fp``.
 
     The group (cell, i, j) holds blocks i and j of a cell's members; ``mine`` is the block of
-    the row. Cells of up to CELL members have the single block 0.
+    the row. Cells of up to CELL members have the single block 0. Sizes of cells grow with the
+    fingerprints, so they are shuffled and never pass through the driver.
     """
     rows = _cells(classes)
     sizes = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.count_if("home").alias("homes"))
-    met = rows.join(sizes.where("homes > 0 and members > 1"), "cell")
+    met = rows.join(sizes.where("homes > 0 and members > 1").hint("merge"), "cell")
     blocks = F.ceil(F.col("members") / CELL).cast("int")
     met = met.select("cell", "home", "fp", blocks.alias("blocks"),
                      F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("mine"))
@@ -225,8 +226,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     classes = stage.table(marked.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     linked = stage.table(components(near_links(classes.select("fp"))), "linked")
     members = linked.union(linked.select("root", "root").distinct()).toDF("fp", "root")
-    least = members.join(classes, "fp").groupBy("root").agg(F.min("least").alias("reached"))
-    reached = members.join(least, "root").select("fp", "reached")
-    classes = classes.join(reached, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"))
-    return marked.join(classes, "fp").select(
+    least = members.join(classes.hint("merge"), "fp").groupBy("root").agg(F.min("least").alias("reached"))
+    reached = members.join(least.hint("merge"), "root").select("fp", "reached")
+    classes = classes.join(reached.hint("merge"), "fp", "left").select(
+        "fp", F.coalesce("reached", "least").alias("component_id"))
+    return marked.join(classes.hint("merge"), "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -6,7 +6,7 @@ import xxhash
 from llm_rows import docs, prose
 from pyspark.sql import functions as F
 
-from shopflow.llm import simhash
+from shopflow.llm import components, simhash
 
 
 def brute_fingerprint(text):
@@ -131,3 +131,13 @@ def test_groups_of_documents(spark):
         assert got[doc_id, f"{value:016x}"] == min(reach)
     assert got[31, "0" * 16] == 30
     assert simhash.groups(docs(spark, [])).count() == 0
+
+
+def test_nothing_that_grows_with_the_documents_is_broadcast(spark):
+    docs = spark.createDataFrame([(i, f"some words of text {i % 7}") for i in range(50)], "doc_id long, text string")
+    classes = docs.select(F.xxhash64("doc_id").alias("fp"))
+    links = classes.select(F.col("fp").alias("a"), F.lit(3).cast("long").alias("b"))
+    for made in (simhash.near_links(classes), components._star(links, True), components._star(links, False),
+                 simhash.groups(docs)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
