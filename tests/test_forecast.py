@@ -1,6 +1,7 @@
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from rows import D, day, ts
 
 from shopflow import schemas
@@ -112,3 +113,11 @@ def test_series_of_all_skus_moves_once_by_sku(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     # One shuffle for the weekly totals and one to bring a SKU's weeks together.
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_series_are_dealt_over_all_tasks(spark):
+    days = [(f"S{i}", "2024-01-01", 1) for i in range(200)]
+    weekly = spark.createDataFrame(days, "stock_code string, week_start string, units_sold long").withColumn(
+        "week_start", F.col("week_start").cast("date"))
+    observed = forecast.observe(weekly)
+    assert observed.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
