@@ -111,6 +111,29 @@ def test_a_batch_with_keys_of_many_parts_is_compared_with_all(spark, tmp_path, m
     assert spark.read.option("recursiveFileLookup", True).parquet(base).count() == 6
 
 
+def test_many_parts_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream, "FEW_PARTS", 4)
+    base = str(tmp_path / "t")
+    rows = [(f"{i}00", 1) for i in range(100, 140)]
+    stream.append_batch(spark.createDataFrame(rows, "k string, o int"), 0, base, ["k"], ["o"], tail=2)
+    assert len(files(base)) == 40
+    assert len({f.rpartition("/")[2].split("-")[1] for f in files(base)}) > 1  # numbers of the tasks
+
+
+def test_few_parts_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    base, schema = str(tmp_path / "t"), "k string, o int"
+    first, second = (spark.createDataFrame([(f"{i}", n) for i in range(100, 140 + n)], schema) for n in range(2))
+
+    def shuffled(*args):
+        raise AssertionError("shuffled once more by part, of which there may be a single one")
+
+    monkeypatch.setattr(type(first), "repartition", shuffled)
+    for n, batch in enumerate((first, second)):
+        stream.append_batch(batch, n, base, ["k"], ["o"], tail=2)
+    stored = spark.read.option("recursiveFileLookup", True).parquet(base)
+    assert sorted((r.k, r.o) for r in stored.collect()) == [(f"{i}", 0) for i in range(100, 140)] + [("140", 1)]
+
+
 def test_counts_ride_along_with_the_write(spark, tmp_path):
     rules = {"positive": "quantity > 0", "known": "customer_id IS NOT NULL"}
     rows = [tx_row("1", "2024-01-01"), tx_row("2", "2024-01-01", None), tx_row("3", "2024-01-01", 5, quantity=-1)]
