@@ -34,7 +34,7 @@ def tables(spark, tmp_path_factory):
     return base
 
 
-@pytest.mark.parametrize("name", ["customer_360_segments", "gate_summary", "gate_promote"])
+@pytest.mark.parametrize("name", ["customer_360_segments", "gate_summary", "gate_promote", "daily_kpis_incremental"])
 def test_raw_lines_are_joined_once(spark, tables, monkeypatch, name):
     reads, table = [], stage.table
 
