@@ -1,15 +1,21 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-Each pre-token is a doubly linked list of byte runs. Every adjacent pair that the
-vocabulary can merge is queued under its rank: a bucket per rank holds list positions, and
-a two-level bitmap of 256-bit words over the buckets finds the lowest rank with two
-find-first-set steps, whatever the pre-token's length. Positions leave a bucket from left to right.
-Entries of pairs that meanwhile changed are skipped when they surface. A pre-token of n
-bytes takes O(n log n), so texts without any break are no problem.
-
-Texts are cut into units at spaces. Equal units of a task are encoded once, and so are equal
-pre-tokens of different units ("word," and "word."). Both are forgotten when a task ends, or
-when they take KEPT_BYTES; texts are put together from them by array operations.
+Pre-tokens are doubly linked lists of byte runs. Every adjacent pair that the vocabulary can
+merge is queued under its rank: a bucket per rank holds list positions, and a two-level bitmap
+of 256-bit words over the buckets finds the lowest rank with two find-first-set steps, however
+many positions wait. Positions of a pre-token leave a bucket from left to right. Entries of
+pairs that meanwhile changed are skipped when they surface.
+
+One queue serves many pre-tokens: a bucket is taken out as a whole, and its leftmost position
+of every pre-token is merged at once by array operations. The lowest rank of all is the lowest
+rank of each pre-token that has it, so each is merged as if it were alone. A pre-token beyond
+LONG_BYTES has a queue of its own and takes O(n log n), so texts without any break are no
+problem.
+
+Texts are cut into units at spaces. Equal units of a task are cut into pre-tokens once, and
+equal pre-tokens of different units ("word," and "word.") are merged once. Both are forgotten
+when a task ends, or when they take KEPT_BYTES; texts are put together from them by array
+operations.
 """
 
 import base64
@@ -17,6 +23,7 @@ import hashlib
 import re
 from array import array
 from heapq import heappop, heappush
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -30,13 +37,15 @@ VOCABULARY_BYTES = 32 << 20  # a rank file beyond this is refused, not broadcast
 KEPT_BYTES = 128 << 20  # about what a worker keeps of units and pre-tokens
 BLOCK_CHARS = 1 << 19  # text encoded at once; one longer text makes a block of its own
 GATHERED = 1 << 20  # items put together at once
+MERGED_BYTES = 1 << 19  # bytes of pre-tokens that share a queue
+LONG_BYTES = 64  # a longer pre-token is merged alone
 
 
 _BIT = [1 << i for i in range(256)]
 
 
 class Merger:
-    """Merges one pre-token at a time; the empty queue is kept between calls."""
+    """Merges one long pre-token at a time; the empty queue is kept between calls."""
 
     def __init__(self, ranks: dict):
         self.ranks = ranks
@@ -142,6 +151,122 @@ class Merger:
         return ids
 
 
+class SharedMerger:
+    """Merges many pre-tokens by one queue; the empty queue is kept between calls."""
+
+    def __init__(self, ranks: dict):
+        self.size = max(ranks.values(), default=-1) + 1
+        # Numbers of runs: their rank; bytes that have none follow, and the mark between pre-tokens.
+        self.mark, self.base = self.size + 256, self.size + 257
+        byte = [ranks.get(bytes((b,)), self.size + b) for b in range(256)]
+        self.byte = np.array(byte, np.int64)
+        self.two = np.array([ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)], np.int64)
+        keys, merged = array("q"), array("q")  # numbers of two runs -> rank of both together
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left = byte[token[0]] if cut == 1 else ranks.get(token[:cut])
+                if left is not None:
+                    right = byte[token[-1]] if cut == len(token) - 1 else ranks.get(token[cut:])
+                    if right is not None:
+                        keys.append(left * self.base + right)
+                        merged.append(rank)
+        keys.append(np.iinfo(np.int64).max)  # so that every search ends at a key
+        merged.append(-1)
+        keys, merged = np.array(keys), np.array(merged)
+        order = np.argsort(keys)
+        self.keys, self.merged = keys[order], merged[order]
+        self.low = [0] * ((self.size >> 8) + 1)  # a bit per rank
+        self.top = 0  # a bit per word of low
+        self.buckets = {}  # rank -> arrays of positions
+
+    def _push(self, ranks, positions) -> None:
+        """Queue positions under their ranks."""
+        order = ranks.argsort()
+        ranks, positions = ranks[order], positions[order]
+        cuts = ((ranks[1:] != ranks[:-1]).nonzero()[0] + 1).tolist()
+        starts = [0, *cuts]
+        low, buckets = self.low, self.buckets
+        for rank, start, stop in zip(ranks[starts].tolist(), starts, [*cuts, len(ranks)]):
+            held = buckets.get(rank)
+            if held is None:
+                buckets[rank] = [positions[start:stop]]
+                a = rank >> 8
+                if not low[a]:
+                    self.top |= 1 << a
+                low[a] |= _BIT[rank & 255]
+            else:
+                held.append(positions[start:stop])
+
+    def _pop(self):
+        """(lowest rank, its positions in order, stale ones too)."""
+        top = self.top
+        # Find first set, from the top level down.
+        a = (top & -top).bit_length() - 1
+        word = self.low[a]
+        b = (word & -word).bit_length() - 1
+        word ^= _BIT[b]
+        self.low[a] = word
+        if not word:
+            self.top = top ^ (1 << a)
+        rank = (a << 8) + b
+        held = self.buckets.pop(rank)
+        at = held[0] if len(held) == 1 else np.concatenate(held)
+        at.sort()
+        return rank, at
+
+    def merge(self, pieces: list):
+        """(ids of all pre-tokens, how many each has)."""
+        text = np.frombuffer(b"\0".join([b"", *pieces, b""]), np.uint8).astype(np.int64)
+        marks = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+        number = self.byte[text]  # of the run that starts here; -1 inside of runs
+        number[marks] = self.mark
+        owner = np.zeros(len(text), np.int64)
+        owner[marks] = 1
+        owner = np.cumsum(owner)
+        following = np.arange(1, len(text) + 1)
+        before = np.arange(-1, len(text) - 1)
+        queued = np.full(len(text), -1)  # rank under which the pair starting here is queued now
+        queued[:-1] = self.two[text[:-1] << 8 | text[1:]]
+        queued[marks] = queued[marks[1:] - 1] = -1
+        at = np.flatnonzero(queued >= 0)
+        if len(at):
+            self._push(queued[at], at)
+        while self.top:
+            rank, at = self._pop()
+            at = at[queued[at] == rank]  # the others are stale: their pair changed
+            if len(at) > 1:
+                whose = owner[at]
+                again = whose[1:] == whose[:-1]
+                if again.any():  # only the leftmost of a pre-token: its merge may change the next
+                    later = at[1:][again]
+                    self._push(np.full(len(later), rank), later)
+                    at = np.concatenate((at[:1], at[1:][~again]))
+            n = len(at)
+            if not n:
+                continue
+            second = following[at]
+            third = following[second]
+            following[at] = third
+            before[third] = at
+            number[at] = rank
+            number[second] = queued[second] = -1
+            at = np.concatenate((at, before[at]))
+            pairs = np.concatenate((number[third] + rank * self.base, number[at[n:]] * self.base + rank))
+            found = self.keys.searchsorted(pairs)
+            ranks = np.where(self.keys[found] == pairs, self.merged[found], -1)
+            fresh = ranks >= 0
+            fresh[n:] &= ranks[n:] != queued[at[n:]]  # queued already
+            queued[at] = ranks
+            if fresh.any():
+                self._push(ranks[fresh], at[fresh])
+        number[marks] = -1
+        live = number >= 0
+        ids = number[live]
+        if len(ids) and ids.max() >= self.size:
+            raise KeyError("a byte that the vocabulary does not have")
+        return ids, np.diff(np.cumsum(live)[marks])
+
+
 def _gather(flat, starts, spans):
     """``flat[s:s + n]`` of all starts and spans, one after the other."""
     out, ends, low = np.empty(int(spans.sum()), flat.dtype), np.cumsum(spans), 0
@@ -166,7 +291,9 @@ class Encoder:
     def __init__(self, ranks: dict, pattern: str):
         self.pattern = regex.compile(pattern)
         self.double = re.compile(r"\s ")
+        self.ranks = ranks
         self.merge = Merger(ranks).merge
+        self.merge_all = SharedMerger(ranks).merge
         size = max(ranks.values(), default=-1) + 1
         tokens = [b""] * size
         for token, rank in ranks.items():
@@ -179,32 +306,55 @@ class Encoder:
     def clear(self):
         # Numbers of units: behind a space, at a text's start, and whole pre-tokens.
         self.spaced, self.head, self.whole = {}, {}, {}
-        self.pieces = {}  # pre-token -> its packed ids
-        self.ids, self.first = array("I"), array("q", [0])
-        self.single = bytearray()  # per number: whether the unit is one pre-token
+        self.parts, self.first_part = array("q"), array("q", [0])  # per unit: numbers of its pre-tokens
+        self.pieces = {}  # number of a pre-token that is not a unit of its own
+        self.ids, self.first = array("I"), array("q", [0])  # per pre-token
+        self.waiting = []  # pre-tokens that have a number, and no ids yet
         self.weight = 0
 
-    def _packed(self, piece: str) -> bytes:
-        packed = self.pieces.get(piece)
-        if packed is None and piece[0] == " ":
-            number = self.spaced.get(piece[1:])
-            if number is not None and self.single[number]:
-                return self.ids[self.first[number]:self.first[number + 1]].tobytes()
-        if packed is None:
-            packed = self.pieces[piece] = array("I", self.merge(piece.encode())).tobytes()
-            self.weight += 180 + len(piece) + len(packed)
-        return packed
+    def _new(self, piece: str) -> int:
+        self.waiting.append(piece)
+        return len(self.first) + len(self.waiting) - 2
+
+    def _piece(self, piece: str) -> int:
+        """Number of a pre-token that is part of a unit."""
+        number = self.pieces.get(piece)
+        if number is None and piece[:1] == " ":
+            unit = self.spaced.get(piece[1:])
+            if unit is not None and self.first_part[unit + 1] - self.first_part[unit] == 1:
+                return self.parts[self.first_part[unit]]
+        if number is None:
+            number = self.pieces[piece] = self._new(piece)
+            self.weight += 180 + len(piece)
+        return number
 
     def _add(self, known: dict, unit: str, pieces: list) -> None:
-        if len(pieces) == 1 and pieces[0] not in self.pieces:  # a unit of one pre-token stands for it
-            packed = array("I", self.merge(pieces[0].encode())).tobytes()
+        if len(pieces) == 1:  # a unit of one pre-token stands for it
+            number = self.pieces.get(pieces[0])
+            self.parts.append(self._new(pieces[0]) if number is None else number)
         else:
-            packed = b"".join(map(self._packed, pieces))
-        self.ids.frombytes(packed)
-        known[unit] = len(self.first) - 1
-        self.single.append(len(pieces) == 1)
-        self.first.append(len(self.ids))
-        self.weight += 180 + len(unit) + len(packed)
+            self.parts.extend(map(self._piece, pieces))
+        known[unit] = len(self.first_part) - 1
+        self.first_part.append(len(self.parts))
+        self.weight += 190 + len(unit) + 8 * len(pieces)
+
+    def _add_spaced(self, units: list) -> None:
+        """Units behind a space, matched together: those that end in white space, or are empty, alone."""
+        findall, joined = self.pattern.findall, []
+        for unit in units:
+            if not unit or unit[-1].isspace():
+                self._add(self.spaced, unit, findall(" " + unit))
+            else:
+                joined.append(unit)
+        if joined:
+            found = findall(" " + " ".join(joined))
+            starts = [k for k, piece in enumerate(found) if piece[:1] == " "]
+            if len(starts) == len(joined):
+                for unit, low, high in zip(joined, starts, [*starts[1:], len(found)]):
+                    self._add(self.spaced, unit, found[low:high])
+            else:  # the pattern leaves spaces out
+                for unit in joined:
+                    self._add(self.spaced, unit, findall(" " + unit))
 
     def _numbers(self, text: str) -> list:
         """Numbers of a text's units."""
@@ -216,25 +366,82 @@ class Encoder:
         head, *rest = text.split(" ")
         if head not in self.head:
             self._add(self.head, head, self.pattern.findall(head))
-        known, findall = self.spaced, self.pattern.findall
-        for unit in set(rest).difference(known):
-            self._add(known, unit, findall(" " + unit))
+        known = self.spaced
+        new = set(rest).difference(known)
+        if new:
+            self._add_spaced(list(new))
         return [self.head[head], *map(known.__getitem__, rest)]
 
+    def _merge_waiting(self) -> None:
+        """Ids of the pre-tokens that wait for them."""
+        ranks, low = self.ranks, 0
+        while low < len(self.waiting):
+            size, spans, loose, shared = 0, [], [], []
+            while low < len(self.waiting) and size < MERGED_BYTES:
+                data = self.waiting[low].encode()
+                low += 1
+                rank = ranks.get(data)
+                if rank is not None:
+                    spans.append(1)
+                    loose.append(rank)
+                elif len(data) > LONG_BYTES:
+                    ids = self.merge(data)
+                    spans.append(len(ids))
+                    loose.extend(ids)
+                    size += len(data)
+                else:
+                    spans.append(-1)
+                    shared.append(data)
+                    size += len(data)
+            spans = np.array(spans, np.int64)
+            ids, counts = self.merge_all(shared)
+            together = spans < 0
+            spans[together] = counts
+            start = np.empty_like(spans)
+            start[together] = np.cumsum(counts) - counts
+            start[~together] = len(ids) + np.cumsum(spans[~together]) - spans[~together]
+            flat = np.concatenate((ids, np.array(loose, np.int64))).astype(np.uint32)
+            end = len(self.ids)
+            self.ids.frombytes(_gather(flat, start, spans).tobytes())
+            self.first.frombytes((end + np.cumsum(spans)).tobytes())
+            self.weight += 4 * int(spans.sum()) + 8 * len(spans)
+        self.waiting = []
+
+    def encode_blocks(self, texts: list):
+        """Yield (first row, rows, ids of their texts, first of every text and the end)."""
+        low = 0
+        while low < len(texts):
+            if self.weight > KEPT_BYTES:
+                self.clear()
+            numbers, cuts = array("q"), [0]
+            for text in islice(texts, low, None):
+                if text:
+                    numbers.extend(self._numbers(text))
+                cuts.append(len(numbers))
+                if self.weight > KEPT_BYTES:
+                    break
+            self._merge_waiting()
+            number = np.array(numbers, np.int64)
+            parts, first_part = np.array(self.parts, np.int64), np.array(self.first_part, np.int64)
+            flat, first = np.array(self.ids, np.uint32), np.array(self.first, np.int64)
+            for row, block in _blocks(texts[low:low + len(cuts) - 1]):
+                cut = np.array(cuts[row:row + len(block) + 1])
+                units = number[cut[0]:cut[-1]]
+                spans = first_part[units + 1] - first_part[units]
+                part_cut = np.concatenate(([0], np.cumsum(spans)))[cut - cut[0]]
+                pieces = _gather(parts, first_part[units], spans)
+                spans = first[pieces + 1] - first[pieces]
+                ids = _gather(flat, first[pieces], spans)
+                yield low + row, len(block), ids, np.concatenate(([0], np.cumsum(spans)))[part_cut]
+            low += len(cuts) - 1
+
     def encode_block(self, texts: list):
         """(ids of all texts, first of every text and the end)."""
-        if self.weight > KEPT_BYTES:
-            self.clear()
-        numbers, cuts = array("q"), [0]
-        for text in texts:
-            if text:
-                numbers.extend(self._numbers(text))
-            cuts.append(len(numbers))
-        number = np.frombuffer(numbers, np.int64) if numbers else np.zeros(0, np.int64)
-        first = np.array(self.first, np.int64)
-        spans = np.diff(first)[number]
-        ids = _gather(np.array(self.ids, np.uint32), first[number], spans)
-        return ids, np.concatenate(([0], np.cumsum(spans)))[cuts]
+        ids, first = [np.zeros(0, np.uint32)], [0]
+        for _, _, part, cuts in self.encode_blocks(texts):
+            ids.append(part)
+            first.extend((first[-1] + cuts[1:]).tolist())
+        return np.concatenate(ids), np.array(first)
 
     def decode_block(self, ids: np.ndarray, first: np.ndarray):
         """(bytes that ids stand for, first of every text and the end); KeyError for an unknown id."""
@@ -299,9 +506,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
         try:
             for batch in batches:
                 texts = [t or "" for t in batch.column(1).to_pylist()]
-                for low, part in _blocks(texts):
-                    ids, first = coder.encode_block(part)
-                    columns = [batch.column(0).slice(low, len(part)), pa.array(np.diff(first), pa.int64()),
+                for low, rows, ids, first in coder.encode_blocks(texts):
+                    columns = [batch.column(0).slice(low, rows), pa.array(np.diff(first), pa.int64()),
                                _binary(ids.astype("<u4").view(np.uint8), first * 4)]
                     if with_decoded:
                         columns.append(_binary(*coder.decode_block(ids, first)))

@@ -56,6 +56,63 @@ def test_queue_is_empty_after_every_pre_token(coders):
         assert not merge.buckets and not any(merge.low)
 
 
+def plain_ids(ranks, data):
+    """The definition: the lowest pair of all, the leftmost of equal ones, is merged next."""
+    runs = [bytes((b,)) for b in data]
+    while len(runs) > 1:
+        rank, at = min((ranks.get(a + b, 1 << 40), k) for k, (a, b) in enumerate(zip(runs, runs[1:])))
+        if rank == 1 << 40:
+            break
+        runs[at:at + 2] = [runs[at] + runs[at + 1]]
+    return [ranks[r] for r in runs]
+
+
+def test_a_shared_queue_merges_each_pre_token_as_if_alone():
+    rng = random.Random(5)
+    for _ in range(30):
+        # Tokens in any order: a merge may make a pair of a lower rank than its own.
+        tokens = {bytes(rng.choice(b"abc") for _ in range(rng.randint(2, 5))) for _ in range(60)}
+        tokens = [b"a", b"b", b"c", b"\0", *tokens]
+        rng.shuffle(tokens)
+        ranks = {token: 7 * k for k, token in enumerate(tokens)}
+        shared = bpe.SharedMerger(ranks)
+        pieces = [bytes(rng.choice(b"aaabc\0") for _ in range(rng.randint(1, 24))) for _ in range(150)]
+        found, counts = shared.merge(pieces)
+        found = found.tolist()
+        assert found == [i for p in pieces for i in plain_ids(ranks, p)]
+        assert counts.tolist() == [len(plain_ids(ranks, p)) for p in pieces]
+        assert not shared.buckets and not shared.top and not any(shared.low)
+    assert [x.tolist() for x in shared.merge([])] == [[], []]
+
+
+def test_a_byte_without_a_rank_is_refused_unless_merged():
+    ranks = {b"a": 0, b"b": 1, b"ax": 2, b"axb": 3}
+    merge = bpe.SharedMerger(ranks).merge
+    assert merge([b"baxb", b"ax"])[0].tolist() == [1, 3, 2]
+    with pytest.raises(KeyError):
+        merge([b"ax", b"xa"])
+
+
+def test_rare_words_share_a_queue(coders, monkeypatch):
+    own, public = bpe.Encoder(bpe.parse_ranks(bpe.read_ranks(PATH)), P.PATTERN), coders[1]
+    alone, merge = [], own.merge
+    monkeypatch.setattr(own, "merge", lambda data: alone.append(data) or merge(data))
+    monkeypatch.setattr(bpe, "MERGED_BYTES", 3000)
+    rng = random.Random(11)
+    words = ["".join(rng.choice("theinrdsaouéß") for _ in range(rng.randint(5, 15))) for _ in range(2000)]
+    words[700] = "q" * (bpe.LONG_BYTES + 1)
+    texts = [" ".join(words[k:k + 100]) + rng.choice(["", ",", "\n", " "]) for k in range(0, 2000, 50)]
+    found, first = own.encode_block(texts)
+    for text, a, b in zip(texts, first, first[1:]):
+        assert found[a:b].tolist() == public.encode_ordinary(text)
+    assert set(alone) <= {words[700].encode(), b" " + words[700].encode()}
+
+
+def test_a_pattern_that_leaves_spaces_out(coders):
+    own = bpe.Encoder(bpe.parse_ranks(bpe.read_ranks(PATH)), r"\p{L}+")
+    assert own.decode(own.encode("one two, three")) == b"onetwothree"
+
+
 def test_what_is_remembered_is_bounded_and_forgotten(coders, monkeypatch):
     monkeypatch.setattr(bpe, "KEPT_BYTES", 3000)
     monkeypatch.setattr(bpe, "GATHERED", 5)
